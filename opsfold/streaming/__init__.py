@@ -1,0 +1,6 @@
+"""Streaming.
+
+The reference is batch-only (no stream source, watermark or stateful
+operator), so nothing is owed here.  The batch operators are plain DataFrame
+functions and can be applied to a streaming DataFrame where Spark allows it.
+"""
