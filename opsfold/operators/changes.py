@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from opsfold.config import DEFAULT_ATTRIBUTION_WINDOW_HOURS, MAX_BROADCAST_DEPLOY_HOURS, fits
 from opsfold.functions.columns import hour_bucket, minutes_between
 from opsfold.operators.rollup import hourly_rollup
-from opsfold.operators.scan import keyed_scan
+from opsfold.operators.scan import DEFAULT_TARGET_ROWS, keyed_scan
 
 CHANGE_IMPACT_COLUMNS = ["time_bucket", "service", "endpoint", "region", "request_count",
                          "avg_latency_ms", "p95_latency_ms", "error_rate", "deploy_version",
@@ -29,17 +29,16 @@ def _valid(deployments: DataFrame) -> DataFrame:
             .where(F.col("deploy_time").isNotNull() & F.col("service").isNotNull()))
 
 
-def deployment_intervals(deployments: DataFrame, *, chunks: int | None = None) -> DataFrame:
+def deployment_intervals(deployments: DataFrame, *,
+                         target_rows: int = DEFAULT_TARGET_ROWS) -> DataFrame:
     """``[deploy_time, next_deploy_time)`` per deployment of a service.
 
     Order is (deploy_time, version), so of two deploys at the same instant the
-    higher version owns the interval.  The lead runs as a skew-safe scan in
-    descending order.
+    higher version owns the interval.  The lead runs as a skew-safe scan.
     """
-    scanned = keyed_scan(_valid(deployments), ["service"],
-                         [F.col("deploy_time").desc_nulls_last(),
-                          F.col("version").desc_nulls_last()],
-                         "deploy_time", chunks=chunks, prev="next_deploy_time")
+    scanned = keyed_scan(_valid(deployments), ["service"], ["deploy_time", "version"],
+                         "deploy_time", target_rows=target_rows, prev="_prev_deploy",
+                         nxt="next_deploy_time")
     return scanned.select("service", "version", "deploy_time", "next_deploy_time")
 
 

@@ -1,113 +1,213 @@
-"""Skew-safe ordered scan within a key: position, previous value, running flag count.
+"""Skew-safe ordered scan within a key: position, previous/next value, running flag count.
 
 ``Window.partitionBy(key)`` sends every row of one key to one task, so a key
-holding a third of all rows becomes a single straggler.  This operator instead:
-
-1. range-partitions rows on ``(key, order..., tiebreak)`` into ``chunks``
-   partitions.  Range bounds are sampled, so a hot key is spread over many
-   contiguous chunks; ``spark_partition_id()`` names the chunk;
-2. runs the window functions per ``(key, chunk)``, a group no larger than one
-   range partition;
-3. repairs the chunk boundaries.  Only a key that is the first or last key of
-   some chunk can span chunks, so the repair table holds at most ``2 * chunks``
-   rows; it is built with a small window and broadcast back (a proven bound).
-
-Results equal ``row_number``, ``lag`` and a running ``sum`` of a flag over
-``Window.partitionBy(key).orderBy(order...)``, with ties in ``order`` broken by
-a hash of the whole row (identical rows are interchangeable).
+holding a third of all rows becomes a single straggler.  This operator keeps
+the plain window for ordinary keys and splits only hot keys:
+
+1. rows per key are counted (a partial aggregate).  Keys with more than
+   ``target_rows`` rows are hot; if more than ``max_hot_keys`` keys qualify the
+   threshold rises to the (max_hot_keys+1)-th largest count, so the hot-key
+   table stays bounded and no key is left out of the rule;
+2. a hot key with ``c`` rows is cut into ``ceil(c / target_rows)`` sub-chunks of
+   its order.  Split points come from a deterministic hash sample of its rows
+   (at most ``sample_budget`` rows overall, the way a range partitioner
+   samples); each row finds its sub-chunk by binary search over its key's
+   sorted split points, in plain column expressions;
+3. the window runs per ``(key, sub-chunk)`` (one hash shuffle);
+4. sub-chunk boundaries of hot keys are repaired from a per-(hot key,
+   sub-chunk) summary, at most ``sum(ceil(c / target_rows))`` rows, broadcast.
+
+Chunk ids are a deterministic function of each row and of a cached split
+table, so every branch of the plan (and every task retry) sees the same ones.
+Results equal ``row_number``, ``lag``, ``lead`` and a running ``sum`` of a flag
+over ``Window.partitionBy(key).orderBy(order...)`` with ascending, nulls-first
+order and ties broken by a hash of the whole row (identical rows are
+interchangeable).
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from opsfold.config import shuffle_partitions
-
 FlagFn = Callable[[Column, Column], Column]
 
-_HELPERS = ("_tb", "_chunk", "_lpos", "_lprev", "_lflag", "_lrun",
-            "_cprev", "_opos", "_orun", "_delta")
-
-
-def _null_safe_on(left: DataFrame, right: DataFrame, cols: list[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in cols])
-
-
-def keyed_scan(df: DataFrame, keys: list[str], order: list[Column], value: str, *,
-               flag: FlagFn | None = None, chunks: int | None = None,
-               pos: str = "_pos", prev: str = "_prev", run: str = "_run") -> DataFrame:
-    """Add ``pos`` (1-based), ``prev`` (``value`` at the previous row) and, with
-    ``flag``, ``run`` = running sum of ``flag(value, prev)`` within each key.
-
-    ``order`` holds sort expressions (``F.col(c).asc()`` etc.).  ``flag`` gets
-    the row's value and the previous row's value (null for the first row).
+DEFAULT_TARGET_ROWS = 2_000_000
+DEFAULT_MAX_HOT_KEYS = 10_000
+DEFAULT_SAMPLE_BUDGET = 1_000_000
+MAX_SAMPLES_PER_CHUNK = 20
+_HASH_SPACE = 1 << 30
+
+
+def _on(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]) -> Column:
+    return reduce(lambda a, b: a & b, [left[a].eqNullSafe(right[b]) for a, b in pairs])
+
+
+def _hot_keys(base: DataFrame, keys: list[str], target_rows: int,
+              max_hot_keys: int) -> tuple[DataFrame | None, int, int]:
+    """Cached (keys, _cnt, _chunks) of hot keys, the threshold used, max chunks."""
+    counts = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("_cnt"))
+    top = (counts.where(F.col("_cnt") > target_rows)
+           .orderBy(F.col("_cnt").desc()).limit(max_hot_keys + 1)
+           .select("_cnt").collect())
+    if not top:
+        return None, target_rows, 0
+    threshold = target_rows
+    if len(top) > max_hot_keys:
+        threshold = max(threshold, top[-1]["_cnt"])
+    hot_counts = [r["_cnt"] for r in top if r["_cnt"] > threshold]
+    if not hot_counts:
+        return None, threshold, 0
+    max_chunks = max(math.ceil(c / threshold) for c in hot_counts)
+    hot = (counts.where(F.col("_cnt") > threshold)
+           .withColumn("_chunks", F.ceil(F.col("_cnt") / F.lit(threshold)).cast("long"))
+           .persist(StorageLevel.MEMORY_AND_DISK))
+    return hot, threshold, max_chunks
+
+
+def _split_points(base: DataFrame, hot: DataFrame, keys: list[str], sort_cols: list[str],
+                  total_chunks: int, sample_budget: int) -> DataFrame:
+    """Cached (keys, _splits): sorted sub-chunk start points of each hot key."""
+    per_chunk = max(1, min(MAX_SAMPLES_PER_CHUNK, sample_budget // max(total_chunks, 1)))
+    rate = F.least(F.lit(1.0), F.col("_chunks") * F.lit(per_chunk) / F.col("_cnt"))
+    info = hot.select(*[F.col(k).alias(f"_h_{k}") for k in keys], "_chunks",
+                      rate.alias("_rate"))
+    draw = F.pmod(F.xxhash64(F.col("_tb"), F.lit(17)), F.lit(_HASH_SPACE)) / F.lit(_HASH_SPACE)
+    sample = (base.join(F.broadcast(info), _on(base, info, [(k, f"_h_{k}") for k in keys]))
+              .where(draw < F.col("_rate"))
+              .select(*keys, *sort_cols, "_chunks"))
+    w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in sort_cols])
+    n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    idx = F.floor((F.row_number().over(w) - 1) * F.col("_chunks") / n)
+    marked = sample.withColumn("_idx", idx).withColumn(
+        "_prev_idx", F.lag("_idx").over(w))
+    starts = marked.where(F.col("_prev_idx").isNotNull() & (F.col("_idx") != F.col("_prev_idx")))
+    point = F.struct(*[F.col(c) for c in sort_cols])
+    return (starts.groupBy(*keys).agg(F.sort_array(F.collect_list(point)).alias("_splits"))
+            .persist(StorageLevel.MEMORY_AND_DISK))
+
+
+def _sub_chunk(df: DataFrame, sort_cols: list[str], depth: int) -> DataFrame:
+    """``_sub`` = number of split points <= the row's sort key (binary search)."""
+    # One higher-order ``aggregate`` over ``depth`` steps keeps the expression
+    # linear in size (chained projections would be inlined into one tree).
+    x = F.struct(*[F.col(c) for c in sort_cols])
+    splits = F.col("_splits")
+    size = F.when(splits.isNull(), F.lit(0)).otherwise(F.size(splits))
+    init = F.struct(F.lit(0).alias("lo"), size.alias("hi"))
+
+    def step(acc: Column, _: Column) -> Column:
+        lo, hi = acc["lo"], acc["hi"]
+        mid = F.shiftright(lo + hi, 1)
+        go = F.coalesce(F.try_element_at(splits, mid + 1) <= x, F.lit(False))
+        active = lo < hi
+        return F.struct(F.when(active & go, mid + 1).otherwise(lo).alias("lo"),
+                        F.when(active & ~go, mid).otherwise(hi).alias("hi"))
+
+    found = F.aggregate(F.sequence(F.lit(1), F.lit(depth)), init, step)
+    return df.withColumn("_sub", found["lo"].cast("long")).drop("_splits")
+
+
+def keyed_scan(df: DataFrame, keys: list[str], order: list[str], value: str, *,
+               flag: FlagFn | None = None, pos: str = "_pos", prev: str = "_prev",
+               nxt: str | None = None, run: str = "_run",
+               target_rows: int = DEFAULT_TARGET_ROWS,
+               max_hot_keys: int = DEFAULT_MAX_HOT_KEYS,
+               sample_budget: int = DEFAULT_SAMPLE_BUDGET) -> DataFrame:
+    """Add ``pos`` (1-based), ``prev`` (``value`` at the previous row), optionally
+    ``nxt`` (at the next row) and, with ``flag``, ``run`` = running sum of
+    ``flag(value, prev)`` within each key, in ascending nulls-first ``order``.
+
+    ``flag`` receives the row's value and the previous row's value (null at
+    the key's first row) and returns 0/1.  Runs one small counting job while
+    planning; everything else is lazy.
     """
-    spark = df.sparkSession
-    n = chunks or shuffle_partitions(spark)
-    value_type = df.schema[value].dataType
-    null_value = F.lit(None).cast(value_type)
-    key_cols = [F.col(k) for k in keys]
-
-    ranged = (df.withColumn("_tb", F.xxhash64(*[F.col(c) for c in df.columns]))
-              .repartitionByRange(n, *[k.asc() for k in key_cols], *order, F.col("_tb").asc())
-              .withColumn("_chunk", F.spark_partition_id()))
-
-    w = Window.partitionBy(*keys, "_chunk").orderBy(*order, F.col("_tb").asc())
-    loc = (ranged.withColumn("_lpos", F.row_number().over(w))
-           .withColumn("_lprev", F.lag(value).over(w)))
+    base = df.withColumn("_tb", F.xxhash64(*[F.col(c) for c in df.columns]))
+    sort_cols = [*order, "_tb"]
+    hot, _, max_chunks = _hot_keys(base, keys, target_rows, max_hot_keys)
+    if hot is None:
+        chunked = base.withColumn("_sub", F.lit(0).cast("long"))
+    else:
+        total_chunks = hot.agg(F.sum("_chunks")).first()[0]
+        splits = _split_points(base, hot, keys, sort_cols, total_chunks, sample_budget)
+        right = splits.select(*[F.col(k).alias(f"_s_{k}") for k in keys], "_splits")
+        joined = (base.join(F.broadcast(right), _on(base, right, [(k, f"_s_{k}") for k in keys]),
+                            "left")
+                  .drop(*[f"_s_{k}" for k in keys]))
+        depth = max(1, math.ceil(math.log2(max_chunks + 1)))
+        chunked = _sub_chunk(joined, sort_cols, depth)
+
+    w = Window.partitionBy(*keys, "_sub").orderBy(*[F.col(c).asc_nulls_first() for c in sort_cols])
+    loc = chunked.withColumns({
+        "_lpos": F.row_number().over(w),
+        "_lprev": F.lag(value).over(w),
+        "_lnext": F.lead(value).over(w),
+        "_llast": F.lead(F.lit(1)).over(w).isNull(),
+    })
     if flag is not None:
-        loc = (loc.withColumn("_lflag", flag(F.col(value), F.col("_lprev")).cast("long"))
-               .withColumn("_lrun", F.sum("_lflag").over(
-                   w.rowsBetween(Window.unboundedPreceding, Window.currentRow))))
-
-    # Keys at chunk edges; those seen in more than one chunk span chunks.
-    kstruct = F.struct(*key_cols)
-    bounds = ranged.groupBy("_chunk").agg(F.min(kstruct).alias("_kmin"),
-                                          F.max(kstruct).alias("_kmax"))
-    edges = bounds.select("_chunk", F.explode(F.array("_kmin", "_kmax")).alias("_k")).distinct()
-    spanning = (edges.groupBy("_k").agg(F.count(F.lit(1)).alias("_nc"))
-                .where(F.col("_nc") > 1).select("_k"))
-    pairs = edges.join(spanning, "_k").select("_chunk", *[F.col(f"_k.{k}").alias(k) for k in keys])
-
-    # Per-(key, chunk) summaries of spanning keys only: at most 2 * chunks rows.
-    sel = loc.join(F.broadcast(pairs), _null_safe_on(loc, pairs, [*keys, "_chunk"]), "left_semi")
-    aggs = [F.count(F.lit(1)).alias("_n"), F.max_by(F.col(value), F.col("_lpos")).alias("_last")]
+        loc = loc.withColumn("_lflag", flag(F.col(value), F.col("_lprev")).cast("long"))
+        loc = loc.withColumn("_lrun", F.sum("_lflag").over(
+            w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+
+    if hot is None:
+        cols = {pos: F.col("_lpos").cast("long"), prev: F.col("_lprev")}
+        if nxt:
+            cols[nxt] = F.col("_lnext")
+        if flag is not None:
+            cols[run] = F.col("_lrun").cast("long")
+        return loc.withColumns(cols).drop(
+            "_tb", "_sub", "_lpos", "_lprev", "_lnext", "_llast", "_lflag", "_lrun")
+
+    # Boundary repair, hot keys only: one summary row per (hot key, sub-chunk).
+    hot_keys = hot.select(*[F.col(k).alias(f"_k_{k}") for k in keys])
+    sel = loc.join(F.broadcast(hot_keys), _on(loc, hot_keys, [(k, f"_k_{k}") for k in keys]),
+                   "left_semi")
+    aggs = [F.count(F.lit(1)).alias("_n"),
+            F.max_by(F.col(value), F.col("_lpos")).alias("_last"),
+            F.min_by(F.col(value), F.col("_lpos")).alias("_first")]
     if flag is not None:
-        aggs += [F.max_by(F.col(value), -F.col("_lpos")).alias("_first"),
-                 F.sum(F.when(F.col("_lpos") > 1, F.col("_lflag")).otherwise(F.lit(0)))
-                 .alias("_inner")]
-    summ = sel.groupBy(*keys, "_chunk").agg(*aggs)
-
-    cw = Window.partitionBy(*keys).orderBy("_chunk")
+        aggs.append(F.sum(F.when(F.col("_lpos") > 1, F.col("_lflag")).otherwise(F.lit(0)))
+                    .alias("_inner"))
+    summ = sel.groupBy(*keys, "_sub").agg(*aggs)
+    cw = Window.partitionBy(*keys).orderBy("_sub")
     before = cw.rowsBetween(Window.unboundedPreceding, -1)
-    fix = (summ.withColumn("_cprev", F.lag("_last").over(cw))
-           .withColumn("_opos", F.coalesce(F.sum("_n").over(before), F.lit(0)).cast("long")))
+    fix = summ.withColumns({
+        "_cprev": F.lag("_last").over(cw),
+        "_cnext": F.lead("_first").over(cw),
+        "_opos": F.coalesce(F.sum("_n").over(before), F.lit(0)).cast("long"),
+    })
     if flag is not None:
+        null_value = F.lit(None).cast(df.schema[value].dataType)
         true_first = flag(F.col("_first"), F.col("_cprev")).cast("long")
         local_first = flag(F.col("_first"), null_value).cast("long")
-        fix = (fix.withColumn("_delta", true_first - local_first)
-               .withColumn("_cflags", true_first + F.col("_inner"))
-               .withColumn("_orun", F.coalesce(F.sum("_cflags").over(before), F.lit(0))))
+        fix = fix.withColumns({"_delta": true_first - local_first,
+                               "_cflags": true_first + F.col("_inner")})
+        fix = fix.withColumn("_orun", F.coalesce(F.sum("_cflags").over(before), F.lit(0)))
     else:
-        fix = fix.withColumn("_delta", F.lit(0)).withColumn("_orun", F.lit(0))
+        fix = fix.withColumns({"_delta": F.lit(0), "_orun": F.lit(0)})
     fix = fix.select(*[F.col(k).alias(f"_f_{k}") for k in keys],
-                     F.col("_chunk").alias("_f_chunk"), "_cprev", "_opos", "_orun", "_delta")
+                     F.col("_sub").alias("_f_sub"), "_cprev", "_cnext", "_opos", "_orun",
+                     "_delta")
 
-    cond = reduce(lambda a, b: a & b,
-                  [loc[k].eqNullSafe(fix[f"_f_{k}"]) for k in keys]
-                  + [loc["_chunk"] == fix["_f_chunk"]])
+    cond = _on(loc, fix, [(k, f"_f_{k}") for k in keys]) & (loc["_sub"] == fix["_f_sub"])
     out = loc.join(F.broadcast(fix), cond, "left")
     matched = F.col("_opos").isNotNull()
     cols = {
         pos: (F.col("_lpos") + F.coalesce(F.col("_opos"), F.lit(0))).cast("long"),
-        prev: F.when((F.col("_lpos") == 1) & matched, F.col("_cprev")).otherwise(F.col("_lprev")),
+        prev: F.when((F.col("_lpos") == 1) & matched, F.col("_cprev"))
+               .otherwise(F.col("_lprev")),
     }
+    if nxt:
+        cols[nxt] = F.when(F.col("_llast") & matched, F.col("_cnext")).otherwise(F.col("_lnext"))
     if flag is not None:
         cols[run] = (F.col("_lrun") + F.coalesce(F.col("_orun"), F.lit(0))
                      + F.coalesce(F.col("_delta"), F.lit(0))).cast("long")
     out = out.withColumns(cols)
-    return out.drop(*_HELPERS, *[f"_f_{k}" for k in keys], "_f_chunk")
+    return out.drop("_tb", "_sub", "_lpos", "_lprev", "_lnext", "_llast", "_lflag", "_lrun",
+                    "_cprev", "_cnext", "_opos", "_orun", "_delta",
+                    *[f"_f_{k}" for k in keys], "_f_sub")

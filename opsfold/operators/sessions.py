@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from opsfold.config import DEFAULT_SESSION_TIMEOUT_MINUTES, PERCENTILE_ACCURACY
 from opsfold.functions.columns import error_flag, minutes_between, session_id
-from opsfold.operators.scan import keyed_scan
+from opsfold.operators.scan import DEFAULT_TARGET_ROWS, keyed_scan
 
 # Fields of one request-flow element, in sort order.
 TRACE_FLOW_FIELDS = ["timestamp", "service", "endpoint", "status_code", "latency_ms", "host",
@@ -24,10 +24,6 @@ SESSION_FLOW_FIELDS = ["timestamp", "service", "endpoint", "status_code", "laten
                        "trace_id"]
 
 
-def _asc(fields: list[str]) -> list[Column]:
-    return [F.col(f).asc_nulls_first() for f in fields]
-
-
 def nest_flow(rows: DataFrame, keys: list[str], fields: list[str],
               name: str = "request_flow") -> DataFrame:
     """``keys`` + ``sort_array(collect_list(struct(fields)))`` per group.
@@ -52,15 +48,15 @@ def trace_flows(logs: DataFrame, *, include_flow: bool = False) -> DataFrame:
     return summary
 
 
-def trace_flow_steps(logs: DataFrame, *, chunks: int | None = None) -> DataFrame:
+def trace_flow_steps(logs: DataFrame, *, target_rows: int = DEFAULT_TARGET_ROWS) -> DataFrame:
     """The request flow flattened: one row per event with its 1-based ``step``.
 
     Steps follow the flow order (timestamp, service, endpoint, status, latency,
     host, region; nulls first).
     """
     traced = logs.where(F.col("trace_id").isNotNull()).select("trace_id", *TRACE_FLOW_FIELDS)
-    scanned = keyed_scan(traced, ["trace_id"], _asc(TRACE_FLOW_FIELDS), "timestamp",
-                         chunks=chunks, pos="step")
+    scanned = keyed_scan(traced, ["trace_id"], TRACE_FLOW_FIELDS, "timestamp",
+                         target_rows=target_rows, pos="step")
     return scanned.select("trace_id", "step", *TRACE_FLOW_FIELDS)
 
 
@@ -74,7 +70,7 @@ def _new_session(timeout_minutes: int):
 
 
 def session_events(logs: DataFrame, *, timeout_minutes: int = DEFAULT_SESSION_TIMEOUT_MINUTES,
-                   chunks: int | None = None) -> DataFrame:
+                   target_rows: int = DEFAULT_TARGET_ROWS) -> DataFrame:
     """Each event with a user id, tagged with its session.
 
     ``event_pos`` is the event's 1-based place in the user's timeline; a null
@@ -83,8 +79,8 @@ def session_events(logs: DataFrame, *, timeout_minutes: int = DEFAULT_SESSION_TI
     """
     flag = _new_session(timeout_minutes)
     users = logs.where(F.col("user_id").isNotNull()).select("user_id", *SESSION_FLOW_FIELDS)
-    scanned = keyed_scan(users, ["user_id"], _asc(SESSION_FLOW_FIELDS), "timestamp",
-                         flag=flag, chunks=chunks, pos="event_pos", prev="prev_ts",
+    scanned = keyed_scan(users, ["user_id"], SESSION_FLOW_FIELDS, "timestamp",
+                         flag=flag, target_rows=target_rows, pos="event_pos", prev="prev_ts",
                          run="session_index")
     return scanned.select(
         "user_id", *SESSION_FLOW_FIELDS, "event_pos", "prev_ts",
@@ -108,9 +104,9 @@ def _session_summary(events: DataFrame, accuracy: int) -> DataFrame:
 
 def user_sessions(logs: DataFrame, *, timeout_minutes: int = DEFAULT_SESSION_TIMEOUT_MINUTES,
                   accuracy: int = PERCENTILE_ACCURACY, include_flow: bool = False,
-                  chunks: int | None = None) -> DataFrame:
+                  target_rows: int = DEFAULT_TARGET_ROWS) -> DataFrame:
     """One row per session: bounds, count, mean and p95 latency, error rate."""
-    events = session_events(logs, timeout_minutes=timeout_minutes, chunks=chunks)
+    events = session_events(logs, timeout_minutes=timeout_minutes, target_rows=target_rows)
     summary = _session_summary(events, accuracy)
     if include_flow:
         flows = nest_flow(events, ["session_id", "user_id"], SESSION_FLOW_FIELDS)
@@ -120,14 +116,14 @@ def user_sessions(logs: DataFrame, *, timeout_minutes: int = DEFAULT_SESSION_TIM
 
 def user_session_steps(logs: DataFrame, *,
                        timeout_minutes: int = DEFAULT_SESSION_TIMEOUT_MINUTES,
-                       chunks: int | None = None) -> DataFrame:
+                       target_rows: int = DEFAULT_TARGET_ROWS) -> DataFrame:
     """A session's request flow flattened, with its 1-based ``step``.
 
     The step is the event's place in the user's timeline minus that of the
     session's first event; the per-session start table comes from a partial
     aggregate and joins back on (user, session index).
     """
-    events = session_events(logs, timeout_minutes=timeout_minutes, chunks=chunks)
+    events = session_events(logs, timeout_minutes=timeout_minutes, target_rows=target_rows)
     starts = events.groupBy("user_id", "session_index").agg(F.min("event_pos").alias("_p0"))
     steps = events.join(starts, ["user_id", "session_index"])
     return steps.select(
