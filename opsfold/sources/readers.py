@@ -80,7 +80,10 @@ def time_expr(column: str, data_type: T.DataType, time_unit: str = "ns",
     if isinstance(data_type, T.LongType):
         per_second = _UNIT_PER_SECOND[time_unit]
         if keep_fraction:
-            return F.timestamp_micros((c * F.lit(1_000_000) / F.lit(per_second)).cast("long"))
+            if per_second > 1_000_000:  # floor to whole microseconds, exact in integers
+                k = per_second // 1_000_000
+                return F.timestamp_micros(F.expr(f"(`{column}` - pmod(`{column}`, {k})) div {k}"))
+            return F.timestamp_micros(c * F.lit(1_000_000 // per_second))
         return F.timestamp_seconds((c / F.lit(float(per_second))).cast("long"))
     if isinstance(data_type, T.IntegerType):
         return F.timestamp_seconds(c.cast("long"))
