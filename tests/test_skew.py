@@ -62,6 +62,18 @@ def test_salt_expression(spark):
     assert [r["s"] for r in df.select(salt(F.lit(False), 8).alias("s")).collect()] == [0, 0, 0]
 
 
+def test_profile_matches_real_repartition(spark):
+    from opsfold.operators.skew import _with_salt, partition_of
+
+    df = _with_salt(_skewed(spark), 8)
+    for cols in (["endpoint"], ["endpoint", "salt"]):
+        real = sorted(tuple(r) for r in df.repartition(8, *cols)
+                      .groupBy(F.spark_partition_id().alias("p")).count().collect())
+        calc = sorted(tuple(r) for r in df.groupBy(partition_of(cols, 8).alias("p"))
+                      .count().collect())
+        assert real == calc
+
+
 def test_partition_profile_and_study(spark):
     df = _skewed(spark)
     prof = {r["phase"]: r for r in partition_skew(df, target_partitions=8, salt_buckets=8).collect()}
