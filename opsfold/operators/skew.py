@@ -94,10 +94,32 @@ def partition_of(cols: list[str], partitions: int) -> Column:
     return F.pmod(F.hash(*[F.col(c) for c in cols]), F.lit(partitions))
 
 
-def _profile(df: DataFrame, cols: list[str], partitions: int, phase: str) -> DataFrame:
-    """Rows per non-empty partition: max, min, avg (empty partitions not counted)."""
-    per = (df.groupBy(partition_of(cols, partitions).alias("pid"))
-           .agg(F.count(F.lit(1)).alias("rows")))
+def hash_layout(logs: DataFrame, partitions: int, *, salt_buckets: int | None = None) -> DataFrame:
+    """``repartition(partitions, endpoint)``, or by (endpoint, salt) with ``salt_buckets``.
+
+    This moves raw rows: all rows of an unsalted hot endpoint land in one
+    partition.  Use it for layout experiments on bounded data; the profile
+    itself does not need it (see :func:`partition_of`).
+    """
+    if salt_buckets is None:
+        return logs.repartition(partitions, "endpoint")
+    return _with_salt(logs, salt_buckets).repartition(partitions, "endpoint", "salt")
+
+
+def _profile(df: DataFrame, cols: list[str], partitions: int, phase: str,
+             materialize: bool = False) -> DataFrame:
+    """Rows per non-empty partition: max, min, avg (empty partitions not counted).
+
+    By default the partition id is computed from the partitioning expression;
+    with ``materialize`` the rows are really repartitioned and counted by
+    ``spark_partition_id()`` (same numbers, but the hot partition is one task).
+    """
+    if materialize:
+        pid = F.spark_partition_id()
+        df = df.repartition(partitions, *cols)
+    else:
+        pid = partition_of(cols, partitions)
+    per = df.groupBy(pid.alias("pid")).agg(F.count(F.lit(1)).alias("rows"))
     return per.agg(
         F.max("rows").alias("max_partition_rows"),
         F.min("rows").alias("min_partition_rows"),
@@ -107,11 +129,12 @@ def _profile(df: DataFrame, cols: list[str], partitions: int, phase: str) -> Dat
 
 
 def partition_skew(logs: DataFrame, *, target_partitions: int = DEFAULT_TARGET_PARTITIONS,
-                   salt_buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
+                   salt_buckets: int = DEFAULT_SALT_BUCKETS,
+                   materialize: bool = False) -> DataFrame:
     """Two rows, ``before`` (hash by endpoint) and ``after`` (by endpoint and salt)."""
-    before = _profile(logs, ["endpoint"], target_partitions, "before")
+    before = _profile(logs, ["endpoint"], target_partitions, "before", materialize)
     after = _profile(_with_salt(logs, salt_buckets), ["endpoint", "salt"], target_partitions,
-                     "after")
+                     "after", materialize)
     return before.unionByName(after)
 
 
@@ -123,19 +146,27 @@ def _timed_noop(df: DataFrame) -> int:
 
 def skew_study(spark: SparkSession, logs: DataFrame, *,
                target_partitions: int = DEFAULT_TARGET_PARTITIONS,
-               salt_buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
+               salt_buckets: int = DEFAULT_SALT_BUCKETS,
+               materialize_layout: bool = False) -> DataFrame:
     """One-row study: partition profile before/after salting, hot key, timings.
 
     Runs jobs: the hot-key row and the two profile rows come to the driver
     (three rows in all), and each arm is timed as a full ``noop`` write of
     the same result (count and mean; p95 is left out of both arms so they do
-    equal work).
+    equal work).  With ``materialize_layout`` both arms first repartition the
+    raw rows (by endpoint, resp. endpoint and salt) as a layout experiment;
+    by default they run the plain plans, which aggregate map-side first.
     """
     hot = hot_endpoint(logs).first()
     prof = {r["phase"]: r for r in partition_skew(
-        logs, target_partitions=target_partitions, salt_buckets=salt_buckets).collect()}
-    unsalted = endpoint_stats(logs, with_p95=False)
-    salted = salted_aggregate(_with_salt(logs, salt_buckets))
+        logs, target_partitions=target_partitions, salt_buckets=salt_buckets,
+        materialize=materialize_layout).collect()}
+    if materialize_layout:
+        unsalted = endpoint_stats(hash_layout(logs, target_partitions), with_p95=False)
+        salted = salted_aggregate(hash_layout(logs, target_partitions, salt_buckets=salt_buckets))
+    else:
+        unsalted = endpoint_stats(logs, with_p95=False)
+        salted = salted_aggregate(_with_salt(logs, salt_buckets))
     before_ms = _timed_noop(unsalted)
     after_ms = _timed_noop(salted)
     empty = {"max_partition_rows": None, "min_partition_rows": None, "avg_partition_rows": None}

@@ -34,6 +34,9 @@ def test_pipeline_writes_eight_outputs_and_publishes(spark, tmp_dir):
     top = views["slo_validation_top20"].collect()
     assert 0 < len(top) <= 20
     assert [r["avg_p95_ms"] for r in top] == sorted((r["avg_p95_ms"] for r in top), reverse=True)
+    tables = publish(spark, tmp_dir, catalog_tables=True)
+    assert spark.table("slo_hourly").count() == out["slo_hourly"].count()
+    assert tables["vw_top_offenders"].count() == out["top_offenders"].count()
 
 
 def test_params_validation():

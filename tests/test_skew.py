@@ -85,6 +85,12 @@ def test_partition_profile_and_study(spark):
     assert study["top_endpoint"] == "/hot" and study["salt_buckets"] == 8
     assert study["before_max_partition_rows"] == prof["before"]["max_partition_rows"]
     assert study["runtime_before_ms"] >= 0 and study["runtime_after_ms"] >= 0
+    real = {r["phase"]: tuple(r) for r in partition_skew(
+        df, target_partitions=8, salt_buckets=8, materialize=True).collect()}
+    assert real == {k: tuple(v) for k, v in prof.items()}
+    laid = skew_study(spark, df, target_partitions=8, salt_buckets=8,
+                      materialize_layout=True).first()
+    assert laid["after_max_partition_rows"] == study["after_max_partition_rows"]
 
 
 def test_endpoint_p95_within_rank_error(spark):
