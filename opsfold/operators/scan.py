@@ -115,7 +115,7 @@ def _sub_chunk(df: DataFrame, sort_cols: list[str], depth: int) -> DataFrame:
 
 def keyed_scan(df: DataFrame, keys: list[str], order: list[str], value: str, *,
                flag: FlagFn | None = None, pos: str = "_pos", prev: str = "_prev",
-               nxt: str | None = None, run: str = "_run",
+               nxt: str | None = None, run: str = "_run", start: str | None = None,
                target_rows: int = DEFAULT_TARGET_ROWS,
                max_hot_keys: int = DEFAULT_MAX_HOT_KEYS,
                sample_budget: int = DEFAULT_SAMPLE_BUDGET) -> DataFrame:
@@ -123,6 +123,9 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], value: str, *,
     ``nxt`` (at the next row) and, with ``flag``, ``run`` = running sum of
     ``flag(value, prev)`` within each key, in ascending nulls-first ``order``.
 
+    ``start`` (needs ``flag``) names a column with the position of the latest
+    row at or before this one whose flag is 1 (null if none).
+
     ``flag`` receives the row's value and the previous row's value (null at
     the key's first row) and returns 0/1.  Runs one small counting job while
     planning; everything else is lazy.
@@ -151,8 +154,11 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], value: str, *,
     })
     if flag is not None:
         loc = loc.withColumn("_lflag", flag(F.col(value), F.col("_lprev")).cast("long"))
-        loc = loc.withColumn("_lrun", F.sum("_lflag").over(
-            w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+        upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        loc = loc.withColumns({
+            "_lrun": F.sum("_lflag").over(upto),
+            "_lstart": F.max(F.when(F.col("_lflag") == 1, F.col("_lpos"))).over(upto),
+        })
 
     if hot is None:
         cols = {pos: F.col("_lpos").cast("long"), prev: F.col("_lprev")}
@@ -160,8 +166,10 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], value: str, *,
             cols[nxt] = F.col("_lnext")
         if flag is not None:
             cols[run] = F.col("_lrun").cast("long")
+            if start:
+                cols[start] = F.col("_lstart").cast("long")
         return loc.withColumns(cols).drop(
-            "_tb", "_sub", "_lpos", "_lprev", "_lnext", "_llast", "_lflag", "_lrun")
+            "_tb", "_sub", "_lpos", "_lprev", "_lnext", "_llast", "_lflag", "_lrun", "_lstart")
 
     # Boundary repair, hot keys only: one summary row per (hot key, sub-chunk).
     hot_keys = hot.select(*[F.col(k).alias(f"_k_{k}") for k in keys])
@@ -173,6 +181,8 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], value: str, *,
     if flag is not None:
         aggs.append(F.sum(F.when(F.col("_lpos") > 1, F.col("_lflag")).otherwise(F.lit(0)))
                     .alias("_inner"))
+        aggs.append(F.max(F.when((F.col("_lpos") > 1) & (F.col("_lflag") == 1), F.col("_lpos")))
+                    .alias("_inner_last"))
     summ = sel.groupBy(*keys, "_sub").agg(*aggs)
     cw = Window.partitionBy(*keys).orderBy("_sub")
     before = cw.rowsBetween(Window.unboundedPreceding, -1)
@@ -186,13 +196,21 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], value: str, *,
         true_first = flag(F.col("_first"), F.col("_cprev")).cast("long")
         local_first = flag(F.col("_first"), null_value).cast("long")
         fix = fix.withColumns({"_delta": true_first - local_first,
+                               "_tfirst": true_first,
                                "_cflags": true_first + F.col("_inner")})
-        fix = fix.withColumn("_orun", F.coalesce(F.sum("_cflags").over(before), F.lit(0)))
+        # global position of the chunk's last true start, then carried forward
+        last_start = (F.when(F.col("_inner_last").isNotNull(), F.col("_inner_last") + F.col("_opos"))
+                      .when(F.col("_tfirst") == 1, F.col("_opos") + 1))
+        fix = fix.withColumns({
+            "_orun": F.coalesce(F.sum("_cflags").over(before), F.lit(0)),
+            "_cstart": F.max(last_start).over(before),
+        })
     else:
-        fix = fix.withColumns({"_delta": F.lit(0), "_orun": F.lit(0)})
+        fix = fix.withColumns({"_delta": F.lit(0), "_orun": F.lit(0), "_tfirst": F.lit(None),
+                               "_cstart": F.lit(None)})
     fix = fix.select(*[F.col(k).alias(f"_f_{k}") for k in keys],
                      F.col("_sub").alias("_f_sub"), "_cprev", "_cnext", "_opos", "_orun",
-                     "_delta")
+                     "_delta", "_tfirst", "_cstart")
 
     cond = _on(loc, fix, [(k, f"_f_{k}") for k in keys]) & (loc["_sub"] == fix["_f_sub"])
     out = loc.join(F.broadcast(fix), cond, "left")
@@ -207,7 +225,13 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], value: str, *,
     if flag is not None:
         cols[run] = (F.col("_lrun") + F.coalesce(F.col("_orun"), F.lit(0))
                      + F.coalesce(F.col("_delta"), F.lit(0))).cast("long")
+        if start:
+            carried = F.col("_lstart").isNull() | ((F.col("_lstart") == 1) & (F.col("_tfirst") == 0))
+            cols[start] = F.when(matched, F.when(carried, F.col("_cstart"))
+                                 .otherwise(F.col("_lstart") + F.col("_opos"))
+                                 ).otherwise(F.col("_lstart")).cast("long")
     out = out.withColumns(cols)
     return out.drop("_tb", "_sub", "_lpos", "_lprev", "_lnext", "_llast", "_lflag", "_lrun",
-                    "_cprev", "_cnext", "_opos", "_orun", "_delta",
+                    "_lstart", "_cprev", "_cnext", "_opos", "_orun", "_delta", "_tfirst",
+                    "_cstart",
                     *[f"_f_{k}" for k in keys], "_f_sub")

@@ -70,24 +70,29 @@ def _new_session(timeout_minutes: int):
 
 
 def session_events(logs: DataFrame, *, timeout_minutes: int = DEFAULT_SESSION_TIMEOUT_MINUTES,
-                   target_rows: int = DEFAULT_TARGET_ROWS) -> DataFrame:
+                   target_rows: int = DEFAULT_TARGET_ROWS,
+                   with_start: bool = False) -> DataFrame:
     """Each event with a user id, tagged with its session.
 
     ``event_pos`` is the event's 1-based place in the user's timeline; a null
     timestamp sorts first and is a session of its own; equal timestamps never
-    split; exactly ``timeout_minutes`` apart continues the session.
+    split; exactly ``timeout_minutes`` apart continues the session.  With
+    ``with_start`` a ``session_start_pos`` column gives the ``event_pos`` of
+    the session's first event.
     """
     flag = _new_session(timeout_minutes)
     users = logs.where(F.col("user_id").isNotNull()).select("user_id", *SESSION_FLOW_FIELDS)
     scanned = keyed_scan(users, ["user_id"], SESSION_FLOW_FIELDS, "timestamp",
                          flag=flag, target_rows=target_rows, pos="event_pos", prev="prev_ts",
-                         run="session_index")
+                         run="session_index", start="session_start_pos" if with_start else None)
+    extra = ["session_start_pos"] if with_start else []
     return scanned.select(
         "user_id", *SESSION_FLOW_FIELDS, "event_pos", "prev_ts",
         minutes_between("timestamp", "prev_ts").alias("gap_minutes"),
         flag(F.col("timestamp"), F.col("prev_ts")).alias("is_new_session"),
         "session_index",
         session_id("user_id", "session_index").alias("session_id"),
+        *extra,
     )
 
 
@@ -120,14 +125,12 @@ def user_session_steps(logs: DataFrame, *,
     """A session's request flow flattened, with its 1-based ``step``.
 
     The step is the event's place in the user's timeline minus that of the
-    session's first event; the per-session start table comes from a partial
-    aggregate and joins back on (user, session index).
+    session's first event, both from the same scan (no join back).
     """
-    events = session_events(logs, timeout_minutes=timeout_minutes, target_rows=target_rows)
-    starts = events.groupBy("user_id", "session_index").agg(F.min("event_pos").alias("_p0"))
-    steps = events.join(starts, ["user_id", "session_index"])
-    return steps.select(
+    events = session_events(logs, timeout_minutes=timeout_minutes, target_rows=target_rows,
+                            with_start=True)
+    return events.select(
         "session_id", "user_id",
-        (F.col("event_pos") - F.col("_p0") + 1).alias("step"),
+        (F.col("event_pos") - F.col("session_start_pos") + 1).alias("step"),
         *SESSION_FLOW_FIELDS,
     )

@@ -74,6 +74,20 @@ def test_hot_user_split_equals_unsplit(spark):
     assert a == b
 
 
+def test_hot_user_steps_equal_unsplit(spark):
+    rows = [log(t(0, i * 7 % 50 + (i // 9) * 45), user="hot", latency=float(i)) for i in range(300)]
+    rows += [log(t(0, i), user=f"c{i % 4}") for i in range(40)]
+    df = logs_df(spark, rows)
+
+    def canon(x):
+        return sorted(tuple(str(v) for v in r) for r in x.collect())
+
+    for target in (5, 11, 37):
+        assert canon(user_session_steps(df, target_rows=target)) == canon(user_session_steps(df))
+    starts = session_events(df, with_start=True)
+    assert starts.where("session_start_pos > event_pos").count() == 0
+
+
 def test_steps_and_nested_flow(spark):
     df = logs_df(spark, [log(t(0, 2), trace="x", endpoint="/b"),
                          log(t(0, 1), trace="x", endpoint="/a"),
