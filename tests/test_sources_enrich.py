@@ -113,3 +113,16 @@ def test_trim_never_overwrites_input(spark, tmp_dir):
     assert (small.status, small.target) == ("skipped", None)
     with pytest.raises(ValueError):
         trim_dataset(spark, src, src, limit=4)
+
+
+def test_parquet_nanos_read_as_bigint_then_normalised(spark, tmp_dir):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    path = os.path.join(tmp_dir, "nanos.parquet")
+    ns = [EPOCH_2024 * 10**9 + 5 * 10**9 + 123, None]
+    table = pa.table({"id": [1, 2], "ts": pa.array(ns, type=pa.timestamp("ns"))})
+    pq.write_table(table, path, version="2.6", coerce_timestamps=None)
+    raw = spark.read.parquet(path)
+    assert raw.schema["ts"].dataType.typeName() == "long"
+    assert _one(normalize_time(raw, "ts")) == [t(0, 0, 5), None]
