@@ -42,6 +42,9 @@ from opsfold.sources.sinks import preview, trim_frame
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 DIGITS = 6
+# Sub-chunk size for the skewed-fixture queries: small enough that the hot
+# user/trace (a third of all rows) is split even at sf0.01.
+HOT_TARGET_ROWS = 1000
 
 
 def _finish(df: DataFrame) -> DataFrame:
@@ -61,6 +64,11 @@ def _enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich_logs(inputs.logs, inputs.hosts)
 
 
+def _enriched_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    inputs = fixture_inputs(spark, sf_dir, skewed=True)
+    return enrich_logs(inputs.logs, inputs.hosts)
+
+
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
     return spark.read.parquet(f"{sf_dir}/events.parquet")
@@ -96,6 +104,24 @@ def q_user_session_steps(spark, sf_dir):
     return _finish(user_session_steps(_enriched(spark, sf_dir)))
 
 
+def q_session_events_hot_user(spark, sf_dir):
+    return _finish(session_events(_enriched_skewed(spark, sf_dir), target_rows=HOT_TARGET_ROWS))
+
+
+def q_user_sessions_hot_user(spark, sf_dir):
+    return _finish(user_sessions(_enriched_skewed(spark, sf_dir), target_rows=HOT_TARGET_ROWS))
+
+
+def q_user_session_steps_hot_user(spark, sf_dir):
+    return _finish(user_session_steps(_enriched_skewed(spark, sf_dir),
+                                      target_rows=HOT_TARGET_ROWS))
+
+
+def q_trace_flow_steps_hot_trace(spark, sf_dir):
+    return _finish(trace_flow_steps(_enriched_skewed(spark, sf_dir),
+                                    target_rows=HOT_TARGET_ROWS))
+
+
 def q_slo_hourly(spark, sf_dir):
     return _finish(slo_hourly(_enriched(spark, sf_dir)))
 
@@ -220,6 +246,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "user_sessions": q_user_sessions,
         "user_sessions_8h": q_user_sessions_8h,
         "user_session_steps": q_user_session_steps,
+        "session_events_hot_user": q_session_events_hot_user,
+        "user_sessions_hot_user": q_user_sessions_hot_user,
+        "user_session_steps_hot_user": q_user_session_steps_hot_user,
+        "trace_flow_steps_hot_trace": q_trace_flow_steps_hot_trace,
         "slo_hourly": q_slo_hourly,
         "slo_daily": q_slo_daily,
         "deployment_intervals": q_deployment_intervals,
@@ -303,8 +333,8 @@ events_s as (
   from ev)"""
 
 
-def _sessions_sql(timeout: int) -> str:
-    return oracle_prefix() + _session_ctes(timeout) + f"""
+def _sessions_sql(timeout: int, skewed: bool = False) -> str:
+    return oracle_prefix(skewed=skewed) + _session_ctes(timeout) + f"""
 select session_id, user_id, min("timestamp") as session_start, max("timestamp") as session_end,
        count(*) as event_count, {_r('avg(latency_ms)', 'avg_latency_ms')},
        {_r('quantile_disc(latency_ms, 0.95)', 'p95_latency_ms')},
@@ -390,8 +420,32 @@ _IMPACT_SELECT = ("time_bucket, service, endpoint, region, request_count, "
 _EPOCH = "timestamp '1970-01-01 00:00:00'"
 
 
+def _session_events_sql(p: str) -> str:
+    return p + _session_ctes(30) + f"""
+select user_id, "timestamp", service, endpoint, status_code, {_r('latency_ms', 'latency_ms')},
+       trace_id, event_pos, prev_ts, {_r('gap_minutes', 'gap_minutes')}, is_new_session,
+       session_index, session_id
+from events_s"""
+
+
+def _session_steps_sql(p: str) -> str:
+    return p + _session_ctes(30) + f"""
+select session_id, user_id,
+       event_pos - min(event_pos) over (partition by user_id, session_index) + 1 as step,
+       "timestamp", service, endpoint, status_code, {_r('latency_ms', 'latency_ms')}, trace_id
+from events_s"""
+
+
+def _trace_steps_sql(p: str) -> str:
+    return p + f"""
+select trace_id, row_number() over (partition by trace_id order by {_TRACE_ORDER}) as step,
+       "timestamp", service, endpoint, status_code, {_r('latency_ms', 'latency_ms')}, host, region
+from enriched where trace_id is not null"""
+
+
 def oracle_sql() -> dict[str, str]:
     p = oracle_prefix()
+    ps = oracle_prefix(skewed=True)
     logs_cols = ('"timestamp", service, endpoint, host, status_code, '
                  f"{_r('latency_ms', 'latency_ms')}, user_id, trace_id")
     sql = {
@@ -402,22 +456,15 @@ select host, "timestamp", service, endpoint, status_code, {_r('latency_ms', 'lat
 select trace_id, min("timestamp") as trace_start, max("timestamp") as trace_end,
        count(*) as event_count
 from enriched where trace_id is not null group by trace_id""",
-        "trace_flow_steps": p + f"""
-select trace_id, row_number() over (partition by trace_id order by {_TRACE_ORDER}) as step,
-       "timestamp", service, endpoint, status_code, {_r('latency_ms', 'latency_ms')}, host, region
-from enriched where trace_id is not null""",
-        "session_events": p + _session_ctes(30) + f"""
-select user_id, "timestamp", service, endpoint, status_code, {_r('latency_ms', 'latency_ms')},
-       trace_id, event_pos, prev_ts, {_r('gap_minutes', 'gap_minutes')}, is_new_session,
-       session_index, session_id
-from events_s""",
+        "trace_flow_steps": _trace_steps_sql(p),
+        "session_events": _session_events_sql(p),
         "user_sessions": _sessions_sql(30),
         "user_sessions_8h": _sessions_sql(480),
-        "user_session_steps": p + _session_ctes(30) + f"""
-select session_id, user_id,
-       event_pos - min(event_pos) over (partition by user_id, session_index) + 1 as step,
-       "timestamp", service, endpoint, status_code, {_r('latency_ms', 'latency_ms')}, trace_id
-from events_s""",
+        "user_session_steps": _session_steps_sql(p),
+        "session_events_hot_user": _session_events_sql(ps),
+        "user_sessions_hot_user": _sessions_sql(30, skewed=True),
+        "user_session_steps_hot_user": _session_steps_sql(ps),
+        "trace_flow_steps_hot_trace": _trace_steps_sql(ps),
         "slo_hourly": p + _HOURLY + f"\nselect {_SLO_SELECT} from hourly",
         "slo_daily": p + _DAILY + f"\nselect {_SLO_SELECT} from daily",
         "deployment_intervals": p + """

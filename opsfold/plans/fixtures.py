@@ -30,6 +30,23 @@ select ts as timestamp,
 from {events}
 """
 
+# Skewed variant: every third event belongs to one user and one trace, so a
+# single key holds a third of all rows (exercises hot-key splitting).
+SKEWED_LOGS_SQL = """
+select ts as timestamp,
+       'svc-' || cast(user_id % 4 as varchar(9)) as service,
+       '/' || event_type as endpoint,
+       'h' || cast(user_id % 12 as varchar(9)) as host,
+       case when event_type = 'error' and event_id % 3 = 0 then 503
+            when event_id % 10 = 0 then 404 else 200 end as status_code,
+       value as latency_ms,
+       case when event_id % 3 = 0 then 'u-hot'
+            else 'u' || cast(user_id as varchar(20)) end as user_id,
+       case when event_id % 3 = 0 then 't-hot'
+            else 't' || cast((event_id - event_id % 4) as varchar(20)) end as trace_id
+from {events}
+"""
+
 HOSTS_SQL = """
 select 'h' || cast(s_suppkey as varchar(9)) as host, r_name as region,
        'type-' || cast(s_suppkey % 3 as varchar(9)) as instance_type
@@ -47,9 +64,10 @@ from {events} where event_id % 400 = 7
 _PLAIN = {t: t for t in SOURCE_TABLES}
 
 
-def fixture_sql(names: dict[str, str] | None = None) -> dict[str, str]:
+def fixture_sql(names: dict[str, str] | None = None, *, skewed: bool = False) -> dict[str, str]:
     names = names or _PLAIN
-    return {"logs": LOGS_SQL.format(**names), "hosts": HOSTS_SQL.format(**names),
+    logs = SKEWED_LOGS_SQL if skewed else LOGS_SQL
+    return {"logs": logs.format(**names), "hosts": HOSTS_SQL.format(**names),
             "deployments": DEPLOYMENTS_SQL.format(**names)}
 
 
@@ -64,16 +82,16 @@ def register_sources(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     return names
 
 
-def raw_inputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def raw_inputs(spark: SparkSession, sf_dir: str, *, skewed: bool = False) -> dict[str, DataFrame]:
     """The three inputs as derived (uncoerced) DataFrames."""
-    sql = fixture_sql(register_sources(spark, sf_dir))
+    sql = fixture_sql(register_sources(spark, sf_dir), skewed=skewed)
     return {name: spark.sql(text) for name, text in sql.items()}
 
 
-def fixture_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
+def fixture_inputs(spark: SparkSession, sf_dir: str, *, skewed: bool = False) -> Inputs:
     """Derived inputs after the loader's coercion (time normalised, types forced)."""
     configure(spark)
-    raw = raw_inputs(spark, sf_dir)
+    raw = raw_inputs(spark, sf_dir, skewed=skewed)
     return coerce_inputs(raw["logs"], raw["deployments"], raw["hosts"])
 
 
@@ -95,8 +113,8 @@ enriched as (
 )"""
 
 
-def oracle_prefix() -> str:
+def oracle_prefix(*, skewed: bool = False) -> str:
     """``WITH logs AS (...), host_meta AS (...), deployments AS (...), enriched AS (...)``."""
-    sql = fixture_sql()
+    sql = fixture_sql(skewed=skewed)
     return ("with logs as (" + sql["logs"] + "),\nhost_meta as (" + sql["hosts"]
             + "),\ndeployments as (" + sql["deployments"] + "),\n" + ORACLE_ENRICHED_SQL)
