@@ -50,24 +50,24 @@ def _on(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]) -> Colu
 
 def _hot_keys(base: DataFrame, keys: list[str], target_rows: int,
               max_hot_keys: int) -> tuple[DataFrame | None, int, int]:
-    """Cached (keys, _cnt, _chunks) of hot keys, the threshold used, max chunks."""
+    """Cached (keys, _cnt, _chunks) of hot keys, max and total sub-chunks."""
     counts = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("_cnt"))
     top = (counts.where(F.col("_cnt") > target_rows)
            .orderBy(F.col("_cnt").desc()).limit(max_hot_keys + 1)
            .select("_cnt").collect())
     if not top:
-        return None, target_rows, 0
+        return None, 0, 0
     threshold = target_rows
     if len(top) > max_hot_keys:
         threshold = max(threshold, top[-1]["_cnt"])
     hot_counts = [r["_cnt"] for r in top if r["_cnt"] > threshold]
     if not hot_counts:
-        return None, threshold, 0
-    max_chunks = max(math.ceil(c / threshold) for c in hot_counts)
+        return None, 0, 0
+    chunks = [math.ceil(c / threshold) for c in hot_counts]
     hot = (counts.where(F.col("_cnt") > threshold)
            .withColumn("_chunks", F.ceil(F.col("_cnt") / F.lit(threshold)).cast("long"))
            .persist(StorageLevel.MEMORY_AND_DISK))
-    return hot, threshold, max_chunks
+    return hot, max(chunks), sum(chunks)
 
 
 def _split_points(base: DataFrame, hot: DataFrame, keys: list[str], sort_cols: list[str],
@@ -132,11 +132,10 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], value: str, *,
     """
     base = df.withColumn("_tb", F.xxhash64(*[F.col(c) for c in df.columns]))
     sort_cols = [*order, "_tb"]
-    hot, _, max_chunks = _hot_keys(base, keys, target_rows, max_hot_keys)
+    hot, max_chunks, total_chunks = _hot_keys(base, keys, target_rows, max_hot_keys)
     if hot is None:
         chunked = base.withColumn("_sub", F.lit(0).cast("long"))
     else:
-        total_chunks = hot.agg(F.sum("_chunks")).first()[0]
         splits = _split_points(base, hot, keys, sort_cols, total_chunks, sample_budget)
         right = splits.select(*[F.col(k).alias(f"_s_{k}") for k in keys], "_splits")
         joined = (base.join(F.broadcast(right), _on(base, right, [(k, f"_s_{k}") for k in keys]),

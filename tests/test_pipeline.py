@@ -80,6 +80,14 @@ def test_plans_have_no_python_udf_and_expected_joins(spark):
     assert "CartesianProduct" not in _plan(impact)
 
 
+def test_sessions_shuffle_rows_once(spark):
+    df = entry.queries()["session_events"](spark, SF001)
+    df.write.format("noop").mode("overwrite").save()
+    plan = _plan(df)
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert "Window [" in plan
+
+
 def test_scan_prunes_columns(spark):
     df = entry.queries()["slo_hourly"](spark, SF001)
     text = df._jdf.queryExecution().executedPlan().toString()
