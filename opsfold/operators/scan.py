@@ -110,7 +110,8 @@ def _sub_chunk(df: DataFrame, sort_cols: list[str], depth: int) -> DataFrame:
                         F.when(active & ~go, mid).otherwise(hi).alias("hi"))
 
     found = F.aggregate(F.sequence(F.lit(1), F.lit(depth)), init, step)
-    return df.withColumn("_sub", found["lo"].cast("long")).drop("_splits")
+    return df.withColumns({"_sub": found["lo"].cast("long"),
+                           "_hot": splits.isNotNull()}).drop("_splits")
 
 
 def keyed_scan(df: DataFrame, keys: list[str], order: list[str], value: str, *,
@@ -145,19 +146,25 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], value: str, *,
         chunked = _sub_chunk(joined, sort_cols, depth)
 
     w = Window.partitionBy(*keys, "_sub").orderBy(*[F.col(c).asc_nulls_first() for c in sort_cols])
-    loc = chunked.withColumns({
-        "_lpos": F.row_number().over(w),
-        "_lprev": F.lag(value).over(w),
-        "_lnext": F.lead(value).over(w),
-        "_llast": F.lead(F.lit(1)).over(w).isNull(),
-    })
-    if flag is not None:
-        loc = loc.withColumn("_lflag", flag(F.col(value), F.col("_lprev")).cast("long"))
-        upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        loc = loc.withColumns({
-            "_lrun": F.sum("_lflag").over(upto),
-            "_lstart": F.max(F.when(F.col("_lflag") == 1, F.col("_lpos"))).over(upto),
+
+    def local(frame: DataFrame) -> DataFrame:
+        """Window functions within each (key, sub-chunk)."""
+        out = frame.withColumns({
+            "_lpos": F.row_number().over(w),
+            "_lprev": F.lag(value).over(w),
+            "_lnext": F.lead(value).over(w),
+            "_llast": F.lead(F.lit(1)).over(w).isNull(),
         })
+        if flag is not None:
+            out = out.withColumn("_lflag", flag(F.col(value), F.col("_lprev")).cast("long"))
+            upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+            out = out.withColumns({
+                "_lrun": F.sum("_lflag").over(upto),
+                "_lstart": F.max(F.when(F.col("_lflag") == 1, F.col("_lpos"))).over(upto),
+            })
+        return out
+
+    loc = local(chunked)
 
     if hot is None:
         cols = {pos: F.col("_lpos").cast("long"), prev: F.col("_lprev")}
@@ -171,9 +178,9 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], value: str, *,
             "_tb", "_sub", "_lpos", "_lprev", "_lnext", "_llast", "_lflag", "_lrun", "_lstart")
 
     # Boundary repair, hot keys only: one summary row per (hot key, sub-chunk).
-    hot_keys = hot.select(*[F.col(k).alias(f"_k_{k}") for k in keys])
-    sel = loc.join(F.broadcast(hot_keys), _on(loc, hot_keys, [(k, f"_k_{k}") for k in keys]),
-                   "left_semi")
+    # The hot rows are filtered before their own window, so this branch shuffles
+    # only them, not the whole input a second time.
+    sel = local(chunked.where(F.col("_hot")))
     aggs = [F.count(F.lit(1)).alias("_n"),
             F.max_by(F.col(value), F.col("_lpos")).alias("_last"),
             F.min_by(F.col(value), F.col("_lpos")).alias("_first")]
@@ -230,7 +237,7 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], value: str, *,
                                  .otherwise(F.col("_lstart") + F.col("_opos"))
                                  ).otherwise(F.col("_lstart")).cast("long")
     out = out.withColumns(cols)
-    return out.drop("_tb", "_sub", "_lpos", "_lprev", "_lnext", "_llast", "_lflag", "_lrun",
+    return out.drop("_tb", "_sub", "_hot", "_lpos", "_lprev", "_lnext", "_llast", "_lflag", "_lrun",
                     "_lstart", "_cprev", "_cnext", "_opos", "_orun", "_delta", "_tfirst",
                     "_cstart",
                     *[f"_f_{k}" for k in keys], "_f_sub")
