@@ -1,5 +1,10 @@
 """Derive the three inputs (logs, host metadata, deployments) from the test tables.
 
+Each input is derived from whole tables, so it grows with the scale factor:
+one host per user (``h<user_id>``) and one host row per supplier, so users
+without a supplier of the same number get region ``unknown``; every signup
+event is a deployment.
+
 The SELECT texts run unchanged in Spark SQL and in DuckDB; ``{events}`` etc.
 are table names filled in per engine.  Spark reads the parquet files and
 registers them under private view names; the oracle uses the plain names.
@@ -21,7 +26,7 @@ LOGS_SQL = """
 select ts as timestamp,
        'svc-' || cast(user_id % 4 as varchar(9)) as service,
        '/' || event_type as endpoint,
-       'h' || cast(user_id % 12 as varchar(9)) as host,
+       'h' || cast(user_id as varchar(20)) as host,
        case when event_type = 'error' and event_id % 3 = 0 then 503
             when event_id % 10 = 0 then 404 else 200 end as status_code,
        value as latency_ms,
@@ -36,7 +41,7 @@ SKEWED_LOGS_SQL = """
 select ts as timestamp,
        'svc-' || cast(user_id % 4 as varchar(9)) as service,
        '/' || event_type as endpoint,
-       'h' || cast(user_id % 12 as varchar(9)) as host,
+       'h' || cast(user_id as varchar(20)) as host,
        case when event_type = 'error' and event_id % 3 = 0 then 503
             when event_id % 10 = 0 then 404 else 200 end as status_code,
        value as latency_ms,
@@ -48,17 +53,17 @@ from {events}
 """
 
 HOSTS_SQL = """
-select 'h' || cast(s_suppkey as varchar(9)) as host, r_name as region,
+select 'h' || cast(s_suppkey as varchar(20)) as host, r_name as region,
        'type-' || cast(s_suppkey % 3 as varchar(9)) as instance_type
 from {supplier} join {nation} on s_nationkey = n_nationkey
               join {region} on n_regionkey = r_regionkey
-where s_suppkey < 10
 """
 
+# Every signup event stands for a release of the user's service.
 DEPLOYMENTS_SQL = """
 select 'svc-' || cast(user_id % 4 as varchar(9)) as service,
        'v' || cast(event_id as varchar(20)) as version, ts as deploy_time
-from {events} where event_id % 400 = 7
+from {events} where event_type = 'signup'
 """
 
 _PLAIN = {t: t for t in SOURCE_TABLES}
