@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -73,6 +74,36 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
     return fallback
 
 
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The shared folder for reliable checkpoints.
+
+    Uses the context's checkpoint folder or ``spark.checkpoint.dir``.  Only a
+    local master with neither set gets a fresh temporary folder (tests,
+    benches); on a cluster that would be machine-local, so it is an error.
+    """
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured:
+        sc.setCheckpointDir(configured)
+        return configured
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+    return ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix="opsfold-ckpt-"))
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once and cut its lineage with a reliable checkpoint.
+
+    For small planning tables that later stages must see identically, even
+    when executors are lost and tasks are retried.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 

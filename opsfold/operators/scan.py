@@ -17,8 +17,9 @@ the plain window for ordinary keys and splits only hot keys:
 4. sub-chunk boundaries of hot keys are repaired from a per-(hot key,
    sub-chunk) summary, at most ``sum(ceil(c / target_rows))`` rows, broadcast.
 
-Chunk ids are a deterministic function of each row and of a cached split
-table, so every branch of the plan (and every task retry) sees the same ones.
+Chunk ids are a deterministic function of each row and of a checkpointed
+split table, so every branch of the plan (and every task retry, even after an
+executor is lost) sees the same ones.
 Results equal ``row_number``, ``lag``, ``lead`` and a running ``sum`` of a flag
 over ``Window.partitionBy(key).orderBy(order...)`` with ascending, nulls-first
 order and ties broken by a hash of the whole row (identical rows are
@@ -31,10 +32,11 @@ import math
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from opsfold.config import materialize
+
 FlagFn = Callable[[Column, Column], Column]
 
 DEFAULT_TARGET_ROWS = 2_000_000
@@ -50,10 +52,15 @@ def _on(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]) -> Colu
 
 def _hot_keys(base: DataFrame, keys: list[str], target_rows: int,
               max_hot_keys: int) -> tuple[DataFrame | None, int, int]:
-    """Cached (keys, _cnt, _chunks) of hot keys, max and total sub-chunks."""
+    """Checkpointed (keys, _cnt, _chunks) of hot keys, max and total sub-chunks.
+
+    Keys over ``target_rows`` are counted once into a checkpoint (at most
+    total rows / ``target_rows`` of them); the bounded top counts are read
+    from it, so the input is aggregated a single time.
+    """
     counts = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("_cnt"))
-    top = (counts.where(F.col("_cnt") > target_rows)
-           .orderBy(F.col("_cnt").desc()).limit(max_hot_keys + 1)
+    over = materialize(counts.where(F.col("_cnt") > target_rows))
+    top = (over.orderBy(F.col("_cnt").desc()).limit(max_hot_keys + 1)
            .select("_cnt").collect())
     if not top:
         return None, 0, 0
@@ -64,15 +71,14 @@ def _hot_keys(base: DataFrame, keys: list[str], target_rows: int,
     if not hot_counts:
         return None, 0, 0
     chunks = [math.ceil(c / threshold) for c in hot_counts]
-    hot = (counts.where(F.col("_cnt") > threshold)
-           .withColumn("_chunks", F.ceil(F.col("_cnt") / F.lit(threshold)).cast("long"))
-           .persist(StorageLevel.MEMORY_AND_DISK))
+    hot = (over.where(F.col("_cnt") > threshold)
+           .withColumn("_chunks", F.ceil(F.col("_cnt") / F.lit(threshold)).cast("long")))
     return hot, max(chunks), sum(chunks)
 
 
 def _split_points(base: DataFrame, hot: DataFrame, keys: list[str], sort_cols: list[str],
                   total_chunks: int, sample_budget: int) -> DataFrame:
-    """Cached (keys, _splits): sorted sub-chunk start points of each hot key."""
+    """Checkpointed (keys, _splits): sorted sub-chunk start points of each hot key."""
     per_chunk = max(1, min(MAX_SAMPLES_PER_CHUNK, sample_budget // max(total_chunks, 1)))
     rate = F.least(F.lit(1.0), F.col("_chunks") * F.lit(per_chunk) / F.col("_cnt"))
     info = hot.select(*[F.col(k).alias(f"_h_{k}") for k in keys], "_chunks",
@@ -88,8 +94,8 @@ def _split_points(base: DataFrame, hot: DataFrame, keys: list[str], sort_cols: l
         "_prev_idx", F.lag("_idx").over(w))
     starts = marked.where(F.col("_prev_idx").isNotNull() & (F.col("_idx") != F.col("_prev_idx")))
     point = F.struct(*[F.col(c) for c in sort_cols])
-    return (starts.groupBy(*keys).agg(F.sort_array(F.collect_list(point)).alias("_splits"))
-            .persist(StorageLevel.MEMORY_AND_DISK))
+    return materialize(
+        starts.groupBy(*keys).agg(F.sort_array(F.collect_list(point)).alias("_splits")))
 
 
 def _sub_chunk(df: DataFrame, sort_cols: list[str], depth: int) -> DataFrame:

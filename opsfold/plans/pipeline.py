@@ -53,19 +53,45 @@ def build_products(spark: SparkSession, inputs: Inputs, params: Params = Params(
 def run_pipeline(spark: SparkSession, inputs: Inputs, params: Params = Params(), *,
                  output_root: str | None = None,
                  include_flows: bool = False) -> dict[str, DataFrame]:
-    """Run every product.  With ``output_root`` each one is written once as parquet
-    and the returned DataFrames read the written files (so previews do not
-    recompute the plans); cached inputs are released at the end."""
-    products, cached = build_products(spark, inputs, params, include_flows=include_flows)
+    """Run every product.
+
+    Without ``output_root`` the lazy products are returned.  With it, each
+    product is written once as parquet and the returned DataFrames read the
+    written files, so previews do not recompute the plans.  Products that
+    feed others are read back from their written output: attribution and
+    anomaly scoring read the written hourly roll-up, top offenders the written
+    anomalies.  That cuts the lineage at a table in shared storage (a lost
+    executor never re-runs the roll-up) and gives every product the same
+    percentiles.  The cached enriched table is released at the end.
+    """
     if output_root is None:
-        return products
-    written = {}
+        return build_products(spark, inputs, params, include_flows=include_flows)[0]
+    configure(spark)
+    enriched = enrich_logs(inputs.logs, inputs.hosts).select(*ENRICHED_COLUMNS)
+    enriched = enriched.persist(StorageLevel.MEMORY_AND_DISK)
+    written: dict[str, DataFrame] = {}
+
+    def put(name: str, df: DataFrame) -> DataFrame:
+        path = os.path.join(output_root, OUTPUT_PATHS[name])
+        write_parquet(df, path)
+        written[name] = spark.read.parquet(path)
+        return written[name]
+
     try:
-        for name, df in products.items():
-            path = os.path.join(output_root, OUTPUT_PATHS[name])
-            write_parquet(df, path)
-            written[name] = spark.read.parquet(path)
+        put("session_trace", trace_flows(enriched, include_flow=include_flows))
+        put("user_sessions", user_sessions(enriched,
+                                           timeout_minutes=params.session_timeout_minutes,
+                                           include_flow=include_flows))
+        hourly = put("slo_hourly", hourly_rollup(enriched))
+        put("slo_daily", slo_daily(enriched))
+        put("change_impact_attribution", change_impact(
+            enriched, inputs.deployments, window_hours=params.attribution_window_hours,
+            rollup=hourly))
+        flagged = put("anomalies", anomalies(enriched, baseline_hours=params.baseline_hours,
+                                             rollup=hourly))
+        put("top_offenders", top_offenders(flagged))
+        put("skew_study", skew_study(spark, enriched, target_partitions=params.target_partitions,
+                                     salt_buckets=params.salt_buckets))
     finally:
-        for df in cached:
-            df.unpersist()
+        enriched.unpersist()
     return written

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from opsfold.config import Params
@@ -28,6 +29,13 @@ def test_pipeline_writes_eight_outputs_and_publishes(spark, tmp_dir):
     assert out["slo_daily"].groupBy().sum("request_count").first()[0] == n_logs
     assert out["change_impact_attribution"].count() == out["slo_hourly"].count()
     assert out["user_sessions"].groupBy().sum("event_count").first()[0] == n_logs
+    # attribution reads the written roll-up: same p95 for every bucket
+    keys = ["service", "endpoint", "region", "time_bucket"]
+    both = out["change_impact_attribution"].alias("c").join(out["slo_hourly"].alias("h"), keys)
+    assert both.count() == out["slo_hourly"].count()
+    assert both.where(~F.col("c.p95_latency_ms").eqNullSafe(F.col("h.p95_latency_ms"))).count() == 0
+    flagged = out["anomalies"].groupBy("service", "endpoint", "region").count()
+    assert flagged.count() == out["top_offenders"].count()
     views = publish(spark, tmp_dir)
     for name in VIEWS:
         assert views[name].count() == out[VIEWS[name][0]].count()
