@@ -12,8 +12,8 @@ registers them under private view names; the oracle uses the plain names.
 
 from __future__ import annotations
 
+import hashlib
 import os
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -77,12 +77,19 @@ def fixture_sql(names: dict[str, str] | None = None, *, skewed: bool = False) ->
 
 
 def register_sources(spark: SparkSession, sf_dir: str) -> dict[str, str]:
-    """Register the source parquet tables under fresh private view names."""
-    tag = uuid.uuid4().hex[:8]
+    """Register the source parquet tables as session views, once per folder.
+
+    View names are derived from the folder, so later calls in the same session
+    reuse the registered views (and their file listing and schema) instead of
+    reading every footer again.
+    """
+    tag = hashlib.sha1(os.path.abspath(sf_dir).encode()).hexdigest()[:10]
     names = {}
     for table in SOURCE_TABLES:
         view = f"_of_{table}_{tag}"
-        spark.read.parquet(os.path.join(sf_dir, f"{table}.parquet")).createOrReplaceTempView(view)
+        if not spark.catalog.tableExists(view):
+            path = os.path.join(sf_dir, f"{table}.parquet")
+            spark.read.parquet(path).createOrReplaceTempView(view)
         names[table] = view
     return names
 

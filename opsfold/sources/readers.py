@@ -72,7 +72,8 @@ def time_expr(column: str, data_type: T.DataType, time_unit: str = "ns",
       ``keep_fraction`` (the double division may round ...999999999 ns up a second)
     * int: epoch seconds
     * string: parsed; unparseable text becomes null
-    * anything else (timestamp_ntz, date, ...): parsed from its string form
+    * timestamp_ntz, date: read in the session zone (as their string form would be)
+    * anything else: parsed from its string form (a number becomes null)
     """
     c = F.col(column)
     if isinstance(data_type, T.TimestampType):
@@ -89,6 +90,10 @@ def time_expr(column: str, data_type: T.DataType, time_unit: str = "ns",
         return F.timestamp_seconds(c.cast("long"))
     if isinstance(data_type, T.StringType):
         return F.try_to_timestamp(c)
+    if isinstance(data_type, (T.TimestampNTZType, T.DateType)):
+        # Same instant as parsing the string form in the session zone, without
+        # formatting and re-parsing every row.
+        return c.cast("timestamp")
     return F.try_to_timestamp(c.cast("string"))
 
 

@@ -38,6 +38,27 @@ def test_time_forms(spark):
     assert _one(normalize_time(ntz, "ts")) == [t(3, 4, 5, 6)]
     with pytest.raises(ValueError):
         normalize_time(ns, "ts", time_unit="weeks")
+    double = spark.createDataFrame([(1, 1.7e9)], "id int, ts double")
+    assert _one(normalize_time(double, "ts")) == [None]
+
+
+def test_ntz_and_date_equal_their_string_parse_in_any_zone(spark):
+    """The direct cast gives the instant the string route would, DST gaps included."""
+    values = [(1, dt.datetime(2024, 3, 10, 2, 30)), (2, dt.datetime(2024, 11, 3, 1, 30)),
+              (3, dt.datetime(1969, 12, 31, 23, 59, 59, 999_999)), (4, None)]
+    ntz = spark.createDataFrame(values, "id int, ts timestamp_ntz")
+    dates = ntz.select("id", F.to_date("ts").alias("ts"))
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for tz in ("America/Los_Angeles", "Asia/Kolkata", "UTC"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            for df in (ntz, dates):
+                got = normalize_time(df, "ts").select("id", F.unix_micros("ts").alias("us"))
+                want = df.select("id", F.unix_micros(F.try_to_timestamp(F.col("ts").cast("string")))
+                                 .alias("us"))
+                assert _one(got, "us") == _one(want, "us"), tz
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
 
 
 def test_coercion_bad_cells_become_null_and_extras_pass(spark):
