@@ -73,7 +73,11 @@ def change_impact(logs: DataFrame, deployments: DataFrame, *,
                            "avg_latency_ms", "p95_latency_ms", "error_rate")
     owners = deployments_in_force(deployments, window_hours=window_hours)
     if broadcast is None:
-        broadcast = fits(owners, max_broadcast_rows)
+        # Each deployment owns at most N + 1 hour buckets, so a small enough
+        # deployment table proves the bound without building the hour table.
+        per_deploy = window_hours + 1
+        broadcast = (fits(_valid(deployments), max_broadcast_rows // per_deploy)
+                     or fits(owners, max_broadcast_rows))
     if broadcast:
         owners = F.broadcast(owners)
     joined = hourly.join(owners, ["service", "time_bucket"], "left")

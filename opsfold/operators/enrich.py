@@ -39,7 +39,10 @@ def enrich_logs(logs: DataFrame, hosts: DataFrame, *, broadcast: bool | None = N
     """
     meta = dedupe_hosts(hosts)
     if broadcast is None:
-        broadcast = fits(meta, max_broadcast_rows)
+        # The raw host rows bound the de-duplicated ones: probe that plain scan
+        # first and aggregate only when it is too large to prove the bound.
+        broadcast = (fits(hosts.select("host"), max_broadcast_rows)
+                     or fits(meta, max_broadcast_rows))
     if broadcast:
         meta = F.broadcast(meta)
     base = logs.drop("region", "instance_type")

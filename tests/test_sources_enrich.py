@@ -10,7 +10,14 @@ from pyspark.sql import functions as F
 
 from opsfold.operators.enrich import dedupe_hosts, enrich_logs
 from opsfold.sources.readers import coerce_logs, load_inputs, normalize_time, read_table
-from opsfold.sources.sinks import preview, trim_dataset, validate_outputs, write_parquet
+from opsfold.sources.sinks import (
+    first_rows,
+    preview,
+    trim_dataset,
+    trim_frame,
+    validate_outputs,
+    write_parquet,
+)
 from tests.helpers import log, logs_df, t
 
 EPOCH_2024 = 1704067200  # 2024-01-01 00:00:00 UTC
@@ -130,6 +137,8 @@ def test_trim_never_overwrites_input(spark, tmp_dir):
     res = trim_dataset(spark, src, os.path.join(tmp_dir, "dst"), limit=4, order_by=["id"])
     assert (res.status, res.original_rows, res.kept_rows) == ("trimmed", 10, 4)
     assert spark.read.parquet(src).count() == 10
+    plain = trim_dataset(spark, src, os.path.join(tmp_dir, "dst3"), limit=4)
+    assert (plain.status, plain.kept_rows) == ("trimmed", 4)
     small = trim_dataset(spark, src, os.path.join(tmp_dir, "dst2"), limit=40)
     assert (small.status, small.target) == ("skipped", None)
     with pytest.raises(ValueError):
@@ -147,3 +156,23 @@ def test_parquet_nanos_read_as_bigint_then_normalised(spark, tmp_dir):
     raw = spark.read.parquet(path)
     assert raw.schema["ts"].dataType.typeName() == "long"
     assert _one(normalize_time(raw, "ts")) == [t(0, 0, 5), None]
+
+
+def test_first_rows_exact_and_shuffle_free(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "many")
+    spark.range(0, 1000, 1, 7).write.parquet(path)
+    src = spark.read.parquet(path)
+    sizes = sorted(r["n"] for r in src.groupBy(F.spark_partition_id().alias("p"))
+                   .agg(F.count(F.lit(1)).alias("n")).collect())
+    assert len(sizes) > 1
+    # mid-partition, exact partition boundary, everything, more than everything
+    for limit in (1, 250, sizes[0], 999, 1000, 5000):
+        got = first_rows(src, limit)
+        rows = [r["id"] for r in got.collect()]
+        assert len(rows) == min(limit, 1000), limit
+        assert len(set(rows)) == len(rows)
+    got = first_rows(src, 250)
+    got.write.format("noop").mode("overwrite").save()
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Limit" not in plan
+    assert trim_frame(src, 3, order_by=["id"]).collect() == [(0,), (1,), (2,)]
