@@ -45,6 +45,7 @@ DIGITS = 6
 # Sub-chunk size for the skewed-fixture queries: small enough that the hot
 # user/trace (a third of all rows) is split even at sf0.01.
 HOT_TARGET_ROWS = 1000
+TRIM_1K = 1000
 
 
 def _finish(df: DataFrame) -> DataFrame:
@@ -227,6 +228,13 @@ def q_trim_dataset(spark, sf_dir):
                                               "status_code", "latency_ms"]))
 
 
+def q_trim_dataset_1k(spark, sf_dir):
+    # A cap below the table size, so the ordered cut itself is checked.
+    logs = fixture_inputs(spark, sf_dir).logs
+    return _finish(trim_frame(logs, TRIM_1K, order_by=["timestamp", "user_id", "trace_id",
+                                                     "endpoint", "status_code", "latency_ms"]))
+
+
 def q_preview(spark, sf_dir):
     hourly = slo_hourly(_enriched(spark, sf_dir))
     return _finish(preview(hourly, order_by=["service", "endpoint", "region", "time_bucket"]))
@@ -269,6 +277,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "vw_skew_benchmark": q_vw_skew_benchmark,
         "slo_validation_top20": q_slo_validation_top20,
         "trim_dataset": q_trim_dataset,
+        "trim_dataset_1k": q_trim_dataset_1k,
         "preview": q_preview,
     }
     for kind in ("timestamp", "ns", "s", "string", "ntz", "date"):
@@ -507,6 +516,11 @@ select {logs_cols} from logs
 order by "timestamp" nulls first, user_id nulls first, trace_id nulls first,
          endpoint nulls first, status_code nulls first, latency_ms nulls first
 limit 100000""",
+        "trim_dataset_1k": p + f"""
+select {logs_cols} from logs
+order by "timestamp" nulls first, user_id nulls first, trace_id nulls first,
+         endpoint nulls first, status_code nulls first, latency_ms nulls first
+limit {TRIM_1K}""",
         "preview": p + _HOURLY + f"""
 select {_SLO_SELECT} from hourly
 order by service nulls first, endpoint nulls first, region nulls first, time_bucket nulls first

@@ -120,6 +120,32 @@ def _sub_chunk(df: DataFrame, sort_cols: list[str], depth: int) -> DataFrame:
                            "_hot": splits.isNotNull()}).drop("_splits")
 
 
+def assign_chunks(df: DataFrame, keys: list[str], order: list[str], *,
+                  target_rows: int = DEFAULT_TARGET_ROWS,
+                  max_hot_keys: int = DEFAULT_MAX_HOT_KEYS,
+                  sample_budget: int = DEFAULT_SAMPLE_BUDGET) -> tuple[DataFrame, bool]:
+    """Add ``_tb`` (row hash tie-break) and ``_sub``: the row's sub-chunk of its key.
+
+    Within a key, sub-chunks follow the ascending nulls-first order of
+    ``(*order, _tb)``: every row of sub-chunk ``i`` sorts before every row of
+    ``i + 1``.  Keys with at most ``target_rows`` rows are one sub-chunk (0).
+    With hot keys present a boolean ``_hot`` column is added too, and the
+    second value returned is True.
+    """
+    base = df.withColumn("_tb", F.xxhash64(*[F.col(c) for c in df.columns]))
+    sort_cols = [*order, "_tb"]
+    hot, max_chunks, total_chunks = _hot_keys(base, keys, target_rows, max_hot_keys)
+    if hot is None:
+        return base.withColumn("_sub", F.lit(0).cast("long")), False
+    splits = _split_points(base, hot, keys, sort_cols, total_chunks, sample_budget)
+    right = splits.select(*[F.col(k).alias(f"_s_{k}") for k in keys], "_splits")
+    joined = (base.join(F.broadcast(right), _on(base, right, [(k, f"_s_{k}") for k in keys]),
+                        "left")
+              .drop(*[f"_s_{k}" for k in keys]))
+    depth = max(1, math.ceil(math.log2(max_chunks + 1)))
+    return _sub_chunk(joined, sort_cols, depth), True
+
+
 def keyed_scan(df: DataFrame, keys: list[str], order: list[str], value: str, *,
                flag: FlagFn | None = None, pos: str = "_pos", prev: str = "_prev",
                nxt: str | None = None, run: str = "_run", start: str | None = None,
@@ -137,19 +163,9 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], value: str, *,
     the key's first row) and returns 0/1.  Runs one small counting job while
     planning; everything else is lazy.
     """
-    base = df.withColumn("_tb", F.xxhash64(*[F.col(c) for c in df.columns]))
+    chunked, has_hot = assign_chunks(df, keys, order, target_rows=target_rows,
+                                     max_hot_keys=max_hot_keys, sample_budget=sample_budget)
     sort_cols = [*order, "_tb"]
-    hot, max_chunks, total_chunks = _hot_keys(base, keys, target_rows, max_hot_keys)
-    if hot is None:
-        chunked = base.withColumn("_sub", F.lit(0).cast("long"))
-    else:
-        splits = _split_points(base, hot, keys, sort_cols, total_chunks, sample_budget)
-        right = splits.select(*[F.col(k).alias(f"_s_{k}") for k in keys], "_splits")
-        joined = (base.join(F.broadcast(right), _on(base, right, [(k, f"_s_{k}") for k in keys]),
-                            "left")
-                  .drop(*[f"_s_{k}" for k in keys]))
-        depth = max(1, math.ceil(math.log2(max_chunks + 1)))
-        chunked = _sub_chunk(joined, sort_cols, depth)
 
     w = Window.partitionBy(*keys, "_sub").orderBy(*[F.col(c).asc_nulls_first() for c in sort_cols])
 
@@ -172,7 +188,7 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], value: str, *,
 
     loc = local(chunked)
 
-    if hot is None:
+    if not has_hot:
         cols = {pos: F.col("_lpos").cast("long"), prev: F.col("_lprev")}
         if nxt:
             cols[nxt] = F.col("_lnext")

@@ -5,10 +5,14 @@ from __future__ import annotations
 import os
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opsfold.config import PREVIEW_ROWS, TRIM_LIMIT
+from opsfold.operators.limits import first_rows, top_rows
+
+__all__ = ["first_rows", "preview", "row_count", "top_rows", "trim_dataset", "trim_frame",
+           "validate_outputs", "write_parquet", "TrimResult"]
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
@@ -31,49 +35,17 @@ def preview(df: DataFrame, n: int = PREVIEW_ROWS, order_by: list[str] | None = N
     return df.limit(n)
 
 
-# monotonically_increasing_id() puts the partition index above this bit and the
-# row's position within its partition below it.
-_POSITION_BITS = 33
-
-
-def first_rows(df: DataFrame, limit: int) -> DataFrame:
-    """Exactly ``min(limit, rows)`` rows of ``df``, taken in partition order, without a shuffle.
-
-    ``df.limit(n)`` lets every map task send up to ``n`` rows to one final
-    task.  Here each row is tagged with its partition and position; the rows
-    per partition are counted (a partial aggregate), a running sum over that
-    one-row-per-partition table finds the partition where the total crosses
-    ``limit``, and only that cut (one row) reaches the driver.  The rows are
-    then kept by partition and position where they lie.  Both jobs see the
-    same partitions whenever they are reproducible (file scans, hash
-    shuffles), so the count is exact.
-    """
-    tagged = df.withColumn("_rid", F.monotonically_increasing_id())
-    part = F.shiftright(F.col("_rid"), _POSITION_BITS)
-    pos = F.col("_rid").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
-    per = tagged.groupBy(part.alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
-    before = F.coalesce(F.sum("_n").over(
-        Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    cut = (per.withColumn("_before", before)
-           .where((F.col("_before") < limit) & (F.col("_before") + F.col("_n") >= limit))
-           .select("_p", (F.lit(limit) - F.col("_before")).alias("_take"))
-           .first())
-    if cut is None:  # fewer rows than the limit
-        return df
-    keep = (part < cut["_p"]) | ((part == cut["_p"]) & (pos < cut["_take"]))
-    return tagged.where(keep).drop("_rid")
-
-
 def trim_frame(df: DataFrame, limit: int = TRIM_LIMIT,
                order_by: list[str] | None = None) -> DataFrame:
     """At most ``limit`` rows of ``df``; the cap is the feature of this operator.
 
     Unordered (as the reference): :func:`first_rows`, exact and shuffle-free.
-    With ``order_by``: the first ``limit`` rows in that order, as a top-k (each
-    task keeps its own top ``limit`` rows before one merge).
+    With ``order_by``: :func:`top_rows`, the first ``limit`` rows in that
+    (ascending, nulls first) order, with no task holding more than one
+    order bucket.
     """
     if order_by:
-        return df.orderBy(*order_by).limit(limit)
+        return top_rows(df, limit, order_by)
     return first_rows(df, limit)
 
 
