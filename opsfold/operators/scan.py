@@ -160,8 +160,9 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], value: str, *,
     row at or before this one whose flag is 1 (null if none).
 
     ``flag`` receives the row's value and the previous row's value (null at
-    the key's first row) and returns 0/1.  Runs one small counting job while
-    planning; everything else is lazy.
+    the key's first row) and returns 0/1.  While planning it checkpoints the
+    keys over ``target_rows`` (one counting job) and, if any, their split
+    points; everything else is lazy.
     """
     chunked, has_hot = assign_chunks(df, keys, order, target_rows=target_rows,
                                      max_hot_keys=max_hot_keys, sample_budget=sample_budget)
