@@ -36,6 +36,10 @@ class Params:
     salt_buckets: int = DEFAULT_SALT_BUCKETS
     target_partitions: int = DEFAULT_TARGET_PARTITIONS
     input_format: str = DEFAULT_INPUT_FORMAT
+    # Cache the enriched logs shared by the products (as the reference does).
+    # At very large scale, False lets each product re-read only its own
+    # columns from parquet instead of holding every column in executor cache.
+    persist_enriched: bool = True
 
     def __post_init__(self) -> None:
         for name in ("session_timeout_minutes", "attribution_window_hours", "baseline_hours",
@@ -45,6 +49,8 @@ class Params:
                 raise ValueError(f"{name} must be an int, got {value!r}")
             if value < 0 or (name in ("baseline_hours", "target_partitions") and value < 1):
                 raise ValueError(f"{name} out of range: {value}")
+        if not isinstance(self.persist_enriched, bool):
+            raise ValueError(f"persist_enriched must be a bool, got {self.persist_enriched!r}")
 
 
 def configure(spark: SparkSession) -> SparkSession:

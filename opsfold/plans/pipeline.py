@@ -28,7 +28,8 @@ def build_products(spark: SparkSession, inputs: Inputs, params: Params = Params(
     """Lazy products (the skew study excepted) and the frames persisted for them."""
     configure(spark)
     enriched = enrich_logs(inputs.logs, inputs.hosts).select(*ENRICHED_COLUMNS)
-    enriched = enriched.persist(StorageLevel.MEMORY_AND_DISK)
+    if params.persist_enriched:
+        enriched = enriched.persist(StorageLevel.MEMORY_AND_DISK)
     # One hourly roll-up shared by SLO, attribution and anomaly scoring.
     hourly = hourly_rollup(enriched).persist(StorageLevel.MEMORY_AND_DISK)
     scores = anomaly_scores(enriched, baseline_hours=params.baseline_hours, rollup=hourly)
@@ -68,7 +69,8 @@ def run_pipeline(spark: SparkSession, inputs: Inputs, params: Params = Params(),
         return build_products(spark, inputs, params, include_flows=include_flows)[0]
     configure(spark)
     enriched = enrich_logs(inputs.logs, inputs.hosts).select(*ENRICHED_COLUMNS)
-    enriched = enriched.persist(StorageLevel.MEMORY_AND_DISK)
+    if params.persist_enriched:
+        enriched = enriched.persist(StorageLevel.MEMORY_AND_DISK)
     written: dict[str, DataFrame] = {}
 
     def put(name: str, df: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from opsfold.config import Params
 from opsfold.plans.fixtures import fixture_inputs
-from opsfold.plans.pipeline import run_pipeline
+from opsfold.plans.pipeline import build_products, run_pipeline
 from opsfold.plans.publish import OUTPUT_PATHS, VIEWS, publish
 from opsfold.sources.sinks import validate_outputs
 from tests.conftest import SF001
@@ -52,6 +52,21 @@ def test_params_validation():
         Params(baseline_hours=0)
     with pytest.raises(ValueError):
         Params(salt_buckets="16")  # type: ignore[arg-type]
+    with pytest.raises(ValueError):
+        Params(persist_enriched=1)  # type: ignore[arg-type]
+
+
+def test_pipeline_without_enriched_cache(spark):
+    inputs = fixture_inputs(spark, SF001)
+    lazy, cached = build_products(spark, inputs, Params(target_partitions=8, salt_buckets=4,
+                                                        persist_enriched=False))
+    try:
+        assert not cached[1].is_cached
+        want = fixture_inputs(spark, SF001).logs.count()
+        assert lazy["slo_hourly"].groupBy().sum("request_count").first()[0] == want
+    finally:
+        for df in cached:
+            df.unpersist()
 
 
 def test_entry_smoke(spark):
