@@ -74,6 +74,18 @@ def test_profile_matches_real_repartition(spark):
         assert real == calc
 
 
+def test_known_hot_key_salts_like_the_found_one(spark):
+    from opsfold.operators.skew import _with_salt
+
+    df = _skewed(spark)
+    cols = [c for c in df.columns]
+    found = sorted(tuple(r) for r in _with_salt(df, 8).select(*cols, "salt").collect())
+    given = sorted(tuple(r) for r in _with_salt(df, 8, hot_key="/hot").select(*cols, "salt")
+                   .collect())
+    assert found == given
+    assert {r["salt"] for r in _with_salt(df, 8, hot_key=None).collect()} == {0}
+
+
 def test_partition_profile_and_study(spark):
     df = _skewed(spark)
     prof = {r["phase"]: r for r in partition_skew(df, target_partitions=8, salt_buckets=8).collect()}
@@ -84,6 +96,8 @@ def test_partition_profile_and_study(spark):
     study = skew_study(spark, df, target_partitions=8, salt_buckets=8).first()
     assert study["top_endpoint"] == "/hot" and study["salt_buckets"] == 8
     assert study["before_max_partition_rows"] == prof["before"]["max_partition_rows"]
+    assert study["after_max_partition_rows"] == prof["after"]["max_partition_rows"]
+    assert study["after_min_partition_rows"] == prof["after"]["min_partition_rows"]
     assert study["runtime_before_ms"] >= 0 and study["runtime_after_ms"] >= 0
     real = {r["phase"]: tuple(r) for r in partition_skew(
         df, target_partitions=8, salt_buckets=8, materialize=True).collect()}
