@@ -38,3 +38,10 @@ def test_first_rows_zero_and_all(spark):
     df = spark.range(0, 30, 1, 3)
     assert first_rows(df, 0).count() == 0
     assert first_rows(df, 30).count() == 30
+
+
+def test_first_rows_over_a_hash_shuffle(spark):
+    df = spark.range(0, 1000, 1, 4).repartition(6, "id").withColumn("v", F.col("id") * 3)
+    for limit in (1, 333, 1000):
+        rows = [r["id"] for r in first_rows(df, limit).collect()]
+        assert len(rows) == limit and len(set(rows)) == limit
