@@ -23,6 +23,8 @@ from opsfold.operators.sessions import (
 from opsfold.operators.rollup import hourly_rollup, slo_daily, slo_hourly, slo_metrics
 from opsfold.operators.changes import change_impact, deployment_intervals, deployments_in_force
 from opsfold.operators.anomalies import anomalies, anomaly_scores, top_offenders
+from opsfold.operators.limits import first_rows, top_rows
+from opsfold.operators.scan import keyed_scan
 from opsfold.operators.skew import (
     endpoint_stats,
     hot_endpoint,
@@ -38,4 +40,5 @@ __all__ = [
     "slo_daily", "slo_metrics", "deployment_intervals", "deployments_in_force",
     "change_impact", "anomaly_scores", "anomalies", "top_offenders", "hot_endpoint",
     "endpoint_stats", "salted_endpoint_stats", "partition_skew", "skew_study",
+    "keyed_scan", "first_rows", "top_rows",
 ]

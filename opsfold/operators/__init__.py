@@ -1,2 +1,2 @@
 """Relational operators: enrichment, ordered scans, sessions, roll-ups,
-attribution, anomalies and the skew study."""
+attribution, anomalies, the skew study and exact row limits."""
