@@ -176,3 +176,24 @@ def test_first_rows_exact_and_shuffle_free(spark, tmp_dir):
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Limit" not in plan
     assert trim_frame(src, 3, order_by=["id"]).collect() == [(0,), (1,), (2,)]
+
+
+def test_broadcast_decision_follows_the_proven_row_bound(spark):
+    """Raw host rows are probed first; the de-duplicated count only when that fails."""
+    logs = logs_df(spark, [log(t(0), host="h1"), log(t(1), host="h2")])
+    hosts = spark.createDataFrame([("h1", "eu", "a"), ("h1", "eu", "b"), ("h1", "us", "c"),
+                                   ("h2", "us", "d")],
+                                  "host string, region string, instance_type string")
+    auto = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plans = {}
+        for limit in (4, 2, 1):  # raw bound holds / only the de-duplicated one / neither
+            df = enrich_logs(logs, hosts, max_broadcast_rows=limit)
+            got = sorted((r["host"], r["region"], r["instance_type"]) for r in df.collect())
+            assert got == [("h1", "eu", "a"), ("h2", "us", "d")]
+            plans[limit] = df._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plans[4] and "BroadcastHashJoin" in plans[2]
+        assert "BroadcastHashJoin" not in plans[1] and "SortMergeJoin" in plans[1]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", auto)
