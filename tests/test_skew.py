@@ -84,6 +84,9 @@ def test_known_hot_key_salts_like_the_found_one(spark):
                    .collect())
     assert found == given
     assert {r["salt"] for r in _with_salt(df, 8, hot_key=None).collect()} == {0}
+    # with the key given, salting is a projection: no join, no aggregation to find it
+    given_plan = _with_salt(df, 8, hot_key="/hot")._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in given_plan and "Aggregate" not in given_plan
 
 
 def test_partition_profile_and_study(spark):
