@@ -40,6 +40,15 @@ from opsfold.plans.fixtures import fixture_inputs, oracle_prefix
 from opsfold.sources.readers import normalize_time
 from opsfold.sources.sinks import preview, trim_frame
 
+try:  # the training-data operators are an optional part
+    from opsfold.llm import queries as llm
+except ImportError:
+    llm = None
+try:
+    import corpus_pipeline
+except ImportError:
+    corpus_pipeline = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 DIGITS = 6
 # Sub-chunk size for the skewed-fixture queries: small enough that the hot
@@ -282,6 +291,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
     for kind in ("timestamp", "ns", "s", "string", "ntz", "date"):
         qs[f"normalize_time_{kind}"] = _normalizer(kind)
+    if llm is not None:
+        qs.update(llm.queries())
+    if corpus_pipeline is not None:
+        qs["pipeline"] = corpus_pipeline.run
     return qs
 
 
@@ -536,4 +549,8 @@ select event_id, case when event_id % 50 = 0 then null else ts end as t from eve
         "normalize_time_ntz": "select event_id, ts as t from events",
         "normalize_time_date": "select event_id, cast(cast(ts as date) as timestamp) as t from events",
     }
+    if llm is not None:
+        sql.update(llm.oracle_sql())
+    if corpus_pipeline is not None and corpus_pipeline.ORACLE_SQL:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
     return sql
