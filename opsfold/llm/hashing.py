@@ -99,11 +99,17 @@ class Words:
     def __init__(self, parts: list[bytes], separators: bytes = SPACE, seed: int = 1):
         buf, starts = joined(parts)
         s, e = word_spans(buf, separators)
-        self.hashes = RangeHash(buf, seed).of(s, e)
+        self._ranges = RangeHash(buf, seed)
+        self._s, self._e = s, e
+        self.hashes = self._ranges.of(s, e)
         self.first = np.searchsorted(s, starts)
         base = np.repeat(starts[:-1], np.diff(self.first))
         self.start, self.end = s - base, e - base
 
+    def prefixes(self, size: int) -> np.ndarray:
+        """Hash of the first ``size`` bytes (or all) of each word."""
+        return self._ranges.of(self._s, np.minimum(self._s + size, self._e))
+
     def shingles(self, width: int) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of ``width`` consecutive words of one text, and each text's first one."""
         h, n = self.hashes, len(self.hashes)

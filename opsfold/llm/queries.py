@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from opsfold.config import configure
+from opsfold.llm import decontaminate, neardup, repeats, toxicity
 from opsfold.llm.frames import documents
 from opsfold.llm.linefreq import line_frequency_filter
 from opsfold.llm.packing import pack
@@ -17,11 +18,29 @@ def op1_feistel_sharding(spark, sf_dir):
     return shard_rows(documents(spark, sf_dir), SHARDS)
 
 
+def op3_near_duplicates(spark, sf_dir):
+    configure(spark)
+    found = neardup.near_duplicates(documents(spark, sf_dir))
+    return found.select("doc_id", "class_id", "class_size", "is_kept")
+
+
+def op4_toxicity(spark, sf_dir):
+    configure(spark)
+    docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity.score(docs, toxicity.train(docs, labels, toxicity.label_categories()))
+
+
 def op5_best_fit_packing(spark, sf_dir):
     configure(spark)
     return pack(documents(spark, sf_dir))
 
 
+def op6_decontamination(spark, sf_dir):
+    configure(spark)
+    return decontaminate.matches(documents(spark, sf_dir),
+                                 spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op7_line_frequency(spark, sf_dir):
     configure(spark)
     return line_frequency_filter(documents(spark, sf_dir))
@@ -32,9 +51,15 @@ def op8_wavelet_tokens(spark, sf_dir):
     return write_and_read(documents(spark, sf_dir))
 
 
+def op9_repeated_bytes(spark, sf_dir):
+    configure(spark)
+    return repeats.repeated_bytes(documents(spark, sf_dir)).drop("spans")
+
+
 def queries():
-    return {f.__name__: f for f in (op1_feistel_sharding, op5_best_fit_packing,
-                                    op7_line_frequency, op8_wavelet_tokens)}
+    return {f.__name__: f for f in (
+        op1_feistel_sharding, op3_near_duplicates, op4_toxicity, op5_best_fit_packing,
+        op6_decontamination, op7_line_frequency, op8_wavelet_tokens, op9_repeated_bytes)}
 
 
 def oracle_sql():

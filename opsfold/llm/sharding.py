@@ -44,7 +44,8 @@ def number_rows(df: DataFrame, keys: list[str], name: str = "row_number") -> Dat
     # The task that sums up reads one row per partition.
     before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
     first = counts.select(part, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__first"))
-    return (ordered.join(first, part).withColumn(name, F.col("__first") + F.col(local))
+    # ``first`` has one row per partition, whose number is a setting.
+    return (ordered.join(F.broadcast(first), part).withColumn(name, F.col("__first") + F.col(local))
             .drop(local, part, "__first"))
 
 

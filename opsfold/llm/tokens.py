@@ -13,12 +13,16 @@ import os
 import re
 import struct
 
+import numpy as np
+
 from opsfold.llm.hashing import slices
 
 _BLANK = r"\s\x00-\x20\x7f-\xa0\u1680\u180e\u2000-\u206f\u3000\ufeff"
 # A letter or digit, then ASCII punctuation: always a pre-token boundary in between.
-_WORD_END = re.compile(r"[A-Za-z0-9\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]\Z")
+_WORD_END = frozenset(c for c in map(chr, range(0x250)) if c.isalpha() and c.upper() != c.lower()
+                      or c in "0123456789")
 _PUNCTUATION = ".,!?;:|*#&$%"
+LINES = 256
 _encoders: dict[tuple[str, int], PieceEncoder] = {}
 
 
@@ -59,6 +63,7 @@ class PieceEncoder:
             [f"^(?:\\n|(?!\\n))(?:[{_BLANK}]|\\Z)", f"[{_BLANK}](?:[{_BLANK}]|\\Z)",
              *map(re.escape, special)])).search
         self.newline = self._whole(["\n"])[0]
+        self.newline_id = int.from_bytes(self.newline[:4], "little")
         self.cached = (self.library.normalizer is None and len(self.newline) == 4
                        and not any(re.search(r"\s", s) for s in special))
 
@@ -66,35 +71,49 @@ class PieceEncoder:
         return [_packed(e.ids)
                 for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _fetch(self, pieces) -> list[str]:
-        """Move known pieces to the young generation; returns the unknown ones."""
-        young, old, unknown = self.young, self.old, []
-        for p in pieces:
-            if p not in young:
-                if p in old:
-                    young[p] = old[p]
-                else:
-                    unknown.append(p)
-        return unknown
+    def _lines(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts without newlines, which are encoded as the lines of longer texts."""
+        out: list[bytes] = []
+        groups = [texts[a:a + LINES] for a in range(0, len(texts), LINES)]
+        for group, data in zip(groups, self._whole(["\n".join(g) for g in groups]), strict=True):
+            ids = np.frombuffer(data, dtype="<u4")
+            cuts = (4 * np.flatnonzero(ids == self.newline_id)).tolist()
+            if len(cuts) != len(group) - 1:
+                out += self._whole(group)
+                continue
+            begins = [0, *(c + 4 for c in cuts)]
+            cuts.append(len(data))
+            out += [data[x:y] for x, y in zip(begins, cuts, strict=True)]
+        return out
+
+    def _unknown(self, pieces: set[str]) -> set[str]:
+        """The pieces that are not cached; known ones move to the young generation."""
+        new = pieces - self.young.keys()
+        again = new & self.old.keys()
+        self.young.update(zip(again, map(self.old.__getitem__, again)))
+        return new - again
 
     def learn(self, pieces: set[str]) -> None:
-        tails = {}
-        for p in self._fetch(pieces):
-            if self.unsafe(p):
-                self.young[p] = None
-                continue
-            stem = p.rstrip(_PUNCTUATION)
-            tails[p] = (stem, p[len(stem):]) if _WORD_END.search(stem) else (p, "")
-        stems = self._fetch({stem for stem, _ in tails.values()})
-        spaced = [p for p in stems if not p.startswith("\n")]
-        led = [p for p in stems if p.startswith("\n")]
-        self.young.update(zip(spaced, self._whole([" " + p for p in spaced]), strict=True))
-        bare = self._whole([p[1:] for p in led])
-        self.young.update(zip(led, (self.newline + b for b in bare), strict=True))
-        ends = sorted({end for _, end in tails.values()})
-        end_ids = dict(zip(ends, self._whole(ends), strict=True))
-        for p, (stem, end) in tails.items():
-            self.young[p] = self.young[stem] + end_ids[end]
+        """Cache the ids of new pieces, or None for those that are no piece by themselves."""
+        young, new = self.young, self._unknown(pieces)
+        # One search over all: an odd piece puts a blank next to one of the joining spaces.
+        if self.unsafe(" ".join([p[1:] if p[:1] == "\n" else p for p in new])):
+            odd = [p for p in new if self.unsafe(p)]
+            young.update(dict.fromkeys(odd))
+            new.difference_update(odd)
+        tails = [(p, p.rstrip(_PUNCTUATION)) for p in new]
+        tails = [(p, s) for p, s in tails if len(s) < len(p) and s and s[-1] in _WORD_END]
+        stems = self._unknown({s for _, s in tails})
+        stems.update(new.difference([p for p, _ in tails]))
+        spaced = [p for p in stems if p[0] != "\n"]
+        led = [p for p in stems if p[0] == "\n"]
+        young.update(zip(spaced, self._lines([" " + p for p in spaced]), strict=True))
+        bare = self._lines([p[1:] for p in led])
+        young.update(zip(led, (self.newline + b for b in bare), strict=True))
+        ends = list({p[len(s):] for p, s in tails})
+        end_ids = dict(zip(ends, self._lines(ends), strict=True))
+        for p, s in tails:
+            young[p] = young[s] + end_ids[p[len(s):]]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.cached:
