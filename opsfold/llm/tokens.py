@@ -12,12 +12,13 @@ from __future__ import annotations
 import os
 import re
 import struct
+from itertools import filterfalse
 
 import numpy as np
 
 from opsfold.llm.hashing import slices
 
-_BLANK = r"\s\x00-\x20\x7f-\xa0\u1680\u180e\u2000-\u206f\u3000\ufeff"
+BLANK = r"\s\x00-\x20\x7f-\xa0\u1680\u180e\u2000-\u206f\u3000\ufeff"
 # A letter or digit, then ASCII punctuation: always a pre-token boundary in between.
 _WORD_END = frozenset(c for c in map(chr, range(0x250)) if c.isalpha() and c.upper() != c.lower()
                       or c in "0123456789")
@@ -60,7 +61,7 @@ class PieceEncoder:
         # Pieces that are no piece by themselves: empty, white space next to their ends or
         # to other white space, or part of them is a special token.
         self.unsafe = re.compile("|".join(
-            [f"^(?:\\n|(?!\\n))(?:[{_BLANK}]|\\Z)", f"[{_BLANK}](?:[{_BLANK}]|\\Z)",
+            [f"^(?:\\n|(?!\\n))(?:[{BLANK}]|\\Z)", f"[{BLANK}](?:[{BLANK}]|\\Z)",
              *map(re.escape, special)])).search
         self.newline = self._whole(["\n"])[0]
         self.newline_id = int.from_bytes(self.newline[:4], "little")
@@ -88,10 +89,11 @@ class PieceEncoder:
 
     def _unknown(self, pieces: set[str]) -> set[str]:
         """The pieces that are not cached; known ones move to the young generation."""
-        new = pieces - self.young.keys()
-        again = new & self.old.keys()
+        new = set(filterfalse(self.young.__contains__, pieces))
+        again = list(filter(self.old.__contains__, new))
         self.young.update(zip(again, map(self.old.__getitem__, again)))
-        return new - again
+        new.difference_update(again)
+        return new
 
     def learn(self, pieces: set[str]) -> None:
         """Cache the ids of new pieces, or None for those that are no piece by themselves."""
@@ -115,6 +117,24 @@ class PieceEncoder:
         for p, s in tails:
             young[p] = young[s] + end_ids[p[len(s):]]
 
+    def counts(self, parts: list[str]) -> list[int]:
+        """Token counts of parts of texts, mostly single pieces with the blank that leads them."""
+        if not self.cached:
+            return [len(b) // 4 for b in self._whole(parts)]
+        if len(self.young) > self.max_entries:
+            self.old, self.young = self.young, {}
+        # A leading space is left out of a piece; a part without one is its own kind of piece.
+        keys = [p[1:] if p[:1] == " " else p if p[:1] == "\n" else "\n" + p for p in parts]
+        self.learn(set(keys))
+        values = list(map(self.young.__getitem__, keys))
+        out = [len(v) // 4 if v is not None else -1 for v in values]
+        for i, (p, n) in enumerate(zip(parts, out, strict=True)):
+            if n < 0 or " " in keys[i]:
+                out[i] = len(self._whole([p])[0]) // 4
+            elif p[:1] not in (" ", "\n"):
+                out[i] -= 1  # the newline that stands for its beginning
+        return out
+
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.cached:
             return self._whole(texts)
