@@ -14,9 +14,9 @@ occurrence of a phrase goes on, as all strings of the others start earlier too.
 With few distinct phrases in highly repetitive text, the rest is small: phrases
 that share a trigger but differ.  Their suffixes from the trigger on, and the
 prefixes before it, are compared within the trigger's bucket in corpus order,
-which tells for every string whether an earlier phrase holds it.  Buckets of
-more than ``bucket`` phrases give up their strings one by one instead, which
-Spark groups by a 128-bit hash; no bucket is gathered whole beyond that.
+which tells for every string whether an earlier phrase holds it.  No bucket of
+more than ``bucket`` phrases is gathered whole: there Spark groups parts of
+phrases, and strings of parts that are equal only in part, by 128-bit hashes.
 
 Only the order of equal strings matters here, so buckets take the place of the
 global suffix arrays of dictionary and parse.
@@ -43,11 +43,12 @@ from opsfold.llm.sharding import number_rows
 
 LENGTH = 100
 WIDTH = 16
-BUCKET = 256
+BUCKET = 16
+STEP = 10
 SLICE_BYTES = 2_000_000
 SEGMENT = 4_000_000
-# Lists per document are broadcast up to this many bytes; beyond it, texts are shuffled to them.
-MAX_BROADCAST_BYTES = 48_000_000
+# Marks of documents are broadcast up to this many bytes; beyond it, texts are shuffled to them.
+MAX_BROADCAST_BYTES = 32_000_000
 _PLACE = U64((1 << 24) - 1)
 
 
@@ -166,19 +167,19 @@ def _runs(firsts: DataFrame, bits: int) -> DataFrame:
     return rows.mapInArrow(run, "no long, a long, b long")
 
 
-def _with_lists(docs: DataFrame, lists: DataFrame, how: str, size: str) -> DataFrame:
-    """Join per-document lists to the texts; the side that moves depends on their size."""
-    total = lists.agg(F.sum(F.expr(size)), F.count(F.lit(1))).first()
+def _with_marks(docs: DataFrame, marks: DataFrame) -> DataFrame:
+    """Join the marks to the texts; which side moves depends on the size of the marks."""
+    total = marks.agg(F.sum(F.size("marks")), F.count(F.lit(1))).first()
     small = (total[0] or 0) * 24 + total[1] * 48 <= MAX_BROADCAST_BYTES
-    return docs.join(F.broadcast(lists) if small else lists.hint("merge"), "no", how)
+    return docs.join(F.broadcast(marks) if small else marks.hint("merge"), "no", "left")
 
 
 def _entries(docs: DataFrame, unclear: DataFrame, bits: int, length: int, width: int) -> DataFrame:
     """Content of the phrases to be compared: anchor, m, loc, n, trigger offset, bytes."""
     mask = (1 << bits) - 1
-    lists = stored(unclear.groupBy(F.shiftright("loc", bits).alias("no")).agg(F.collect_list(
-        F.struct(F.col("loc").bitwiseAND(mask).alias("a"), "n", "anchor", "m")).alias("todo")), "todo")
-    rows = _with_lists(docs, lists, "inner", "size(todo)").select("no", "text", "todo")
+    lists = unclear.groupBy(F.shiftright("loc", bits).alias("no")).agg(F.collect_list(
+        F.struct(F.col("loc").bitwiseAND(mask).alias("a"), "n", "anchor", "m")).alias("todo"))
+    rows = docs.join(lists.hint("merge"), "no").select("no", "text", "todo")
 
     def run(batches):
         for batch in batches:
@@ -268,22 +269,81 @@ def _compare(entries: DataFrame, length: int) -> DataFrame:
     return rows.mapInArrow(run, "loc long, n long")
 
 
+def _parts(entries: DataFrame, length: int) -> DataFrame:
+    """Phrases in parts of ``STEP`` neighbouring strings, by distance to the trigger.
+
+    ``core`` is the hash of the bytes that all strings of the part share; phrases
+    of one trigger with different cores have no string of this part in common.
+    ``whole`` is the hash of all its bytes.
+    """
+
+    def run(batches):
+        for batch in batches:
+            anchor, loc, n, at = (c.to_numpy() for c in batch.columns[:4])
+            buf, starts = joined(batch.column(4).to_pylist())
+            low, high = at - n + 1, at  # distances of the trigger from the strings' starts
+            counts = high // STEP - low // STEP + 1
+            which = np.repeat(np.arange(len(n)), counts)
+            part = low[which] // STEP + np.arange(len(which)) - (np.cumsum(counts) - counts)[which]
+            lo = np.maximum(low[which], part * STEP)
+            hi = np.minimum(high[which], part * STEP + STEP - 1)
+            x = starts[:-1][which] + at[which]
+            ranges = RangeHash(buf)
+            core = ranges.of(x - part * STEP, x + length - (part * STEP + STEP - 1))
+            whole = ranges.of(x - hi, x + length - lo)
+            core = mix(core + part.astype(U64))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(anchor[which]), pa.array(core.view(np.int64)), pa.array(whole.view(np.int64)),
+                 pa.array(loc[which]), pa.array((at[which] - hi).astype(np.int32)),
+                 pa.array((hi - lo + 1).astype(np.int32))],
+                names=["anchor", "core", "whole", "loc", "skip", "k"])
+
+    return entries.select("anchor", "loc", "n", "at", "bytes").mapInArrow(
+        run, "anchor long, core long, whole long, loc long, skip int, k int")
+
+
 def _strings(entries: DataFrame, length: int) -> DataFrame:
-    """All strings of the phrases by 128-bit hash: h1, h2, loc."""
+    """The strings of the listed parts by 128-bit hash: h1, h2, loc."""
 
     def run(batches):
         for batch in batches:
-            parts = batch.column(2).to_pylist()
-            loc, n = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            buf, starts = joined(parts)
-            which = np.repeat(np.arange(len(n)), n)
-            off = np.arange(len(which)) - (np.cumsum(n) - n)[which]
+            loc, data, lists = batch.column(0).to_numpy(), batch.column(1).to_pylist(), batch.column(2)
+            buf, starts = joined(data)
+            which = np.repeat(np.arange(len(loc)), np.diff(lists.offsets.to_numpy()))
+            skip, k = (lists.values.field(f).to_numpy() for f in ("skip", "k"))
+            row = np.repeat(np.arange(len(k)), k)
+            off = skip[row] + np.arange(len(row)) - (np.cumsum(k) - k)[row]
+            which = which[row]
             p = starts[:-1][which] + off
             keys = [RangeHash(buf, seed).of(p, p + length).view(np.int64) for seed in (1, 2)]
             yield pa.RecordBatch.from_arrays([*map(pa.array, keys), pa.array(loc[which] + off)],
                                              names=["h1", "h2", "loc"])
 
-    return entries.select("loc", "n", "bytes").mapInArrow(run, "h1 long, h2 long, loc long")
+    return entries.mapInArrow(run, "h1 long, h2 long, loc long")
+
+
+def _grouped(entries: DataFrame, length: int) -> DataFrame:
+    """Strings of large buckets that an earlier phrase holds: loc, n (a run).
+
+    Parts whose core is shared are equal as a whole (and all but the first start
+    earlier too), or they give up their strings, which are grouped one by one.
+    """
+    parts = stored(_parts(entries, length), "parts")
+    shared = (parts.groupBy("anchor", "core").agg(
+        F.count(F.lit(1)).alias("c"), F.min("whole").alias("lo"), F.max("whole").alias("hi"),
+        F.min("loc").alias("first")).filter("c > 1")
+        .select("anchor", "core", "first", (F.col("lo") == F.col("hi")).alias("same")))
+    both = stored(parts.join(shared, ["anchor", "core"])
+                  .filter("not same or loc > first").select("loc", "skip", "k", "same"), "shared")
+    equal = both.filter("same").select((F.col("loc") + F.col("skip")).alias("loc"),
+                                       F.col("k").cast("long").alias("n"))
+    todo = both.filter("not same").groupBy("loc").agg(F.collect_list(F.struct("skip", "k")).alias("todo"))
+    strings = stored(_strings(entries.select("loc", "bytes").join(todo, "loc"), length), "strings")
+    again = (strings.groupBy("h1", "h2").agg(F.min("loc").alias("first"), F.count(F.lit(1)).alias("c"))
+             .filter("c > 1").drop("c"))
+    later = (strings.join(again, ["h1", "h2"]).filter("loc > first")
+             .select("loc", F.lit(1).cast("long").alias("n")))
+    return equal.union(later)
 
 
 def _marked(docs: DataFrame, bits: int, length: int, width: int, bucket: int) -> DataFrame:
@@ -297,12 +357,8 @@ def _marked(docs: DataFrame, bits: int, length: int, width: int, bucket: int) ->
     unclear = dictionary.join(shared, "anchor")
     entries = stored(_entries(docs, unclear, bits, length, width), "entries")
     held = _compare(entries.filter(F.col("m") <= bucket), length)
-    strings = _strings(entries.filter(F.col("m") > bucket), length)
-    again = (strings.groupBy("h1", "h2").agg(F.min("loc").alias("first"), F.count(F.lit(1)).alias("c"))
-             .filter("c > 1").drop("c"))
-    later = (strings.join(again, ["h1", "h2"]).filter("loc > first")
-             .select("loc", F.lit(1).cast("long").alias("n")))
-    held = held.union(later).select(
+    held = held.union(_grouped(entries.filter(F.col("m") > bucket), length))
+    held = held.select(
         F.shiftright("loc", bits).alias("no"), F.col("loc").bitwiseAND(mask).alias("a"),
         (F.col("loc").bitwiseAND(mask) + F.col("n")).alias("b"), F.lit(False).alias("first"))
     runs = _runs(dictionary, bits).withColumn("first", F.lit(True))
@@ -369,7 +425,7 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans ([start, end) pairs)."""
     numbered, bits = _numbered(docs, id_col, text_col)
     marks = _marked(numbered, bits, length, width, bucket)
-    rows = _with_lists(numbered, marks, "left", "size(marks)").select("doc_id", "text", "marks")
+    rows = _with_marks(numbered, marks).select("doc_id", "text", "marks")
     schema = T.StructType([
         rows.schema["doc_id"], *(T.StructField(c, T.LongType()) for c in ("n_bytes", "n_removed", "n_spans")),
         T.StructField("kept_sha256", T.StringType()),
@@ -398,7 +454,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     numbered, bits = _numbered(docs, id_col, text_col, rest=True)
     marks = _marked(numbered, bits, length, width, bucket)
-    rows = _with_lists(numbered, marks, "left", "size(marks)").select("rest", "text", "marks")
+    rows = _with_marks(numbered, marks).select("rest", "text", "marks")
     schema = T.StructType([rows.schema["rest"], T.StructField("text", T.StringType())])
 
     def run(batches):
