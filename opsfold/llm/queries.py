@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from opsfold.config import configure
-from opsfold.llm import decontaminate, neardup, repeats, toxicity
+from opsfold.llm import decontaminate, neardup, passages, repeats, tokencount, toxicity
 from opsfold.llm.frames import documents
 from opsfold.llm.linefreq import line_frequency_filter
 from opsfold.llm.packing import pack
@@ -18,6 +18,11 @@ def op1_feistel_sharding(spark, sf_dir):
     return shard_rows(documents(spark, sf_dir), SHARDS)
 
 
+def op2_near_duplicate_passages(spark, sf_dir):
+    configure(spark)
+    return passages.near_duplicate_passages(documents(spark, sf_dir))
+
+
 def op3_near_duplicates(spark, sf_dir):
     configure(spark)
     found = neardup.near_duplicates(documents(spark, sf_dir))
@@ -56,10 +61,16 @@ def op9_repeated_bytes(spark, sf_dir):
     return repeats.repeated_bytes(documents(spark, sf_dir)).drop("spans")
 
 
+def op10_edited_token_counts(spark, sf_dir):
+    configure(spark)
+    return tokencount.edited_counts(documents(spark, sf_dir))
+
+
 def queries():
     return {f.__name__: f for f in (
-        op1_feistel_sharding, op3_near_duplicates, op4_toxicity, op5_best_fit_packing,
-        op6_decontamination, op7_line_frequency, op8_wavelet_tokens, op9_repeated_bytes)}
+        op1_feistel_sharding, op2_near_duplicate_passages, op3_near_duplicates, op4_toxicity,
+        op5_best_fit_packing, op6_decontamination, op7_line_frequency, op8_wavelet_tokens,
+        op9_repeated_bytes, op10_edited_token_counts)}
 
 
 def oracle_sql():
