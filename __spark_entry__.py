@@ -10,13 +10,14 @@ sides round double columns to 6 places, and Spark returns times as
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from opsfold.config import configure
+from opsfold.config import configure, shared_path
 from opsfold.operators.anomalies import anomalies, anomaly_scores, top_offenders
 from opsfold.operators.changes import change_impact, deployment_intervals
 from opsfold.operators.enrich import enrich_logs
@@ -37,8 +38,9 @@ from opsfold.operators.skew import (
 )
 from opsfold.plans import publish as pub
 from opsfold.plans.fixtures import fixture_inputs, oracle_prefix
-from opsfold.sources.readers import normalize_time
-from opsfold.sources.sinks import preview, trim_frame
+from opsfold.plans.pipeline import run_from_paths
+from opsfold.sources.readers import load_inputs, normalize_time
+from opsfold.sources.sinks import preview, trim_frame, validate_outputs
 
 try:  # the training-data operators are an optional part
     from opsfold.llm import queries as llm
@@ -51,6 +53,9 @@ except ImportError:
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 DIGITS = 6
+GUARD_DIGITS = 9
+# percentile_approx is exact where a group has fewer rows than this.
+EXACT_ACCURACY = 1_000_000
 # Sub-chunk size for the skewed-fixture queries: small enough that the hot
 # user/trace (a third of all rows) is split even at sf0.01.
 HOT_TARGET_ROWS = 1000
@@ -64,7 +69,8 @@ def _finish(df: DataFrame) -> DataFrame:
         if isinstance(field.dataType, T.TimestampType):
             c = c.cast("timestamp_ntz")
         elif isinstance(field.dataType, T.DoubleType):
-            c = F.round(c, DIGITS)
+            # First to GUARD_DIGITS places: float noise cannot flip a half, and no zero is negative.
+            c = F.round(F.round(c, GUARD_DIGITS), DIGITS) + F.lit(0.0)
         cols.append(c.alias(field.name))
     return df.select(*cols)
 
@@ -119,7 +125,8 @@ def q_session_events_hot_user(spark, sf_dir):
 
 
 def q_user_sessions_hot_user(spark, sf_dir):
-    return _finish(user_sessions(_enriched_skewed(spark, sf_dir), target_rows=HOT_TARGET_ROWS))
+    return _finish(user_sessions(_enriched_skewed(spark, sf_dir), target_rows=HOT_TARGET_ROWS,
+                                 accuracy=EXACT_ACCURACY))
 
 
 def q_user_session_steps_hot_user(spark, sf_dir):
@@ -127,6 +134,11 @@ def q_user_session_steps_hot_user(spark, sf_dir):
                                       target_rows=HOT_TARGET_ROWS))
 
 
+def q_user_session_steps_many_hot(spark, sf_dir):
+    # Nearly every user is hot here: no bound on their number may leave one unsplit.
+    return _finish(user_session_steps(_enriched(spark, sf_dir), target_rows=3))
+
+
 def q_trace_flow_steps_hot_trace(spark, sf_dir):
     return _finish(trace_flow_steps(_enriched_skewed(spark, sf_dir),
                                     target_rows=HOT_TARGET_ROWS))
@@ -166,7 +178,7 @@ def q_hot_endpoint(spark, sf_dir):
 
 
 def q_endpoint_stats(spark, sf_dir):
-    return _finish(endpoint_stats(_enriched(spark, sf_dir)))
+    return _finish(endpoint_stats(_enriched(spark, sf_dir), accuracy=EXACT_ACCURACY))
 
 
 def q_salted_endpoint_stats(spark, sf_dir):
@@ -177,6 +189,25 @@ def q_partition_skew(spark, sf_dir):
     return _finish(partition_skew(_enriched(spark, sf_dir)))
 
 
+def q_partition_skew_totals(spark, sf_dir):
+    # What does not depend on the hash function: every row is in one partition, and without
+    # salt there are no more non-empty partitions than keys.
+    logs = _enriched(spark, sf_dir)
+    keys = logs.agg(F.count_distinct("endpoint").alias("keys"))
+    rows = partition_skew(logs).join(F.broadcast(keys))  # one row
+    total = F.round(F.col("avg_partition_rows") * F.col("non_empty_partitions")).cast("long")
+    few = (F.col("phase") == "after") | (F.col("non_empty_partitions") <= F.col("keys"))
+    return rows.select("phase", total.alias("total_rows"), few.alias("bounded_by_keys"))
+
+
+def q_skew_study_facts(spark, sf_dir):
+    view = pub.vw_skew_benchmark(skew_study(spark, _enriched(spark, sf_dir)))
+    return _finish(view.select(
+        "top_endpoint", "top_endpoint_share", "salt_buckets", "target_partitions",
+        (F.col("before_max_partition_rows") >= F.col("after_max_partition_rows")).alias("no_worse"),
+        (F.col("runtime_before_ms") >= 0).alias("timed")))
+
+
 def q_skew_study(spark, sf_dir):
     return _finish(skew_study(spark, _enriched(spark, sf_dir)))
 
@@ -244,6 +275,64 @@ def q_trim_dataset_1k(spark, sf_dir):
                                                      "endpoint", "status_code", "latency_ms"]))
 
 
+def q_trim_unordered(spark, sf_dir):
+    # Which rows are kept is open; how many, and that each is a row of the source, is not.
+    logs = fixture_inputs(spark, sf_dir).logs
+    kept = trim_frame(logs.repartition("user_id"), TRIM_1K)
+    columns = logs.columns
+    left = kept.groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
+    right = logs.groupBy(*columns).agg(F.count(F.lit(1)).alias("m"))
+    same = [left[c].eqNullSafe(right[c]) for c in columns]
+    found = left.join(right, same, "left").select("n", F.coalesce("m", F.lit(0)).alias("m"))
+    return found.agg(F.sum("n").alias("kept_rows"),
+                     F.sum(F.least("n", "m")).alias("rows_of_source"))
+
+
+def _written_inputs(spark, sf_dir, fmt):
+    """The three inputs written to a fresh folder in ``fmt``, times as text."""
+    inputs = fixture_inputs(spark, sf_dir)
+    root = shared_path(spark, f"inputs-{fmt}")
+    paths = []
+    for name in ("logs", "deployments", "hosts"):
+        df = getattr(inputs, name)
+        if fmt != "parquet":
+            df = df.select(*[F.col(f.name).cast("string") if isinstance(f.dataType, T.TimestampType)
+                             else F.col(f.name) for f in df.schema.fields])
+        writer = df.write.format(fmt)
+        (writer.option("header", True) if fmt == "csv" else writer).save(f"{root}/{name}")
+        paths.append(f"{root}/{name}")
+    return paths
+
+
+def _round_trip(fmt):
+    def run(spark, sf_dir):
+        inputs = load_inputs(spark, *_written_inputs(spark, sf_dir, fmt), fmt=fmt)
+        return _finish(enrich_logs(inputs.logs, inputs.hosts))
+    run.__name__ = f"q_load_{fmt}"
+    return run
+
+
+def _pipeline_root(spark, sf_dir):
+    root = shared_path(spark, "outputs")
+    run_from_paths(spark, *_written_inputs(spark, sf_dir, "parquet"), output_root=root)
+    return root
+
+
+def q_published_trace_steps(spark, sf_dir):
+    database = "opsfold_" + uuid.uuid4().hex
+    pub.publish(spark, _pipeline_root(spark, sf_dir), database=database)
+    return _finish(spark.table(f"{database}.session_trace_steps"))
+
+
+def q_output_check(spark, sf_dir):
+    expected = {path: [] for path in pub.OUTPUT_PATHS.values()}
+    expected["user_session_steps"] = ["session_id", "user_id", "step"]
+    report = validate_outputs(spark, _pipeline_root(spark, sf_dir), expected)
+    rows = [(r["output"], r["exists"], r["columns_ok"], r["non_empty"]) for r in report]
+    return spark.createDataFrame(rows, "output string, present boolean, columns_ok boolean, "
+                                       "non_empty boolean")
+
+
 def q_preview(spark, sf_dir):
     hourly = slo_hourly(_enriched(spark, sf_dir))
     return _finish(preview(hourly, order_by=["service", "endpoint", "region", "time_bucket"]))
@@ -267,6 +356,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "user_sessions_hot_user": q_user_sessions_hot_user,
         "user_session_steps_hot_user": q_user_session_steps_hot_user,
         "trace_flow_steps_hot_trace": q_trace_flow_steps_hot_trace,
+        "user_session_steps_many_hot": q_user_session_steps_many_hot,
         "slo_hourly": q_slo_hourly,
         "slo_daily": q_slo_daily,
         "deployment_intervals": q_deployment_intervals,
@@ -278,7 +368,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "endpoint_stats": q_endpoint_stats,
         "salted_endpoint_stats": q_salted_endpoint_stats,
         "partition_skew": q_partition_skew,
+        "partition_skew_totals": q_partition_skew_totals,
         "skew_study": q_skew_study,
+        "skew_study_facts": q_skew_study_facts,
         "vw_slo_trends": q_vw_slo_trends,
         "vw_anomaly_timeline": q_vw_anomaly_timeline,
         "vw_deployment_impact": q_vw_deployment_impact,
@@ -287,8 +379,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "slo_validation_top20": q_slo_validation_top20,
         "trim_dataset": q_trim_dataset,
         "trim_dataset_1k": q_trim_dataset_1k,
+        "trim_unordered": q_trim_unordered,
         "preview": q_preview,
+        "published_trace_steps": q_published_trace_steps,
+        "output_check": q_output_check,
     }
+    for fmt in ("parquet", "csv", "json"):
+        qs[f"load_{fmt}"] = _round_trip(fmt)
     for kind in ("timestamp", "ns", "s", "string", "ntz", "date"):
         qs[f"normalize_time_{kind}"] = _normalizer(kind)
     if llm is not None:
@@ -301,7 +398,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 # --------------------------------------------------------------- oracle side
 
 def _r(expr: str, alias: str) -> str:
-    return f"round({expr}, {DIGITS}) as {alias}"
+    return f"round(round({expr}, {GUARD_DIGITS}), {DIGITS}) + 0.0::double as {alias}"
 
 
 _ERR = "case when status_code >= 500 then 1.0::double else 0.0::double end"
@@ -504,9 +601,27 @@ top1 as (select endpoint, n from c order by n desc, endpoint asc nulls first lim
 select top1.endpoint, top1.n as request_count, t.total as total_rows,
        {_r('top1.n / t.total', 'share')}
 from top1, t""",
-        # endpoint_stats: no oracle.  Groups of ~2,000 rows exceed the size where
-        # percentile_approx(..., 1000) equals an exact quantile; its rank error
-        # bound is tested in tests/test_skew.py instead.
+        "endpoint_stats": p + f"""
+select endpoint, count(*) as request_count, {_r('avg(latency_ms)', 'avg_latency_ms')},
+       {_r('quantile_disc(latency_ms, 0.95)', 'p95_latency_ms')}
+from enriched group by endpoint""",
+        "partition_skew_totals": p + """
+select phase, count(*) as total_rows, true as bounded_by_keys
+from enriched, (values ('before'), ('after')) as t(phase) group by phase""",
+        "skew_study_facts": p + f""", c as (select endpoint, count(*) as n from enriched group by endpoint)
+select endpoint as top_endpoint,
+       {_r('n / (select sum(n) from c)', 'top_endpoint_share')}, 16::integer as salt_buckets,
+       64::integer as target_partitions, true as no_worse, true as timed
+from c order by n desc, endpoint asc nulls first limit 1""",
+        "user_session_steps_many_hot": _session_steps_sql(p),
+        "trim_unordered": p + f"""
+select cast(least(count(*), {TRIM_1K}) as bigint) as kept_rows,
+       cast(least(count(*), {TRIM_1K}) as bigint) as rows_of_source from logs""",
+        "published_trace_steps": _trace_steps_sql(p),
+        "output_check": p + """
+select output, count(*) > 0 as present, true as columns_ok, count(*) > 0 as non_empty
+from enriched, (values """ + ", ".join(f"('{x}')" for x in pub.OUTPUT_PATHS.values()) + """) as t(output)
+group by output""",
         "salted_endpoint_stats": p + f"""
 select endpoint, count(*) as request_count, {_r('avg(latency_ms)', 'avg_latency_ms')}
 from enriched group by endpoint""",
@@ -549,6 +664,7 @@ select event_id, case when event_id % 50 = 0 then null else ts end as t from eve
         "normalize_time_ntz": "select event_id, ts as t from events",
         "normalize_time_date": "select event_id, cast(cast(ts as date) as timestamp) as t from events",
     }
+    sql.update({f"load_{fmt}": sql["enrich_logs"] for fmt in ("parquet", "csv", "json")})
     if llm is not None:
         sql.update(llm.oracle_sql())
     if corpus_pipeline is not None and corpus_pipeline.ORACLE_SQL:

@@ -6,7 +6,10 @@ hourly buckets to the deployment in force, rolling-baseline anomalies with
 ranked offenders, and a partition-skew study with salted aggregation.
 
 Every operator is a function ``DataFrame -> DataFrame`` with keyword
-parameters; only the skew study, the sinks and the trim helper run actions.
+parameters.  Jobs that run while a plan is built: the skew study, sinks and
+trims; the size check of a side that may be broadcast (``enrich_logs``,
+``change_impact``); and the count of hot keys before an ordered scan
+(``session_events``, ``user_sessions``, both steps, ``deployment_intervals``).
 """
 
 from opsfold.config import Params, configure

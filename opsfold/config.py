@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Fixed values that must equal the reference's for the same results.
 DEFAULT_SESSION_TIMEOUT_MINUTES = 30
@@ -20,10 +22,9 @@ PERCENTILE_ACCURACY = 1000
 PREVIEW_ROWS = 20
 TRIM_LIMIT = 100_000
 
-# Broadcast only behind these row bounds; above them the plan falls back to a
-# shuffle join (AQE may still split skewed partitions of that join).
-MAX_BROADCAST_HOSTS = 500_000
-MAX_BROADCAST_DEPLOY_HOURS = 2_000_000
+# Broadcast only sides of at most so many bytes; above that the plan falls back to
+# a shuffle join (AQE may still split skewed partitions of that join).
+MAX_BROADCAST_BYTES = 32 * 1024 * 1024
 
 
 @dataclass(frozen=True)
@@ -36,10 +37,9 @@ class Params:
     salt_buckets: int = DEFAULT_SALT_BUCKETS
     target_partitions: int = DEFAULT_TARGET_PARTITIONS
     input_format: str = DEFAULT_INPUT_FORMAT
-    # Cache the enriched logs shared by the products (as the reference does).
-    # At very large scale, False lets each product re-read only its own
-    # columns from parquet instead of holding every column in executor cache.
-    persist_enriched: bool = True
+    # True caches the enriched logs shared by the products on the executors.  By
+    # default each product re-reads only its own columns from parquet instead.
+    persist_enriched: bool = False
 
     def __post_init__(self) -> None:
         for name in ("session_timeout_minutes", "attribution_window_hours", "baseline_hours",
@@ -110,14 +110,25 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A fresh path below the shared folder."""
+    return f"{checkpoint_dir(spark)}/opsfold/{name}-{uuid.uuid4().hex}"
 
 
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """Bounded size probe: True when ``df`` has at most ``max_rows`` rows.
+def table_bytes(df: DataFrame) -> tuple[int, int]:
+    """Rows and estimated bytes of ``df``, by one partial aggregate.
 
-    Reads at most ``max_rows + 1`` rows' worth of counts, so the check itself
-    stays cheap whatever the table size.
+    Text and binary columns count their length, other columns eight bytes; no
+    row travels further than its own task.
     """
-    return df.limit(max_rows + 1).count() <= max_rows
+    wide = [f.name for f in df.schema.fields
+            if f.dataType.typeName() in ("string", "binary", "varchar", "char")]
+    fixed = 8 * (len(df.columns) - len(wide)) + 8 * len(wide)
+    sums = [F.sum(F.octet_length(F.col(f"`{c}`"))) for c in wide]
+    row = df.agg(F.count(F.lit(1)), *sums).first()
+    return row[0], fixed * row[0] + sum(x or 0 for x in row[1:])
+
+
+def fits(df: DataFrame, max_bytes: int) -> bool:
+    """True when ``df`` is proven to hold at most ``max_bytes`` bytes."""
+    return table_bytes(df)[1] <= max_bytes

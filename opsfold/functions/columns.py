@@ -1,7 +1,6 @@
 """Scalar column helpers.
 
-Each returns a ``Column`` built from ``pyspark.sql.functions`` so plans stay in
-whole-stage codegen; none of them is a Python UDF.
+Each returns a ``Column`` built from ``pyspark.sql.functions``; none is a Python UDF.
 """
 
 from __future__ import annotations
@@ -47,12 +46,10 @@ def minutes_between(later: str | Column, earlier: str | Column) -> Column:
 
 
 def session_id(user: str | Column, index: str | Column) -> Column:
-    """``<user>-<index padded to 8>``; like ``lpad`` it truncates longer indices."""
-    return F.concat_ws(
-        SESSION_ID_SEPARATOR,
-        _c(user),
-        F.lpad(_c(index).cast("string"), SESSION_INDEX_WIDTH, SESSION_INDEX_PAD),
-    )
+    """``<user>-<index padded to 8>``; longer indices keep all their digits."""
+    digits = _c(index).cast("string")
+    width = F.greatest(F.length(digits), F.lit(SESSION_INDEX_WIDTH))
+    return F.concat_ws(SESSION_ID_SEPARATOR, _c(user), F.lpad(digits, width, SESSION_INDEX_PAD))
 
 
 def explanation(error_anomaly: str | Column, latency_anomaly: str | Column,

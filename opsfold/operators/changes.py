@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opsfold.config import DEFAULT_ATTRIBUTION_WINDOW_HOURS, MAX_BROADCAST_DEPLOY_HOURS, fits
+from opsfold.config import DEFAULT_ATTRIBUTION_WINDOW_HOURS, MAX_BROADCAST_BYTES, fits
 from opsfold.functions.columns import hour_bucket, minutes_between
 from opsfold.operators.rollup import hourly_rollup
 from opsfold.operators.scan import DEFAULT_TARGET_ROWS, keyed_scan
@@ -62,11 +62,11 @@ def deployments_in_force(deployments: DataFrame, *,
 def change_impact(logs: DataFrame, deployments: DataFrame, *,
                   window_hours: int = DEFAULT_ATTRIBUTION_WINDOW_HOURS,
                   rollup: DataFrame | None = None, broadcast: bool | None = None,
-                  max_broadcast_rows: int = MAX_BROADCAST_DEPLOY_HOURS) -> DataFrame:
+                  max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """Hourly roll-up rows with the deployment in force (null when none).
 
     Keeps exactly the roll-up's rows.  The (service, hour) table is broadcast
-    only when it has at most ``max_broadcast_rows`` rows.
+    only when it is proven to hold at most ``max_broadcast_bytes``.
     """
     hourly = rollup if rollup is not None else hourly_rollup(logs)
     hourly = hourly.select("time_bucket", "service", "endpoint", "region", "request_count",
@@ -75,9 +75,7 @@ def change_impact(logs: DataFrame, deployments: DataFrame, *,
     if broadcast is None:
         # Each deployment owns at most N + 1 hour buckets, so a small enough
         # deployment table proves the bound without building the hour table.
-        per_deploy = window_hours + 1
-        broadcast = (fits(_valid(deployments), max_broadcast_rows // per_deploy)
-                     or fits(owners, max_broadcast_rows))
+        broadcast = fits(_valid(deployments), max_broadcast_bytes // (window_hours + 1))
     if broadcast:
         owners = F.broadcast(owners)
     joined = hourly.join(owners, ["service", "time_bucket"], "left")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opsfold.config import MAX_BROADCAST_HOSTS, fits
+from opsfold.config import MAX_BROADCAST_BYTES, fits
 
 # Fixed value: default for hosts without metadata.
 UNKNOWN = "unknown"
@@ -29,20 +29,19 @@ def dedupe_hosts(hosts: DataFrame) -> DataFrame:
 
 
 def enrich_logs(logs: DataFrame, hosts: DataFrame, *, broadcast: bool | None = None,
-                max_broadcast_rows: int = MAX_BROADCAST_HOSTS) -> DataFrame:
+                max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """Left-join de-duplicated host metadata onto logs; missing values become ``unknown``.
 
     Log rows are never multiplied (hosts are de-duplicated first) and a
     ``region``/``instance_type`` already present in the logs is replaced.  The
-    host side is broadcast only when it holds at most ``max_broadcast_rows``
-    rows; otherwise the join shuffles and AQE splits a hot host's partition.
+    host side is broadcast only when it holds at most ``max_broadcast_bytes``
+    (one counting job over the hosts); otherwise the join shuffles and AQE
+    splits a hot host's partition.
     """
     meta = dedupe_hosts(hosts)
     if broadcast is None:
-        # The raw host rows bound the de-duplicated ones: probe that plain scan
-        # first and aggregate only when it is too large to prove the bound.
-        broadcast = (fits(hosts.select("host"), max_broadcast_rows)
-                     or fits(meta, max_broadcast_rows))
+        # The raw host rows bound the de-duplicated ones.
+        broadcast = fits(hosts.select("host", "region", "instance_type"), max_broadcast_bytes)
     if broadcast:
         meta = F.broadcast(meta)
     base = logs.drop("region", "instance_type")

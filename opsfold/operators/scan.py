@@ -5,17 +5,20 @@ holding a third of all rows becomes a single straggler.  This operator keeps
 the plain window for ordinary keys and splits only hot keys:
 
 1. rows per key are counted (a partial aggregate).  Keys with more than
-   ``target_rows`` rows are hot; if more than ``max_hot_keys`` keys qualify the
-   threshold rises to the (max_hot_keys+1)-th largest count, so the hot-key
-   table stays bounded and no key is left out of the rule;
-2. a hot key with ``c`` rows is cut into ``ceil(c / target_rows)`` sub-chunks of
-   its order.  Split points come from a deterministic hash sample of its rows
-   (at most ``sample_budget`` rows overall, the way a range partitioner
-   samples); each row finds its sub-chunk by binary search over its key's
-   sorted split points, in plain column expressions;
-3. the window runs per ``(key, sub-chunk)`` (one hash shuffle);
-4. sub-chunk boundaries of hot keys are repaired from a per-(hot key,
-   sub-chunk) summary, at most ``sum(ceil(c / target_rows))`` rows, broadcast.
+   ``target_rows`` rows are hot; there are at most rows / ``target_rows`` of them;
+2. a hot key is cut into sub-chunks of its order by split points, which come from
+   a deterministic hash sample of ``SAMPLES_PER_CHUNK`` rows per sub-chunk.  A key
+   gets at most ``FANOUT`` sub-chunks at a time, so its sample and its split
+   points stay bounded; sub-chunks that are still large are cut again, all of
+   them in parallel, until none is;
+3. each row of a hot key finds its sub-chunk by binary search over its key's
+   split points; rows of other keys skip the search;
+4. the window runs per ``(key, sub-chunk)`` (one hash shuffle);
+5. sub-chunk boundaries of hot keys are repaired from a per-(hot key,
+   sub-chunk) summary, at most ``sum(ceil(c / target_rows))`` rows.
+
+Split points and summary are broadcast up to ``MAX_BROADCAST_ROWS`` rows, and
+joined by shuffle beyond that.
 
 Chunk ids are a deterministic function of each row and of a checkpointed
 split table, so every branch of the plan (and every task retry, even after an
@@ -40,9 +43,10 @@ from opsfold.config import materialize
 FlagFn = Callable[[Column, Column], Column]
 
 DEFAULT_TARGET_ROWS = 2_000_000
-DEFAULT_MAX_HOT_KEYS = 10_000
-DEFAULT_SAMPLE_BUDGET = 1_000_000
-MAX_SAMPLES_PER_CHUNK = 20
+SAMPLES_PER_CHUNK = 60
+FANOUT = 1000
+MAX_LEVELS = 5  # FANOUT ** MAX_LEVELS sub-chunks of one key
+MAX_BROADCAST_ROWS = 500_000
 _HASH_SPACE = 1 << 30
 
 
@@ -50,41 +54,39 @@ def _on(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]) -> Colu
     return reduce(lambda a, b: a & b, [left[a].eqNullSafe(right[b]) for a, b in pairs])
 
 
+def _sized(right: DataFrame, rows: int) -> DataFrame:
+    """``right`` with a broadcast hint when it is known to be small."""
+    return F.broadcast(right) if rows <= MAX_BROADCAST_ROWS else right
+
+
 def _hot_keys(base: DataFrame, keys: list[str], target_rows: int,
-              max_hot_keys: int) -> tuple[DataFrame | None, int, int]:
-    """Checkpointed (keys, _cnt, _chunks) of hot keys, max and total sub-chunks.
+              slack: int = 1) -> tuple[DataFrame | None, int, int, int]:
+    """Checkpointed (keys, _cnt, _chunks) of hot keys; their number, max and total sub-chunks.
 
-    Keys over ``target_rows`` are counted once into a checkpoint (at most
-    total rows / ``target_rows`` of them); the bounded top counts are read
-    from it, so the input is aggregated a single time.
+    Every key over ``slack * target_rows`` rows is hot.
     """
     counts = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("_cnt"))
-    over = materialize(counts.where(F.col("_cnt") > target_rows))
-    top = (over.orderBy(F.col("_cnt").desc()).limit(max_hot_keys + 1)
-           .select("_cnt").collect())
-    if not top:
-        return None, 0, 0
-    threshold = target_rows
-    if len(top) > max_hot_keys:
-        threshold = max(threshold, top[-1]["_cnt"])
-    hot_counts = [r["_cnt"] for r in top if r["_cnt"] > threshold]
-    if not hot_counts:
-        return None, 0, 0
-    chunks = [math.ceil(c / threshold) for c in hot_counts]
-    hot = (over.where(F.col("_cnt") > threshold)
-           .withColumn("_chunks", F.ceil(F.col("_cnt") / F.lit(threshold)).cast("long")))
-    return hot, max(chunks), sum(chunks)
-
-
-def _split_points(base: DataFrame, hot: DataFrame, keys: list[str], sort_cols: list[str],
-                  total_chunks: int, sample_budget: int) -> DataFrame:
-    """Checkpointed (keys, _splits): sorted sub-chunk start points of each hot key."""
-    per_chunk = max(1, min(MAX_SAMPLES_PER_CHUNK, sample_budget // max(total_chunks, 1)))
-    rate = F.least(F.lit(1.0), F.col("_chunks") * F.lit(per_chunk) / F.col("_cnt"))
+    chunks = F.least(F.ceil(F.col("_cnt") / F.lit(target_rows)), F.lit(FANOUT)).cast("long")
+    hot = materialize(counts.where(F.col("_cnt") > slack * target_rows).withColumn("_chunks", chunks))
+    total = hot.agg(F.count(F.lit(1)).alias("n"), F.max("_chunks").alias("most"),
+                    F.sum("_chunks").alias("all")).first()
+    if not total["n"]:
+        return None, 0, 0, 0
+    return hot, total["n"], total["most"], total["all"]
+
+
+def _split_points(base: DataFrame, hot: DataFrame, n_hot: int, keys: list[str],
+                  sort_cols: list[str], level: int) -> DataFrame:
+    """Checkpointed (keys, _splits): sorted sub-chunk start points of each hot key.
+
+    A key's sample has about ``SAMPLES_PER_CHUNK * FANOUT`` rows at most.  With so
+    many samples to a sub-chunk its size stays within twice the target.
+    """
+    rate = F.least(F.lit(1.0), F.col("_chunks") * F.lit(SAMPLES_PER_CHUNK) / F.col("_cnt"))
     info = hot.select(*[F.col(k).alias(f"_h_{k}") for k in keys], "_chunks",
                       rate.alias("_rate"))
-    draw = F.pmod(F.xxhash64(F.col("_tb"), F.lit(17)), F.lit(_HASH_SPACE)) / F.lit(_HASH_SPACE)
-    sample = (base.join(F.broadcast(info), _on(base, info, [(k, f"_h_{k}") for k in keys]))
+    draw = F.pmod(F.xxhash64(F.col("_tb"), F.lit(17 + level)), F.lit(_HASH_SPACE)) / F.lit(_HASH_SPACE)
+    sample = (base.join(_sized(info, n_hot), _on(base, info, [(k, f"_h_{k}") for k in keys]))
               .where(draw < F.col("_rate"))
               .select(*keys, *sort_cols, "_chunks"))
     w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in sort_cols])
@@ -99,13 +101,12 @@ def _split_points(base: DataFrame, hot: DataFrame, keys: list[str], sort_cols: l
 
 
 def _sub_chunk(df: DataFrame, sort_cols: list[str], depth: int) -> DataFrame:
-    """``_sub`` = number of split points <= the row's sort key (binary search)."""
+    """Add the number of split points <= the row's sort key to ``_sub`` (binary search)."""
     # One higher-order ``aggregate`` over ``depth`` steps keeps the expression
     # linear in size (chained projections would be inlined into one tree).
     x = F.struct(*[F.col(c) for c in sort_cols])
     splits = F.col("_splits")
-    size = F.when(splits.isNull(), F.lit(0)).otherwise(F.size(splits))
-    init = F.struct(F.lit(0).alias("lo"), size.alias("hi"))
+    init = F.struct(F.lit(0).alias("lo"), F.size(splits).alias("hi"))
 
     def step(acc: Column, _: Column) -> Column:
         lo, hi = acc["lo"], acc["hi"]
@@ -115,43 +116,49 @@ def _sub_chunk(df: DataFrame, sort_cols: list[str], depth: int) -> DataFrame:
         return F.struct(F.when(active & go, mid + 1).otherwise(lo).alias("lo"),
                         F.when(active & ~go, mid).otherwise(hi).alias("hi"))
 
-    found = F.aggregate(F.sequence(F.lit(1), F.lit(depth)), init, step)
-    return df.withColumns({"_sub": found["lo"].cast("long"),
-                           "_hot": splits.isNotNull()}).drop("_splits")
+    found = F.when(splits.isNull(), F.lit(0)).otherwise(
+        F.aggregate(F.sequence(F.lit(1), F.lit(depth)), init, step, lambda acc: acc["lo"]))
+    return df.withColumns({"_sub": F.col("_sub") * F.lit(FANOUT) + found.cast("long"),
+                           "_hot": F.col("_hot") | splits.isNotNull()}).drop("_splits")
 
 
 def assign_chunks(df: DataFrame, keys: list[str], order: list[str], *,
-                  target_rows: int = DEFAULT_TARGET_ROWS,
-                  max_hot_keys: int = DEFAULT_MAX_HOT_KEYS,
-                  sample_budget: int = DEFAULT_SAMPLE_BUDGET) -> tuple[DataFrame, bool]:
+                  target_rows: int = DEFAULT_TARGET_ROWS) -> tuple[DataFrame, int]:
     """Add ``_tb`` (row hash tie-break) and ``_sub``: the row's sub-chunk of its key.
 
     Within a key, sub-chunks follow the ascending nulls-first order of
     ``(*order, _tb)``: every row of sub-chunk ``i`` sorts before every row of
     ``i + 1``.  Keys with at most ``target_rows`` rows are one sub-chunk (0).
+    No sub-chunk passes about twice ``target_rows``, except for rows that are
+    equal in every column, which have no order to split by.
     With hot keys present a boolean ``_hot`` column is added too, and the
-    second value returned is True.
+    second value returned is the number of their sub-chunks (else 0).
     """
     base = df.withColumn("_tb", F.xxhash64(*[F.col(c) for c in df.columns]))
     sort_cols = [*order, "_tb"]
-    hot, max_chunks, total_chunks = _hot_keys(base, keys, target_rows, max_hot_keys)
-    if hot is None:
-        return base.withColumn("_sub", F.lit(0).cast("long")), False
-    splits = _split_points(base, hot, keys, sort_cols, total_chunks, sample_budget)
-    right = splits.select(*[F.col(k).alias(f"_s_{k}") for k in keys], "_splits")
-    joined = (base.join(F.broadcast(right), _on(base, right, [(k, f"_s_{k}") for k in keys]),
-                        "left")
-              .drop(*[f"_s_{k}" for k in keys]))
-    depth = max(1, math.ceil(math.log2(max_chunks + 1)))
-    return _sub_chunk(joined, sort_cols, depth), True
+    out = base.withColumns({"_sub": F.lit(0).cast("long"), "_hot": F.lit(False)})
+    total, group = 0, list(keys)
+    for level in range(MAX_LEVELS):
+        hot, n_hot, most, chunks = _hot_keys(out, group, target_rows, 1 if level == 0 else 2)
+        if hot is None:
+            break
+        total += chunks
+        splits = _split_points(out, hot, n_hot, group, sort_cols, level)
+        right = splits.select(*[F.col(k).alias(f"_s_{k}") for k in group], "_splits")
+        joined = (out.join(_sized(right, chunks), _on(out, right, [(k, f"_s_{k}") for k in group]),
+                           "left").drop(*[f"_s_{k}" for k in group]))
+        depth = max(1, math.ceil(math.log2(most + 1)))
+        out = _sub_chunk(joined, sort_cols, depth)
+        group = [*keys, "_sub"]
+        if most < FANOUT:  # every key got all the sub-chunks it needs
+            break
+    return (out, total) if total else (out.drop("_hot"), 0)
 
 
 def keyed_scan(df: DataFrame, keys: list[str], order: list[str], value: str, *,
                flag: FlagFn | None = None, pos: str = "_pos", prev: str = "_prev",
                nxt: str | None = None, run: str = "_run", start: str | None = None,
-               target_rows: int = DEFAULT_TARGET_ROWS,
-               max_hot_keys: int = DEFAULT_MAX_HOT_KEYS,
-               sample_budget: int = DEFAULT_SAMPLE_BUDGET) -> DataFrame:
+               target_rows: int = DEFAULT_TARGET_ROWS) -> DataFrame:
     """Add ``pos`` (1-based), ``prev`` (``value`` at the previous row), optionally
     ``nxt`` (at the next row) and, with ``flag``, ``run`` = running sum of
     ``flag(value, prev)`` within each key, in ascending nulls-first ``order``.
@@ -164,8 +171,7 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], value: str, *,
     keys over ``target_rows`` (one counting job) and, if any, their split
     points; everything else is lazy.
     """
-    chunked, has_hot = assign_chunks(df, keys, order, target_rows=target_rows,
-                                     max_hot_keys=max_hot_keys, sample_budget=sample_budget)
+    chunked, n_chunks = assign_chunks(df, keys, order, target_rows=target_rows)
     sort_cols = [*order, "_tb"]
 
     w = Window.partitionBy(*keys, "_sub").orderBy(*[F.col(c).asc_nulls_first() for c in sort_cols])
@@ -189,7 +195,7 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], value: str, *,
 
     loc = local(chunked)
 
-    if not has_hot:
+    if not n_chunks:
         cols = {pos: F.col("_lpos").cast("long"), prev: F.col("_lprev")}
         if nxt:
             cols[nxt] = F.col("_lnext")
@@ -242,7 +248,7 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], value: str, *,
                      "_delta", "_tfirst", "_cstart")
 
     cond = _on(loc, fix, [(k, f"_f_{k}") for k in keys]) & (loc["_sub"] == fix["_f_sub"])
-    out = loc.join(F.broadcast(fix), cond, "left")
+    out = loc.join(_sized(fix, n_chunks), cond, "left")
     matched = F.col("_opos").isNotNull()
     cols = {
         pos: (F.col("_lpos") + F.coalesce(F.col("_opos"), F.lit(0))).cast("long"),

@@ -24,6 +24,10 @@ SESSION_FLOW_FIELDS = ["timestamp", "service", "endpoint", "status_code", "laten
                        "trace_id"]
 
 
+def _flow(fields: list[str], name: str = "request_flow") -> Column:
+    return F.sort_array(F.collect_list(F.struct(*[F.col(f) for f in fields]))).alias(name)
+
+
 def nest_flow(rows: DataFrame, keys: list[str], fields: list[str],
               name: str = "request_flow") -> DataFrame:
     """``keys`` + ``sort_array(collect_list(struct(fields)))`` per group.
@@ -31,21 +35,18 @@ def nest_flow(rows: DataFrame, keys: list[str], fields: list[str],
     Sorted field by field, nulls first.  One group becomes one row, so use it on
     groups of bounded size (e.g. after filtering to traces of interest).
     """
-    return rows.groupBy(*keys).agg(
-        F.sort_array(F.collect_list(F.struct(*[F.col(f) for f in fields]))).alias(name))
+    return rows.groupBy(*keys).agg(_flow(fields, name))
 
 
 def trace_flows(logs: DataFrame, *, include_flow: bool = False) -> DataFrame:
     """One row per trace: start, end and event count (null trace ids left out)."""
     traced = logs.where(F.col("trace_id").isNotNull())
-    summary = traced.groupBy("trace_id").agg(
+    return traced.groupBy("trace_id").agg(
         F.min("timestamp").alias("trace_start"),
         F.max("timestamp").alias("trace_end"),
         F.count(F.lit(1)).alias("event_count"),
+        *([_flow(TRACE_FLOW_FIELDS)] if include_flow else []),
     )
-    if include_flow:
-        summary = summary.join(nest_flow(traced, ["trace_id"], TRACE_FLOW_FIELDS), "trace_id")
-    return summary
 
 
 def trace_flow_steps(logs: DataFrame, *, target_rows: int = DEFAULT_TARGET_ROWS) -> DataFrame:
@@ -96,15 +97,18 @@ def session_events(logs: DataFrame, *, timeout_minutes: int = DEFAULT_SESSION_TI
     )
 
 
-def _session_summary(events: DataFrame, accuracy: int) -> DataFrame:
-    return events.groupBy("session_id", "user_id").agg(
+def _session_summary(events: DataFrame, accuracy: int, *extra: Column) -> DataFrame:
+    summary = events.groupBy("user_id", "session_index").agg(
         F.min("timestamp").alias("session_start"),
         F.max("timestamp").alias("session_end"),
         F.count(F.lit(1)).alias("event_count"),
         F.avg("latency_ms").alias("avg_latency_ms"),
         F.percentile_approx("latency_ms", 0.95, accuracy).alias("p95_latency_ms"),
         F.avg(error_flag("status_code")).alias("error_rate"),
+        *extra,
     )
+    return summary.select(session_id("user_id", "session_index").alias("session_id"), "*").drop(
+        "session_index")
 
 
 def user_sessions(logs: DataFrame, *, timeout_minutes: int = DEFAULT_SESSION_TIMEOUT_MINUTES,
@@ -112,11 +116,8 @@ def user_sessions(logs: DataFrame, *, timeout_minutes: int = DEFAULT_SESSION_TIM
                   target_rows: int = DEFAULT_TARGET_ROWS) -> DataFrame:
     """One row per session: bounds, count, mean and p95 latency, error rate."""
     events = session_events(logs, timeout_minutes=timeout_minutes, target_rows=target_rows)
-    summary = _session_summary(events, accuracy)
-    if include_flow:
-        flows = nest_flow(events, ["session_id", "user_id"], SESSION_FLOW_FIELDS)
-        summary = summary.join(flows, ["session_id", "user_id"])
-    return summary
+    extra = [_flow(SESSION_FLOW_FIELDS)] if include_flow else []
+    return _session_summary(events, accuracy, *extra)
 
 
 def user_session_steps(logs: DataFrame, *,

@@ -7,8 +7,8 @@ a row in partition ``pmod(murmur3(cols), n)``, so the rows-per-partition
 profile of either layout is computed exactly by a partial aggregate on that
 expression -- no raw row is shuffled into the hot partition to measure it.
 The two timed arms are the plain per-endpoint aggregate and the salted
-two-stage one, each written in full to a ``noop`` sink (a bare ``count()``
-would let the optimizer drop the aggregates).
+two-stage one over the two layouts, each written in full to a ``noop`` sink (a
+bare ``count()`` would let the optimizer drop the aggregates).
 """
 
 from __future__ import annotations
@@ -22,13 +22,6 @@ from pyspark.sql import types as T
 from opsfold.config import DEFAULT_SALT_BUCKETS, DEFAULT_TARGET_PARTITIONS, PERCENTILE_ACCURACY
 from opsfold.functions.columns import salt
 
-STUDY_COLUMNS = ["before_max_partition_rows", "before_min_partition_rows",
-                 "before_avg_partition_rows", "after_max_partition_rows",
-                 "after_min_partition_rows", "after_avg_partition_rows", "top_endpoint",
-                 "top_endpoint_share", "salt_buckets", "target_partitions", "runtime_before_ms",
-                 "runtime_after_ms", "runtime_improvement_pct"]
-
-
 def hot_endpoint(logs: DataFrame, key: str = "endpoint") -> DataFrame:
     """One row: the most frequent ``key`` value, its count, the total and its share.
 
@@ -160,15 +153,17 @@ def _timed_noop(df: DataFrame) -> int:
 def skew_study(spark: SparkSession, logs: DataFrame, *,
                target_partitions: int = DEFAULT_TARGET_PARTITIONS,
                salt_buckets: int = DEFAULT_SALT_BUCKETS,
-               materialize_layout: bool = False) -> DataFrame:
+               materialize_layout: bool = True) -> DataFrame:
     """One-row study: partition profile before/after salting, hot key, timings.
 
     Runs jobs: the hot-key row and the two profile rows come to the driver
     (three rows in all), and each arm is timed as a full ``noop`` write of
     the same result (count and mean; p95 is left out of both arms so they do
-    equal work).  With ``materialize_layout`` both arms first repartition the
-    raw rows (by endpoint, resp. endpoint and salt) as a layout experiment;
-    by default they run the plain plans, which aggregate map-side first.
+    equal work).  Both arms first repartition the raw rows by the layout that
+    is reported (by endpoint, resp. endpoint and salt), so the times compare
+    these layouts; the unsalted one puts the hot endpoint into one task, which
+    is what the study measures.  Without ``materialize_layout`` the plain plans
+    are timed, which aggregate map-side first.
     """
     hot = hot_endpoint(logs).first()
     # The hot key is found once; the salted plans compare with that value, so
@@ -177,7 +172,7 @@ def skew_study(spark: SparkSession, logs: DataFrame, *,
     hot_key = hot["endpoint"]
     prof = {r["phase"]: r for r in partition_skew(
         logs, target_partitions=target_partitions, salt_buckets=salt_buckets,
-        materialize=materialize_layout, hot_key=hot_key).collect()}
+        hot_key=hot_key).collect()}
     if materialize_layout:
         unsalted = endpoint_stats(hash_layout(logs, target_partitions), with_p95=False)
         salted = salted_aggregate(hash_layout(logs, target_partitions, salt_buckets=salt_buckets,

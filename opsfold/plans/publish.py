@@ -11,10 +11,15 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from opsfold.sources.sinks import qualified
+
 # Output names and the columns of each view, in order.
 OUTPUT_PATHS = {
     "session_trace": "session_trace",
     "user_sessions": "user_sessions",
+    # The request flows of both, one row per step.
+    "session_trace_steps": "session_trace_steps",
+    "user_session_steps": "user_session_steps",
     "slo_hourly": "slo/hourly",
     "slo_daily": "slo/daily",
     "change_impact_attribution": "change_impact_attribution",
@@ -92,23 +97,48 @@ def view_sql(name: str, table: str | None = None) -> str:
     return f"SELECT {', '.join(items)} FROM {table or source}"
 
 
-def publish(spark: SparkSession, root: str, *, catalog_tables: bool = False) -> dict[str, DataFrame]:
-    """Register the eight outputs under ``root`` and create the five views.
+def _quoted(*names: str) -> str:
+    return ".".join("`" + n.replace("`", "``") + "`" for n in names)
+
+
+def _drop_own_table(spark: SparkSession, database: str, name: str, path: str) -> None:
+    """Drop ``name`` only if it is an external table over ``path``; its files stay."""
+    table = f"{_quoted(database)}.{_quoted(name)}"
+    if not spark.catalog.tableExists(table):
+        return
+    rows = {r[0]: r[1] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+    location = rows.get("Location", "")
+    if rows.get("Type") != "EXTERNAL" or qualified(spark, location) != qualified(spark, path):
+        raise ValueError(f"{database}.{name} exists and is no external table over {path}")
+    spark.sql(f"DROP TABLE {table}")
+
 
-    Outputs become temp views, or catalog tables over the parquet paths with
-    ``catalog_tables=True`` (dropped first if present).  Returns the views and
-    the validation query as DataFrames.
+def publish(spark: SparkSession, root: str, *, database: str | None = None) -> dict[str, DataFrame]:
+    """Register the outputs under ``root`` and create the five views.
+
+    Without ``database`` the outputs and views are session views.  With one
+    (created if missing), outputs become external tables over their parquet
+    paths and the views are persistent views of that database; a table of the
+    same name is replaced only if it is such a table itself, else an error is
+    raised.  Returns the views and the validation query as DataFrames.
     """
+    if database is not None:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {_quoted(database)}")
     for name, rel in OUTPUT_PATHS.items():
         path = os.path.join(root, rel)
-        if catalog_tables:
-            spark.sql(f"DROP TABLE IF EXISTS {name}")
-            spark.catalog.createTable(name, path=path, source="parquet")
-        else:
+        if database is None:
             spark.read.parquet(path).createOrReplaceTempView(name)
+        else:
+            _drop_own_table(spark, database, name, path)
+            spark.catalog.createTable(f"{_quoted(database)}.{_quoted(name)}", path=path, source="parquet")
     out = {}
-    for name in VIEWS:
-        spark.sql(f"CREATE OR REPLACE TEMP VIEW {name} AS {view_sql(name)}")
-        out[name] = spark.table(name)
+    for name, (source, _) in VIEWS.items():
+        if database is None:
+            spark.sql(f"CREATE OR REPLACE TEMP VIEW {name} AS {view_sql(name)}")
+            out[name] = spark.table(name)
+        else:
+            full = _quoted(database, name)
+            spark.sql(f"CREATE OR REPLACE VIEW {full} AS {view_sql(name, _quoted(database, source))}")
+            out[name] = spark.table(full)
     out["slo_validation_top20"] = slo_validation_top20(out["vw_slo_trends"])
     return out

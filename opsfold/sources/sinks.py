@@ -3,15 +3,15 @@
 from __future__ import annotations
 
 import os
+import posixpath
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from opsfold.config import PREVIEW_ROWS, TRIM_LIMIT
-from opsfold.operators.limits import first_rows, top_rows
+from opsfold.operators.limits import first_file_rows, first_rows, top_rows
 
-__all__ = ["first_rows", "preview", "row_count", "top_rows", "trim_dataset", "trim_frame",
+__all__ = ["first_file_rows", "first_rows", "preview", "top_rows", "trim_dataset", "trim_frame",
            "validate_outputs", "write_parquet", "TrimResult"]
 
 
@@ -39,7 +39,7 @@ def trim_frame(df: DataFrame, limit: int = TRIM_LIMIT,
                order_by: list[str] | None = None) -> DataFrame:
     """At most ``limit`` rows of ``df``; the cap is the feature of this operator.
 
-    Unordered (as the reference): :func:`first_rows`, exact and shuffle-free.
+    Unordered (as the reference): :func:`first_rows`, exact whatever the partitions.
     With ``order_by``: :func:`top_rows`, the first ``limit`` rows in that
     (ascending, nulls first) order, with no task holding more than one
     order bucket.
@@ -58,20 +58,37 @@ class TrimResult:
     kept_rows: int
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path as its file system names it: scheme, authority, no ``.``, ``..`` or double slashes."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    uri = fs.makeQualified(p).toUri().normalize()
+    return f"{uri.getScheme()}://{uri.getAuthority() or ''}{posixpath.normpath(uri.getPath())}"
+
+
 def trim_dataset(spark: SparkSession, source: str, target: str, limit: int = TRIM_LIMIT,
-                 order_by: list[str] | None = None, fmt: str = "parquet") -> TrimResult:
+                 order_by: list[str] | None = None, fmt: str = "parquet",
+                 mode: str = "errorifexists") -> TrimResult:
     """Copy at most ``limit`` rows of ``source`` to ``target``.
 
-    Never writes to the path it reads.  A dataset already within the limit is
-    left untouched and reported as ``skipped``.
+    Never writes to the path it reads, nor above or below it, however the two
+    are spelled.  A dataset already within the limit is left untouched and
+    reported as ``skipped``.  Unordered trims of parquet read only the files
+    they keep rows of.
     """
-    if os.path.abspath(source.rstrip("/")) == os.path.abspath(target.rstrip("/")):
+    a, b = qualified(spark, source) + "/", qualified(spark, target) + "/"
+    if a.startswith(b) or b.startswith(a):
         raise ValueError("trim_dataset never overwrites its input; choose another target")
     df = spark.read.format(fmt).load(source)
     original = df.count()
     if original <= limit:
         return TrimResult(source, None, "skipped", original, original)
-    trim_frame(df, limit, order_by).write.mode("overwrite").format(fmt).save(target)
+    if fmt == "parquet" and not order_by:
+        kept = first_file_rows(spark, source, limit)
+    else:
+        kept = trim_frame(df, limit, order_by)
+    kept.write.mode(mode).format(fmt).save(target)
     kept = spark.read.format(fmt).load(target).count()
     return TrimResult(source, target, "trimmed", original, kept)
 
@@ -95,7 +112,3 @@ def validate_outputs(spark: SparkSession, root: str,
         entry["non_empty"] = df.limit(1).count() > 0
         report.append(entry)
     return report
-
-
-def row_count(df: DataFrame) -> int:
-    return df.select(F.lit(1)).count()

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
-from opsfold.operators.limits import first_rows, top_rows
+from opsfold.operators.limits import first_file_rows, first_rows, top_rows
+from opsfold.sources.sinks import trim_dataset
 
 
 def _key(row):
@@ -45,3 +47,54 @@ def test_first_rows_over_a_hash_shuffle(spark):
     for limit in (1, 333, 1000):
         rows = [r["id"] for r in first_rows(df, limit).collect()]
         assert len(rows) == limit and len(set(rows)) == limit
+
+
+def _check_subset(got, df, limit):
+    assert got.count() == min(limit, df.count())
+    assert got.exceptAll(df).count() == 0
+
+
+def test_first_rows_when_jobs_see_different_partitions(spark):
+    # AQE coalesces the pruned count of this shuffle, but not its write of wide rows.
+    wide = F.repeat(F.sha2(F.col("id").cast("string"), 256), 10)
+    df = spark.range(0, 20_000, 1, 4).repartition("id").withColumn("w", wide)
+    for limit in (3000, 7001):
+        _check_subset(first_rows(df, limit), df, limit)
+
+
+def test_first_rows_of_copies(spark, monkeypatch):
+    from opsfold.operators import limits
+
+    monkeypatch.setattr(limits, "RANKED_ROWS", 10)
+    df = spark.range(0, 900, 1, 5).selectExpr("id % 3 as a", "if(id % 3 = 0, null, 'x') as b")
+    for limit in (1, 299, 300, 650, 899, 900, 901):
+        _check_subset(first_rows(df, limit), df, limit)
+
+
+def test_first_file_rows_reads_only_needed_files(spark, tmp_dir):
+    spark.range(0, 5000, 1, 10).write.parquet(f"{tmp_dir}/in")
+    df = spark.read.parquet(f"{tmp_dir}/in")
+    parallelism = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    got = first_file_rows(spark, f"{tmp_dir}/in", 1203)
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "512")  # other splits than the count saw
+        _check_subset(got, df, 1203)
+        assert got.select(F.input_file_name()).distinct().count() <= 3
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", parallelism)
+    assert trim_dataset(spark, f"{tmp_dir}/in", f"{tmp_dir}/out", 1203).kept_rows == 1203
+
+
+def test_trim_refuses_its_input_by_any_name(spark, tmp_dir):
+    source = f"{tmp_dir}/in"
+    spark.range(100).write.parquet(source)
+    for target in (source, f"file:{source}", f"file://{source}/", f"{source}/", f"{source}/sub",
+                   f"{tmp_dir}", f"{tmp_dir}/x/../in", f"file:///{source}"):
+        with pytest.raises(ValueError):
+            trim_dataset(spark, source, target, 10)
+        with pytest.raises(ValueError):
+            trim_dataset(spark, f"file:{source}", target, 10)
+    assert spark.read.parquet(source).count() == 100
+    trim_dataset(spark, source, f"{tmp_dir}/in2", 10)
+    with pytest.raises(Exception, match="exist"):
+        trim_dataset(spark, source, f"{tmp_dir}/in2", 10)

@@ -96,22 +96,22 @@ def test_deploy_hours_unique_per_service_hour(spark):
     assert owners.count() == owners.select("service", "time_bucket").distinct().count()
 
 
-def test_attribution_broadcast_follows_the_proven_row_bound(spark):
-    """(N+1) x deployments is probed first; the (service, hour) table only if that fails."""
+def test_attribution_broadcast_follows_the_proven_byte_bound(spark):
+    """(N+1) x deployments bounds the (service, hour) table."""
     logs = logs_df(spark, [log(t(h)) for h in range(9, 20)])
     deploys = deploys_df(spark, [("svc", "v1", t(10)), ("svc", "v2", t(12))])
     auto = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         results, plans = {}, {}
-        # 2 deploys x 7 hours = 14 fits / only the 9 owned hours fit / neither
-        for limit in (14, 10, 5):
-            df = change_impact(logs, deploys, window_hours=6, max_broadcast_rows=limit)
+        size = 7 * (2 * 3 * 8 + 2 * 3 + 2 * 2)
+        for limit in (size, size - 7):
+            df = change_impact(logs, deploys, window_hours=6, max_broadcast_bytes=limit)
             results[limit] = sorted((r["time_bucket"], r["deploy_version"]) for r in df.collect())
             plans[limit] = df._jdf.queryExecution().executedPlan().toString()
-        assert results[14] == results[10] == results[5]
-        assert [v for _, v in results[14]] == [None, "v1", "v1"] + ["v2"] * 7 + [None]
-        assert "BroadcastHashJoin" in plans[14] and "BroadcastHashJoin" in plans[10]
-        assert "BroadcastHashJoin" not in plans[5] and "SortMergeJoin" in plans[5]
+        assert results[size] == results[size - 7]
+        assert [v for _, v in results[size]] == [None, "v1", "v1"] + ["v2"] * 7 + [None]
+        assert "BroadcastHashJoin" in plans[size]
+        assert "BroadcastHashJoin" not in plans[size - 7] and "SortMergeJoin" in plans[size - 7]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", auto)

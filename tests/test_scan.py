@@ -61,10 +61,34 @@ def test_keyed_scan_matches_window(spark, target_rows):
     assert _canon(got) == _canon(want)
 
 
-def test_keyed_scan_many_hot_keys_bounded(spark):
+def test_keyed_scan_many_hot_keys(spark):
     rows = [(f"k{i % 5}", dt.datetime(2024, 1, 1) + dt.timedelta(seconds=i), "a", float(i))
             for i in range(500)]
     df = spark.createDataFrame(rows, "k string, ts timestamp, s string, x double")
     got = keyed_scan(df, ["k"], ["ts", "s", "x"], "ts", flag=_flag, pos="pos", prev="prev",
-                     nxt="nxt", run="run", start="start", target_rows=10, max_hot_keys=2)
+                     nxt="nxt", run="run", start="start", target_rows=10)
     assert _canon(got) == _canon(_reference(df))
+
+
+def test_every_hot_key_is_split(spark):
+    from opsfold.operators.scan import assign_chunks
+
+    df = spark.range(0, 11 * 5000, 1, 6).selectExpr("id % 11 as k", "hash(id) as o")
+    chunked, n = assign_chunks(df, ["k"], ["o"], target_rows=1000)
+    sizes = chunked.groupBy("k", "_sub").count().collect()
+    assert n >= 55 and max(r["count"] for r in sizes) <= 2000
+    assert min(sum(r.k == k for r in sizes) for k in range(11)) >= 3
+
+
+def test_large_fanout_is_cut_in_levels(spark, monkeypatch):
+    from opsfold.operators import scan
+
+    monkeypatch.setattr(scan, "FANOUT", 4)
+    rows = [(f"k{i % 2}", dt.datetime(2024, 1, 1) + dt.timedelta(seconds=i * 7 % 600), "a", float(i))
+            for i in range(900)]
+    df = spark.createDataFrame(rows, "k string, ts timestamp, s string, x double")
+    got = scan.keyed_scan(df, ["k"], ["ts", "s", "x"], "ts", flag=_flag, pos="pos", prev="prev",
+                          nxt="nxt", run="run", start="start", target_rows=20)
+    assert _canon(got) == _canon(_reference(df))
+    chunked, _ = scan.assign_chunks(df, ["k"], ["ts", "s", "x"], target_rows=20)
+    assert chunked.groupBy("k", "_sub").count().agg({"count": "max"}).first()[0] <= 40

@@ -158,7 +158,7 @@ def test_parquet_nanos_read_as_bigint_then_normalised(spark, tmp_dir):
     assert _one(normalize_time(raw, "ts")) == [t(0, 0, 5), None]
 
 
-def test_first_rows_exact_and_shuffle_free(spark, tmp_dir):
+def test_first_rows_exact_without_a_row_limit(spark, tmp_dir):
     path = os.path.join(tmp_dir, "many")
     spark.range(0, 1000, 1, 7).write.parquet(path)
     src = spark.read.parquet(path)
@@ -174,12 +174,12 @@ def test_first_rows_exact_and_shuffle_free(spark, tmp_dir):
     got = first_rows(src, 250)
     got.write.format("noop").mode("overwrite").save()
     plan = got._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange" not in plan and "Limit" not in plan
+    assert "GlobalLimit" not in plan and "LocalLimit" not in plan
     assert trim_frame(src, 3, order_by=["id"]).collect() == [(0,), (1,), (2,)]
 
 
-def test_broadcast_decision_follows_the_proven_row_bound(spark):
-    """Raw host rows are probed first; the de-duplicated count only when that fails."""
+def test_broadcast_decision_follows_the_proven_byte_bound(spark):
+    """The raw host rows bound the de-duplicated ones; no limit collects rows in one task."""
     logs = logs_df(spark, [log(t(0), host="h1"), log(t(1), host="h2")])
     hosts = spark.createDataFrame([("h1", "eu", "a"), ("h1", "eu", "b"), ("h1", "us", "c"),
                                    ("h2", "us", "d")],
@@ -188,12 +188,13 @@ def test_broadcast_decision_follows_the_proven_row_bound(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         plans = {}
-        for limit in (4, 2, 1):  # raw bound holds / only the de-duplicated one / neither
-            df = enrich_logs(logs, hosts, max_broadcast_rows=limit)
+        size = 4 * 3 * 8 + 4 * 2 + 4 * 2 + 4  # eight bytes a column, and the texts
+        for limit in (size, size - 1):
+            df = enrich_logs(logs, hosts, max_broadcast_bytes=limit)
             got = sorted((r["host"], r["region"], r["instance_type"]) for r in df.collect())
             assert got == [("h1", "eu", "a"), ("h2", "us", "d")]
             plans[limit] = df._jdf.queryExecution().executedPlan().toString()
-        assert "BroadcastHashJoin" in plans[4] and "BroadcastHashJoin" in plans[2]
-        assert "BroadcastHashJoin" not in plans[1] and "SortMergeJoin" in plans[1]
+        assert "BroadcastHashJoin" in plans[size]
+        assert "BroadcastHashJoin" not in plans[size - 1] and "SortMergeJoin" in plans[size - 1]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", auto)
