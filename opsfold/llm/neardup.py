@@ -15,7 +15,8 @@ threshold make classes.
 Work per bucket stays linear.  Equal texts are one node.  In each bucket every
 node is compared with the bucket's least node; what that links is one class.
 Only buckets that still hold several classes compare across classes: pair by
-pair up to ``small`` nodes, and larger ones are first split by further bands.
+pair up to ``small`` nodes; larger ones are first split by further bands, and
+parts that are large even then compare each node with several others.
 
 Cases: null and empty texts are copies of each other; a text of fewer than five
 words is one shingle of all its words; repeated rows are copies; null ids are
@@ -39,7 +40,8 @@ THRESHOLD = 0.8
 BANDS = 20
 ROWS = 4
 SMALL_BUCKET = 32
-SPLITS = 3
+SPLITS = 10  # further bands that split a large bucket
+PARTNERS = 4  # compared with each node of a part that is still large
 SLICE_BYTES = 2_000_000
 # Broadcast of at most this many 16-byte text keys; beyond it, shuffle joins.
 MAX_BROADCAST_TEXTS = 200_000
@@ -281,27 +283,38 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def _across_classes(hits: DataFrame, banded: DataFrame, labels: DataFrame, done: DataFrame,
                     small: int) -> DataFrame:
-    """Pairs of one bucket whose classes differ, as far as not compared before."""
+    """Pairs of one bucket whose classes differ, as far as not compared before.
+
+    Buckets of up to ``small`` nodes give all their pairs.  Larger ones are split
+    by further bands; parts that are still large give each node a few partners,
+    spread over the part by a hash, so that the pairs stay linear in its size.
+    """
     labelled = hits.join(labels, "node", "left").select(
         "key", "node", F.coalesce("label", "node").alias("label"))
-    todo, out = _mixed(labelled), None
-    for level in range(SPLITS + 1):
-        if todo.isEmpty():
-            break
-        now = todo if level == SPLITS else todo.filter(F.col("n") <= small)
-        a = now.select("key", F.col("node").alias("u"), F.col("label").alias("a"))
-        b = now.select("key", F.col("node").alias("v"), F.col("label").alias("b"))
-        pairs = a.join(b, "key").filter("u < v and a != b").select("u", "v").distinct()
-        out = pairs if out is None else out.union(pairs)
-        if level < SPLITS:
-            large = todo.filter(F.col("n") > small).join(banded, "node")
-            finer = large.select(F.posexplode("bands").alias("i", "band"), "key", "node", "label")
-            todo = _mixed(finer.select(F.xxhash64("key", "band", "i").alias("key"), "node", "label"))
-    if out is None:
-        return done.limit(0)
+    mixed = _mixed(labelled)
+    parts = (mixed.filter(F.col("n") > small).join(banded, "node")
+             .select("key", "node", "label", F.posexplode(F.slice("bands", 1, SPLITS)).alias("i", "band"))
+             .select(F.xxhash64("key", "band", "i").alias("key"), "node", "label"))
+    parts = _mixed(parts)
+    out = _all_pairs(mixed.filter(F.col("n") <= small)).union(_all_pairs(parts.filter(F.col("n") <= small)))
+    large = stored(parts.filter(F.col("n") > small), "large")
+    for k in range(PARTNERS):
+        rank = F.xxhash64("node", F.lit(k))
+        heads = large.groupBy("key").agg(F.min(rank).alias("rank"))
+        centre = large.join(heads, "key").filter(rank == F.col("rank")).select(
+            "key", F.col("node").alias("head"), F.col("label").alias("of"))
+        out = out.union(large.join(centre, "key").filter("label != of").select(
+            F.least("node", "head").alias("u"), F.greatest("node", "head").alias("v")))
     return stored(out.distinct().join(done, ["u", "v"], "left_anti"), "pairs")
 
 
+def _all_pairs(rows: DataFrame) -> DataFrame:
+    """Pairs across classes of buckets of bounded size."""
+    a = rows.select("key", F.col("node").alias("u"), F.col("label").alias("a"))
+    b = rows.select("key", F.col("node").alias("v"), F.col("label").alias("b"))
+    return a.join(b, "key").filter("u < v and a != b").select("u", "v").distinct()
+
+
 def _mixed(rows: DataFrame) -> DataFrame:
     """The rows of buckets that hold several classes, with the bucket's size."""
     of = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("lo"),
