@@ -170,7 +170,7 @@ def _runs(firsts: DataFrame, bits: int) -> DataFrame:
 def _with_marks(docs: DataFrame, marks: DataFrame) -> DataFrame:
     """Join the marks to the texts; which side moves depends on the size of the marks."""
     total = marks.agg(F.sum(F.size("marks")), F.count(F.lit(1))).first()
-    small = (total[0] or 0) * 24 + total[1] * 48 <= MAX_BROADCAST_BYTES
+    small = (total[0] or 0) * 8 + total[1] * 64 <= MAX_BROADCAST_BYTES
     return docs.join(F.broadcast(marks) if small else marks.hint("merge"), "no", "left")
 
 
@@ -348,7 +348,7 @@ def _grouped(entries: DataFrame, length: int) -> DataFrame:
 
 def _marked(docs: DataFrame, bits: int, length: int, width: int, bucket: int) -> DataFrame:
     """Per document: runs of strings that start here first, and runs that do not although
-    their phrase does."""
+    their phrase does; two numbers each, 2 * start + (1 if first) and end."""
     mask = (1 << bits) - 1
     dictionary = stored(_parse(docs, bits, length, width).groupBy("anchor", "unit")
                         .agg(F.min("loc").alias("loc"), F.min("n").alias("n"))
@@ -362,8 +362,9 @@ def _marked(docs: DataFrame, bits: int, length: int, width: int, bucket: int) ->
         F.shiftright("loc", bits).alias("no"), F.col("loc").bitwiseAND(mask).alias("a"),
         (F.col("loc").bitwiseAND(mask) + F.col("n")).alias("b"), F.lit(False).alias("first"))
     runs = _runs(dictionary, bits).withColumn("first", F.lit(True))
-    return stored(runs.union(held).groupBy("no").agg(F.collect_list(
-        F.struct("a", "b", "first")).alias("marks")), "marks")
+    mark = F.array((F.shiftleft("a", 1) + F.col("first").cast("long")).alias("x"), F.col("b"))
+    return stored(runs.union(held).groupBy("no").agg(
+        F.flatten(F.collect_list(mark)).alias("marks")), "marks")
 
 
 def removed_spans(size: int, first: np.ndarray, held: np.ndarray, length: int) -> np.ndarray:
@@ -396,10 +397,9 @@ def _spans_of(marks, i: int, size: int, length: int) -> np.ndarray:
 
 
 def _marks_column(column):
-    values = column.values
-    rows = np.stack([values.field("a").to_numpy(), values.field("b").to_numpy()], axis=1)
-    return (column, column.offsets.to_numpy(), rows.astype(np.int64),
-            values.field("first").to_numpy(zero_copy_only=False).astype(bool))
+    pairs = column.values.to_numpy(zero_copy_only=False).astype(np.int64).reshape(-1, 2)
+    rows = np.stack([pairs[:, 0] >> 1, pairs[:, 1]], axis=1)
+    return column, column.offsets.to_numpy() // 2, rows, (pairs[:, 0] & 1).astype(bool)
 
 
 def _cut(data: bytes, spans: np.ndarray) -> bytes:
