@@ -36,6 +36,7 @@ MAGIC = b"WMX1"
 END_ID = 2
 SHARD_TOKENS = 1 << 20
 BLOCK = 512
+MAX_BROADCAST_FILES = 500_000
 
 
 def build_shard(docs: list[bytes]) -> bytes:
@@ -52,14 +53,14 @@ def build_shard(docs: list[bytes]) -> bytes:
     out = [struct.pack("<4sIII", MAGIC, len(ids), len(docs), len(alphabet)),
            alphabet.tobytes(), starts.tobytes()]
     for shift in reversed(range(_planes(len(alphabet)))):
-        bits = (values >> shift) & 1 != 0
+        bits = (values & code.dtype.type(1 << shift)).astype(bool)
         packed = np.packbits(bits, bitorder="little")
         ones = np.bitwise_count(np.pad(packed, (0, -len(packed) % (BLOCK // 8))))
         ranks = np.zeros(len(ones) * 8 // BLOCK + 1, dtype="<u4")
         np.cumsum(ones.reshape(-1, BLOCK // 8).sum(axis=1, dtype=np.uint32), out=ranks[1:])
-        zeros = values[~bits]
+        zeros = np.compress(~bits, values)
         out += [struct.pack("<I", len(zeros)), ranks.tobytes(), packed.tobytes()]
-        values = np.concatenate([zeros, values[bits]])
+        values = np.concatenate([zeros, np.compress(bits, values)])
     return b"".join(out)
 
 
@@ -159,8 +160,8 @@ class WaveletShard:
         for shift, (zeros, _, bits) in enumerate(reversed(self.planes)):
             ones = np.unpackbits(bits, count=self.n, bitorder="little").view(bool)
             above = np.empty_like(values)
-            above[~ones] = values[:zeros]
-            above[ones] = values[zeros:] | kind(1 << shift)
+            above[np.flatnonzero(~ones)] = values[:zeros]
+            above[np.flatnonzero(ones)] = values[zeros:] | kind(1 << shift)
             values = above
         return self.alphabet[values]
 
@@ -227,7 +228,9 @@ def read_shards(spark: SparkSession, path: str) -> DataFrame:
     first = sizes.select("part", "shard", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)).alias("skip"))
     starts = first.join(parts, "part").select("part", "shard",
                                               (F.col("skip") + F.col("base")).alias("first_token"))
-    return files.join(starts, ["part", "shard"])
+    # One small row per file: the files need not move to it, up to a checked number.
+    few = starts.count() <= MAX_BROADCAST_FILES
+    return files.join(F.broadcast(starts) if few else starts, ["part", "shard"])
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
