@@ -45,10 +45,10 @@ LENGTH = 100
 WIDTH = 16
 BUCKET = 16
 STEP = 10
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 1_000_000
 SEGMENT = 4_000_000
 # Marks of documents are broadcast up to this many bytes; beyond it, texts are shuffled to them.
-MAX_BROADCAST_BYTES = 32_000_000
+MAX_BROADCAST_BYTES = 48_000_000
 _PLACE = U64((1 << 24) - 1)
 
 
@@ -415,7 +415,7 @@ def _pruned(batch, text: int, marks: int, length: int):
     """For a few rows at a time: their range and, for each, its bytes, spans and kept bytes."""
     lists = _marks_column(batch.column(marks))
     texts = batch.column(text).cast(pa.binary()).to_pylist()
-    for x, y in slices([len(t) for t in texts], 8_000_000):
+    for x, y in slices([len(t) for t in texts], 4_000_000):
         spans = [_spans_of(lists, i, len(texts[i]), length) for i in range(x, y)]
         yield x, y - x, [(t, s, _cut(t, s)) for t, s in zip(texts[x:y], spans)]
 
