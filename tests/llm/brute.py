@@ -5,18 +5,23 @@ from __future__ import annotations
 import re
 import zlib
 from collections import defaultdict
+from functools import cache
 
 import numpy as np
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
-def library_ids(texts, path=None):
+@cache
+def library():
     import public_tokenizers
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(path or public_tokenizers.path("byte_bpe_50k.json"))
-    return [e.ids for e in t.encode_batch([x or "" for x in texts], add_special_tokens=False)]
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def library_ids(texts):
+    return [e.ids for e in library().encode_batch([x or "" for x in texts], add_special_tokens=False)]
 
 
 def crc(ids):
