@@ -36,7 +36,7 @@ def _power(base: int, n: int) -> np.ndarray:
         steps = np.full(size, base, dtype=U64)
         steps[0] = 1
         have = np.multiply.accumulate(steps)
-        if size <= 1 << 23:
+        if size <= 1 << 21:  # 16 MB
             _powers[base] = have
     return have[:n]
 
