@@ -16,7 +16,7 @@ Work per bucket stays linear.  Equal texts are one node.  In each bucket every
 node is compared with the bucket's least node; what that links is one class.
 Only buckets that still hold several classes compare across classes: pair by
 pair up to ``small`` nodes; larger ones are first split by further bands, and
-parts that are large even then compare each node with several others.
+in parts that are large even then each node meets one drawn by a hash.
 
 Cases: null and empty texts are copies of each other; a text of fewer than five
 words is one shingle of all its words; repeated rows are copies; null ids are
@@ -41,7 +41,6 @@ BANDS = 20
 ROWS = 4
 SMALL_BUCKET = 32
 SPLITS = 10  # further bands that split a large bucket
-PARTNERS = 4  # compared with each node of a part that is still large
 SLICE_BYTES = 2_000_000
 # Broadcast of at most this many 16-byte text keys; beyond it, shuffle joins.
 MAX_BROADCAST_TEXTS = 200_000
@@ -286,25 +285,27 @@ def _across_classes(hits: DataFrame, banded: DataFrame, labels: DataFrame, done:
     """Pairs of one bucket whose classes differ, as far as not compared before.
 
     Buckets of up to ``small`` nodes give all their pairs.  Larger ones are split
-    by further bands; parts that are still large give each node a few partners,
-    spread over the part by a hash, so that the pairs stay linear in its size.
+    by further bands; in a part that is still large each node is compared with one
+    of it, drawn by a hash that differs from part to part.  A node is in up to
+    ``BANDS * SPLITS`` parts, so it meets many others, and pairs stay linear.
     """
     labelled = hits.join(labels, "node", "left").select(
         "key", "node", F.coalesce("label", "node").alias("label"))
     mixed = _mixed(labelled)
+    if mixed.isEmpty():
+        return done.limit(0)
     parts = (mixed.filter(F.col("n") > small).join(banded, "node")
              .select("key", "node", "label", F.posexplode(F.slice("bands", 1, SPLITS)).alias("i", "band"))
              .select(F.xxhash64("key", "band", "i").alias("key"), "node", "label"))
     parts = _mixed(parts)
     out = _all_pairs(mixed.filter(F.col("n") <= small)).union(_all_pairs(parts.filter(F.col("n") <= small)))
     large = stored(parts.filter(F.col("n") > small), "large")
-    for k in range(PARTNERS):
-        rank = F.xxhash64("node", F.lit(k))
-        heads = large.groupBy("key").agg(F.min(rank).alias("rank"))
-        centre = large.join(heads, "key").filter(rank == F.col("rank")).select(
-            "key", F.col("node").alias("head"), F.col("label").alias("of"))
-        out = out.union(large.join(centre, "key").filter("label != of").select(
-            F.least("node", "head").alias("u"), F.greatest("node", "head").alias("v")))
+    rank = F.xxhash64("node", "key")
+    heads = large.groupBy("key").agg(F.min(rank).alias("rank"))
+    centre = large.join(heads, "key").filter(rank == F.col("rank")).select(
+        "key", F.col("node").alias("head"), F.col("label").alias("of"))
+    out = out.union(large.join(centre, "key").filter("label != of").select(
+        F.least("node", "head").alias("u"), F.greatest("node", "head").alias("v")))
     return stored(out.distinct().join(done, ["u", "v"], "left_anti"), "pairs")
 
 
