@@ -40,6 +40,7 @@ THRESHOLD = 0.8
 BANDS = 20
 ROWS = 4
 SMALL_BUCKET = 32
+TURNS = 3  # of comparing across classes, with what the turn before has joined
 SPLITS = 10  # further bands that split a large bucket
 SLICE_BYTES = 2_000_000
 # Broadcast of at most this many 16-byte text keys; beyond it, shuffle joins.
@@ -262,10 +263,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                    .distinct(), "pairs")
     links = stored(verified(pairs, nodes, docs, id_col, text_col, threshold), "links")
     labels = components(links.select("u", "v"))
-    more = _across_classes(hits, banded, labels, pairs, small)
-    if not more.isEmpty():
+    for turn in range(TURNS):
+        more = _across_classes(hits, banded, labels, pairs, small, turn)
+        if more.isEmpty():
+            break
         found = stored(verified(more, nodes, docs, id_col, text_col, threshold), "links")
-        labels = components(links.union(found).select("u", "v"))
+        if found.isEmpty():
+            break
+        links, pairs = links.union(found), pairs.union(more)
+        labels = components(links.select("u", "v"))
     classes = member.join(labels.select(F.col("node").alias("rep"), "label"), "rep", "left").select(
         "node", "doc_id", "text_key", F.coalesce("label", "rep").alias("class_id"))
     classes = stored(classes, "classes")
@@ -281,13 +287,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def _across_classes(hits: DataFrame, banded: DataFrame, labels: DataFrame, done: DataFrame,
-                    small: int) -> DataFrame:
+                    small: int, turn: int = 0) -> DataFrame:
     """Pairs of one bucket whose classes differ, as far as not compared before.
 
     Buckets of up to ``small`` nodes give all their pairs.  Larger ones are split
     by further bands; in a part that is still large each node is compared with one
     of it, drawn by a hash that differs from part to part.  A node is in up to
-    ``BANDS * SPLITS`` parts, so it meets many others, and pairs stay linear.
+    ``BANDS * SPLITS`` parts, so it meets many others, and pairs stay linear.  The
+    draw also differs from ``turn`` to turn.
     """
     labelled = hits.join(labels, "node", "left").select(
         "key", "node", F.coalesce("label", "node").alias("label"))
@@ -300,7 +307,7 @@ def _across_classes(hits: DataFrame, banded: DataFrame, labels: DataFrame, done:
     parts = _mixed(parts)
     out = _all_pairs(mixed.filter(F.col("n") <= small)).union(_all_pairs(parts.filter(F.col("n") <= small)))
     large = stored(parts.filter(F.col("n") > small), "large")
-    rank = F.xxhash64("node", "key")
+    rank = F.xxhash64("node", "key", F.lit(turn))
     heads = large.groupBy("key").agg(F.min(rank).alias("rank"))
     centre = large.join(heads, "key").filter(rank == F.col("rank")).select(
         "key", F.col("node").alias("head"), F.col("label").alias("of"))
