@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from opsfold.llm.frames import shared_folder
+from opsfold.llm.hashing import slices
 from opsfold.llm.tokens import default_tokenizer, encoder
 
 MAGIC = b"WMX1"
@@ -198,10 +199,10 @@ def write_shards(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
 
         for batch in batches:
             kinds = batch.column(0).type
-            for a in range(0, batch.num_rows, 500):
-                some = batch.slice(a, 500)
-                texts = ["" if t is None else t for t in some.column(1).to_pylist()]
-                for doc_id, tokens in zip(some.column(0).to_pylist(), encoder(file).encode(texts)):
+            texts = ["" if t is None else t for t in batch.column(1).to_pylist()]
+            doc_ids = batch.column(0).to_pylist()
+            for a, b in slices([len(t) for t in texts], 8_000_000):
+                for doc_id, tokens in zip(doc_ids[a:b], encoder(file).encode(texts[a:b])):
                     ids.append(doc_id)
                     data.append(tokens + end)
                     size += len(tokens) + 4
