@@ -26,14 +26,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from opsfold.llm.frames import stored
 from opsfold.llm.hashing import PUNCTUATION, SPACE, U64, Words, mix, slices
 
 MAX_TRAIN = 10_000
 MAX_FEATURES = 600
 MIN_DOCS = 3
 FOLDS = 5
-THRESHOLD = 0.5
-SLICE_BYTES = 2_000_000
+THRESHOLD = 0.4
+SLICE_BYTES = 1_000_000
 SHAPES = 5
 SEPARATORS = SPACE + PUNCTUATION
 PREFIXES = (4, 6)  # bytes
@@ -135,39 +136,38 @@ def _chained(z: np.ndarray) -> np.ndarray:
     return np.clip(z, -6, 6)[:, None].astype(np.float32) / 6
 
 
-def choose_words(owner: np.ndarray, hashes: np.ndarray, y: np.ndarray, most: int) -> tuple:
+def choose_words(words: np.ndarray, docs: np.ndarray, with_word: np.ndarray, positive: np.ndarray,
+                 n: int, most: int) -> tuple[np.ndarray, np.ndarray]:
     """Words whose share of documents differs most between the classes of any category,
-    and their shares."""
-    words, at = np.unique(hashes, return_inverse=True)
-    docs = np.bincount(at, minlength=len(words))
-    best = np.zeros(len(words))
-    for j in range(y.shape[1]):
-        pos, neg = max(y[:, j].sum(), 1), max((1 - y[:, j]).sum(), 1)
-        with_word = np.bincount(at, weights=y[owner, j], minlength=len(words))
-        a, b = (with_word + 0.5) / (pos + 1), (docs - with_word + 0.5) / (neg + 1)
-        mean = (docs + 1) / (len(y) + 2)
+    and their shares.
+
+    ``docs`` counts the documents of each word, ``with_word`` those of each category
+    (a column each), ``positive`` all documents of each category, ``n`` all documents.
+    """
+    chosen = np.zeros(len(words), dtype=bool)
+    for j in range(len(positive)):
+        pos, neg = max(positive[j], 1), max(n - positive[j], 1)
+        a, b = (with_word[:, j] + 0.5) / (pos + 1), (docs - with_word[:, j] + 0.5) / (neg + 1)
+        mean = (docs + 1) / (n + 2)
         z = np.abs(a - b) / np.sqrt(mean * (1 - mean) * (1 / pos + 1 / neg))
-        top = np.argsort(-np.where(docs >= MIN_DOCS, z, 0), kind="stable")[:most // y.shape[1]]
-        best[top] = np.maximum(best[top], z[top])
-    chosen = (best > 3) & (docs >= MIN_DOCS)
-    return words[chosen], docs[chosen] / max(len(y), 1)
+        top = np.argsort(-z, kind="stable")[:most // len(positive)]
+        chosen[top[(z[top] > 3) & (docs[top] >= MIN_DOCS)]] = True
+    order = np.flatnonzero(chosen)[np.argsort(words[chosen])]
+    return words[order], docs[order] / max(n, 1)
 
 
-def fit_chain(names: list[str], texts: list[str], y: np.ndarray,
-              max_features: int = MAX_FEATURES, folds: int = FOLDS) -> Chain:
-    """Fit the chain to texts and their 0/1 labels (a column per category)."""
-    y = np.asarray(y, dtype=float).reshape(len(texts), len(names))
-    features = text_features(texts)
-    shapes = features[2]
-    center = shapes.mean(axis=0) if len(texts) else np.zeros(SHAPES)
-    scale = shapes.std(axis=0) + 1e-6 if len(texts) else np.ones(SHAPES)
-    words, share = choose_words(*features[:2], y, max_features)
-    chain = Chain(list(names), words, (0.5 / np.sqrt(share)).astype(np.float32), center, scale)
-    x = chain.matrix(*features)
-    fold = np.arange(len(texts)) % folds
-    for j in range(len(names)):
+def _empty_chain(names: list[str], words: np.ndarray, share: np.ndarray, shapes: np.ndarray) -> Chain:
+    center = shapes.mean(axis=0) if len(shapes) else np.zeros(SHAPES)
+    scale = shapes.std(axis=0) + 1e-6 if len(shapes) else np.ones(SHAPES)
+    return Chain(list(names), words, (0.5 / np.sqrt(share)).astype(np.float32), center, scale)
+
+
+def _fit(chain: Chain, x: np.ndarray, y: np.ndarray, folds: int) -> Chain:
+    """Fit the models one after the other; later ones see out-of-fold logits of earlier ones."""
+    fold = np.arange(len(x)) % folds
+    for j in range(len(chain.names)):
         chain.weights.append(fit_linear(x, y[:, j]))
-        held = np.zeros(len(texts))
+        held = np.zeros(len(x))
         for f in range(folds):
             w = fit_linear(x[fold != f], y[fold != f, j])
             held[fold == f] = x[fold == f] @ w[:-1] + w[-1]
@@ -175,23 +175,80 @@ def fit_chain(names: list[str], texts: list[str], y: np.ndarray,
     return chain
 
 
+def fit_chain(names: list[str], texts: list[str], y: np.ndarray,
+              max_features: int = MAX_FEATURES, folds: int = FOLDS) -> Chain:
+    """Fit the chain to texts in memory and their 0/1 labels (a column per category)."""
+    y = np.asarray(y, dtype=float).reshape(len(texts), len(names))
+    owner, hashes, shapes = text_features(texts)
+    words, at = np.unique(hashes, return_inverse=True)
+    counts = [np.bincount(at, weights=w, minlength=len(words)) for w in (None, *y[owner].T)]
+    chosen = choose_words(words, counts[0], np.stack(counts[1:], axis=1), y.sum(axis=0), len(y),
+                          max_features)
+    chain = _empty_chain(names, *chosen, shapes)
+    return _fit(chain, chain.matrix(owner, hashes, shapes), y, folds)
+
+
 def train(docs: DataFrame, labels: DataFrame, categories: dict[str, Column],
           id_col: str = "doc_id", text_col: str = "text", max_train: int = MAX_TRAIN,
-          **options) -> Chain:
-    """Fit a chain on a sample of at most ``max_train`` labelled documents."""
-    names = list(categories)
+          max_features: int = MAX_FEATURES, folds: int = FOLDS) -> Chain:
+    """Fit a chain on a sample of at most ``max_train`` labelled documents.
+
+    The tasks count words and, once they are chosen, look up which of them each
+    document holds; the driver gets counts of words in ``MIN_DOCS`` documents or
+    more and the rows of the design matrix, both bounded by the sample.
+    """
+    names, ys = list(categories), [f"__y{j}" for j in range(len(categories))]
     marked = labels.select(F.col(id_col).alias("__id"),
-                           *(c.cast("int").alias(f"__y{j}") for j, c in enumerate(categories.values())))
-    marked = marked.dropna().groupBy("__id").agg(*(F.max(f"__y{j}").alias(f"__y{j}")
-                                                   for j in range(len(names))))
+                           *(c.cast("int").alias(y) for c, y in zip(categories.values(), ys)))
+    marked = marked.dropna().groupBy("__id").agg(*(F.max(y).alias(y) for y in ys))
     sample = marked.orderBy(F.xxhash64("__id"), "__id").limit(max_train)
-    rows = (docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__text"))
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    rows = (docs.select(F.col(id_col).alias("__id"), text.alias("__text"))
             .join(F.broadcast(sample), "__id").dropDuplicates(["__id"]))  # sample: max_train rows
-    table = rows.orderBy(F.xxhash64("__id")).limit(max_train).toArrow()
-    texts = ["" if t is None else t for t in table["__text"].to_pylist()]
-    y = np.stack([np.asarray(table[f"__y{j}"].to_pylist(), dtype=float)
-                  for j in range(len(names))], axis=1)
-    return fit_chain(names, texts, y, **options)
+    rows = stored(rows.orderBy(F.xxhash64("__id"), "__id").limit(max_train)
+                  .repartition(max(1, max_train // 1000)), "sample").select("__text", *ys)
+
+    def words_of(batches):
+        for batch in batches:
+            texts = batch.column(0).to_pylist()
+            for a, b in slices([len(t) for t in texts], SLICE_BYTES):
+                owner, hashes, _ = text_features(texts[a:b])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(hashes.view(np.int64)),
+                     *(batch.column(y).slice(a, b - a).take(pa.array(owner)) for y in ys)],
+                    names=["word", *ys])
+
+    counts = (rows.mapInArrow(words_of, "word long, " + ", ".join(f"{y} int" for y in ys))
+              .groupBy("word").agg(F.count(F.lit(1)).alias("docs"),
+                                   *(F.sum(y).cast("long").alias(y) for y in ys))
+              .filter(F.col("docs") >= MIN_DOCS).toArrow())
+    y = np.array(rows.select(*ys).collect(), dtype=float).reshape(-1, len(ys))
+    with_word = np.stack([counts[c].to_numpy() for c in ys], axis=1).reshape(-1, len(ys))
+    words, share = choose_words(counts["word"].to_numpy().view(U64), counts["docs"].to_numpy(),
+                                with_word, y.sum(axis=0), len(y), max_features)
+    lookup = _empty_chain(names, words, share, np.empty((0, SHAPES)))
+
+    def design(batches):
+        for batch in batches:
+            texts = batch.column(0).to_pylist()
+            for a, b in slices([len(t) for t in texts], SLICE_BYTES):
+                owner, hashes, shapes = text_features(texts[a:b])
+                x = lookup.matrix(owner, hashes, shapes)[:, :len(words)]
+                held = [np.flatnonzero(r) for r in x]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(held, pa.list_(pa.int32())), pa.array(list(shapes), pa.list_(pa.float64())),
+                     *(batch.column(y).slice(a, b - a) for y in ys)],
+                    names=["held", "shapes", *ys])
+
+    table = rows.mapInArrow(design, "held array<int>, shapes array<double>, "
+                            + ", ".join(f"{y} int" for y in ys)).toArrow()
+    y = np.stack([table[c].to_numpy().astype(float) for c in ys], axis=1).reshape(-1, len(ys))
+    shapes = np.array(table["shapes"].to_pylist(), dtype=float).reshape(-1, SHAPES)
+    chain = _empty_chain(names, words, share, shapes)
+    held = table["held"].to_pylist()
+    owner = np.repeat(np.arange(len(held)), [len(h) for h in held]).astype(np.int64)
+    hashes = words[np.array([i for h in held for i in h], dtype=np.int64)]
+    return _fit(chain, chain.matrix(owner, hashes, shapes), y, folds)
 
 
 def _score_batches(batches, chain: Chain, column: int):
