@@ -398,7 +398,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 # --------------------------------------------------------------- oracle side
 
 def _r(expr: str, alias: str) -> str:
-    return f"round(round({expr}, {GUARD_DIGITS}), {DIGITS}) + 0.0::double as {alias}"
+    # Through a decimal, so that halves round away from zero as Spark's do.
+    guarded = f"cast(round({expr}, {GUARD_DIGITS}) as decimal(38, {GUARD_DIGITS}))"
+    return f"cast(round({guarded}, {DIGITS}) as double) + 0.0::double as {alias}"
 
 
 _ERR = "case when status_code >= 500 then 1.0::double else 0.0::double end"
