@@ -7,7 +7,18 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opsfold.config import checkpoint_dir
+from opsfold.config import checkpoint_dir, configure
+
+
+# Texts vary from a few bytes to many megabytes; small batches keep what a task holds small.
+BATCH_ROWS = 1000
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """Session settings that the operators rely on."""
+    configure(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return spark
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from opsfold.config import configure
 from opsfold.llm import decontaminate, neardup, passages, repeats, tokencount, toxicity
-from opsfold.llm.frames import documents
+from opsfold.llm.frames import documents, prepare
 from opsfold.llm.linefreq import line_frequency_filter
 from opsfold.llm.packing import pack
 from opsfold.llm.sharding import shard_rows
@@ -14,55 +13,55 @@ SHARDS = 40
 
 
 def op1_feistel_sharding(spark, sf_dir):
-    configure(spark)
+    prepare(spark)
     return shard_rows(documents(spark, sf_dir), SHARDS)
 
 
 def op2_near_duplicate_passages(spark, sf_dir):
-    configure(spark)
+    prepare(spark)
     return passages.near_duplicate_passages(documents(spark, sf_dir))
 
 
 def op3_near_duplicates(spark, sf_dir):
-    configure(spark)
+    prepare(spark)
     found = neardup.near_duplicates(documents(spark, sf_dir))
     return found.select("doc_id", "class_id", "class_size", "is_kept")
 
 
 def op4_toxicity(spark, sf_dir):
-    configure(spark)
+    prepare(spark)
     docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
     return toxicity.score(docs, toxicity.train(docs, labels, toxicity.label_categories()))
 
 
 def op5_best_fit_packing(spark, sf_dir):
-    configure(spark)
+    prepare(spark)
     return pack(documents(spark, sf_dir))
 
 
 def op6_decontamination(spark, sf_dir):
-    configure(spark)
+    prepare(spark)
     return decontaminate.matches(documents(spark, sf_dir),
                                  spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def op7_line_frequency(spark, sf_dir):
-    configure(spark)
+    prepare(spark)
     return line_frequency_filter(documents(spark, sf_dir))
 
 
 def op8_wavelet_tokens(spark, sf_dir):
-    configure(spark)
+    prepare(spark)
     return write_and_read(documents(spark, sf_dir))
 
 
 def op9_repeated_bytes(spark, sf_dir):
-    configure(spark)
+    prepare(spark)
     return repeats.repeated_bytes(documents(spark, sf_dir)).drop("spans")
 
 
 def op10_edited_token_counts(spark, sf_dir):
-    configure(spark)
+    prepare(spark)
     return tokencount.edited_counts(documents(spark, sf_dir))
 
 

@@ -49,7 +49,7 @@ class PieceEncoder:
     older one is dropped when the younger is full, so memory stays bounded.
     """
 
-    def __init__(self, path: str, max_entries: int = 1_000_000):
+    def __init__(self, path: str, max_entries: int = 600_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
