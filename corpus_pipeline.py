@@ -10,9 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opsfold.config import configure
 from opsfold.llm import decontaminate, neardup, packing, repeats, toxicity
-from opsfold.llm.frames import documents, shared_folder
+from opsfold.llm.frames import documents, prepare, shared_folder
 
 #: No SQL: classifiers, min-hashing and tokenizers have none; tests use plain versions.
 ORACLE_SQL = None
@@ -20,6 +19,7 @@ ORACLE_SQL = None
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the chain, trained on the label table, finds toxic go."""
+    prepare(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     chain = toxicity.train(docs, labels, toxicity.label_categories())
     return toxicity.below(docs, chain, "toxic")
@@ -27,11 +27,13 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate class stays."""
+    prepare(spark)
     return neardup.deduplicated(docs)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Bytes of strings that start earlier go; documents left without text go too."""
+    prepare(spark)
     cut = repeats.without_repeats(docs.withColumn("__had", F.length("text") > 0))
     left = cut.filter(~F.col("__had") | F.col("__had").isNull() | (F.length("text") > 0)).drop("__had")
     return left.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
@@ -39,11 +41,13 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
+    prepare(spark)
     return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents with their sequence and offset."""
+    prepare(spark)
     return packing.pack(docs)
 
 
@@ -53,7 +57,7 @@ STAGES = [("toxicity", drop_toxic), ("near_duplicates", drop_near_duplicates),
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    configure(spark)
+    prepare(spark)
     docs = documents(spark, sf_dir)
     for name, stage in STAGES:
         path = shared_folder(spark, f"stage-{name}")
