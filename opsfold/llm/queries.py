@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from opsfold.llm import decontaminate, neardup, passages, repeats, tokencount, toxicity
+from opsfold.llm import decontaminate, linefreq, neardup, passages, repeats, tokencount, toxicity
 from opsfold.llm.frames import documents, prepare
-from opsfold.llm.linefreq import line_frequency_filter
 from opsfold.llm.packing import pack
 from opsfold.llm.sharding import shard_rows
 from opsfold.llm.wavelet import write_and_read
@@ -47,7 +46,7 @@ def op6_decontamination(spark, sf_dir):
 
 def op7_line_frequency(spark, sf_dir):
     prepare(spark)
-    return line_frequency_filter(documents(spark, sf_dir))
+    return linefreq.line_frequency_filter(documents(spark, sf_dir))
 
 
 def op8_wavelet_tokens(spark, sf_dir):
@@ -72,5 +71,39 @@ def queries():
         op9_repeated_bytes, op10_edited_token_counts)}
 
 
+# Plain SQL for the line-frequency query: windows of eight words are unnested and grouped.
+LINE_FREQUENCY_SQL = rf"""
+with d as (select doc_id, source, coalesce(text, '') as t from documents),
+w as (select *, list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') as ws,
+             list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as ls
+      from d),
+at8 as (select doc_id, ws, unnest(generate_series(1, len(ws) - 7)) as i from w),
+win as (select doc_id, i, array_to_string(ws[i:i + 7], ' ') as k from at8),
+twice as (select doc_id, k from win group by doc_id, k having count(*) > 1),
+inside as (select distinct doc_id, unnest(generate_series(i, i + 7)) as j
+           from win join twice using (doc_id, k)),
+covered as (select doc_id, count(*) as n from inside group by doc_id),
+lines as (select doc_id, source, t,
+                 trim(regexp_replace(lower(unnest(ls)), '[\x20\x09-\x0D]+', ' ', 'g')) as line from w),
+limits as (select source, greatest({linefreq.MIN_DOCS}, count(distinct t) * {linefreq.MAX_SHARE}) as most
+           from d group by source),
+frequent as (select source, line from lines join limits using (source)
+             group by source, line, most having count(distinct t) > most),
+removed as (select doc_id, sum(length(line) - length(replace(line, ' ', '')) + 1) as n
+            from lines join frequent using (source, line) group by doc_id),
+c as (select w.doc_id, cast(len(ws) as bigint) as n_words,
+             cast(length(array_to_string(ws, '')) as bigint) as word_chars,
+             cast(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) as bigint) as n_symbols,
+             cast(len(ls) - len(list_distinct(ls)) as bigint) as n_dup_lines,
+             cast(coalesce(covered.n, 0) as bigint) as n_repeat_words,
+             cast(coalesce(removed.n, 0) as bigint) as n_removed_words
+      from w left join covered using (doc_id) left join removed using (doc_id)),
+f as (select *, n_words < {linefreq.MIN_WORDS}
+                or 100 * n_repeat_words > {linefreq.MAX_REPEAT_PERCENT} * n_words as base_failed from c)
+select *, not base_failed and n_words - n_removed_words >= {linefreq.MIN_KEPT_WORDS}
+          and n_words - n_removed_words >= {linefreq.MIN_KEPT_SHARE} * n_words as kept
+from f"""
+
+
 def oracle_sql():
-    return {}
+    return {"op7_line_frequency": LINE_FREQUENCY_SQL}
