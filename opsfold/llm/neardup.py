@@ -39,8 +39,8 @@ SHINGLE = 5
 THRESHOLD = 0.8
 BANDS = 20
 ROWS = 4
-SMALL_BUCKET = 32
-TURNS = 3  # of comparing across classes, with what the turn before has joined
+SMALL_BUCKET = 16
+TURNS = 2  # of comparing across classes, with what the turn before has joined
 SPLITS = 10  # further bands that split a large bucket
 SLICE_BYTES = 2_000_000
 # Broadcast of at most this many 16-byte text keys; beyond it, shuffle joins.
