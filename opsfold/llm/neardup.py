@@ -15,8 +15,8 @@ threshold make classes.
 Work per bucket stays linear.  Equal texts are one node.  In each bucket every
 node is compared with the bucket's least node; what that links is one class.
 Only buckets that still hold several classes compare across classes: pair by
-pair up to ``small`` nodes; larger ones are first split by further bands, and
-in parts that are large even then each node meets one drawn by a hash.
+pair up to ``small`` nodes; in larger ones some drawn pairs join classes first, and
+what is left is joined on rare shingles, a filter that loses no pair of the threshold.
 
 Cases: null and empty texts are copies of each other; a text of fewer than five
 words is one shingle of all its words; repeated rows are copies; null ids are
@@ -39,8 +39,8 @@ SHINGLE = 5
 THRESHOLD = 0.8
 BANDS = 20
 ROWS = 4
-SMALL_BUCKET = 16
-TURNS = 2  # of comparing across classes, with what the turn before has joined
+SMALL_BUCKET = 32
+TURNS = 3  # of drawing pairs across classes, with what the turn before has joined
 SPLITS = 10  # further bands that split a large bucket
 SLICE_BYTES = 2_000_000
 # Broadcast of at most this many 16-byte text keys; beyond it, shuffle joins.
@@ -268,10 +268,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         if more.isEmpty():
             break
         found = stored(verified(more, nodes, docs, id_col, text_col, threshold), "links")
+        links, pairs = links.union(found), pairs.union(more)
         if found.isEmpty():
             break
-        links, pairs = links.union(found), pairs.union(more)
         labels = components(links.select("u", "v"))
+    rest = _rest_of_large(hits, labels, pairs, nodes, docs, id_col, text_col, threshold, small)
+    if not rest.isEmpty():
+        found = stored(verified(rest, nodes, docs, id_col, text_col, threshold), "links")
+        labels = components(links.union(found).select("u", "v"))
     classes = member.join(labels.select(F.col("node").alias("rep"), "label"), "rep", "left").select(
         "node", "doc_id", "text_key", F.coalesce("label", "rep").alias("class_id"))
     classes = stored(classes, "classes")
@@ -294,7 +298,7 @@ def _across_classes(hits: DataFrame, banded: DataFrame, labels: DataFrame, done:
     by further bands; in a part that is still large each node is compared with one
     of it, drawn by a hash that differs from part to part.  A node is in up to
     ``BANDS * SPLITS`` parts, so it meets many others, and pairs stay linear.  The
-    draw also differs from ``turn`` to turn.
+    draw also differs from ``turn`` to turn.  ``_rest_of_large`` gives all others.
     """
     labelled = hits.join(labels, "node", "left").select(
         "key", "node", F.coalesce("label", "node").alias("label"))
@@ -316,6 +320,63 @@ def _across_classes(hits: DataFrame, banded: DataFrame, labels: DataFrame, done:
     return stored(out.distinct().join(done, ["u", "v"], "left_anti"), "pairs")
 
 
+def _prefixes(rows: DataFrame, threshold: float) -> DataFrame:
+    """key, node, label, size, flat: the rarest shingles of each node, which others have too.
+
+    J_P is at most the sum over common i of min(w_i / sum w, v_i / sum v).  With
+    shingles in one order for all nodes, take of each the first ones, up to where
+    less than ``threshold`` of its weight is left: two nodes without a common one
+    among these share less than ``threshold``.
+    """
+    each = rows.select("node", "label", F.explode(F.arrays_zip("shingles", "counts")).alias("x")).select(
+        "node", "label", F.col("x.shingles").alias("key"), F.col("x.counts").alias("count"))
+    of = each.groupBy("key").agg(F.count(F.lit(1)).alias("of"))
+    ranked = each.join(of, "key").groupBy("node", "label").agg(
+        F.array_sort(F.collect_list(F.struct("of", "key", "count"))).alias("x"))
+    ranked = ranked.select("node", "label", "x.of", "x.key", "x.count")
+
+    def run(batches):
+        for batch in batches:
+            rows = [[], [], [], [], []]
+            for node, label, of, key, count in zip(*batch.columns):
+                count = count.values.to_numpy()
+                left = np.cumsum(count[::-1])[::-1] / count.sum()
+                at = np.flatnonzero((left >= threshold - 1e-9) & (of.values.to_numpy() > 1))
+                for out, x in zip(rows, (key.values.to_numpy()[at], node.as_py(), label.as_py(),
+                                         len(count), count.max() == 1)):
+                    out.append(np.broadcast_to(x, len(at)))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(x) if x else [], kind) for x, kind in zip(
+                    rows, (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_()))],
+                names=["key", "node", "label", "size", "flat"])
+
+    return ranked.mapInArrow(run, "key long, node long, label long, size int, flat boolean")
+
+
+def _rest_of_large(hits: DataFrame, labels: DataFrame, done: DataFrame, nodes: DataFrame,
+                   docs: DataFrame, id_col: str, text_col: str, threshold: float,
+                   small: int) -> DataFrame:
+    """All pairs across classes of large buckets that may reach ``threshold``, not compared before."""
+    labelled = hits.join(labels, "node", "left").select(
+        "key", "node", F.coalesce("label", "node").alias("label"))
+    ends = stored(_mixed(labelled).filter(F.col("n") > small).select("node", "label").distinct(), "rest")
+    if ends.isEmpty():
+        return done.limit(0)
+    wanted = stored(nodes.join(ends, "node", "left_semi").select(
+        "node", F.col("doc_id").alias("id"), F.col("text_key").alias("key")), "wanted")
+    rows = _shingle_rows(docs, wanted, id_col, text_col).dropDuplicates(["node"])
+    rows = stored(rows.join(ends, "node"), "shingles")
+    prefixes = stored(_prefixes(rows, threshold), "prefixes")
+    prefixes = _mixed(prefixes)
+    a, b = prefixes.alias("a"), prefixes.alias("b")
+    sizes = F.least("a.size", "b.size") >= (threshold - 1e-9) * F.greatest("a.size", "b.size")
+    pairs = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.node") < F.col("b.node"))
+                   & (F.col("a.label") != F.col("b.label"))
+                   & (~F.col("a.flat") | ~F.col("b.flat") | sizes))
+    pairs = pairs.select(F.col("a.node").alias("u"), F.col("b.node").alias("v")).distinct()
+    return stored(pairs.join(done, ["u", "v"], "left_anti"), "pairs")
+
+
 def _all_pairs(rows: DataFrame) -> DataFrame:
     """Pairs across classes of buckets of bounded size."""
     a = rows.select("key", F.col("node").alias("u"), F.col("label").alias("a"))

@@ -130,6 +130,23 @@ def test_near_duplicate_classes(spark):
     assert all(r.class_size == len(next(c for c in want if r.doc_id in c)) for r in got)
 
 
+def test_no_link_is_lost_in_a_large_bucket(spark):
+    rng = random.Random(17)
+    template, texts = prose(rng, 150), []
+    for _ in range(80):
+        own = prose(rng, 30)
+        texts += [edited(rng, template, k) + " " + own for k in (1, 2)]
+    found = neardup.weighted_shingles([t.lower().encode() for t in texts])
+    keys = neardup.band_keys(neardup.prob_minhash(*found, len(texts), 2), 2, 1)
+    sets = [set(shingles(t)) for t in texts]
+    want = {(i, j) for j in range(len(texts)) for i in range(j) if (keys[i] == keys[j]).any()
+            and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])}
+    got = neardup.near_duplicates(frame(spark, texts), bands=2, rows=1, small=4).collect()
+    label = {r.doc_id: r.class_id for r in got}
+    assert len(want) > 40 and len(set(label.values())) > 40
+    assert [p for p in want if label[p[0]] != label[p[1]]] == []
+
+
 def test_one_of_each_class_stays(spark):
     texts = near_texts()
     docs = frame(spark, texts)
