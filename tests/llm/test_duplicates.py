@@ -242,6 +242,16 @@ def test_planted_passages_are_found(spark):
         assert r.similarity >= 0.8
 
 
+def test_neighbouring_passages_set_apart_are_found():
+    rng = random.Random(41)
+    p, q = prose(rng, 60), prose(rng, 60)
+    u, v = f"{p} {q}".encode(), f"{p} {prose(rng, 30)} {q}".encode()
+    for a, b in ((u, v), (v, u)):
+        got = passages.passages(a, b, 50, 0.8)
+        assert sorted(a[x:y].decode() for x, y, *_ in got) == sorted((p, q))
+        assert all(a[x:y] == b[z:w] and s == 1 for x, y, z, w, s in got)
+
+
 def test_passages_of_awkward_rows(spark):
     got = passages.near_duplicate_passages(awkward(spark)).collect()
     assert {r.kind for r in got} <= {"copy", "passage"}
