@@ -242,6 +242,24 @@ def test_planted_passages_are_found(spark):
         assert r.similarity >= 0.8
 
 
+def test_passages_at_the_threshold_agree_in_enough_functions():
+    rng = random.Random(43)
+    missed = 0
+    for _ in range(400):  # 50 words, one changed in the middle: 41 of 51 shingles
+        words = prose(rng, 50).split(" ")
+        other = [*words[:25], prose(rng, 1), *words[26:]]
+        w = passages.Words([" ".join(x).encode() for x in (words, other)], passages.SPACE)
+        sh, first = w.shingles(5)
+        one, two = set(sh[:first[1]].tolist()), set(sh[first[1]:].tolist())
+        assert len(one & two) / len(one | two) == pytest.approx(41 / 51)
+        agree = 0
+        for f in range(passages.FUNCTIONS):
+            text, *_, key = passages.compact_windows(sh, first, 46, f)
+            agree += bool(set(key[text == 0]) & set(key[text == 1]))
+        missed += agree < passages.MIN_FUNCTIONS
+    assert missed == 0
+
+
 def test_neighbouring_passages_set_apart_are_found():
     rng = random.Random(41)
     p, q = prose(rng, 60), prose(rng, 60)
