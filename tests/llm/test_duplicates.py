@@ -260,6 +260,23 @@ def test_passages_at_the_threshold_agree_in_enough_functions():
     assert missed == 0
 
 
+def test_edited_passages_are_found_as_by_all_pairs(spark):
+    rng = random.Random(47)
+    texts = []
+    for n in (50, 55, 60, 80, 150):
+        for _ in range(4):
+            body = prose(rng, n)
+            for changes in (0, 1, 2, n // 40, n // 25):
+                texts.append(f"{prose(rng, 12)} {edited(rng, body, changes)} {prose(rng, 9)}")
+    got = passages.near_duplicate_passages(frame(spark, texts)).collect()
+    label = {x: r.class_id for r in got for x in (r.doc_id, r.other_doc_id)}
+    data = [t.encode() for t in texts]
+    want = [(i, j) for j in range(len(texts)) for i in range(j)
+            if passages.passages(data[i], data[j], 50, 0.8)]
+    assert len(want) > 60
+    assert [p for p in want if p[0] not in label or label[p[0]] != label.get(p[1])] == []
+
+
 def test_neighbouring_passages_set_apart_are_found():
     rng = random.Random(41)
     p, q = prose(rng, 60), prose(rng, 60)
