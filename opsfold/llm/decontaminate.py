@@ -8,7 +8,8 @@ and Myers' algorithm computes the exact distance around each of them.
 
 Items are taken in blocks of bounded size, all documents against each block.
 
-Cases: null or blank items, and items shorter than ``min_chars``, match nothing;
+Cases: null or blank items match nothing; items shorter than ``min_chars`` match
+word for word, not inside of longer words;
 null and empty texts hold nothing; items with equal texts each get their rows;
 repeated documents each get theirs; an empty table on either side gives no
 matches; only id and text are read, and ``clean`` keeps all columns.
@@ -71,14 +72,20 @@ def _myers(masks: dict[str, int], m: int, text: str) -> tuple[int, int]:
     return best, end
 
 
+def _whole_words(text: str, start: int, end: int) -> bool:
+    """Whether no letter or digit at an edge of the range goes on outside of it."""
+    return not ((start > 0 and text[start - 1].isalnum() and text[start].isalnum())
+                or (end < len(text) and text[end - 1].isalnum() and text[end].isalnum()))
+
+
 class Matcher:
     """Finds the items of one block in normalised texts."""
 
-    def __init__(self, items: list[tuple[object, str]], error_rate: float):
+    def __init__(self, items: list[tuple[object, str]], error_rate: float, min_chars: int = MIN_CHARS):
         import ahocorasick
 
-        self.items = items
-        self.budgets = [int(error_rate * len(t)) for _, t in items]
+        self.items, self.min_chars = items, min_chars
+        self.budgets = [int(error_rate * len(t)) if len(t) >= min_chars else 0 for _, t in items]
         self.masks = [(_masks(t), _masks(t[::-1])) for _, t in items]
         places = defaultdict(list)
         for i, (_, t) in enumerate(items):
@@ -102,6 +109,11 @@ class Matcher:
         out = []
         for i, starts in spots.items():
             item, k = self.items[i][1], self.budgets[i]
+            if len(item) < self.min_chars:
+                whole = [s for s in starts if _whole_words(text, s, s + len(item))]
+                if whole:
+                    out.append((i, 0, min(whole), min(whole) + len(item)))
+                continue
             windows: list[list[int]] = []
             for s in sorted(starts):
                 a, b = max(0, s - k), min(len(text), s + len(item) + k)
@@ -124,17 +136,17 @@ class Matcher:
 _matchers: dict[tuple, Matcher] = {}
 
 
-def _matcher(items: list[tuple[object, str]], error_rate: float) -> Matcher:
+def _matcher(items: list[tuple[object, str]], error_rate: float, min_chars: int) -> Matcher:
     """One matcher per worker process: that of the block it works on."""
-    key = (os.getpid(), error_rate, hash(tuple(items)))
+    key = (os.getpid(), error_rate, min_chars, hash(tuple(items)))
     if key not in _matchers:
         _matchers.clear()
-        _matchers[key] = Matcher(items, error_rate)
+        _matchers[key] = Matcher(items, error_rate, min_chars)
     return _matchers[key]
 
 
 def item_blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text",
-                min_chars: int = MIN_CHARS, block_chars: int = BLOCK_CHARS):
+                block_chars: int = BLOCK_CHARS):
     """The items, normalised, as lists of about ``block_chars`` characters in all."""
     rows = benchmark.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     rows = rows.filter(F.col("text").isNotNull())
@@ -143,7 +155,7 @@ def item_blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "
     for b in range(blocks):
         mine = rows.filter(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == b)
         items = [(r["id"], normalized(r["text"])) for r in mine.collect()]
-        yield [(i, t) for i, t in items if len(t) >= min_chars]
+        yield [(i, t) for i, t in items if t]
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -161,7 +173,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
 
     def against(items):
         def run(batches):
-            matcher = _matcher(items, error_rate)
+            matcher = _matcher(items, error_rate, min_chars)
             for batch in batches:
                 rows, found = [], []
                 for i, text in enumerate(batch.column(1)):
@@ -177,7 +189,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
 
     item_type = _arrow_type(schema["item_id"].dataType)
     out = None
-    for items in item_blocks(benchmark, item_col, item_text, min_chars, block_chars):
+    for items in item_blocks(benchmark, item_col, item_text, block_chars):
         found = against(items)
         out = found if out is None else out.unionByName(found)
     return out if out is not None else docs.sparkSession.createDataFrame([], schema)
@@ -191,13 +203,13 @@ def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_co
 
     def without(df, items):
         def run(batches):
-            matcher = _matcher(items, error_rate)
+            matcher = _matcher(items, error_rate, min_chars)
             for batch in batches:
                 keep = [not matcher.find(normalized(t.as_py())) for t in batch.column(at)]
                 yield batch.filter(pa.array(keep, pa.bool_()))
         return df.mapInArrow(run, df.schema)
 
-    for items in item_blocks(benchmark, item_col, item_text, min_chars, block_chars):
+    for items in item_blocks(benchmark, item_col, item_text, block_chars):
         docs = without(docs, items)
     return docs
 

@@ -120,6 +120,15 @@ def test_matches_equal_all_against_all(spark, block_chars):
     assert kept == {i for i, _ in docs} - {i for i, _ in want}
 
 
+def test_short_items_match_whole_words(spark):
+    d = spark.createDataFrame([(1, "So Paris,  France it is"), (2, "comparis, francename"), (3, "paris")],
+                              "doc_id long, text string")
+    b = spark.createDataFrame([(7, "paris, FRANCE"), (8, " "), (9, "Paris")], "item_id long, text string")
+    got = {(r.doc_id, r.item_id, r.distance, r.start, r.end) for r in decontaminate.matches(d, b).collect()}
+    assert got == {(1, 7, 0, 3, 16), (1, 9, 0, 3, 8), (3, 9, 0, 0, 5)}
+    assert {r.doc_id for r in decontaminate.clean(d, b).collect()} == {2}
+
+
 def test_benchmark_items_in_documents(spark):
     docs, bench = (spark.read.parquet(f"{SF001}/{t}.parquet") for t in ("documents", "benchmark"))
     got = {(r.doc_id, r.item_id) for r in decontaminate.matches(docs, bench).collect()}
