@@ -2,7 +2,16 @@
 
 from __future__ import annotations
 
-from opsfold.llm import decontaminate, linefreq, neardup, passages, repeats, tokencount, toxicity
+from opsfold.llm import (
+    decontaminate,
+    linededup,
+    linefreq,
+    neardup,
+    passages,
+    repeats,
+    tokencount,
+    toxicity,
+)
 from opsfold.llm.frames import documents, prepare
 from opsfold.llm.packing import pack
 from opsfold.llm.sharding import shard_rows
@@ -64,11 +73,16 @@ def op10_edited_token_counts(spark, sf_dir):
     return tokencount.edited_counts(documents(spark, sf_dir))
 
 
+def op13_line_dedup(spark, sf_dir):
+    prepare(spark)
+    return linededup.line_digests(documents(spark, sf_dir))
+
+
 def queries():
     return {f.__name__: f for f in (
         op1_feistel_sharding, op2_near_duplicate_passages, op3_near_duplicates, op4_toxicity,
         op5_best_fit_packing, op6_decontamination, op7_line_frequency, op8_wavelet_tokens,
-        op9_repeated_bytes, op10_edited_token_counts)}
+        op9_repeated_bytes, op10_edited_token_counts, op13_line_dedup)}
 
 
 # Plain SQL for the line-frequency query: windows of eight words are unnested and grouped.
@@ -105,5 +119,21 @@ select *, not base_failed and n_words - n_removed_words >= {linefreq.MIN_KEPT_WO
 from f"""
 
 
+# Rows are numbered, so that equal ids and texts stay documents of their own.
+LINE_DEDUP_SQL = rf"""
+with d as (select row_number() over () as r, doc_id,
+                  string_split(coalesce(text, ''), chr(10)) as ls from documents),
+l as (select r, unnest(ls) as line, unnest(generate_series(1, len(ls))) as pos from d),
+k as (select *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+                          '{linededup.UPPER}', '{linededup.LOWER}') as key from l),
+frequent as (select key from k where length(key) >= {linededup.MIN_CHARS}
+             group by key having count(distinct r) >= {linededup.MIN_DOCS}),
+m as (select k.*, f.key is null as stays from k left join frequent f on k.key = f.key)
+select any_value(d.doc_id) as doc_id, count(*) as n_lines,
+       count(*) filter (not stays) as n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) order by pos) filter (stays), '')) as kept_sha256
+from m join d using (r) group by r"""
+
+
 def oracle_sql():
-    return {"op7_line_frequency": LINE_FREQUENCY_SQL}
+    return {"op7_line_frequency": LINE_FREQUENCY_SQL, "op13_line_dedup": LINE_DEDUP_SQL}
