@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from opsfold.llm import (
+    alignment,
     decontaminate,
     linededup,
     linefreq,
     neardup,
     passages,
     repeats,
+    search,
     tokencount,
     toxicity,
 )
@@ -73,6 +75,16 @@ def op10_edited_token_counts(spark, sf_dir):
     return tokencount.edited_counts(documents(spark, sf_dir))
 
 
+def op11_token_alignment(spark, sf_dir):
+    prepare(spark)
+    return alignment.align(documents(spark, sf_dir))
+
+
+def op12_ranked_search(spark, sf_dir):
+    prepare(spark)
+    return search.search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op13_line_dedup(spark, sf_dir):
     prepare(spark)
     return linededup.line_digests(documents(spark, sf_dir))
@@ -82,7 +94,8 @@ def queries():
     return {f.__name__: f for f in (
         op1_feistel_sharding, op2_near_duplicate_passages, op3_near_duplicates, op4_toxicity,
         op5_best_fit_packing, op6_decontamination, op7_line_frequency, op8_wavelet_tokens,
-        op9_repeated_bytes, op10_edited_token_counts, op13_line_dedup)}
+        op9_repeated_bytes, op10_edited_token_counts, op11_token_alignment,
+        op12_ranked_search, op13_line_dedup)}
 
 
 # Plain SQL for the line-frequency query: windows of eight words are unnested and grouped.
@@ -135,5 +148,32 @@ select any_value(d.doc_id) as doc_id, count(*) as n_lines,
 from m join d using (r) group by r"""
 
 
+# Only A-Z are lower-cased; "documents" are numbered, as ids may repeat.
+RANKED_SEARCH_SQL = rf"""
+with d as (select row_number() over () as r, doc_id, regexp_extract_all(
+             translate(text, '{linededup.UPPER}', '{linededup.LOWER}'),
+             '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as ts from documents),
+t as (select r, unnest(ts) as term from d),
+tfs as (select r, term, count(*) as tf from t group by r, term),
+sizes as (select r, sum(tf)::bigint as n from tfs group by r),
+totals as (select count(*) as nn, sum(n)::bigint as ll from sizes),
+norms as (select r, 50 + ((50 * n * nn) // ll) as m from sizes, totals),
+dfs as (select term, count(*) as df from tfs group by term),
+items as (select row_number() over () as i, item_id, list_distinct(regexp_extract_all(
+            translate(text, '{linededup.UPPER}', '{linededup.LOWER}'),
+            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as ts from benchmark),
+wanted as (select i, item_id, unnest(ts) as term from items),
+weighed as (select i, item_id, term,
+                   floor(1000 * ln((2 * nn + 2)::double / (2 * df + 1)::double))::bigint as w
+            from wanted join dfs using (term), totals),
+scores as (select i, item_id, r, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::bigint as score
+           from weighed join tfs using (term) join norms using (r) group by i, item_id, r),
+ranked as (select item_id, row_number() over (partition by i order by score desc,
+                                              doc_id nulls first)::integer as rank, doc_id, score
+           from scores join d using (r) where score > 0)
+select item_id, rank, doc_id, score from ranked where rank <= {search.TOP}"""
+
+
 def oracle_sql():
-    return {"op7_line_frequency": LINE_FREQUENCY_SQL, "op13_line_dedup": LINE_DEDUP_SQL}
+    return {"op7_line_frequency": LINE_FREQUENCY_SQL, "op12_ranked_search": RANKED_SEARCH_SQL,
+            "op13_line_dedup": LINE_DEDUP_SQL}
