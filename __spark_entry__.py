@@ -10,7 +10,7 @@ sides round double columns to 6 places, and Spark returns times as
 
 from __future__ import annotations
 
-import uuid
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,17 +19,35 @@ from pyspark.sql import types as T
 
 from opsfold.config import configure, shared_path
 from opsfold.operators.anomalies import anomalies, anomaly_scores, top_offenders
-from opsfold.operators.changes import change_impact, deployment_intervals
+from opsfold.operators.changes import (
+    attributed,
+    change_impact,
+    change_impact_asof,
+    deployment_intervals,
+)
 from opsfold.operators.enrich import enrich_logs
-from opsfold.operators.rollup import slo_daily, slo_hourly
+from opsfold.operators.heavy import heavy_hitters
+from opsfold.operators.rollup import PERCENTILES, slo_daily, slo_hourly
+from opsfold.operators.selection import exact_quantile
 from opsfold.operators.sessions import (
+    TRACE_FLOW_FIELDS,
+    flow_arrays,
+    flow_steps,
     session_events,
     trace_flow_steps,
     trace_flows,
     user_session_steps,
     user_sessions,
 )
+from opsfold.operators.sketches import (
+    daily_from_hourly,
+    hourly_sketches,
+    merge_sketches,
+    percentiles_of,
+    rank_check,
+)
 from opsfold.operators.skew import (
+    _with_salt,
     endpoint_stats,
     hot_endpoint,
     partition_skew,
@@ -39,8 +57,17 @@ from opsfold.operators.skew import (
 from opsfold.plans import publish as pub
 from opsfold.plans.fixtures import fixture_inputs, oracle_prefix
 from opsfold.plans.pipeline import run_from_paths
-from opsfold.sources.readers import load_inputs, normalize_time
-from opsfold.sources.sinks import preview, trim_frame, validate_outputs
+from opsfold.sources.nanos import write_nanos
+from opsfold.sources.readers import coerce_counted, load_inputs, normalize_time
+from opsfold.sources.sinks import (
+    preview,
+    trim_dataset,
+    trim_frame,
+    validate_outputs,
+    write_bucketed,
+    write_parquet,
+    write_partitions,
+)
 
 try:  # the training-data operators are an optional part
     from opsfold.llm import queries as llm
@@ -54,12 +81,13 @@ except ImportError:
 SMOKE_DIR = "/root/testdata/sf0.001"
 DIGITS = 6
 GUARD_DIGITS = 9
-# percentile_approx is exact where a group has fewer rows than this.
-EXACT_ACCURACY = 1_000_000
 # Sub-chunk size for the skewed-fixture queries: small enough that the hot
 # user/trace (a third of all rows) is split even at sf0.01.
 HOT_TARGET_ROWS = 1000
 TRIM_1K = 1000
+FLOW_ARRAY_STEPS = 100
+HEAVY_SHARE = 0.005
+BUCKETS = 8
 
 
 def _finish(df: DataFrame) -> DataFrame:
@@ -80,8 +108,8 @@ def _enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich_logs(inputs.logs, inputs.hosts)
 
 
-def _enriched_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    inputs = fixture_inputs(spark, sf_dir, skewed=True)
+def _enriched_skewed(spark: SparkSession, sf_dir: str, skewed: bool | str = True) -> DataFrame:
+    inputs = fixture_inputs(spark, sf_dir, skewed=skewed)
     return enrich_logs(inputs.logs, inputs.hosts)
 
 
@@ -125,8 +153,7 @@ def q_session_events_hot_user(spark, sf_dir):
 
 
 def q_user_sessions_hot_user(spark, sf_dir):
-    return _finish(user_sessions(_enriched_skewed(spark, sf_dir), target_rows=HOT_TARGET_ROWS,
-                                 accuracy=EXACT_ACCURACY))
+    return _finish(user_sessions(_enriched_skewed(spark, sf_dir), target_rows=HOT_TARGET_ROWS))
 
 
 def q_user_session_steps_hot_user(spark, sf_dir):
@@ -178,7 +205,176 @@ def q_hot_endpoint(spark, sf_dir):
 
 
 def q_endpoint_stats(spark, sf_dir):
-    return _finish(endpoint_stats(_enriched(spark, sf_dir), accuracy=EXACT_ACCURACY))
+    # The p95 by exact selection: order buckets of an endpoint's rows, one of them ranked.
+    logs = _enriched(spark, sf_dir)
+    p95 = exact_quantile(logs, ["endpoint"], "latency_ms", 0.95, name="p95_latency_ms",
+                         target_rows=HOT_TARGET_ROWS)
+    return _finish(endpoint_stats(logs, with_p95=False).join(p95, "endpoint", "left"))
+
+
+def q_endpoint_p95_ranks(spark, sf_dir):
+    # percentile_approx as the products use it: within its bound of n / accuracy ranks.
+    logs = _enriched(spark, sf_dir)
+    found = endpoint_stats(logs).select("endpoint", F.col("p95_latency_ms").alias("q0"))
+    return _finish(rank_check(logs, found, ["endpoint"], [0.95]))
+
+
+def q_slo_daily_from_sketches(spark, sf_dir):
+    # The hourly sketches are written once; the days are built from that table alone.
+    path = shared_path(spark, "hourly-sketches")
+    write_parquet(hourly_sketches(_enriched(spark, sf_dir)), path)
+    return _finish(daily_from_hourly(spark.read.parquet(path)))
+
+
+def q_merged_percentile_ranks(spark, sf_dir):
+    logs = _enriched(spark, sf_dir)
+    path = shared_path(spark, "hourly-sketches")
+    write_parquet(hourly_sketches(logs), path)
+    merged = merge_sketches(spark.read.parquet(path), ["endpoint"])
+    found = merged.select("endpoint", *[c.alias(f"q{i}") for i, c in enumerate(
+        percentiles_of("latency_sketch", "latency_n", PERCENTILES))])
+    return _finish(rank_check(logs, found, ["endpoint"], PERCENTILES))
+
+
+def q_salted_p95_ranks(spark, sf_dir):
+    logs = _enriched(spark, sf_dir)
+    out = None
+    for buckets in (1, 4, 16, 64):
+        stats = salted_endpoint_stats(logs, salt_buckets=buckets, with_p95=True)
+        found = stats.select("endpoint", F.col("p95_latency_ms").alias("q0"))
+        part = (rank_check(logs, found, ["endpoint"], [0.95]).drop("quantile")
+                .join(stats.select("endpoint", "request_count", "avg_latency_ms"), "endpoint")
+                .withColumn("salt_buckets", F.lit(buckets)))
+        out = part if out is None else out.unionByName(part)
+    return _finish(out)
+
+
+def q_salt_spread(spark, sf_dir):
+    salted = _with_salt(_enriched(spark, sf_dir), 16)
+    return salted.groupBy("endpoint").agg(
+        F.count(F.lit(1)).alias("request_count"), F.count_distinct("salt").alias("n_salts"),
+        F.min("salt").alias("least_salt"), F.max("salt").alias("greatest_salt"))
+
+
+def q_change_impact_asof(spark, sf_dir):
+    inputs = fixture_inputs(spark, sf_dir)
+    return _finish(change_impact_asof(enrich_logs(inputs.logs, inputs.hosts), inputs.deployments))
+
+
+def q_change_impact_asof_hot_service(spark, sf_dir):
+    inputs = fixture_inputs(spark, sf_dir, skewed="service")
+    return _finish(change_impact_asof(enrich_logs(inputs.logs, inputs.hosts), inputs.deployments,
+                                      target_rows=HOT_TARGET_ROWS))
+
+
+def q_log_attribution(spark, sf_dir):
+    # The grain of single log rows: no hour buckets at all.
+    inputs = fixture_inputs(spark, sf_dir)
+    logs = inputs.logs.select("timestamp", "service", "endpoint", "trace_id", "status_code")
+    return _finish(attributed(logs, inputs.deployments, time="timestamp"))
+
+
+def _flow_rows(enriched, target_rows=None):
+    steps = trace_flow_steps(enriched, **({"target_rows": target_rows} if target_rows else {}))
+    arrays = flow_arrays(steps, ["trace_id"], TRACE_FLOW_FIELDS, max_steps=FLOW_ARRAY_STEPS)
+    return _finish(flow_steps(arrays, ["trace_id"], TRACE_FLOW_FIELDS))
+
+
+def q_trace_flow_arrays(spark, sf_dir):
+    return _flow_rows(_enriched(spark, sf_dir))
+
+
+def q_trace_flow_arrays_hot_trace(spark, sf_dir):
+    return _flow_rows(_enriched_skewed(spark, sf_dir), HOT_TARGET_ROWS)
+
+
+def q_trace_flow_array_sizes(spark, sf_dir):
+    steps = trace_flow_steps(_enriched_skewed(spark, sf_dir), target_rows=HOT_TARGET_ROWS)
+    arrays = flow_arrays(steps, ["trace_id"], TRACE_FLOW_FIELDS, max_steps=FLOW_ARRAY_STEPS)
+    return _finish(arrays.select("trace_id", "part", F.size("request_flow").alias("n_steps")))
+
+
+def q_anomaly_scores_split(spark, sf_dir):
+    # Rolling baselines over series cut into blocks: each block gets the rows before it too.
+    return _finish(anomaly_scores(_enriched(spark, sf_dir), target_rows=3))
+
+
+def q_heavy_users(spark, sf_dir):
+    logs = _enriched_skewed(spark, sf_dir)
+    total = logs.count()
+    heavy = heavy_hitters(logs, ["user_id"], int(total * HEAVY_SHARE), total)
+    return heavy.withColumnRenamed("_cnt", "request_count")
+
+
+def _by_user_table(spark, sf_dir, column):
+    table = f"opsfold_logs_by_{column}_" + hashlib.sha1(sf_dir.encode()).hexdigest()[:10]
+    return write_bucketed(_enriched(spark, sf_dir), table, shared_path(spark, "bucketed"),
+                          column, BUCKETS)
+
+
+def q_user_sessions_bucketed(spark, sf_dir):
+    return _finish(user_sessions(_by_user_table(spark, sf_dir, "user_id")))
+
+
+def q_trace_flow_steps_bucketed(spark, sf_dir):
+    return _finish(trace_flow_steps(_by_user_table(spark, sf_dir, "trace_id")))
+
+
+def q_slo_daily_rerun(spark, sf_dir):
+    # Late rows: the last day is first written from half of its logs, then run again by itself.
+    logs = _enriched(spark, sf_dir)
+    day = F.to_date("timestamp")
+    last = logs.agg(F.max(day)).first()[0]
+    path = shared_path(spark, "slo-daily")
+    early = logs.where((day < F.lit(last)) | (F.hour("timestamp") < 12))
+    by_day = lambda df: slo_daily(df).withColumn("day", F.col("time_bucket"))
+    write_partitions(by_day(early), path, ["day"])
+    write_partitions(by_day(logs.where(day == F.lit(last))), path, ["day"])
+    return _finish(spark.read.parquet(path).drop("day"))
+
+
+def q_enrich_logs_hybrid(spark, sf_dir):
+    # No broadcast of the host table: the hot host is joined by broadcast, the others by shuffle.
+    inputs = fixture_inputs(spark, sf_dir, skewed="host")
+    return _finish(enrich_logs(inputs.logs, inputs.hosts, max_broadcast_bytes=0,
+                               hot_rows=HOT_TARGET_ROWS))
+
+
+def q_nulled_cells(spark, sf_dir):
+    # Cells that the loader could not read, counted while the coerced rows are written.
+    e = _events(spark, sf_dir)
+    bad = lambda n, good: F.when(F.col("event_id") % n == 0, F.lit("?")).otherwise(good)
+    raw = e.select(
+        bad(50, F.col("ts").cast("string")).alias("timestamp"),
+        F.col("event_type").alias("service"), F.lit(None).cast("string").alias("host"),
+        F.col("event_type").alias("endpoint"), bad(7, F.lit("200")).alias("status_code"),
+        bad(11, F.col("value").cast("string")).alias("latency_ms"),
+        F.col("user_id").alias("user_id"), F.col("event_id").alias("trace_id"))
+    rows, seen = coerce_counted(raw)
+    write_parquet(rows, shared_path(spark, "coerced"))
+    counts = dict(seen.get)
+    total = counts.pop("rows")
+    return spark.createDataFrame([(c, n, total) for c, n in counts.items()],
+                                 "column string, nulled_cells long, total_rows long")
+
+
+def q_trim_report(spark, sf_dir):
+    root = shared_path(spark, "trim")
+    write_parquet(fixture_inputs(spark, sf_dir).logs, f"{root}/logs")
+    r = trim_dataset(spark, f"{root}/logs", f"{root}/trimmed", limit=TRIM_1K)
+    return spark.createDataFrame([(r.status, r.original_rows, r.kept_rows,
+                                   spark.read.parquet(r.target).count())],
+                                 "status string, original_rows long, kept_rows long, read_rows long")
+
+
+def q_load_nanos(spark, sf_dir):
+    # A real INT64 nanosecond file, written by tasks and read back as bigint.
+    e = _events(spark, sf_dir)
+    path = shared_path(spark, "nanos")
+    nanos = F.unix_micros(F.col("ts").cast("timestamp")) * F.lit(1000) + F.col("event_id") % F.lit(1000)
+    write_nanos(e.select("event_id", "event_type", nanos.alias("t")), path, "t")
+    raw = spark.read.parquet(path)
+    return _finish(normalize_time(raw.withColumn("ns", F.col("t")), "t"))
 
 
 def q_salted_endpoint_stats(spark, sf_dir):
@@ -312,22 +508,48 @@ def _round_trip(fmt):
     return run
 
 
-def _pipeline_root(spark, sf_dir):
-    root = shared_path(spark, "outputs")
-    run_from_paths(spark, *_written_inputs(spark, sf_dir, "parquet"), output_root=root)
-    return root
+CATALOG_VIEWS = ["vw_slo_trends", "vw_anomaly_timeline", "vw_deployment_impact", "vw_top_offenders"]
+_PUBLISHED: dict[tuple[str, str], tuple[str, str, dict[str, int]]] = {}
+
+
+def _published(spark, sf_dir):
+    """Folder, database and row counts of one pipeline run per session and input folder."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _PUBLISHED:
+        root, counts = shared_path(spark, "outputs"), {}
+        run_from_paths(spark, *_written_inputs(spark, sf_dir, "parquet"), output_root=root, counts=counts)
+        database = "opsfold_" + hashlib.sha1("".join(key).encode()).hexdigest()[:10]
+        pub.publish(spark, root, database=database)
+        _PUBLISHED[key] = root, database, counts
+    return _PUBLISHED[key]
 
 
 def q_published_trace_steps(spark, sf_dir):
-    database = "opsfold_" + uuid.uuid4().hex
-    pub.publish(spark, _pipeline_root(spark, sf_dir), database=database)
-    return _finish(spark.table(f"{database}.session_trace_steps"))
+    return _finish(spark.table(f"{_published(spark, sf_dir)[1]}.session_trace_steps"))
+
+
+def _catalog_query(name):
+    def run(spark, sf_dir):
+        return _finish(spark.table(f"{_published(spark, sf_dir)[1]}.{name}"))
+    run.__name__ = f"q_catalog_{name}"
+    return run
+
+
+def q_output_counts(spark, sf_dir):
+    # Rows of each output as counted while it was written, next to those of its published table.
+    _, database, counts = _published(spark, sf_dir)
+    rows = None
+    for name, written in counts.items():
+        part = spark.table(f"{database}.{name}").agg(F.count(F.lit(1)).alias("table_rows")).select(
+            F.lit(name).alias("output"), F.lit(written).cast("long").alias("written_rows"), "table_rows")
+        rows = part if rows is None else rows.unionByName(part)
+    return rows
 
 
 def q_output_check(spark, sf_dir):
     expected = {path: [] for path in pub.OUTPUT_PATHS.values()}
     expected["user_session_steps"] = ["session_id", "user_id", "step"]
-    report = validate_outputs(spark, _pipeline_root(spark, sf_dir), expected)
+    report = validate_outputs(spark, _published(spark, sf_dir)[0], expected)
     rows = [(r["output"], r["exists"], r["columns_ok"], r["non_empty"]) for r in report]
     return spark.createDataFrame(rows, "output string, present boolean, columns_ok boolean, "
                                        "non_empty boolean")
@@ -383,7 +605,30 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "preview": q_preview,
         "published_trace_steps": q_published_trace_steps,
         "output_check": q_output_check,
+        "output_counts": q_output_counts,
+        "endpoint_p95_ranks": q_endpoint_p95_ranks,
+        "slo_daily_from_sketches": q_slo_daily_from_sketches,
+        "merged_percentile_ranks": q_merged_percentile_ranks,
+        "salted_p95_ranks": q_salted_p95_ranks,
+        "salt_spread": q_salt_spread,
+        "change_impact_asof": q_change_impact_asof,
+        "change_impact_asof_hot_service": q_change_impact_asof_hot_service,
+        "log_attribution": q_log_attribution,
+        "trace_flow_arrays": q_trace_flow_arrays,
+        "trace_flow_arrays_hot_trace": q_trace_flow_arrays_hot_trace,
+        "trace_flow_array_sizes": q_trace_flow_array_sizes,
+        "anomaly_scores_split": q_anomaly_scores_split,
+        "heavy_users": q_heavy_users,
+        "user_sessions_bucketed": q_user_sessions_bucketed,
+        "trace_flow_steps_bucketed": q_trace_flow_steps_bucketed,
+        "slo_daily_rerun": q_slo_daily_rerun,
+        "enrich_logs_hybrid": q_enrich_logs_hybrid,
+        "nulled_cells": q_nulled_cells,
+        "trim_report": q_trim_report,
+        "load_nanos": q_load_nanos,
     }
+    for name in CATALOG_VIEWS:
+        qs[f"catalog_{name}"] = _catalog_query(name)
     for fmt in ("parquet", "csv", "json"):
         qs[f"load_{fmt}"] = _round_trip(fmt)
     for kind in ("timestamp", "ns", "s", "string", "ntz", "date"):
@@ -538,6 +783,19 @@ _IMPACT_SELECT = ("time_bucket, service, endpoint, region, request_count, "
                   f"{_r('error_rate', 'error_rate')}, deploy_version, deploy_time, "
                   f"{_r('minutes_since_deploy', 'minutes_since_deploy')}")
 
+_LOG_IMPACT = f""", di as (
+  select service, version, deploy_time,
+         lead(deploy_time) over (partition by service
+                                 order by deploy_time, version nulls first) as next_deploy_time
+  from deployments where deploy_time is not null and service is not null)
+select l."timestamp", l.service, l.endpoint, l.trace_id, l.status_code, d.deploy_time,
+       d.version as deploy_version,
+       {_r(f"({_SEC.format('l.timestamp')} - {_SEC.format('d.deploy_time')}) / 60.0::double",
+           'minutes_since_deploy')}
+from logs l left join di d on l.service = d.service and l."timestamp" >= d.deploy_time
+ and (d.next_deploy_time is null or l."timestamp" < d.next_deploy_time)
+ and l."timestamp" <= d.deploy_time + interval 6 hour"""
+
 _EPOCH = "timestamp '1970-01-01 00:00:00'"
 
 
@@ -666,6 +924,70 @@ select event_id, case when event_id % 50 = 0 then null else ts end as t from eve
         "normalize_time_ntz": "select event_id, ts as t from events",
         "normalize_time_date": "select event_id, cast(cast(ts as date) as timestamp) as t from events",
     }
+    impact = f"\nselect {_IMPACT_SELECT} from impact"
+    ranks = ", count(latency_ms) as latency_rows, true as within from enriched"
+    sql.update({
+        "output_counts": p + _SCORES + _IMPACT.replace(_HOURLY, "") + _session_ctes(30) + _DAILY + """, n as (
+select 'session_trace' as output, (select count(distinct trace_id) from enriched) as rows
+union all select 'session_trace_steps', (select count(trace_id) from enriched)
+union all select 'user_sessions', (select count(distinct session_id) from events_s)
+union all select 'user_session_steps', (select count(*) from events_s)
+union all select 'slo_hourly', (select count(*) from hourly)
+union all select 'slo_daily', (select count(*) from daily)
+union all select 'change_impact_attribution', (select count(*) from impact)
+union all select 'anomalies', (select count(*) from flagged)
+union all select 'top_offenders', (select count(*) from offenders)
+union all select 'skew_study', 1)
+select output, rows::bigint as written_rows, rows::bigint as table_rows from n""",
+        "endpoint_p95_ranks": p + f"\nselect endpoint, 0.95::double as quantile{ranks} group by endpoint",
+        "slo_daily_from_sketches": sql["slo_daily"],
+        "merged_percentile_ranks": p + f"""
+select endpoint, quantile{ranks}, (values (0.5::double), (0.95::double), (0.99::double)) as t(quantile)
+group by endpoint, quantile""",
+        "salted_p95_ranks": p + f"""
+select endpoint, salt_buckets, count(*) as request_count, {_r('avg(latency_ms)', 'avg_latency_ms')}{ranks},
+       (values (1::integer), (4::integer), (16::integer), (64::integer)) as t(salt_buckets)
+group by endpoint, salt_buckets""",
+        "salt_spread": p + """, c as (select endpoint, count(*) as n from enriched group by endpoint),
+h as (select endpoint as hot from c order by n desc, endpoint nulls first limit 1)
+select endpoint, n as request_count, case when endpoint = hot then 16 else 1 end::bigint as n_salts,
+       0::bigint as least_salt, case when endpoint = hot then 15 else 0 end::bigint as greatest_salt
+from c, h""",
+        "change_impact_asof": p + _IMPACT + impact,
+        "change_impact_asof_hot_service": oracle_prefix(skewed="service") + _IMPACT + impact,
+        "log_attribution": p + _LOG_IMPACT,
+        "trace_flow_arrays": _trace_steps_sql(p),
+        "trace_flow_arrays_hot_trace": _trace_steps_sql(ps),
+        "trace_flow_array_sizes": ps + f""", s as (
+select trace_id, row_number() over (partition by trace_id order by {_TRACE_ORDER}) as step
+from enriched where trace_id is not null)
+select trace_id, ((step - 1) // {FLOW_ARRAY_STEPS})::bigint as part, count(*)::integer as n_steps
+from s group by 1, 2""",
+        "anomaly_scores_split": p + _SCORES + f"\nselect {_SCORE_SELECT} from scores",
+        "heavy_users": ps + f"""
+select user_id, count(*) as request_count from enriched group by user_id
+having count(*) > (select floor(count(*) * {HEAVY_SHARE}) from enriched)""",
+        "user_sessions_bucketed": _sessions_sql(30),
+        "trace_flow_steps_bucketed": _trace_steps_sql(p),
+        "slo_daily_rerun": sql["slo_daily"],
+        "enrich_logs_hybrid": sql["enrich_logs"].replace(p, oracle_prefix(skewed="host")),
+        "nulled_cells": """
+select unnest(['timestamp', 'service', 'host', 'endpoint', 'status_code', 'latency_ms', 'user_id',
+               'trace_id']) as "column",
+       unnest([count(*) filter (event_id % 50 = 0), 0, 0, 0, count(*) filter (event_id % 7 = 0),
+               count(*) filter (event_id % 11 = 0), 0, 0])::bigint as nulled_cells,
+       count(*) as total_rows
+from events""",
+        "trim_report": p + f"""
+select case when count(*) > {TRIM_1K} then 'trimmed' else 'skipped' end as status,
+       count(*) as original_rows, least(count(*), {TRIM_1K}) as kept_rows,
+       least(count(*), {TRIM_1K}) as read_rows from logs""",
+        "load_nanos": f"""
+select event_id, event_type, (epoch_us(ts) * 1000 + event_id % 1000)::bigint as ns,
+       {_EPOCH} + to_seconds((epoch_us(ts) * 1000 + event_id % 1000) // 1000000000) as t
+from events""",
+    })
+    sql.update({f"catalog_{name}": sql[name] for name in CATALOG_VIEWS})
     sql.update({f"load_{fmt}": sql["enrich_logs"] for fmt in ("parquet", "csv", "json")})
     if llm is not None:
         sql.update(llm.oracle_sql())

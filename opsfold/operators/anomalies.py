@@ -8,11 +8,12 @@ series is bounded by the number of hours covered, not by request volume.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from opsfold.config import DEFAULT_BASELINE_HOURS, SIGMA
 from opsfold.functions.columns import EXPLANATIONS_SEPARATOR, explanation
+from opsfold.operators.frames import rolling
 from opsfold.operators.rollup import SERIES_KEYS, hourly_rollup
 
 SCORE_COLUMNS = ["service", "endpoint", "region", "hour_bucket", "request_count", "error_rate",
@@ -21,10 +22,27 @@ SCORE_COLUMNS = ["service", "endpoint", "region", "hour_bucket", "request_count"
                  "error_anomaly", "latency_anomaly", "severity", "explanation"]
 
 
+def _over(aggregate, column: str):
+    def make(frame: WindowSpec) -> Column:
+        return aggregate(column).over(frame)
+    return make
+
+
+_BASELINE = {
+    "baseline_error_avg": _over(F.avg, "error_rate"),
+    "baseline_error_std": _over(F.stddev_pop, "error_rate"),
+    "baseline_p95_avg": _over(F.avg, "p95_latency_ms"),
+    "baseline_p95_std": _over(F.stddev_pop, "p95_latency_ms"),
+}
+
+
 def anomaly_scores(logs: DataFrame, *, baseline_hours: int = DEFAULT_BASELINE_HOURS,
-                   sigma: float = SIGMA, rollup: DataFrame | None = None) -> DataFrame:
+                   sigma: float = SIGMA, rollup: DataFrame | None = None,
+                   target_rows: int | None = None) -> DataFrame:
     """Every hourly bucket with its baseline, z-scores, flags, severity and text.
 
+    ``target_rows`` splits longer series (a finer time grain, say) into blocks of so many rows.
+
     * std is the population deviation; a z-score is null unless std > 0
     * a flag needs a baseline and a one-sided rise above avg + sigma * std, so
       with std = 0 any rise is flagged (at severity 0) and drops never are
@@ -33,15 +51,14 @@ def anomaly_scores(logs: DataFrame, *, baseline_hours: int = DEFAULT_BASELINE_HO
     hourly = rollup if rollup is not None else hourly_rollup(logs)
     hourly = hourly.select(*SERIES_KEYS, F.col("time_bucket").alias("hour_bucket"),
                            "request_count", "error_rate", "p95_latency_ms")
-    w = (Window.partitionBy(*SERIES_KEYS).orderBy("hour_bucket")
-         .rowsBetween(-baseline_hours, -1))
     k = F.lit(float(sigma))
-    scored = hourly.withColumns({
-        "baseline_error_avg": F.avg("error_rate").over(w),
-        "baseline_error_std": F.stddev_pop("error_rate").over(w),
-        "baseline_p95_avg": F.avg("p95_latency_ms").over(w),
-        "baseline_p95_std": F.stddev_pop("p95_latency_ms").over(w),
-    })
+    if target_rows is None:
+        w = (Window.partitionBy(*SERIES_KEYS).orderBy("hour_bucket")
+             .rowsBetween(-baseline_hours, -1))
+        scored = hourly.withColumns({name: make(w) for name, make in _BASELINE.items()})
+    else:
+        scored = rolling(hourly, SERIES_KEYS, ["hour_bucket"], baseline_hours, _BASELINE,
+                         target_rows=target_rows)
     scored = scored.withColumns({
         "error_zscore": F.when(F.col("baseline_error_std") > 0.0,
                                (F.col("error_rate") - F.col("baseline_error_avg"))

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from opsfold.config import DEFAULT_ATTRIBUTION_WINDOW_HOURS, MAX_BROADCAST_BYTES, fits
 from opsfold.functions.columns import hour_bucket, minutes_between
+from opsfold.operators.asof import asof_join
 from opsfold.operators.rollup import hourly_rollup
 from opsfold.operators.scan import DEFAULT_TARGET_ROWS, keyed_scan
 
@@ -82,3 +83,32 @@ def change_impact(logs: DataFrame, deployments: DataFrame, *,
     minutes = F.when(F.col("deploy_time").isNull(), F.lit(None).cast("double")).otherwise(
         minutes_between("time_bucket", "deploy_time"))
     return joined.withColumn("minutes_since_deploy", minutes).select(*CHANGE_IMPACT_COLUMNS)
+
+
+def attributed(rows: DataFrame, deployments: DataFrame, *, time: str,
+               window_hours: int = DEFAULT_ATTRIBUTION_WINDOW_HOURS,
+               target_rows: int = DEFAULT_TARGET_ROWS) -> DataFrame:
+    """``rows`` (any time grain) with the deployment of their service in force at ``time``.
+
+    Adds ``deploy_version``, ``deploy_time`` and ``minutes_since_deploy``, null where the latest
+    deployment is more than ``window_hours`` old or there is none.  A merge scan per service finds
+    it, so no deployment is expanded to time buckets and a hot service is split.
+    """
+    deploys = _valid(deployments).withColumnRenamed("version", "deploy_version")
+    found = asof_join(rows, deploys, ["service"], time, "deploy_time", ["deploy_version"],
+                      tolerance=F.make_dt_interval(hours=F.lit(window_hours)),
+                      target_rows=target_rows)
+    minutes = F.when(F.col("deploy_time").isNotNull(), minutes_between(time, "deploy_time"))
+    return found.withColumn("minutes_since_deploy", minutes)
+
+
+def change_impact_asof(logs: DataFrame, deployments: DataFrame, *,
+                       window_hours: int = DEFAULT_ATTRIBUTION_WINDOW_HOURS,
+                       rollup: DataFrame | None = None,
+                       target_rows: int = DEFAULT_TARGET_ROWS) -> DataFrame:
+    """:func:`change_impact` by a merge scan instead of an expanded equi-join."""
+    hourly = rollup if rollup is not None else hourly_rollup(logs)
+    hourly = hourly.select("time_bucket", "service", "endpoint", "region", "request_count",
+                           "avg_latency_ms", "p95_latency_ms", "error_rate")
+    return attributed(hourly, deployments, time="time_bucket", window_hours=window_hours,
+                      target_rows=target_rows).select(*CHANGE_IMPACT_COLUMNS)

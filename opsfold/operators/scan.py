@@ -158,6 +158,7 @@ def assign_chunks(df: DataFrame, keys: list[str], order: list[str], *,
 def keyed_scan(df: DataFrame, keys: list[str], order: list[str], value: str, *,
                flag: FlagFn | None = None, pos: str = "_pos", prev: str = "_prev",
                nxt: str | None = None, run: str = "_run", start: str | None = None,
+               carry: str | None = None, carried: str = "_carried",
                target_rows: int = DEFAULT_TARGET_ROWS) -> DataFrame:
     """Add ``pos`` (1-based), ``prev`` (``value`` at the previous row), optionally
     ``nxt`` (at the next row) and, with ``flag``, ``run`` = running sum of
@@ -166,6 +167,9 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], value: str, *,
     ``start`` (needs ``flag``) names a column with the position of the latest
     row at or before this one whose flag is 1 (null if none).
 
+    ``carry`` names a column whose last non-null value at or before each row is
+    added as ``carried``.
+
     ``flag`` receives the row's value and the previous row's value (null at
     the key's first row) and returns 0/1.  While planning it checkpoints the
     keys over ``target_rows`` (one counting job) and, if any, their split
@@ -191,6 +195,9 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], value: str, *,
                 "_lrun": F.sum("_lflag").over(upto),
                 "_lstart": F.max(F.when(F.col("_lflag") == 1, F.col("_lpos"))).over(upto),
             })
+        if carry:
+            out = out.withColumn("_lcarry", F.last(carry, ignorenulls=True).over(
+                w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
         return out
 
     loc = local(chunked)
@@ -203,8 +210,11 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], value: str, *,
             cols[run] = F.col("_lrun").cast("long")
             if start:
                 cols[start] = F.col("_lstart").cast("long")
+        if carry:
+            cols[carried] = F.col("_lcarry")
         return loc.withColumns(cols).drop(
-            "_tb", "_sub", "_lpos", "_lprev", "_lnext", "_llast", "_lflag", "_lrun", "_lstart")
+            "_tb", "_sub", "_lpos", "_lprev", "_lnext", "_llast", "_lflag", "_lrun", "_lstart",
+            "_lcarry")
 
     # Boundary repair, hot keys only: one summary row per (hot key, sub-chunk).
     # The hot rows are filtered before their own window, so this branch shuffles
@@ -218,6 +228,9 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], value: str, *,
                     .alias("_inner"))
         aggs.append(F.max(F.when((F.col("_lpos") > 1) & (F.col("_lflag") == 1), F.col("_lpos")))
                     .alias("_inner_last"))
+    if carry:  # rows without a value have no place among those compared
+        aggs.append(F.max_by(F.col(carry), F.when(F.col(carry).isNotNull(), F.col("_lpos")))
+                    .alias("_last_carry"))
     summ = sel.groupBy(*keys, "_sub").agg(*aggs)
     cw = Window.partitionBy(*keys).orderBy("_sub")
     before = cw.rowsBetween(Window.unboundedPreceding, -1)
@@ -243,9 +256,11 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], value: str, *,
     else:
         fix = fix.withColumns({"_delta": F.lit(0), "_orun": F.lit(0), "_tfirst": F.lit(None),
                                "_cstart": F.lit(None)})
+    fix = fix.withColumn("_ccarry", F.last("_last_carry", ignorenulls=True).over(before)
+                         if carry else F.lit(None))
     fix = fix.select(*[F.col(k).alias(f"_f_{k}") for k in keys],
                      F.col("_sub").alias("_f_sub"), "_cprev", "_cnext", "_opos", "_orun",
-                     "_delta", "_tfirst", "_cstart")
+                     "_delta", "_tfirst", "_cstart", "_ccarry")
 
     cond = _on(loc, fix, [(k, f"_f_{k}") for k in keys]) & (loc["_sub"] == fix["_f_sub"])
     out = loc.join(_sized(fix, n_chunks), cond, "left")
@@ -265,8 +280,10 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], value: str, *,
             cols[start] = F.when(matched, F.when(carried, F.col("_cstart"))
                                  .otherwise(F.col("_lstart") + F.col("_opos"))
                                  ).otherwise(F.col("_lstart")).cast("long")
+    if carry:
+        cols[carried] = F.coalesce(F.col("_lcarry"), F.col("_ccarry"))
     out = out.withColumns(cols)
     return out.drop("_tb", "_sub", "_hot", "_lpos", "_lprev", "_lnext", "_llast", "_lflag", "_lrun",
                     "_lstart", "_cprev", "_cnext", "_opos", "_orun", "_delta", "_tfirst",
-                    "_cstart",
+                    "_cstart", "_lcarry", "_ccarry",
                     *[f"_f_{k}" for k in keys], "_f_sub")

@@ -20,6 +20,7 @@ from opsfold.operators.scan import DEFAULT_TARGET_ROWS, keyed_scan
 # Fields of one request-flow element, in sort order.
 TRACE_FLOW_FIELDS = ["timestamp", "service", "endpoint", "status_code", "latency_ms", "host",
                      "region"]
+FLOW_STEPS = 1000  # steps of one array
 SESSION_FLOW_FIELDS = ["timestamp", "service", "endpoint", "status_code", "latency_ms",
                        "trace_id"]
 
@@ -38,6 +39,25 @@ def nest_flow(rows: DataFrame, keys: list[str], fields: list[str],
     return rows.groupBy(*keys).agg(_flow(fields, name))
 
 
+def flow_arrays(steps: DataFrame, keys: list[str], fields: list[str], *,
+                max_steps: int = FLOW_STEPS, name: str = "request_flow") -> DataFrame:
+    """A flattened flow as arrays of at most ``max_steps`` steps: keys, ``part``, ``name``.
+
+    Part ``i`` holds the steps ``i * max_steps + 1`` to ``(i + 1) * max_steps``, each with its
+    ``step``.  Rows are grouped by (keys, part), so no group grows with a hot key, and a flow of at
+    most ``max_steps`` steps is one array as a whole.
+    """
+    part = F.floor((F.col("step") - 1) / F.lit(max_steps)).cast("long")
+    return steps.groupBy(*keys, part.alias("part")).agg(_flow(["step", *fields], name))
+
+
+def flow_steps(arrays: DataFrame, keys: list[str], fields: list[str],
+               name: str = "request_flow") -> DataFrame:
+    """The rows that :func:`flow_arrays` was built from."""
+    rows = arrays.select(*keys, F.explode(name).alias("_e"))
+    return rows.select(*keys, *[F.col(f"_e.{f}").alias(f) for f in ["step", *fields]])
+
+
 def trace_flows(logs: DataFrame, *, include_flow: bool = False) -> DataFrame:
     """One row per trace: start, end and event count (null trace ids left out)."""
     traced = logs.where(F.col("trace_id").isNotNull())

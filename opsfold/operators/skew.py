@@ -1,11 +1,9 @@
 """Key-skew study: hot key, partition profile and salted two-stage aggregation.
 
-``repartition(n, endpoint)`` would send every row of the hottest endpoint to
-one partition; salting that endpoint with ``pmod(xxhash64(...), buckets)``
-spreads it over up to ``buckets`` partitions.  Spark's hash partitioning puts
-a row in partition ``pmod(murmur3(cols), n)``, so the rows-per-partition
-profile of either layout is computed exactly by a partial aggregate on that
-expression -- no raw row is shuffled into the hot partition to measure it.
+``repartition(n, endpoint)`` sends every row of the hottest endpoint to one
+partition; salting that endpoint with ``pmod(xxhash64(...), buckets)`` spreads
+it over up to ``buckets`` partitions.  The rows-per-partition profile of either
+layout is counted in the layout itself, made of rows of endpoint and salt only.
 The two timed arms are the plain per-endpoint aggregate and the salted
 two-stage one over the two layouts, each written in full to a ``noop`` sink (a
 bare ``count()`` would let the optimizer drop the aggregates).
@@ -21,6 +19,8 @@ from pyspark.sql import types as T
 
 from opsfold.config import DEFAULT_SALT_BUCKETS, DEFAULT_TARGET_PARTITIONS, PERCENTILE_ACCURACY
 from opsfold.functions.columns import salt
+from opsfold.operators.sketches import SKETCH_K, latency_sketch, percentiles_of
+
 
 def hot_endpoint(logs: DataFrame, key: str = "endpoint") -> DataFrame:
     """One row: the most frequent ``key`` value, its count, the total and its share.
@@ -70,40 +70,43 @@ def endpoint_stats(logs: DataFrame, *, accuracy: int = PERCENTILE_ACCURACY,
     return logs.groupBy("endpoint").agg(*aggs)
 
 
-def salted_aggregate(salted: DataFrame) -> DataFrame:
+def salted_aggregate(salted: DataFrame, *, with_p95: bool = False,
+                     sketch_k: int = SKETCH_K) -> DataFrame:
     """Stage 1 per (endpoint, salt), stage 2 per endpoint.
 
-    The mean divides by the non-null latency count, so it equals ``avg``.
+    The mean divides by the non-null latency count, so it equals ``avg``.  With
+    ``with_p95`` stage 1 keeps a latency sketch, which stage 2 merges: the p95 is
+    that of the unsalted rows within the sketch's rank error, for any salt.
     """
-    partial = salted.groupBy("endpoint", "salt").agg(
-        F.count(F.lit(1)).alias("partial_count"),
-        F.sum("latency_ms").alias("partial_latency_sum"),
-        F.count("latency_ms").alias("partial_latency_n"),
-    )
-    return partial.groupBy("endpoint").agg(
+    aggs = [F.count(F.lit(1)).alias("partial_count"),
+            F.sum("latency_ms").alias("partial_latency_sum"),
+            F.count("latency_ms").alias("partial_latency_n")]
+    if with_p95:
+        aggs.append(latency_sketch(k=sketch_k).alias("partial_sketch"))
+    partial = salted.groupBy("endpoint", "salt").agg(*aggs)
+    merged = partial.groupBy("endpoint").agg(
         F.sum("partial_count").alias("request_count"),
         (F.sum("partial_latency_sum") / F.nullif(F.sum("partial_latency_n"), F.lit(0)))
         .alias("avg_latency_ms"),
+        *([F.kll_merge_agg_double("partial_sketch").alias("_sketch"),
+           F.sum("partial_latency_n").alias("_n")] if with_p95 else []),
     )
+    if not with_p95:
+        return merged
+    (p95,) = percentiles_of("_sketch", "_n", [0.95])
+    return merged.withColumn("p95_latency_ms", p95).drop("_sketch", "_n")
 
 
-def salted_endpoint_stats(logs: DataFrame, *,
-                          salt_buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
-    return salted_aggregate(_with_salt(logs, salt_buckets))
-
-
-def partition_of(cols: list[str], partitions: int) -> Column:
-    """The partition ``repartition(partitions, *cols)`` sends a row to."""
-    return F.pmod(F.hash(*[F.col(c) for c in cols]), F.lit(partitions))
+def salted_endpoint_stats(logs: DataFrame, *, salt_buckets: int = DEFAULT_SALT_BUCKETS,
+                          with_p95: bool = False, sketch_k: int = SKETCH_K) -> DataFrame:
+    return salted_aggregate(_with_salt(logs, salt_buckets), with_p95=with_p95, sketch_k=sketch_k)
 
 
 def hash_layout(logs: DataFrame, partitions: int, *, salt_buckets: int | None = None,
                 hot_key=_FIND) -> DataFrame:
     """``repartition(partitions, endpoint)``, or by (endpoint, salt) with ``salt_buckets``.
 
-    This moves raw rows: all rows of an unsalted hot endpoint land in one
-    partition.  Use it for layout experiments on bounded data; the profile
-    itself does not need it (see :func:`partition_of`).
+    All rows of an unsalted hot endpoint land in one partition: that is the layout studied.
     """
     if salt_buckets is None:
         return logs.repartition(partitions, "endpoint")
@@ -111,20 +114,12 @@ def hash_layout(logs: DataFrame, partitions: int, *, salt_buckets: int | None =
             .repartition(partitions, "endpoint", "salt"))
 
 
-def _profile(df: DataFrame, cols: list[str], partitions: int, phase: str,
-             materialize: bool = False) -> DataFrame:
-    """Rows per non-empty partition: max, min, avg (empty partitions not counted).
+def _profile(layout: DataFrame, phase: str) -> DataFrame:
+    """Rows per non-empty partition of a layout as Spark made it: max, min, avg.
 
-    By default the partition id is computed from the partitioning expression;
-    with ``materialize`` the rows are really repartitioned and counted by
-    ``spark_partition_id()`` (same numbers, but the hot partition is one task).
+    Each partition counts its own rows; empty partitions are not counted.
     """
-    if materialize:
-        pid = F.spark_partition_id()
-        df = df.repartition(partitions, *cols)
-    else:
-        pid = partition_of(cols, partitions)
-    per = df.groupBy(pid.alias("pid")).agg(F.count(F.lit(1)).alias("rows"))
+    per = layout.groupBy(F.spark_partition_id().alias("pid")).agg(F.count(F.lit(1)).alias("rows"))
     return per.agg(
         F.max("rows").alias("max_partition_rows"),
         F.min("rows").alias("min_partition_rows"),
@@ -134,13 +129,14 @@ def _profile(df: DataFrame, cols: list[str], partitions: int, phase: str,
 
 
 def partition_skew(logs: DataFrame, *, target_partitions: int = DEFAULT_TARGET_PARTITIONS,
-                   salt_buckets: int = DEFAULT_SALT_BUCKETS,
-                   materialize: bool = False, hot_key=_FIND) -> DataFrame:
-    """Two rows, ``before`` (hash by endpoint) and ``after`` (by endpoint and salt)."""
-    before = _profile(logs, ["endpoint"], target_partitions, "before", materialize)
-    after = _profile(_with_salt(logs, salt_buckets, hot_key=hot_key), ["endpoint", "salt"],
-                     target_partitions,
-                     "after", materialize)
+                   salt_buckets: int = DEFAULT_SALT_BUCKETS, hot_key=_FIND) -> DataFrame:
+    """Two rows, ``before`` (hash by endpoint) and ``after`` (by endpoint and salt).
+
+    Both layouts are really made, of narrow rows: the endpoint, and the salt.
+    """
+    before = _profile(logs.select("endpoint").repartition(target_partitions, "endpoint"), "before")
+    salted = _with_salt(logs, salt_buckets, hot_key=hot_key).select("endpoint", "salt")
+    after = _profile(salted.repartition(target_partitions, "endpoint", "salt"), "after")
     return before.unionByName(after)
 
 

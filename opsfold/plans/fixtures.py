@@ -67,13 +67,25 @@ from {events} where event_type = 'signup'
 """
 
 _PLAIN = {t: t for t in SOURCE_TABLES}
+_SERVICE = "'svc-' || cast(user_id % 4 as varchar(9)) as service"
+_HOST = "'h' || cast(user_id as varchar(20)) as host"
+# Every third event belongs to one service (logs and deployments), or to one host.
+_HOT_SERVICE = "case when event_id % 3 = 0 then 'svc-hot' else 'svc-' || cast(user_id % 4 as varchar(9)) end as service"
+_HOT_HOST = "case when event_id % 3 = 0 then 'h1' else 'h' || cast(user_id as varchar(20)) end as host"
 
 
-def fixture_sql(names: dict[str, str] | None = None, *, skewed: bool = False) -> dict[str, str]:
+def fixture_sql(names: dict[str, str] | None = None, *, skewed: bool | str = False) -> dict[str, str]:
+    """``skewed``: True for one hot user and trace, ``"service"`` or ``"host"`` for a hot one of these."""
     names = names or _PLAIN
-    logs = SKEWED_LOGS_SQL if skewed else LOGS_SQL
+    logs, deployments = LOGS_SQL, DEPLOYMENTS_SQL
+    if skewed == "service":
+        logs, deployments = (s.replace(_SERVICE, _HOT_SERVICE) for s in (logs, deployments))
+    elif skewed == "host":
+        logs = logs.replace(_HOST, _HOT_HOST)
+    elif skewed:
+        logs = SKEWED_LOGS_SQL
     return {"logs": logs.format(**names), "hosts": HOSTS_SQL.format(**names),
-            "deployments": DEPLOYMENTS_SQL.format(**names)}
+            "deployments": deployments.format(**names)}
 
 
 def register_sources(spark: SparkSession, sf_dir: str) -> dict[str, str]:
@@ -94,13 +106,13 @@ def register_sources(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     return names
 
 
-def raw_inputs(spark: SparkSession, sf_dir: str, *, skewed: bool = False) -> dict[str, DataFrame]:
+def raw_inputs(spark: SparkSession, sf_dir: str, *, skewed: bool | str = False) -> dict[str, DataFrame]:
     """The three inputs as derived (uncoerced) DataFrames."""
     sql = fixture_sql(register_sources(spark, sf_dir), skewed=skewed)
     return {name: spark.sql(text) for name, text in sql.items()}
 
 
-def fixture_inputs(spark: SparkSession, sf_dir: str, *, skewed: bool = False) -> Inputs:
+def fixture_inputs(spark: SparkSession, sf_dir: str, *, skewed: bool | str = False) -> Inputs:
     """Derived inputs after the loader's coercion (time normalised, types forced)."""
     configure(spark)
     raw = raw_inputs(spark, sf_dir, skewed=skewed)
@@ -125,7 +137,7 @@ enriched as (
 )"""
 
 
-def oracle_prefix(*, skewed: bool = False) -> str:
+def oracle_prefix(*, skewed: bool | str = False) -> str:
     """``WITH logs AS (...), host_meta AS (...), deployments AS (...), enriched AS (...)``."""
     sql = fixture_sql(skewed=skewed)
     return ("with logs as (" + sql["logs"] + "),\nhost_meta as (" + sql["hosts"]

@@ -22,7 +22,7 @@ from opsfold.operators.sessions import (
 from opsfold.operators.skew import skew_study
 from opsfold.plans.publish import OUTPUT_PATHS
 from opsfold.sources.readers import Inputs, load_inputs
-from opsfold.sources.sinks import write_parquet
+from opsfold.sources.sinks import write_counted
 
 # Columns the products read; the cache holds nothing else.
 ENRICHED_COLUMNS = ["timestamp", "service", "endpoint", "host", "status_code", "latency_ms",
@@ -74,7 +74,8 @@ def run_from_paths(spark: SparkSession, logs: str, deployments: str, host_meta:
 
 def run_pipeline(spark: SparkSession, inputs: Inputs, params: Params = Params(), *,
                  output_root: str | None = None, include_flows: bool = False,
-                 partition_by: dict[str, list[str]] | None = None) -> dict[str, DataFrame]:
+                 partition_by: dict[str, list[str]] | None = None,
+                 counts: dict[str, int] | None = None) -> dict[str, DataFrame]:
     """Run every product.
 
     Without ``output_root`` the lazy products are returned.  With it, each
@@ -86,6 +87,7 @@ def run_pipeline(spark: SparkSession, inputs: Inputs, params: Params = Params(),
     executor never re-runs the roll-up) and gives every product the same
     percentiles.  A cached enriched table is released at the end.
     ``partition_by`` names partition columns for outputs that want them.
+    ``counts`` is filled with the rows of each output, counted while it is written.
     """
     if output_root is None:
         return build_products(spark, inputs, params, include_flows=include_flows)
@@ -97,7 +99,9 @@ def run_pipeline(spark: SparkSession, inputs: Inputs, params: Params = Params(),
 
     def put(name: str, df: DataFrame) -> DataFrame:
         path = os.path.join(output_root, OUTPUT_PATHS[name])
-        write_parquet(df, path, partition_by=partitions.get(name))
+        rows = write_counted(df, path, partition_by=partitions.get(name))
+        if counts is not None:
+            counts[name] = rows
         return spark.read.parquet(path)
 
     try:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -143,3 +143,21 @@ def coerce_inputs(logs: DataFrame, deployments: DataFrame, hosts: DataFrame,
     return Inputs(coerce_logs(logs, time_unit, keep_fraction),
                   coerce_deployments(deployments, time_unit, keep_fraction),
                   coerce_hosts(hosts))
+
+
+def coerce_counted(df: DataFrame, time_column: str = LOG_TIME, columns: dict[str, str] | None = None,
+                   time_unit: str = "ns", keep_fraction: bool = False) -> tuple[DataFrame, Observation]:
+    """Coerced rows, and counts that are there once the rows have been written or otherwise run.
+
+    The observation holds ``rows`` and, per coerced column, how many cells had a value that the
+    coercion could not read and made null.  No job of its own counts them.
+    """
+    columns = LOG_COLUMNS if columns is None else columns
+    names = [time_column, *columns]
+    _require(df, names)
+    held = F.struct(*[F.col(c).isNotNull().alias(c) for c in names])
+    coerced = _coerce(normalize_time(df.withColumn("_held", held), time_column, time_unit,
+                                     keep_fraction), columns)
+    seen = Observation()
+    lost = [F.count_if(F.col(f"_held.{c}") & F.col(c).isNull()).alias(c) for c in names]
+    return coerced.observe(seen, F.count(F.lit(1)).alias("rows"), *lost).drop("_held"), seen

@@ -6,13 +6,15 @@ import os
 import posixpath
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from opsfold.config import PREVIEW_ROWS, TRIM_LIMIT
 from opsfold.operators.limits import first_file_rows, first_rows, top_rows
 
 __all__ = ["first_file_rows", "first_rows", "preview", "top_rows", "trim_dataset", "trim_frame",
-           "validate_outputs", "write_parquet", "TrimResult"]
+           "validate_outputs", "write_bucketed", "write_counted", "write_parquet",
+           "write_partitions", "TrimResult"]
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
@@ -24,6 +26,38 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
     return path
 
 
+def write_counted(df: DataFrame, path: str, **options) -> int:
+    """:func:`write_parquet`; the number of rows is taken in the writing pass."""
+    seen = Observation()
+    write_parquet(df.observe(seen, F.count(F.lit(1)).alias("rows")), path, **options)
+    return seen.get["rows"]
+
+
+def write_partitions(df: DataFrame, path: str, partition_by: list[str]) -> str:
+    """Replace the partitions that ``df`` has rows of, and leave all others as they are.
+
+    So one day can be run again by itself.  Rows are rebalanced by the partition columns: few files
+    a partition, and a large partition is written by several tasks.
+    """
+    (df.hint("rebalance", *[F.col(c) for c in partition_by]).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path))
+    return path
+
+
+def write_bucketed(df: DataFrame, table: str, path: str, by: str, buckets: int,
+                   sort_by: list[str] | None = None) -> DataFrame:
+    """``df`` as an external table bucketed by one column, read back from the catalog.
+
+    Windows, aggregates and joins by that column (with or without further ones) need no shuffle of
+    such a table, however many jobs share it.
+    """
+    writer = df.write.mode("overwrite").format("parquet").option("path", path).bucketBy(buckets, by)
+    if sort_by:
+        writer = writer.sortBy(*sort_by)
+    writer.saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
 def preview(df: DataFrame, n: int = PREVIEW_ROWS, order_by: list[str] | None = None) -> DataFrame:
     """First ``n`` rows as a DataFrame (``show`` is left to the caller).
 
@@ -88,9 +122,10 @@ def trim_dataset(spark: SparkSession, source: str, target: str, limit: int = TRI
         kept = first_file_rows(spark, source, limit)
     else:
         kept = trim_frame(df, limit, order_by)
-    kept.write.mode(mode).format(fmt).save(target)
-    kept = spark.read.format(fmt).load(target).count()
-    return TrimResult(source, target, "trimmed", original, kept)
+    seen = Observation()
+    counted = kept.observe(seen, F.count(F.lit(1)).alias("rows"))
+    counted.write.mode(mode).format(fmt).save(target)
+    return TrimResult(source, target, "trimmed", original, seen.get["rows"])
 
 
 def validate_outputs(spark: SparkSession, root: str,

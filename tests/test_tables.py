@@ -1,0 +1,138 @@
+"""Bucketed and partitioned tables, counts taken while writing, nanosecond files, the hybrid join."""
+
+from __future__ import annotations
+
+import glob
+import statistics
+
+import pyarrow.parquet as pq
+import pytest
+from pyspark.sql import functions as F
+
+from opsfold.operators.enrich import enrich_logs
+from opsfold.operators.sessions import trace_flow_steps, user_sessions
+from opsfold.plans.pipeline import run_pipeline
+from opsfold.sources.nanos import write_nanos
+from opsfold.sources.readers import Inputs, coerce_counted, normalize_time
+from opsfold.sources.sinks import (
+    trim_dataset,
+    write_bucketed,
+    write_counted,
+    write_partitions,
+)
+from tests.helpers import deploys_df, log, logs_df, t
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def rows_of(df):
+    return sorted(map(str, df.collect()))
+
+
+def test_bucketed_table_is_read_without_an_exchange(spark, tmp_dir):
+    logs = logs_df(spark, [log(t(0, i % 60), user=f"u{i % 9}", trace=f"t{i % 7}", latency=float(i))
+                           for i in range(300)])
+    by_user = write_bucketed(logs, "test_by_user", f"{tmp_dir}/by_user", "user_id", 4, ["timestamp"])
+    got = user_sessions(by_user)
+    text = plan(got)
+    assert "Window" in text and "Exchange" not in text and "SelectedBucketsCount: 4" in text
+    assert "Exchange" in plan(user_sessions(logs))
+    assert rows_of(got) == rows_of(user_sessions(logs))
+    by_trace = write_bucketed(logs, "test_by_trace", f"{tmp_dir}/by_trace", "trace_id", 4)
+    assert "Exchange" not in plan(trace_flow_steps(by_trace))
+    assert rows_of(trace_flow_steps(by_trace)) == rows_of(trace_flow_steps(logs))
+    # split keys still work: sub-chunks of a hot key shuffle, results stay
+    assert rows_of(user_sessions(by_user, target_rows=20)) == rows_of(user_sessions(logs))
+    for name in ("test_by_user", "test_by_trace"):
+        spark.sql(f"drop table {name}")
+
+
+def test_one_day_is_rewritten_alone(spark, tmp_dir):
+    path = f"{tmp_dir}/days"
+    df = spark.range(90).select("id", F.expr("date_add(date'2024-01-01', cast(id % 3 as int))").alias("day"))
+    write_partitions(df, path, ["day"])
+    before = {f: open(f, "rb").read() for f in glob.glob(f"{path}/day=2024-01-0[13]/*.parquet")}
+    write_partitions(df.where("id % 3 = 1").withColumn("id", F.col("id") + 1000), path, ["day"])
+    after = spark.read.parquet(path)
+    assert after.count() == 90 and after.where("day = date'2024-01-02'").agg(F.min("id")).first()[0] == 1001
+    assert all(open(f, "rb").read() == data for f, data in before.items())
+    text = plan(after.where("day = date'2024-01-02'"))
+    assert "PartitionFilters: [isnotnull(day" in text and "= 2024-01-02" in text.split("PartitionFilters")[1]
+
+
+def test_counts_are_taken_while_writing(spark, tmp_dir):
+    df = spark.range(1000).withColumn("v", F.col("id") % 7)
+    assert write_counted(df.where("v = 3"), f"{tmp_dir}/a") == spark.read.parquet(f"{tmp_dir}/a").count()
+    assert write_counted(df.limit(0), f"{tmp_dir}/none") == 0
+    df.repartition(5).write.parquet(f"{tmp_dir}/src")
+    result = trim_dataset(spark, f"{tmp_dir}/src", f"{tmp_dir}/cut", limit=123)
+    assert result.kept_rows == 123 == spark.read.parquet(f"{tmp_dir}/cut").count()
+
+
+def test_pipeline_reports_rows_of_each_output(spark, tmp_dir):
+    logs = logs_df(spark, [log(t(h, m), user=f"u{m}", trace=f"t{m}") for h in range(5) for m in range(3)])
+    hosts = spark.createDataFrame([("h1", "r1", "big")], "host string, region string, instance_type string")
+    inputs = Inputs(logs, deploys_df(spark, [("svc", "v1", t(1))]), hosts)
+    counts = {}
+    outputs = run_pipeline(spark, inputs, output_root=tmp_dir, counts=counts)
+    assert counts == {name: df.count() for name, df in outputs.items()}
+    assert counts["session_trace_steps"] == 15
+
+
+def test_nulled_cells_are_counted_in_the_writing_pass(spark, tmp_dir):
+    raw = spark.createDataFrame(
+        [("2024-01-01 00:00:00", "s", "h", "/e", "200", "1.5", "u", "t"),
+         ("bad", "s", None, "/e", "x", "y", None, "t"), (None, None, "h", "/e", "404", "2", "u", "t")],
+        "timestamp string, service string, host string, endpoint string, status_code string, "
+        "latency_ms string, user_id string, trace_id string")
+    rows, seen = coerce_counted(raw)
+    assert rows.columns == raw.columns
+    rows.write.parquet(f"{tmp_dir}/rows")
+    assert seen.get == {"rows": 3, "timestamp": 1, "service": 0, "host": 0, "endpoint": 0,
+                        "status_code": 1, "latency_ms": 1, "user_id": 0, "trace_id": 0}
+
+
+def test_nanosecond_files(spark, tmp_dir):
+    ns = 1_704_067_200_000_000_123
+    df = spark.range(40).select("id", F.when(F.col("id") != 7, F.lit(ns) + F.col("id")).alias("t")).repartition(3)
+    path = f"{tmp_dir}/nanos"
+    assert write_nanos(df, path, "t") == 40
+    files = glob.glob(f"{path}/*.parquet")
+    kind = pq.read_schema(files[0]).field("t").type
+    assert str(kind) == "timestamp[ns]" and pq.ParquetFile(files[0]).schema.column(1).physical_type == "INT64"
+    assert not glob.glob(f"{path}/_draft*")
+    raw = spark.read.parquet(path)
+    assert raw.schema["t"].dataType.typeName() == "long"
+    assert {r["id"]: r["t"] for r in raw.collect()} == {i: None if i == 7 else ns + i for i in range(40)}
+    assert normalize_time(raw, "t").agg(F.max("t")).first()[0] == t(0)
+    write_nanos(df, path, "t")  # again: the same files
+    assert spark.read.parquet(path).count() == 40
+    assert write_nanos(df.limit(0), f"{tmp_dir}/none", "t") == 0
+
+
+@pytest.mark.parametrize("hot_rows", [50, 10**6])
+def test_hybrid_join_equals_the_plain_one(spark, hot_rows):
+    rows = [log(t(0, i % 60), host="h0" if i % 3 == 0 else None if i % 31 == 0 else f"h{i % 90}", trace=f"t{i}")
+            for i in range(900)]
+    logs = logs_df(spark, rows)
+    hosts = spark.createDataFrame([(f"h{i}", f"r{i % 4}", "x") for i in range(0, 60)] + [("h0", "a", None)],
+                                  "host string, region string, instance_type string")
+    got = enrich_logs(logs, hosts, max_broadcast_bytes=0, hot_rows=hot_rows)
+    want = enrich_logs(logs, hosts, broadcast=True)
+    assert rows_of(got.select(want.columns)) == rows_of(want)
+
+
+def test_hot_hosts_are_not_shuffled(spark):
+    logs = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, "h-hot").otherwise(F.concat(F.lit("h"), F.col("id") % 5000)).alias("host"), "id")
+    hosts = logs.select("host").distinct().select("host", F.lit("r").alias("region"), F.lit("i").alias("instance_type"))
+    joined = enrich_logs(logs, hosts, max_broadcast_bytes=0, hot_rows=1000)
+    assert joined.count() == 30_000 and joined.where("region = 'unknown'").count() == 0
+    text = plan(joined)
+    assert "SortMergeJoin" in text and "LeftAnti" in text
+    # the rows that are shuffled: no task has more than twice the median
+    cold = logs.where("host <> 'h-hot'").repartition(8, "host")
+    sizes = [r["n"] for r in cold.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+    assert max(sizes) <= 2 * statistics.median(sizes)
