@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from opsfold.llm import components, neardup, passages, repeats
@@ -260,21 +263,151 @@ def test_passages_at_the_threshold_agree_in_enough_functions():
     assert missed == 0
 
 
-def test_edited_passages_are_found_as_by_all_pairs(spark):
+def best_windows(a, b, least=46):
+    """The highest Jaccard similarity of any window of one text and any of the other, of ``least``
+    shingles or more each; for texts that repeat no shingle.  Independent of the code under test."""
+    one, two = ([tuple(t.split()[i:i + 5]) for i in range(len(t.split()) - 4)] for t in (a, b))
+    if min(len(one), len(two)) < least:
+        return 0.0
+    equal = np.array([[x == y for y in two] for x in one], dtype=np.int32)
+    total = np.zeros((len(one) + 1, len(two) + 1), dtype=np.int32)
+    total[1:, 1:] = equal.cumsum(0).cumsum(1)
+    x, y = np.triu_indices(len(two) + 1, least)
+    best = 0.0
+    for i in range(len(one) - least + 1):
+        for j in range(i + least, len(one) + 1):
+            both = total[j, y] - total[i, y] - total[j, x] + total[i, x]
+            best = max(best, float((both / ((j - i) + (y - x) - both)).max()))
+    return best
+
+
+def word_edited(rng, words, edits):
+    """Words replaced, added and removed at the start, in the middle and at the end."""
+    out = list(words)
+    for _ in range(edits):
+        at = rng.choice([0, len(out) - 1, rng.randrange(len(out))])
+        kind = rng.randrange(3)
+        if kind == 0:
+            out[at] = prose(rng, 1)
+        elif kind == 1:
+            out.insert(at, prose(rng, 1))
+        else:
+            del out[at]
+    return out
+
+
+def test_verification_finds_what_all_windows_hold():
+    rng = random.Random(53)
+    held = 0
+    for _ in range(150):
+        body = prose(rng, rng.randrange(50, 64)).split(" ")
+        other = word_edited(rng, body, rng.randrange(1, 5))
+        a, b = (" ".join([prose(rng, rng.randrange(1, 9)), *x, prose(rng, rng.randrange(1, 9))])
+                for x in (body, other))
+        best = best_windows(a, b)
+        for u, v in ((a, b), (b, a)):
+            got = passages.passages(u.encode(), v.encode(), 50, 0.8)
+            assert bool(got) == (best >= 0.8 - 1e-9), best
+            for x, y, z, w, similarity in got:
+                p, q = (t.encode()[i:j].decode().split() for t, i, j in ((u, x, y), (v, z, w)))
+                grams = [{tuple(t[i:i + 5]) for i in range(len(t) - 4)} for t in (p, q)]
+                assert min(len(p), len(q)) >= 50
+                assert similarity == pytest.approx(len(grams[0] & grams[1]) / len(grams[0] | grams[1]))
+                assert similarity >= 0.8 - 1e-9
+        held += best >= 0.8
+    assert held > 60
+
+
+def test_parts_in_another_order_and_repeats_are_found():
+    rng = random.Random(59)
+    one, two, line = prose(rng, 40), prose(rng, 45), prose(rng, 12)
+    assert passages.passages(f"{one} {two}".encode(), f"{two} {one}".encode(), 50, 0.8)
+    assert passages.passages(f"{line} ".encode() * 30, f"{line} ".encode() * 9, 50, 0.8)
+    assert passages.passages(f"{line} ".encode() * 30, f"{prose(rng, 90)} {line}".encode(), 50, 0.8) == []
+
+
+def test_long_pairs_are_compared_in_near_linear_time():
+    rng = random.Random(61)
+    words = prose(rng, 6400).split(" ")
+    every21 = [prose(rng, 1) if i % 21 == 0 else w for i, w in enumerate(words)]
+    blocks = [words[i:i + 30] for i in range(0, len(words), 30)]
+    rng.shuffle(blocks)
+    for other, some in ((every21, False), ([w for b in blocks for w in b], None),
+                        ([prose(rng, 1) if i % 60 == 0 else w for i, w in enumerate(words)], True)):
+        start = time.perf_counter()
+        got = passages.passages(" ".join(words).encode(), " ".join(other).encode(), 50, 0.8)
+        assert time.perf_counter() - start < 5
+        assert some is None or bool(got) == some
+
+
+def test_edited_passages_are_found_as_by_all_windows(spark):
     rng = random.Random(47)
-    texts = []
-    for n in (50, 55, 60, 80, 150):
-        for _ in range(4):
-            body = prose(rng, n)
-            for changes in (0, 1, 2, n // 40, n // 25):
-                texts.append(f"{prose(rng, 12)} {edited(rng, body, changes)} {prose(rng, 9)}")
-    got = passages.near_duplicate_passages(frame(spark, texts)).collect()
+    texts, bodies = [], []
+    for n in (50, 52, 55, 60, 66):
+        for _ in range(3):
+            body = prose(rng, n).split(" ")
+            for edits in (0, 1, 1, 2, 3):
+                texts.append(" ".join([prose(rng, 7), *word_edited(rng, body, edits), prose(rng, 6)]))
+                bodies.append(len(bodies) // 5)
+    line = prose(rng, 9)  # in every text: no passage, but a group of all texts
+    texts = [f"{t}\n{line}\n{prose(rng, 8)}" for t in texts]
+    texts += [f"{prose(rng, 40)}\n{line}\n{prose(rng, 40)}" for _ in range(60)]
+    want = [(i, j) for j in range(len(bodies)) for i in range(j) if bodies[i] == bodies[j]
+            and best_windows(texts[i], texts[j]) >= 0.8 - 1e-9]
+    assert len(want) > 70
+    for small in (2, passages.SMALL_GROUP):
+        got = passages.near_duplicate_passages(frame(spark, texts), small=small).collect()
+        label = {x: r.class_id for r in got for x in (r.doc_id, r.other_doc_id)}
+        assert [p for p in want if p[0] not in label or label[p[0]] != label.get(p[1])] == []
+        assert not any(x in label for x in range(len(bodies), len(texts)))
+
+
+def test_families_that_share_a_line_within_their_passage(spark):
+    # The line's groups hold both families and lone texts; each family must still find itself.
+    rng = random.Random(67)
+    line = prose(rng, 14)
+    one, two = (f"{prose(rng, 30)} {line} {prose(rng, 30)}" for _ in range(2))
+    texts = [f"{prose(rng, 20)} {p} {prose(rng, 20)}" for p in (one, two) for _ in range(25)]
+    texts += [f"{prose(rng, 50)} {line} {prose(rng, 50)}" for _ in range(40)]
+    got = passages.near_duplicate_passages(frame(spark, texts), small=4).collect()
     label = {x: r.class_id for r in got for x in (r.doc_id, r.other_doc_id)}
-    data = [t.encode() for t in texts]
-    want = [(i, j) for j in range(len(texts)) for i in range(j)
-            if passages.passages(data[i], data[j], 50, 0.8)]
-    assert len(want) > 60
-    assert [p for p in want if p[0] not in label or label[p[0]] != label.get(p[1])] == []
+    assert set(label) == set(range(50))
+    assert len({label[i] for i in range(25)}) == len({label[i] for i in range(25, 50)}) == 1
+    assert len(set(label.values())) == 2
+
+
+def test_segments_hold_every_stretch_of_words():
+    rng = random.Random(71)
+    data = " ".join(rng.choice(WORDS) for _ in range(3000)).encode() + b"  \n" + b"x" * 900
+    for size in (500, 2000, 10**6):
+        parts = passages.segments(data, 50, size)
+        assert all(data[a:a + len(p)] == p for a, p in parts) and parts[0][0] == 0
+        assert parts[-1][0] + len(parts[-1][1]) == len(data)
+        words = [m.span() for m in re.finditer(rb"[^ \n]+", data)]
+        for i in range(0, len(words) - 49, 7):
+            a, b = words[i][0], words[i + 49][1]
+            assert any(at <= a and b <= at + len(p) for at, p in parts)
+
+
+def test_long_texts_in_segments_find_the_same(spark, monkeypatch):
+    rng = random.Random(73)
+    shared = prose(rng, 70)
+    texts = [f"{prose(rng, n)} {shared} {prose(rng, 900 - n)}" for n in (5, 300, 640, 880)]
+    docs = frame(spark, texts, 1)
+    shingles = []
+    for size in (10**9, 3000):
+        got = [r for b in passages._segmented(np.arange(4), pa.array(texts), 50)[2:] for r in b] \
+            if size == 10**9 else [p for t in texts for _, p in passages.segments(t.encode(), 50, size)]
+        found = set()
+        for part in got:
+            w = passages.Words([part], passages.SPACE)
+            sh, first = w.shingles(5)
+            for f in range(10):
+                found |= set(passages.compact_windows(sh, first, 46, f)[4].tolist())
+        shingles.append(found)
+    assert shingles[0] <= shingles[1]  # no window is lost at a cut
+    assert {r.doc_id for r in passages.near_duplicate_passages(docs).collect()} \
+        | {r.other_doc_id for r in passages.near_duplicate_passages(docs).collect()} == {0, 1, 2, 3}
 
 
 def test_neighbouring_passages_set_apart_are_found():
