@@ -250,8 +250,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     class is the one of the least id (nulls last), and of these one.
     """
     nodes = stored(signatures(docs, id_col, text_col, bands, rows), "nodes")
-    copies = nodes.groupBy("text_key").agg(F.min("node").alias("rep"))
-    member = stored(nodes.select("node", "doc_id", "text_key").join(copies, "text_key"), "members")
+    copies = nodes.groupBy("text_key").agg(F.min("node").alias("rep"), F.count(F.lit(1)).alias("n"))
+    # Only texts with copies, and stored: a text that very many rows hold is broadcast, or its rows
+    # are split by AQE in a join of its own.
+    copies = stored(copies.filter("n > 1").select("text_key", "rep"), "copies")
+    copies = F.broadcast(copies) if copies.count() <= MAX_BROADCAST_TEXTS else copies
+    member = nodes.select("node", "doc_id", "text_key").join(copies, "text_key", "left")
+    member = stored(member.withColumn("rep", F.coalesce("rep", "node")), "members")
     reps = member.filter("node = rep").select("node")
     banded = stored(nodes.select("node", "bands").join(reps, "node", "left_semi")
                     .filter(F.col("bands").isNotNull()), "bands")
@@ -261,10 +266,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     hits = stored(hits.join(heads, "key"), "hits")
     pairs = stored(hits.filter("node != head").select(F.col("head").alias("u"), F.col("node").alias("v"))
                    .distinct(), "pairs")
-    links = stored(verified(pairs, nodes, docs, id_col, text_col, threshold), "links")
+    compared = stored(verified(pairs, nodes, docs, id_col, text_col, 0.0), "compared")
+    links = compared.filter(F.col("similarity") >= threshold - 1e-9)
     labels = components(links.select("u", "v"))
+    # How far each node of a bucket is from the bucket's head, which tells others apart below.
+    far = compared.select(F.col("u").alias("head"), F.col("v").alias("node"),
+                          (1 - F.col("similarity")).alias("far"))
+    hits = stored(hits.join(far, ["head", "node"], "left").withColumn(
+        "far", F.when(F.col("node") == F.col("head"), 0.0).otherwise(F.col("far"))), "hits")
     for turn in range(TURNS):
-        more = _across_classes(hits, banded, labels, pairs, small, turn)
+        more = _across_classes(hits, banded, labels, pairs, small, threshold, turn)
         if more.isEmpty():
             break
         found = stored(verified(more, nodes, docs, id_col, text_col, threshold), "links")
@@ -291,9 +302,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def _across_classes(hits: DataFrame, banded: DataFrame, labels: DataFrame, done: DataFrame,
-                    small: int, turn: int = 0) -> DataFrame:
+                    small: int, threshold: float, turn: int = 0) -> DataFrame:
     """Pairs of one bucket whose classes differ, as far as not compared before.
 
+    1 - J_P is a metric: two nodes whose distances from the bucket's head differ by more than
+    1 - ``threshold`` are further apart than that, and make no pair.
+
     Buckets of up to ``small`` nodes give all their pairs.  Larger ones are split
     by further bands; in a part that is still large each node is compared with one
     of it, drawn by a hash that differs from part to part.  A node is in up to
@@ -301,32 +315,35 @@ def _across_classes(hits: DataFrame, banded: DataFrame, labels: DataFrame, done:
     draw also differs from ``turn`` to turn.  ``_rest_of_large`` gives all others.
     """
     labelled = hits.join(labels, "node", "left").select(
-        "key", "node", F.coalesce("label", "node").alias("label"))
+        "key", "node", F.coalesce("label", "node").alias("label"), "far")
     mixed = _mixed(labelled)
     if mixed.isEmpty():
         return done.limit(0)
     parts = (mixed.filter(F.col("n") > small).join(banded, "node")
-             .select("key", "node", "label", F.posexplode(F.slice("bands", 1, SPLITS)).alias("i", "band"))
-             .select(F.xxhash64("key", "band", "i").alias("key"), "node", "label"))
+             .select("key", "node", "label", "far", F.posexplode(F.slice("bands", 1, SPLITS)).alias("i", "band"))
+             .select(F.xxhash64("key", "band", "i").alias("key"), "node", "label", "far"))
     parts = _mixed(parts)
-    out = _all_pairs(mixed.filter(F.col("n") <= small)).union(_all_pairs(parts.filter(F.col("n") <= small)))
+    reach = 1 - threshold + 1e-9
+    out = _all_pairs(mixed.filter(F.col("n") <= small), reach).union(
+        _all_pairs(parts.filter(F.col("n") <= small), reach))
     large = stored(parts.filter(F.col("n") > small), "large")
     rank = F.xxhash64("node", "key", F.lit(turn))
     heads = large.groupBy("key").agg(F.min(rank).alias("rank"))
     centre = large.join(heads, "key").filter(rank == F.col("rank")).select(
-        "key", F.col("node").alias("head"), F.col("label").alias("of"))
-    out = out.union(large.join(centre, "key").filter("label != of").select(
+        "key", F.col("node").alias("head"), F.col("label").alias("of"), F.col("far").alias("from"))
+    near = (F.col("label") != F.col("of")) & (F.abs(F.col("far") - F.col("from")) <= reach)
+    out = out.union(large.join(centre, "key").filter(near).select(
         F.least("node", "head").alias("u"), F.greatest("node", "head").alias("v")))
     return stored(out.distinct().join(done, ["u", "v"], "left_anti"), "pairs")
 
 
 def _prefixes(rows: DataFrame, threshold: float) -> DataFrame:
-    """key, node, label, size, flat: the rarest shingles of each node, which others have too.
+    """key, node, label, size, flat, left: the rarest shingles of each node, which others have too.
 
     J_P is at most the sum over common i of min(w_i / sum w, v_i / sum v).  With
     shingles in one order for all nodes, take of each the first ones, up to where
     less than ``threshold`` of its weight is left: two nodes without a common one
-    among these share less than ``threshold``.
+    among these share less than ``threshold``.  ``left`` is the number of shingles from this one on.
     """
     each = rows.select("node", "label", F.explode(F.arrays_zip("shingles", "counts")).alias("x")).select(
         "node", "label", F.col("x.shingles").alias("key"), F.col("x.counts").alias("count"))
@@ -337,20 +354,26 @@ def _prefixes(rows: DataFrame, threshold: float) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            rows = [[], [], [], [], []]
-            for node, label, of, key, count in zip(*batch.columns):
-                count = count.values.to_numpy()
-                left = np.cumsum(count[::-1])[::-1] / count.sum()
-                at = np.flatnonzero((left >= threshold - 1e-9) & (of.values.to_numpy() > 1))
-                for out, x in zip(rows, (key.values.to_numpy()[at], node.as_py(), label.as_py(),
-                                         len(count), count.max() == 1)):
-                    out.append(np.broadcast_to(x, len(at)))
+            node, label, of, key, count = batch.columns
+            ends = key.offsets.to_numpy()
+            sizes = np.diff(ends)
+            row = np.repeat(np.arange(len(sizes)), sizes)
+            of, key, count = (x.values.to_numpy()[ends[0]:ends[-1]] for x in (of, key, count))
+            before = np.concatenate([[0], np.cumsum(count)])
+            ends = ends - ends[0]
+            total = before[ends[1:]] - before[ends[:-1]]
+            share = (before[ends[1:]][row] - before[:-1]) / total[row]
+            most = np.maximum.reduceat(count, ends[:-1]) if len(count) else count
+            at = np.flatnonzero((share >= threshold - 1e-9) & (of > 1))
+            row = row[at]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(x) if x else [], kind) for x, kind in zip(
-                    rows, (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_()))],
-                names=["key", "node", "label", "size", "flat"])
+                [pa.array(key[at]), node.take(pa.array(row)), label.take(pa.array(row)),
+                 pa.array(sizes[row].astype(np.int32)), pa.array(most[row] == 1),
+                 pa.array((ends[1:][row] - at).astype(np.int32))],
+                names=["key", "node", "label", "size", "flat", "left"])
 
-    return ranked.mapInArrow(run, "key long, node long, label long, size int, flat boolean")
+    return ranked.mapInArrow(
+        run, "key long, node long, label long, size int, flat boolean, left int")
 
 
 def _rest_of_large(hits: DataFrame, labels: DataFrame, done: DataFrame, nodes: DataFrame,
@@ -369,7 +392,10 @@ def _rest_of_large(hits: DataFrame, labels: DataFrame, done: DataFrame, nodes: D
     prefixes = stored(_prefixes(rows, threshold), "prefixes")
     prefixes = _mixed(prefixes)
     a, b = prefixes.alias("a"), prefixes.alias("b")
-    sizes = F.least("a.size", "b.size") >= (threshold - 1e-9) * F.greatest("a.size", "b.size")
+    # Where all counts are one, both share threshold / (1 + threshold) of their shingles together at
+    # least; so the sizes are alike, and from the first shingle that they share on both have as many.
+    least = (threshold / (1 + threshold) - 1e-9) * (F.col("a.size") + F.col("b.size"))
+    sizes = (F.least("a.size", "b.size") >= least) & (F.least("a.left", "b.left") >= least)
     pairs = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.node") < F.col("b.node"))
                    & (F.col("a.label") != F.col("b.label"))
                    & (~F.col("a.flat") | ~F.col("b.flat") | sizes))
@@ -377,11 +403,12 @@ def _rest_of_large(hits: DataFrame, labels: DataFrame, done: DataFrame, nodes: D
     return stored(pairs.join(done, ["u", "v"], "left_anti"), "pairs")
 
 
-def _all_pairs(rows: DataFrame) -> DataFrame:
-    """Pairs across classes of buckets of bounded size."""
-    a = rows.select("key", F.col("node").alias("u"), F.col("label").alias("a"))
-    b = rows.select("key", F.col("node").alias("v"), F.col("label").alias("b"))
-    return a.join(b, "key").filter("u < v and a != b").select("u", "v").distinct()
+def _all_pairs(rows: DataFrame, reach: float) -> DataFrame:
+    """Pairs across classes of buckets of bounded size, about as far from the bucket's head."""
+    a = rows.select("key", F.col("node").alias("u"), F.col("label").alias("a"), F.col("far").alias("x"))
+    b = rows.select("key", F.col("node").alias("v"), F.col("label").alias("b"), F.col("far").alias("y"))
+    near = (F.col("u") < F.col("v")) & (F.col("a") != F.col("b")) & (F.abs(F.col("x") - F.col("y")) <= reach)
+    return a.join(b, "key").filter(near).select("u", "v").distinct()
 
 
 def _mixed(rows: DataFrame) -> DataFrame:
