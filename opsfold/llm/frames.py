@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,3 +45,21 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 def text_or_empty(column: str = "text"):
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
+
+
+def trimmed(run):
+    """``run`` for ``mapInArrow``; what its arrays took is given back when a task ends.
+
+    Workers serve many tasks, of stages with quite different needs, and the allocators would
+    otherwise keep the most that any of them has used.
+    """
+    def task(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+            except (OSError, AttributeError):  # another C library
+                pass
+    return task

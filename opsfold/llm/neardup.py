@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from opsfold.llm.components import components
-from opsfold.llm.frames import stored, text_or_empty
+from opsfold.llm.frames import stored, text_or_empty, trimmed
 from opsfold.llm.hashing import U64, Words, lowered, mix, slices
 
 SHINGLE = 5
@@ -40,9 +40,9 @@ THRESHOLD = 0.8
 BANDS = 20
 ROWS = 4
 SMALL_BUCKET = 32
-TURNS = 3  # of drawing pairs across classes, with what the turn before has joined
+TURNS = 1  # of drawing pairs across classes, with what the turn before has joined
 SPLITS = 10  # further bands that split a large bucket
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 500_000
 # Broadcast of at most this many 16-byte text keys; beyond it, shuffle joins.
 MAX_BROADCAST_TEXTS = 200_000
 
@@ -182,7 +182,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, bands: int, rows: in
                      pa.compute.if_else(pa.array(none), pa.scalar(None, lists.type), lists)],
                     names=schema.names)
 
-    return (keyed.mapInArrow(run, schema)
+    return (keyed.mapInArrow(trimmed(run), schema)
             .select(F.monotonically_increasing_id().alias("node"), "*"))
 
 
@@ -208,7 +208,7 @@ def _shingle_rows(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str
                     names=["node", "shingles", "counts"])
 
     return texts.select("node", "text").mapInArrow(
-        run, "node long, shingles array<long>, counts array<int>")
+        trimmed(run), "node long, shingles array<long>, counts array<int>")
 
 
 def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str,
@@ -238,7 +238,7 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, t
                 [batch.column("u"), batch.column("v"), pa.array(sims)],
                 names=["u", "v", "similarity"]).filter(keep)
 
-    return sides.mapInArrow(run, "u long, v long, similarity double").distinct()
+    return sides.mapInArrow(trimmed(run), "u long, v long, similarity double").distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -373,7 +373,7 @@ def _prefixes(rows: DataFrame, threshold: float) -> DataFrame:
                 names=["key", "node", "label", "size", "flat", "left"])
 
     return ranked.mapInArrow(
-        run, "key long, node long, label long, size int, flat boolean, left int")
+        trimmed(run), "key long, node long, label long, size int, flat boolean, left int")
 
 
 def _rest_of_large(hits: DataFrame, labels: DataFrame, done: DataFrame, nodes: DataFrame,

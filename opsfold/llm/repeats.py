@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from opsfold.llm.frames import stored, text_or_empty
+from opsfold.llm.frames import stored, text_or_empty, trimmed
 from opsfold.llm.hashing import U64, RangeHash, joined, mix, slices
 from opsfold.llm.sharding import number_rows
 
@@ -45,7 +45,7 @@ LENGTH = 100
 WIDTH = 16
 BUCKET = 16
 STEP = 10
-SLICE_BYTES = 1_000_000
+SLICE_BYTES = 500_000
 SEGMENT = 4_000_000
 # Marks of documents are broadcast up to this many bytes; beyond it, texts are shuffled to them.
 MAX_BROADCAST_BYTES = 48_000_000
@@ -109,7 +109,7 @@ def _parse(docs: DataFrame, bits: int, length: int, width: int) -> DataFrame:
                      pa.array(base[text] + start), pa.array(n.astype(np.int32))],
                     names=["anchor", "unit", "loc", "n"])
 
-    return docs.select("no", "text").mapInArrow(run, "anchor long, unit long, loc long, n int")
+    return docs.select("no", "text").mapInArrow(trimmed(run), "anchor long, unit long, loc long, n int")
 
 
 def _numbered(docs: DataFrame, id_col: str, text_col: str, rest: bool = False) -> tuple[DataFrame, int]:
@@ -164,7 +164,7 @@ def _runs(firsts: DataFrame, bits: int) -> DataFrame:
             [pa.array(a >> bits), pa.array(a & mask), pa.array((a & mask) + b - a)],
             names=["no", "a", "b"])
 
-    return rows.mapInArrow(run, "no long, a long, b long")
+    return rows.mapInArrow(trimmed(run), "no long, a long, b long")
 
 
 def _with_marks(docs: DataFrame, marks: DataFrame) -> DataFrame:
@@ -200,7 +200,7 @@ def _entries(docs: DataFrame, unclear: DataFrame, bits: int, length: int, width:
                      pa.array(offset.astype(np.int32)), pa.array(parts, pa.binary())],
                     names=["anchor", "m", "loc", "n", "at", "bytes"])
 
-    return rows.mapInArrow(run, "anchor long, m long, loc long, n int, at int, bytes binary")
+    return rows.mapInArrow(trimmed(run), "anchor long, m long, loc long, n int, at int, bytes binary")
 
 
 def _trigger_offsets(grams, starts, n, length, width) -> np.ndarray:
@@ -266,7 +266,7 @@ def _compare(entries: DataFrame, length: int) -> DataFrame:
         yield pa.RecordBatch.from_arrays([pa.array(locs, pa.int64()), pa.array(runs, pa.int64())],
                                          names=["loc", "n"])
 
-    return rows.mapInArrow(run, "loc long, n long")
+    return rows.mapInArrow(trimmed(run), "loc long, n long")
 
 
 def _parts(entries: DataFrame, length: int) -> DataFrame:
@@ -299,7 +299,7 @@ def _parts(entries: DataFrame, length: int) -> DataFrame:
                 names=["anchor", "core", "whole", "loc", "skip", "k"])
 
     return entries.select("anchor", "loc", "n", "at", "bytes").mapInArrow(
-        run, "anchor long, core long, whole long, loc long, skip int, k int")
+        trimmed(run), "anchor long, core long, whole long, loc long, skip int, k int")
 
 
 def _strings(entries: DataFrame, length: int) -> DataFrame:
@@ -319,7 +319,7 @@ def _strings(entries: DataFrame, length: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*map(pa.array, keys), pa.array(loc[which] + off)],
                                              names=["h1", "h2", "loc"])
 
-    return entries.mapInArrow(run, "h1 long, h2 long, loc long")
+    return entries.mapInArrow(trimmed(run), "h1 long, h2 long, loc long")
 
 
 def _grouped(entries: DataFrame, length: int) -> DataFrame:
@@ -415,7 +415,7 @@ def _pruned(batch, text: int, marks: int, length: int):
     """For a few rows at a time: their range and, for each, its bytes, spans and kept bytes."""
     lists = _marks_column(batch.column(marks))
     texts = batch.column(text).cast(pa.binary()).to_pylist()
-    for x, y in slices([len(t) for t in texts], 4_000_000):
+    for x, y in slices([len(t) for t in texts], 1_000_000):
         spans = [_spans_of(lists, i, len(texts[i]), length) for i in range(x, y)]
         yield x, y - x, [(t, s, _cut(t, s)) for t, s in zip(texts[x:y], spans)]
 
@@ -443,7 +443,7 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                     [batch.column(0).slice(x, n), *(pa.array(c, k) for c, k in zip(out, kinds))],
                     names=schema.names)
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(trimmed(run), schema)
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -464,6 +464,6 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(x, n), pa.array(texts, pa.string())], names=schema.names)
 
-    cut = rows.mapInArrow(run, schema)
+    cut = rows.mapInArrow(trimmed(run), schema)
     return cut.select(*(F.col("text").alias(c) if c == text_col else F.col(f"rest.`{c}`").alias(c)
                         for c in docs.columns))

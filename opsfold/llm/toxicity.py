@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from opsfold.llm.frames import stored
+from opsfold.llm.frames import stored, trimmed
 from opsfold.llm.hashing import PUNCTUATION, SPACE, U64, Words, mix, slices
 
 MAX_TRAIN = 10_000
@@ -273,7 +273,7 @@ def score(docs: DataFrame, chain: Chain, id_col: str = "doc_id", text_col: str =
                 [part.column(0), *(pa.array(c) for c in columns),
                  *(pa.array(c >= threshold) for c in columns)], names=schema.names)
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(trimmed(run), schema)
 
 
 def below(docs: DataFrame, chain: Chain, category: str, text_col: str = "text",
@@ -285,7 +285,7 @@ def below(docs: DataFrame, chain: Chain, category: str, text_col: str = "text",
         for part, p in _score_batches(batches, chain, at):
             yield part.filter(pa.array(p[:, j] < threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(trimmed(run), docs.schema)
 
 
 def label_categories() -> dict[str, Column]:
