@@ -15,6 +15,8 @@ from opsfold.llm.frames import documents, prepare, shared_folder
 
 #: No SQL: classifiers, min-hashing and tokenizers have none; tests use plain versions.
 ORACLE_SQL = None
+# Workers of this stage have served those before it, so its cache is a small one.
+PACK_CACHE_PIECES = 100_000
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,7 +50,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents with their sequence and offset."""
     prepare(spark)
-    return packing.pack(docs)
+    return packing.pack(docs, cache_pieces=PACK_CACHE_PIECES)
 
 
 STAGES = [("toxicity", drop_toxic), ("near_duplicates", drop_near_duplicates),

@@ -1,15 +1,14 @@
 """Quality rules with cross-document line frequencies per host, in DataFrame functions only.
 
-Normalised lines are hashed and each host's distinct texts that hold a line are
-counted (copies of a text count once).  A line in more than ``max(min_docs,
-max_share * texts of the host)`` texts is boilerplate; documents whose other
-lines hold too few words, or too small a share of their words, are rejected.
+Normalised lines are hashed and each host's documents that hold a line are
+counted, each document once.  A line in more than ``max(min_docs, max_share *
+documents of the host)`` documents is boilerplate; documents whose other lines hold too few words, or too small a share of their words, are rejected.
 
 Words are maximal runs of characters other than space and U+0009 to U+000D.
 
 Cases: a null text has no words, so it fails the base rules, as every text with
 fewer than ``min_words`` words; a null host is a host of its own; repeated rows
-each get their result and count once for line frequencies; an empty table gives
+each get their result and count each for line frequencies; an empty table gives
 an empty result; other columns, whatever their names, are ignored.
 """
 
@@ -94,14 +93,21 @@ def _line_rows(rows: DataFrame) -> DataFrame:
     return lines.select("__key", "__host", F.xxhash64("line").alias("line"), words.alias("words"))
 
 
-def frequent_lines(rows: DataFrame, texts: DataFrame, min_docs: int, max_share: float) -> DataFrame:
-    """(host, line) pairs in more distinct texts of the host than its limit."""
-    limits = texts.groupBy("__host").agg(F.greatest(
+def _document_lines(rows: DataFrame) -> DataFrame:
+    """(host, line) of each document, each line once."""
+    norm = F.transform(F.split("__text", "\n"),
+                       lambda x: F.trim(F.regexp_replace(F.lower(x), BLANK, " ")))
+    lines = rows.select("__host", F.explode(F.array_distinct(norm)).alias("line")).filter(F.col("line") != "")
+    return lines.select("__host", F.xxhash64("line").alias("line"))
+
+
+def frequent_lines(rows: DataFrame, min_docs: int, max_share: float) -> DataFrame:
+    """(host, line) pairs in more documents of the host than its limit."""
+    limits = rows.groupBy("__host").agg(F.greatest(
         F.lit(min_docs).cast("double"), F.count(F.lit(1)) * F.lit(max_share)).alias("__limit"))
-    counts = (_line_rows(rows).groupBy("__host", "line")
-              .agg(F.count_distinct("__key").alias("__texts"))
-              .filter(F.col("__texts") > min_docs))
-    found = stored(counts.join(limits, "__host").filter(F.col("__texts") > F.col("__limit"))
+    counts = (_document_lines(rows).groupBy("__host", "line")
+              .agg(F.count(F.lit(1)).alias("__docs")).filter(F.col("__docs") > min_docs))
+    found = stored(counts.join(limits, "__host").filter(F.col("__docs") > F.col("__limit"))
                    .select("__host", "line"), "lines")
     # A host has at most (lines per text) / max_share such lines; still, their number is
     # checked, and a shuffle join takes over where it is large.
@@ -120,7 +126,7 @@ def line_frequency_filter(docs: DataFrame, id_col: str = "doc_id", text_col: str
     rows = rows.withColumn("__key", F.xxhash64("__host", "__text"))
     counted = stored(base_counts(rows).drop("__text"), "counts")
     texts = counted.groupBy("__key", "__host").agg(F.count(F.lit(1)).alias("__copies"))
-    frequent = frequent_lines(rows, texts, min_docs, max_share)
+    frequent = frequent_lines(rows, min_docs, max_share)
     # Copies of a text have one key, and each adds as many removed words.
     removed = (_line_rows(rows).join(frequent, ["__host", "line"])
                .groupBy("__key").agg(F.sum("words").alias("__sum"))
@@ -149,8 +155,7 @@ def without_frequent_lines(docs: DataFrame, id_col: str = "doc_id", text_col: st
     host = F.xxhash64(F.col(host_col).cast("string"), F.col(host_col).isNull())
     rows = docs.select(host.alias("__host"), text_or_empty(text_col).alias("__text"))
     rows = rows.withColumn("__key", F.xxhash64("__host", "__text"))
-    texts = rows.select("__key", "__host").groupBy("__key", "__host").count()
-    frequent = frequent_lines(rows, texts, min_docs, max_share)
+    frequent = frequent_lines(rows, min_docs, max_share)
     cut = (_line_rows(rows).join(frequent, ["__host", "line"]).select("__key", "line").distinct()
            .groupBy("__key").agg(F.collect_set("line").alias("__cut")))
     norm = lambda x: F.xxhash64(F.trim(F.regexp_replace(F.lower(x), BLANK, " ")))

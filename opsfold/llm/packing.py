@@ -25,8 +25,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from opsfold.llm.frames import stored
-from opsfold.llm.tokens import default_tokenizer, encoder
+from opsfold.llm.frames import stored, trimmed
+from opsfold.llm.tokens import CACHE_PIECES, default_tokenizer, encoder
 
 CAPACITY = 2048
 END_ID = 0
@@ -109,7 +109,7 @@ def cut_points(n: int, capacity: int) -> list[int]:
 
 def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  tokenizer: str | None = None, capacity: int = CAPACITY,
-                 end_id: int = END_ID) -> DataFrame:
+                 end_id: int = END_ID, cache_pieces: int = CACHE_PIECES) -> DataFrame:
     """Pieces of each document's ids: place, checksum, and rank among its task's equals."""
     path = tokenizer or default_tokenizer()
     end = int(end_id).to_bytes(4, "little")
@@ -120,7 +120,8 @@ def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
           ("piece", "start", "length", "ids_crc32", "part", "rank"))])
 
     def run(batches):
-        part, ranks, encode = TaskContext.get().partitionId(), defaultdict(int), encoder(path).encode
+        part, ranks = TaskContext.get().partitionId(), defaultdict(int)
+        encode = encoder(path, cache_pieces).encode
         for batch in batches:
             rows, out = [], [[] for _ in range(6)]
             texts = ["" if t is None else t for t in batch.column(1).to_pylist()]
@@ -137,14 +138,17 @@ def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays(
                 [ids_column, *(pa.array(c, pa.int64()) for c in out)], names=schema.names)
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(trimmed(run), schema)
 
 
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-         tokenizer: str | None = None, capacity: int = CAPACITY,
-         end_id: int = END_ID) -> DataFrame:
-    """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
-    pieces = stored(token_pieces(docs, id_col, text_col, tokenizer, capacity, end_id), "pieces")
+         tokenizer: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID,
+         cache_pieces: int = CACHE_PIECES) -> DataFrame:
+    """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
+
+    ``cache_pieces`` bounds the encoder's memory in each worker: fewer pieces cost time only.
+    """
+    pieces = stored(token_pieces(docs, id_col, text_col, tokenizer, capacity, end_id, cache_pieces), "pieces")
     by_task = pieces.groupBy("length", "part").agg(F.count(F.lit(1)).alias("n"))
     counts = {r["length"]: r["n"] for r in
               by_task.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # <= capacity rows

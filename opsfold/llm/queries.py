@@ -100,7 +100,7 @@ def queries():
 
 # Plain SQL for the line-frequency query: windows of eight words are unnested and grouped.
 LINE_FREQUENCY_SQL = rf"""
-with d as (select doc_id, source, coalesce(text, '') as t from documents),
+with d as (select row_number() over () as r, doc_id, source, coalesce(text, '') as t from documents),
 w as (select *, list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') as ws,
              list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as ls
       from d),
@@ -110,12 +110,12 @@ twice as (select doc_id, k from win group by doc_id, k having count(*) > 1),
 inside as (select distinct doc_id, unnest(generate_series(i, i + 7)) as j
            from win join twice using (doc_id, k)),
 covered as (select doc_id, count(*) as n from inside group by doc_id),
-lines as (select doc_id, source, t,
+lines as (select r, doc_id, source,
                  trim(regexp_replace(lower(unnest(ls)), '[\x20\x09-\x0D]+', ' ', 'g')) as line from w),
-limits as (select source, greatest({linefreq.MIN_DOCS}, count(distinct t) * {linefreq.MAX_SHARE}) as most
+limits as (select source, greatest({linefreq.MIN_DOCS}, count(*) * {linefreq.MAX_SHARE}) as most
            from d group by source),
 frequent as (select source, line from lines join limits using (source)
-             group by source, line, most having count(distinct t) > most),
+             group by source, line, most having count(distinct r) > most),
 removed as (select doc_id, sum(length(line) - length(replace(line, ' ', '')) + 1) as n
             from lines join frequent using (source, line) group by doc_id),
 c as (select w.doc_id, cast(len(ws) as bigint) as n_words,

@@ -24,7 +24,8 @@ _WORD_END = frozenset(c for c in map(chr, range(0x250)) if c.isalpha() and c.upp
                       or c in "0123456789")
 _PUNCTUATION = ".,!?;:|*#&$%"
 LINES = 256
-_encoders: dict[tuple[str, int], PieceEncoder] = {}
+CACHE_PIECES = 600_000
+_encoders: dict[tuple[str, int, int], PieceEncoder] = {}
 
 
 def default_tokenizer() -> str:
@@ -49,7 +50,7 @@ class PieceEncoder:
     older one is dropped when the younger is full, so memory stays bounded.
     """
 
-    def __init__(self, path: str, max_entries: int = 600_000):
+    def __init__(self, path: str, max_entries: int = CACHE_PIECES):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -153,10 +154,10 @@ class PieceEncoder:
         return out
 
 
-def encoder(path: str | None = None) -> PieceEncoder:
-    """One encoder per worker process and file."""
+def encoder(path: str | None = None, cache_pieces: int = CACHE_PIECES) -> PieceEncoder:
+    """One encoder per worker process, file and size of its cache."""
     path = path or default_tokenizer()
-    key = (path, os.getpid())
+    key = (path, cache_pieces, os.getpid())
     if key not in _encoders:
-        _encoders[key] = PieceEncoder(path)
+        _encoders[key] = PieceEncoder(path, cache_pieces)
     return _encoders[key]

@@ -55,9 +55,9 @@ def base_counts(text):
 def line_verdicts(rows, min_docs, max_share, min_kept_words, min_kept_share):
     """rows: (doc_id, text, host).  Returns doc_id -> words removed."""
     norm = lambda x: " ".join(WORD.findall(x.lower()))
-    by_host = defaultdict(set)
+    by_host = defaultdict(list)
     for _, text, host in rows:
-        by_host[host].add(text or "")
+        by_host[host].append(text or "")
     cut = {}
     for host, texts in by_host.items():
         count = defaultdict(int)
