@@ -363,7 +363,7 @@ def q_trim_report(spark, sf_dir):
     write_parquet(fixture_inputs(spark, sf_dir).logs, f"{root}/logs")
     r = trim_dataset(spark, f"{root}/logs", f"{root}/trimmed", limit=TRIM_1K)
     return spark.createDataFrame([(r.status, r.original_rows, r.kept_rows,
-                                   spark.read.parquet(r.target).count())],
+                                   spark.read.parquet(r.target or r.source).count())],
                                  "status string, original_rows long, kept_rows long, read_rows long")
 
 
