@@ -125,7 +125,9 @@ class PieceEncoder:
         if len(self.young) > self.max_entries:
             self.old, self.young = self.young, {}
         # A leading space is left out of a piece; a part without one is its own kind of piece.
-        keys = [p[1:] if p[:1] == " " else p if p[:1] == "\n" else "\n" + p for p in parts]
+        # A space before a newline is none: such a part goes to the library whole.
+        keys = ["" if p[:2] == " \n" else p[1:] if p[:1] == " " else p if p[:1] == "\n" else "\n" + p
+                for p in parts]
         self.learn(set(keys))
         values = list(map(self.young.__getitem__, keys))
         out = [len(v) // 4 if v is not None else -1 for v in values]
