@@ -7,7 +7,7 @@ import string
 
 import numpy as np
 import pytest
-from hypothesis import given, settings
+from hypothesis import example, given, settings
 from hypothesis import strategies as st
 
 import corpus_pipeline
@@ -143,6 +143,7 @@ ODD = st.text(alphabet=st.sampled_from("ab1 é.,'\n\t \x1c　!|s"), max_size=40)
 
 
 @settings(max_examples=200, deadline=None)
+@example(" \n1", [(0, 0, "")])
 @given(ODD, st.lists(st.tuples(st.integers(0, 60), st.integers(0, 20), ODD), max_size=5))
 def test_counts_follow_edits(text, edits):
     enc = tokens.encoder()
@@ -165,19 +166,71 @@ def test_only_touched_segments_are_encoded():
         tree.edit(5, 10 ** 6, "")
 
 
+def apply_edits(text, edits):
+    for a, b, new in reversed(edits):
+        text = text[:a] + new + text[b:]
+    return text
+
+
+def scrubbed(text):
+    """The text without repeated lines, then with masks, and the number of edits; by whole texts."""
+    lines, n = [], 0
+    for line in text.split("\n"):
+        if line.strip() and line in lines:
+            n += 1
+        else:
+            lines.append(line)
+    text = "\n".join(lines)
+    for pattern, mask in ((tokencount._EMAIL, "<email>"), (tokencount._PHONE, "<phone>")):
+        text, k = pattern.subn(mask, text)
+        n += k
+    return text, n
+
+
 @pytest.mark.parametrize("table", ["awkward", "sf"])
 def test_edited_counts(spark, table):
     docs = awkward(spark) if table == "awkward" else spark.read.parquet(f"{SF001}/documents.parquet")
     got = sorted(tuple(r) for r in tokencount.edited_counts(docs).drop("n_encoded_again", "n_segments")
                  .fillna(-1).collect())
     src = docs.select("doc_id", "text").collect()
-    edits = [tokencount.scrub_edits(r.text or "") for r in src]
-    after = [tokencount.apply_edits(r.text or "", e) for r, e in zip(src, edits)]
-    before_ids, after_ids = (brute.library_ids(x) for x in ([r.text for r in src], after))
-    want = sorted((-1 if r.doc_id is None else r.doc_id, len(a), len(e), len(b), len(t))
-                  for r, a, e, b, t in zip(src, before_ids, edits, after_ids, after))
+    after = [scrubbed(r.text or "") for r in src]
+    before_ids, after_ids = (brute.library_ids(x) for x in ([r.text for r in src], [t for t, _ in after]))
+    want = sorted((-1 if r.doc_id is None else r.doc_id, len(a), n, len(b), len(t))
+                  for r, a, b, (t, n) in zip(src, before_ids, after_ids, after))
     assert got == want
-    assert any(edits)
+    assert any(n for _, n in after)
+
+
+@pytest.mark.parametrize("most", [tokencount.MAX_BROADCAST_BYTES, 0])
+def test_kept_trees_follow_tables_of_edits(spark, monkeypatch, most):
+    """Two batches of edits by doc_id, the second on the trees that the first left."""
+    monkeypatch.setattr(tokencount, "MAX_BROADCAST_BYTES", most)
+    rng = random.Random(12)
+    docs = awkward(spark)
+    trees = tokencount.count_trees(docs)
+    texts = [(r.doc_id, r.text or "") for r in docs.select("doc_id", "text").collect()]
+    for _ in range(2):
+        shortest = {}
+        for i, t in texts:
+            shortest[i] = min(shortest.get(i, 10 ** 9), len(t))
+        edits = []
+        for i, size in shortest.items():
+            cuts = sorted(rng.randrange(size + 1) for _ in range(4))
+            edits += [(i, cuts[0], cuts[1], rng.choice(["", "x y", None, "\n"])),
+                      (i, cuts[2], cuts[3], " new. ")] if rng.random() < 0.8 else []
+        table = spark.createDataFrame([*edits, (10 ** 9, 5, 7, "no such document")],
+                                      "doc_id long, start int, end int, replacement string")
+        trees = tokencount.updated(trees, tokencount.edited_trees(trees, table, "doc_id"))
+        texts = [(i, apply_edits(t, sorted((a, b, n or "") for j, a, b, n in edits if j == i)))
+                 for i, t in texts]
+        got = sorted((-1 if r.doc_id is None else r.doc_id, r.text, sum(r.tokens), sum(r.chars))
+                     for r in trees.collect())
+        ids = brute.library_ids([t for _, t in texts])
+        assert got == sorted((-1 if i is None else i, t, len(x), len(t)) for (i, t), x in zip(texts, ids))
+    overlapping = spark.createDataFrame([(0, 0, 0, "a"), (0, 0, 10 ** 8, "b")],
+                                        "tree long, start int, end int, replacement string")
+    with pytest.raises(Exception, match="outside the text"):
+        tokencount.edited_trees(trees, overlapping).collect()
 
 
 def test_empty_tables(spark):
