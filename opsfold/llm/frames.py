@@ -32,14 +32,14 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark)}/opsfold-llm/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Cuts the lineage at storage that outlives any executor, so that later
     stages see the same rows however often their tasks are retried.
     """
     path = shared_folder(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

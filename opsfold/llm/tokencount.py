@@ -38,6 +38,7 @@ from opsfold.llm.tokens import BLANK, PieceEncoder, default_tokenizer, encoder
 
 _BOUNDARY = re.compile(f"(?<=[^{BLANK}])(?=[ \n][^{BLANK}])")
 SLICE_CHARS = 1_000_000
+CACHE_PIECES = 400_000
 # Broadcast of at most this many bytes of edits or ids; beyond it, shuffle joins.
 MAX_BROADCAST_BYTES = 16_000_000
 _IS_BLANK = re.compile(f"[{BLANK}]")
@@ -156,8 +157,11 @@ class CountTree:
 
 def repeated_line_edits(text: str) -> list[tuple[int, int, str]]:
     """Edits that remove lines equal to an earlier one, each with the line end before it."""
+    lines = text.split("\n")
+    if len(set(lines)) == len(lines):
+        return []
     edits, seen, at = [], set(), 0
-    for line in text.split("\n"):
+    for line in lines:
         end = at + len(line)
         if line.strip() and line in seen:
             edits.append((at - 1, end, ""))
@@ -182,6 +186,26 @@ def _int_lists(values: np.ndarray, sizes: list[int]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.astype(np.int32)))
 
 
+def _leaves(texts: list[str], enc: PieceEncoder) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Characters and tokens of the segments of each text.
+
+    The segments of a text made of safe pieces are these: one begins at each space and newline.
+    """
+    chars, tokens = [], enc.piece_counts(texts)
+    for i, text in enumerate(texts):
+        if tokens[i] is None:
+            parts = segments(text)
+            chars.append(np.fromiter(map(len, parts), np.int32, len(parts)))
+            tokens[i] = np.array(enc.counts(parts), dtype=np.int32)
+        elif text:
+            codes = np.frombuffer(text.encode("utf-32-le"), dtype="<u4")
+            chars.append(np.diff(np.flatnonzero((codes == 32) | (codes == 10)),
+                                 prepend=0, append=len(codes)).astype(np.int32))
+        else:
+            chars.append(np.empty(0, dtype=np.int32))
+    return chars, tokens
+
+
 def count_trees(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 tokenizer: str | None = None) -> DataFrame:
     """The kept table of trees: tree (a number), doc_id, text, chars and tokens of its segments."""
@@ -192,22 +216,20 @@ def count_trees(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                            T.StructField("chars", ints), T.StructField("tokens", ints)])
 
     def run(batches):
-        enc = encoder(path)
+        enc = encoder(path, CACHE_PIECES)
         for batch in batches:
             sizes = pa.compute.utf8_length(batch.column(1)).to_pylist()
             for a, b in slices(sizes, SLICE_CHARS):
                 mine = batch.slice(a, b - a)
-                split = [segments(t) for t in mine.column(1).to_pylist()]
-                parts = [p for s in split for p in s]
-                lengths = [len(s) for s in split]
-                chars = np.fromiter(map(len, parts), np.int32, len(parts))
+                chars, tokens = _leaves(mine.column(1).to_pylist(), enc)
+                lengths = list(map(len, chars))
                 yield pa.RecordBatch.from_arrays(
-                    [*mine.columns, _int_lists(chars, lengths),
-                     _int_lists(np.array(enc.counts(parts), dtype=np.int32), lengths)],
+                    [*mine.columns, _int_lists(np.concatenate(chars), lengths),
+                     _int_lists(np.concatenate(tokens), lengths)],
                     names=schema.names)
 
     trees = source.mapInArrow(trimmed(run), schema)
-    return stored(trees.select(F.monotonically_increasing_id().alias("tree"), "*"), "trees")
+    return stored(trees.select(F.monotonically_increasing_id().alias("tree"), "*"), "trees", "zstd")
 
 
 def found_edits(trees: DataFrame, find: Callable[[str], list[tuple[int, int, str]]]) -> DataFrame:
@@ -249,7 +271,7 @@ def edited_trees(trees: DataFrame, edits: DataFrame, on: str = "tree",
                            T.StructField("n_encoded_again", T.LongType())])
 
     def run(batches):
-        enc = encoder(path)
+        enc = encoder(path, CACHE_PIECES)
         for batch in batches:
             chars, tokens, starts, ends, news = (
                 batch.column(i) for i in range(3, 8))
@@ -277,7 +299,7 @@ def edited_trees(trees: DataFrame, edits: DataFrame, on: str = "tree",
                  pa.array(n_edits, pa.int64()), pa.array(encoded, pa.int64())],
                 names=schema.names)
 
-    return stored(todo.mapInArrow(trimmed(run), schema), "trees")
+    return stored(todo.mapInArrow(trimmed(run), schema), "trees", "zstd")
 
 
 def updated(trees: DataFrame, changed: DataFrame) -> DataFrame:

@@ -138,6 +138,25 @@ class PieceEncoder:
                 out[i] -= 1  # the newline that stands for its beginning
         return out
 
+    def piece_counts(self, texts: list[str]) -> list[np.ndarray | None]:
+        """Token counts of each text's pieces; None for texts that are not made of safe pieces."""
+        if not self.cached:
+            return [None] * len(texts)
+        if len(self.young) > self.max_entries:
+            self.old, self.young = self.young, {}
+        split = [pieces_of(t) if t else [] for t in texts]
+        self.learn(set().union(*split))
+        get = self.young.__getitem__
+        out: list[np.ndarray | None] = []
+        for pieces in split:
+            try:
+                n = np.fromiter(map(len, map(get, pieces)), np.int32, len(pieces)) // 4
+                n[:1] -= 1  # the newline that stands for the text's beginning
+                out.append(n)
+            except TypeError:
+                out.append(None)
+        return out
+
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.cached:
             return self._whole(texts)

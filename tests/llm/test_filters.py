@@ -166,6 +166,18 @@ def test_only_touched_segments_are_encoded():
         tree.edit(5, 10 ** 6, "")
 
 
+@settings(max_examples=300, deadline=None)
+@example(["", " \n1", "a b\nc", "a\tb c ", "<|endoftext|> x"])
+@given(st.lists(ODD, max_size=6))
+def test_leaves_are_the_segments(texts):
+    enc = tokens.encoder()
+    chars, counts = tokencount._leaves(texts, enc)
+    for text, c, n in zip(texts, chars, counts, strict=True):
+        parts = tokencount.segments(text)
+        assert c.tolist() == [len(p) for p in parts]
+        assert n.tolist() == [len(x) for x in brute.library_ids(parts)]
+
+
 def apply_edits(text, edits):
     for a, b, new in reversed(edits):
         text = text[:a] + new + text[b:]
