@@ -338,37 +338,43 @@ def _across_classes(hits: DataFrame, banded: DataFrame, labels: DataFrame, done:
 
 
 def _prefixes(rows: DataFrame, threshold: float) -> DataFrame:
-    """key, node, label, size, flat, left: the rarest shingles of each node, which others have too.
+    """key, node, label, size, flat, left: the rarest shingles of each node, which other classes have.
 
     J_P is at most the sum over common i of min(w_i / sum w, v_i / sum v).  With
     shingles in one order for all nodes, take of each the first ones, up to where
     less than ``threshold`` of its weight is left: two nodes without a common one
     among these share less than ``threshold``.  ``left`` is the number of shingles from this one on.
+
+    Shingles of a single class come first in that order.  No pair across classes shares
+    them, so they only count in the weight and the size of their node and are not joined.
     """
-    each = rows.select("node", "label", F.explode(F.arrays_zip("shingles", "counts")).alias("x")).select(
-        "node", "label", F.col("x.shingles").alias("key"), F.col("x.counts").alias("count"))
-    of = each.groupBy("key").agg(F.count(F.lit(1)).alias("of"))
-    ranked = each.join(of, "key").groupBy("node", "label").agg(
+    each = rows.select(
+        "node", "label", F.size("shingles").alias("size"), F.array_max("counts").alias("most"),
+        F.aggregate("counts", F.lit(0).cast("long"), lambda a, x: a + x).alias("total"),
+        F.explode(F.arrays_zip("shingles", "counts")).alias("x"))
+    each = each.select("node", "label", "size", "most", "total",
+                       F.col("x.shingles").alias("key"), F.col("x.counts").alias("count"))
+    of = (each.groupBy("key").agg(F.count(F.lit(1)).alias("of"), F.min("label").alias("lo"),
+                                  F.max("label").alias("hi"))
+          .filter("lo != hi").select("key", "of"))
+    ranked = each.join(of, "key").groupBy("node", "label", "size", "most", "total").agg(
         F.array_sort(F.collect_list(F.struct("of", "key", "count"))).alias("x"))
-    ranked = ranked.select("node", "label", "x.of", "x.key", "x.count")
+    ranked = ranked.select("node", "label", "size", "most", "total", "x.key", "x.count")
 
     def run(batches):
         for batch in batches:
-            node, label, of, key, count = batch.columns
+            node, label, size, most, total, key, count = batch.columns
             ends = key.offsets.to_numpy()
-            sizes = np.diff(ends)
-            row = np.repeat(np.arange(len(sizes)), sizes)
-            of, key, count = (x.values.to_numpy()[ends[0]:ends[-1]] for x in (of, key, count))
-            before = np.concatenate([[0], np.cumsum(count)])
+            key, count = (x.values.to_numpy()[ends[0]:ends[-1]] for x in (key, count))
+            row = np.repeat(np.arange(batch.num_rows), np.diff(ends))
             ends = ends - ends[0]
-            total = before[ends[1:]] - before[ends[:-1]]
-            share = (before[ends[1:]][row] - before[:-1]) / total[row]
-            most = np.maximum.reduceat(count, ends[:-1]) if len(count) else count
-            at = np.flatnonzero((share >= threshold - 1e-9) & (of > 1))
+            before = np.concatenate([[0], np.cumsum(count)])
+            share = (before[ends[1:]][row] - before[:-1]) / total.to_numpy()[row]
+            at = np.flatnonzero(share >= threshold - 1e-9)
             row = row[at]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(key[at]), node.take(pa.array(row)), label.take(pa.array(row)),
-                 pa.array(sizes[row].astype(np.int32)), pa.array(most[row] == 1),
+                 size.take(pa.array(row)), pa.array(most.to_numpy()[row] == 1),
                  pa.array((ends[1:][row] - at).astype(np.int32))],
                 names=["key", "node", "label", "size", "flat", "left"])
 
