@@ -60,14 +60,14 @@ def text_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     distinct = np.bincount(o, minlength=len(texts))
     chars = np.bincount(owner, weights=w.end - w.start, minlength=len(texts))
     size = np.array([max(len(r), 1) for r in raw], dtype=float)
-    upper = np.array([sum(map(r.count, _UPPER)) for r in raw]) / size
+    upper = np.array([len(r) - len(r.translate(None, _UPPER)) for r in raw]) / size
     symbols = np.array([sum(map(r.count, _MARKS)) for r in raw]) / size
     some = np.maximum(n, 1)
     shapes = np.stack([np.log1p(n), distinct / some, chars / some / 10, upper, symbols * 5], axis=1)
     return o, h, shapes
 
 
-_UPPER = [bytes([c]) for c in b"ETAONIS"]
+_UPPER = bytes(range(ord("A"), ord("Z") + 1))
 _MARKS = [bytes([c]) for c in b"#*$%&|!"]
 
 
