@@ -8,8 +8,8 @@ and Myers' algorithm computes the exact distance around each of them.
 
 Items are taken in blocks of bounded size, all documents against each block.
 
-Cases: null or blank items match nothing; items shorter than ``min_chars`` match
-word for word, not inside of longer words;
+Cases: null or blank items match nothing; items shorter than ``whole_words_below``
+match with the same share of edits, but only from word edge to word edge;
 null and empty texts hold nothing; items with equal texts each get their rows;
 repeated documents each get theirs; an empty table on either side gives no
 matches; only id and text are read, and ``clean`` keeps all columns.
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 ERROR_RATE = 0.05
-MIN_CHARS = 20
+WHOLE_WORDS_BELOW = 20
 BLOCK_CHARS = 2_000_000
 
 
@@ -78,14 +78,34 @@ def _whole_words(text: str, start: int, end: int) -> bool:
                 or (end < len(text) and text[end - 1].isalnum() and text[end].isalnum()))
 
 
+def _edits(a: str, b: str) -> int:
+    """Edit distance of two short strings."""
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def _whole_match(text: str, item: str, k: int, starts: set[int]) -> tuple[int, int, int] | None:
+    """Least (distance, start, end) of the matches around these starts that end at word edges."""
+    ranges = {(a, b) for s in starts for a in range(max(0, s - k), min(len(text) - 1, s + k) + 1)
+              for b in range(max(a + 1, a + len(item) - k), min(len(text), a + len(item) + k) + 1)}
+    found = [(0 if text[a:b] == item else _edits(item, text[a:b]), a, b)
+             for a, b in ranges if _whole_words(text, a, b)]
+    return min((x for x in found if x[0] <= k), default=None)
+
+
 class Matcher:
     """Finds the items of one block in normalised texts."""
 
-    def __init__(self, items: list[tuple[object, str]], error_rate: float, min_chars: int = MIN_CHARS):
+    def __init__(self, items: list[tuple[object, str]], error_rate: float,
+                 whole_words_below: int = WHOLE_WORDS_BELOW):
         import ahocorasick
 
-        self.items, self.min_chars = items, min_chars
-        self.budgets = [int(error_rate * len(t)) if len(t) >= min_chars else 0 for _, t in items]
+        self.items, self.whole_words_below = items, whole_words_below
+        self.budgets = [int(error_rate * len(t)) for _, t in items]
         self.masks = [(_masks(t), _masks(t[::-1])) for _, t in items]
         places = defaultdict(list)
         for i, (_, t) in enumerate(items):
@@ -109,10 +129,10 @@ class Matcher:
         out = []
         for i, starts in spots.items():
             item, k = self.items[i][1], self.budgets[i]
-            if len(item) < self.min_chars:
-                whole = [s for s in starts if _whole_words(text, s, s + len(item))]
+            if len(item) < self.whole_words_below:
+                whole = _whole_match(text, item, k, starts)
                 if whole:
-                    out.append((i, 0, min(whole), min(whole) + len(item)))
+                    out.append((i, *whole))
                 continue
             windows: list[list[int]] = []
             for s in sorted(starts):
@@ -136,12 +156,12 @@ class Matcher:
 _matchers: dict[tuple, Matcher] = {}
 
 
-def _matcher(items: list[tuple[object, str]], error_rate: float, min_chars: int) -> Matcher:
+def _matcher(items: list[tuple[object, str]], error_rate: float, whole_words_below: int) -> Matcher:
     """One matcher per worker process: that of the block it works on."""
-    key = (os.getpid(), error_rate, min_chars, hash(tuple(items)))
+    key = (os.getpid(), error_rate, whole_words_below, hash(tuple(items)))
     if key not in _matchers:
         _matchers.clear()
-        _matchers[key] = Matcher(items, error_rate, min_chars)
+        _matchers[key] = Matcher(items, error_rate, whole_words_below)
     return _matchers[key]
 
 
@@ -160,7 +180,7 @@ def item_blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "
 
 def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             item_col: str = "item_id", item_text: str = "text", error_rate: float = ERROR_RATE,
-            min_chars: int = MIN_CHARS, block_chars: int = BLOCK_CHARS) -> DataFrame:
+            whole_words_below: int = WHOLE_WORDS_BELOW, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """One row per document and item it holds: doc_id, item_id, distance, start, end.
 
     ``start`` and ``end`` are characters of the normalised text.
@@ -173,7 +193,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
 
     def against(items):
         def run(batches):
-            matcher = _matcher(items, error_rate, min_chars)
+            matcher = _matcher(items, error_rate, whole_words_below)
             for batch in batches:
                 rows, found = [], []
                 for i, text in enumerate(batch.column(1)):
@@ -196,14 +216,14 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
-          item_text: str = "text", error_rate: float = ERROR_RATE, min_chars: int = MIN_CHARS,
+          item_text: str = "text", error_rate: float = ERROR_RATE, whole_words_below: int = WHOLE_WORDS_BELOW,
           block_chars: int = BLOCK_CHARS) -> DataFrame:
     """``docs`` without the rows that hold an item; nothing is shuffled."""
     at = docs.columns.index(text_col)
 
     def without(df, items):
         def run(batches):
-            matcher = _matcher(items, error_rate, min_chars)
+            matcher = _matcher(items, error_rate, whole_words_below)
             for batch in batches:
                 keep = [not matcher.find(normalized(t.as_py())) for t in batch.column(at)]
                 yield batch.filter(pa.array(keep, pa.bool_()))

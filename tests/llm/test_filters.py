@@ -74,6 +74,14 @@ def semi_global(pattern, text):
     return best
 
 
+def whole_distance(a, b):
+    rows = [[i + j for j in range(len(b) + 1)] for i in range(len(a) + 1)]
+    for i, x in enumerate(a):
+        for j, y in enumerate(b):
+            rows[i + 1][j + 1] = min(rows[i][j + 1] + 1, rows[i + 1][j] + 1, rows[i][j] + (x != y))
+    return rows[-1][-1]
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.text("ab c", min_size=1, max_size=12), st.text("ab c", max_size=40))
 def test_myers_distance(pattern, text):
@@ -129,6 +137,28 @@ def test_short_items_match_whole_words(spark):
     assert {r.doc_id for r in decontaminate.clean(d, b).collect()} == {2}
 
 
+def test_short_items_share_the_budget_of_edits(spark):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abc") for _ in range(rng.randrange(2, 6)))
+    items = [(i, " ".join(word() for _ in range(rng.randrange(1, 4)))) for i in range(10)]
+    docs = [(i, " ".join(word() for _ in range(8)) + rng.choice(["", ".", "x"])) for i in range(40)]
+    docs += [(40 + i, f"{word()} {mutated(rng, t, 1)}, {word()}") for i, t in items]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    b = spark.createDataFrame(items, "item_id long, text string")
+    found = decontaminate.matches(d, b, error_rate=0.2).collect()
+    want = {}
+    for i, t in docs:
+        t = decontaminate.normalized(t)
+        for j, x in items:
+            x, k = decontaminate.normalized(x), int(0.2 * len(x))
+            edges = [p for p in range(len(t) + 1) if not t[max(0, p - 1):p + 1].isalnum() or p in (0, len(t))]
+            n = min((whole_distance(x, t[s:e]) for s in edges for e in edges if s < e), default=k + 1)
+            if n <= k:
+                want[i, j] = n
+    assert len(want) > 10 and {0, 1} <= set(want.values())
+    assert {(r.doc_id, r.item_id): r.distance for r in found} == want
+
+
 def test_benchmark_items_in_documents(spark):
     docs, bench = (spark.read.parquet(f"{SF001}/{t}.parquet") for t in ("documents", "benchmark"))
     got = {(r.doc_id, r.item_id) for r in decontaminate.matches(docs, bench).collect()}
