@@ -43,6 +43,14 @@ def stored(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_name(name: str, df: DataFrame) -> str:
+    """``name``, led by more underscores as long as ``df`` has a column of it (in any case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def text_or_empty(column: str = "text"):
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opsfold.llm.frames import stored, text_or_empty
+from opsfold.llm.frames import free_name, stored, text_or_empty
 
 MIN_WORDS = 20
 WINDOW = 8
@@ -156,13 +156,14 @@ def without_frequent_lines(docs: DataFrame, id_col: str = "doc_id", text_col: st
     rows = docs.select(host.alias("__host"), text_or_empty(text_col).alias("__text"))
     rows = rows.withColumn("__key", F.xxhash64("__host", "__text"))
     frequent = frequent_lines(rows, min_docs, max_share)
+    key, lines = free_name("__key", docs), free_name("__cut", docs)
     cut = (_line_rows(rows).join(frequent, ["__host", "line"]).select("__key", "line").distinct()
-           .groupBy("__key").agg(F.collect_set("line").alias("__cut")))
+           .groupBy(F.col("__key").alias(key)).agg(F.collect_set("line").alias(lines)))
     norm = lambda x: F.xxhash64(F.trim(F.regexp_replace(F.lower(x), BLANK, " ")))
     text = F.col(text_col).cast("string")
-    kept = F.filter(F.split(text, "\n"), lambda x: ~F.array_contains(F.col("__cut"), norm(x)))
-    keyed = docs.withColumn("__key", F.xxhash64(host, text_or_empty(text_col)))
-    return (keyed.join(cut, "__key", "left")
-            .withColumn(text_col, F.when(F.col("__cut").isNull(), text)
+    kept = F.filter(F.split(text, "\n"), lambda x: ~F.array_contains(F.col(lines), norm(x)))
+    keyed = docs.withColumn(key, F.xxhash64(host, text_or_empty(text_col)))
+    return (keyed.join(cut, key, "left")
+            .withColumn(text_col, F.when(F.col(lines).isNull(), text)
                         .otherwise(F.array_join(kept, "\n")))
-            .drop("__key", "__cut"))
+            .drop(key, lines))

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from opsfold.llm.components import components
-from opsfold.llm.frames import stored, text_or_empty, trimmed
+from opsfold.llm.frames import free_name, stored, text_or_empty, trimmed
 from opsfold.llm.hashing import U64, Words, lowered, mix, slices
 
 SHINGLE = 5
@@ -434,9 +434,10 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     goes = counts.filter("kept = 0").select(F.col("text_key").alias("__key"), F.col("doc_id").alias("__id"))
     goes = F.broadcast(goes) if goes.count() <= MAX_BROADCAST_TEXTS else goes
     key = F.unhex(F.md5(text_or_empty(text_col)))
-    keyed = docs.withColumn("__text_key", key)
-    left = keyed.join(goes, (keyed["__text_key"] == goes["__key"])
+    name = free_name("__text_key", docs)
+    keyed = docs.withColumn(name, key)
+    left = keyed.join(goes, (keyed[name] == goes["__key"])
                       & keyed[id_col].eqNullSafe(goes["__id"]), "left_anti")
     if not counts.filter("kept = 1 and n > 1").isEmpty():  # rows with one id and one text
-        left = left.dropDuplicates(["__text_key", id_col])
-    return left.drop("__text_key")
+        left = left.dropDuplicates([name, id_col])
+    return left.drop(name)

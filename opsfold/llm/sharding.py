@@ -25,6 +25,7 @@ from opsfold.llm.frames import stored
 
 ROUNDS = 4
 MAX_WALK = 64
+ROWS_PER_TASK = 2_000_000  # that a task sorts, where the default number of partitions gives more
 _IN_PART = 33  # bits that monotonically_increasing_id() has for rows of one partition
 
 
@@ -32,11 +33,12 @@ def number_rows(df: DataFrame, keys: list[str], name: str = "row_number") -> Dat
     """``df`` with gapless numbers from 0 in the order of ``keys`` (nulls first).
 
     Rows are range-partitioned and sorted once; counts per partition (one row
-    each) give the first number of every partition.
+    each) give the first number of every partition.  There are as many partitions
+    as the session sets, and more for more than ``ROWS_PER_TASK`` rows in each.
     """
     local, part = "__local", "__part"
-    n = df.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    ordered = (df.repartitionByRange(int(n), *keys).sortWithinPartitions(*keys)
+    n = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // ROWS_PER_TASK))
+    ordered = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
                .withColumn(local, F.monotonically_increasing_id()))
     ordered = stored(ordered.withColumn(part, F.shiftright(local, _IN_PART))
                      .withColumn(local, F.col(local).bitwiseAND((1 << _IN_PART) - 1)), "numbered")
@@ -44,7 +46,7 @@ def number_rows(df: DataFrame, keys: list[str], name: str = "row_number") -> Dat
     # The task that sums up reads one row per partition.
     before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
     first = counts.select(part, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__first"))
-    # ``first`` has one row per partition, whose number is a setting.
+    # ``first`` has one row per partition: one for ``ROWS_PER_TASK`` rows, or as many as the session sets.
     return (ordered.join(F.broadcast(first), part).withColumn(name, F.col("__first") + F.col(local))
             .drop(local, part, "__first"))
 

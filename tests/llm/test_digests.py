@@ -71,6 +71,12 @@ def test_permutation_and_inverse(spark, n):
         assert sum(r.p == r.id for r in got) < n / 10
 
 
+def test_more_rows_take_more_partitions(spark, docs, monkeypatch):
+    want = sorted(map(str, sharding.shard_rows(docs, 3, seed=4).collect()))
+    monkeypatch.setattr(sharding, "ROWS_PER_TASK", 1)
+    assert sorted(map(str, sharding.shard_rows(docs, 3, seed=4).collect())) == want
+
+
 def test_random_access(spark, docs):
     rows = sharding.shard_rows(docs, 3)
     n = rows.count()
@@ -188,6 +194,14 @@ def test_taking_lines_out(spark):
     assert {r.doc_id: r.text for r in got} == {i: f"own line {i} has words\nlast {i}" for i in range(8)}
 
 
+def test_taking_lines_out_keeps_columns_of_any_name(spark):
+    rows = [(i, f"own line {i}\nshared line", "h", i, f"c{i}") for i in range(8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, __key long, __cut string")
+    got = linefreq.without_frequent_lines(docs, min_docs=3, max_share=0.1)
+    assert got.columns == docs.columns
+    assert sorted(map(tuple, got.collect())) == [(i, f"own line {i}", "h", i, f"c{i}") for i in range(8)]
+
+
 def test_empty_tables(spark):
     assert sharding.shard_rows(empty(spark), 4).collect() == []
     assert packing.pack(empty(spark)).collect() == []

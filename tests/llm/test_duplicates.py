@@ -160,6 +160,14 @@ def test_one_of_each_class_stays(spark):
     assert sorted(ids) == sorted(min(c) for c in as_sets(enumerate(classes_of(texts))))
 
 
+def test_columns_named_like_those_of_the_operator_stay(spark):
+    docs = frame(spark, near_texts()).selectExpr("*", "doc_id as __text_key", "text as __KEY", "1 as __id")
+    left = neardup.deduplicated(docs)
+    assert left.columns == docs.columns
+    assert left.count() < docs.count()
+    assert left.filter("__text_key != doc_id or __KEY != text or __id != 1").count() == 0
+
+
 def test_near_duplicates_of_awkward_rows(spark):
     docs = awkward(spark)
     src = docs.select("doc_id", "text").collect()
