@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opsfold.llm import decontaminate, neardup, packing, repeats, toxicity
-from opsfold.llm.frames import documents, prepare, shared_folder
+from opsfold.llm.frames import documents, free_name, prepare, shared_folder
 
 #: No SQL: classifiers, min-hashing and tokenizers have none; tests use plain versions.
 ORACLE_SQL = None
@@ -36,8 +36,9 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Bytes of strings that start earlier go; documents left without text go too."""
     prepare(spark)
-    cut = repeats.without_repeats(docs.withColumn("__had", F.length("text") > 0))
-    left = cut.filter(~F.col("__had") | F.col("__had").isNull() | (F.length("text") > 0)).drop("__had")
+    had = free_name("__had", docs)
+    cut = repeats.without_repeats(docs.withColumn(had, F.length("text") > 0))
+    left = cut.filter(~F.col(had) | F.col(had).isNull() | (F.length("text") > 0)).drop(had)
     return left.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
