@@ -384,6 +384,33 @@ def test_families_that_share_a_line_within_their_passage(spark):
     assert len(set(label.values())) == 2
 
 
+def test_no_partner_is_dropped_in_large_groups_of_passages(spark):
+    # 42 of 50 words of each passage are one line, of which 38 shingles are too few for a passage:
+    # most windows that meet do so in groups of all texts.
+    rng = random.Random(79)
+    line = prose(rng, 42)
+    cores = [f"{prose(rng, 4)} {line} {prose(rng, 4)}" for _ in range(25)]
+    texts = [f"{prose(rng, 20)} {p} {prose(rng, 20)}" for p in cores for _ in range(2)]
+    texts += [f"x{k}a x{k}b x{k}c x{k}d {line} y{k}a y{k}b y{k}c y{k}d" for k in range(30)]
+    for options in ({"small": 2}, {"small": 2, "turns": 0}):
+        got = passages.near_duplicate_passages(frame(spark, texts), **options).collect()
+        label = {x: r.class_id for r in got for x in (r.doc_id, r.other_doc_id)}
+        assert [k for k in range(25) if 2 * k not in label or label[2 * k] != label.get(2 * k + 1)] == []
+        assert set(label) == set(range(50)) and len(set(label.values())) == 25
+
+
+def test_place_joins_reach_all_members_of_an_owner(spark):
+    # Of two places with one owner only one was compared with the group's other owners.
+    rows = spark.createDataFrame([(1, n, 0, 0, 9, o) for n, o in ((10, 10), (11, 10), (12, 12))],
+                                 "key long, node long, c int, l int, r int, owner long")
+    links = spark.createDataFrame([(10, 11, 0, 9, 0, 9)],
+                                  "u long, v long, u_start long, u_end long, v_start long, v_end long")
+    labels = spark.createDataFrame([(10, 10), (11, 10)], "node long, label long")
+    texts = spark.createDataFrame([], "node long, text string")
+    got = passages._rest(rows.drop("owner"), links, labels, None, texts, 50, 0.8, 4).collect()
+    assert {(r.u, r.v) for r in got} == {(10, 12), (11, 12)}
+
+
 def test_segments_hold_every_stretch_of_words():
     rng = random.Random(71)
     data = " ".join(rng.choice(WORDS) for _ in range(3000)).encode() + b"  \n" + b"x" * 900
