@@ -15,8 +15,10 @@ threshold make classes.
 Work per bucket stays linear.  Equal texts are one node.  In each bucket every
 node is compared with the bucket's least node; what that links is one class.
 Only buckets that still hold several classes compare across classes: pair by
-pair up to ``small`` nodes; in larger ones some drawn pairs join classes first, and
-what is left is joined on rare shingles, a filter that loses no pair of the threshold.
+pair up to ``small`` nodes; in larger ones the likeliest of drawn pairs join classes
+first, and what is left is joined on rare shingles, a filter that loses no pair of the
+threshold.  Of these pairs, too, each node's likeliest are compared first, and then all
+whose classes still differ.
 
 Cases: null and empty texts are copies of each other; a text of fewer than five
 words is one shingle of all its words; repeated rows are copies; null ids are
@@ -40,8 +42,9 @@ THRESHOLD = 0.8
 BANDS = 20
 ROWS = 4
 SMALL_BUCKET = 32
-TURNS = 1  # of drawing pairs across classes, with what the turn before has joined
+TURNS = 2  # of drawing pairs across classes, with what the turn before has joined
 SPLITS = 10  # further bands that split a large bucket
+LIKELIEST = 3  # pairs of a node that are compared before the others
 SLICE_BYTES = 500_000
 # Broadcast of at most this many 16-byte text keys; beyond it, shuffle joins.
 MAX_BROADCAST_TEXTS = 200_000
@@ -285,8 +288,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         labels = components(links.select("u", "v"))
     rest = _rest_of_large(hits, labels, pairs, nodes, docs, id_col, text_col, threshold, small)
     if not rest.isEmpty():
+        first = stored(_likeliest(rest), "pairs")
+        found = stored(verified(first, nodes, docs, id_col, text_col, threshold), "links")
+        links = links.union(found)
+        labels = components(links.select("u", "v"))
+        rest = stored(_across(rest.join(first, ["u", "v"], "left_anti"), labels), "pairs")
         found = stored(verified(rest, nodes, docs, id_col, text_col, threshold), "links")
-        labels = components(links.union(found).select("u", "v"))
+        if not found.isEmpty():
+            labels = components(links.union(found).select("u", "v"))
     classes = member.join(labels.select(F.col("node").alias("rep"), "label"), "rep", "left").select(
         "node", "doc_id", "text_key", F.coalesce("label", "rep").alias("class_id"))
     classes = stored(classes, "classes")
@@ -309,10 +318,10 @@ def _across_classes(hits: DataFrame, banded: DataFrame, labels: DataFrame, done:
     1 - ``threshold`` are further apart than that, and make no pair.
 
     Buckets of up to ``small`` nodes give all their pairs.  Larger ones are split
-    by further bands; in a part that is still large each node is compared with one
-    of it, drawn by a hash that differs from part to part.  A node is in up to
-    ``BANDS * SPLITS`` parts, so it meets many others, and pairs stay linear.  The
-    draw also differs from ``turn`` to turn.  ``_rest_of_large`` gives all others.
+    by further bands; in a part that is still large each node meets one of it,
+    drawn by a hash that differs from part to part and from ``turn`` to ``turn``.  A
+    node is in up to ``BANDS * SPLITS`` parts, so it meets many others; those it
+    meets in most parts are compared.  ``_rest_of_large`` gives all others.
     """
     labelled = hits.join(labels, "node", "left").select(
         "key", "node", F.coalesce("label", "node").alias("label"), "far")
@@ -324,17 +333,35 @@ def _across_classes(hits: DataFrame, banded: DataFrame, labels: DataFrame, done:
              .select(F.xxhash64("key", "band", "i").alias("key"), "node", "label", "far"))
     parts = _mixed(parts)
     reach = 1 - threshold + 1e-9
-    out = _all_pairs(mixed.filter(F.col("n") <= small), reach).union(
-        _all_pairs(parts.filter(F.col("n") <= small), reach))
+    out = _all_pairs(mixed.filter(F.col("n") <= small), reach).distinct()
+    met = _all_pairs(parts.filter(F.col("n") <= small), reach)
     large = stored(parts.filter(F.col("n") > small), "large")
     rank = F.xxhash64("node", "key", F.lit(turn))
     heads = large.groupBy("key").agg(F.min(rank).alias("rank"))
     centre = large.join(heads, "key").filter(rank == F.col("rank")).select(
         "key", F.col("node").alias("head"), F.col("label").alias("of"), F.col("far").alias("from"))
     near = (F.col("label") != F.col("of")) & (F.abs(F.col("far") - F.col("from")) <= reach)
-    out = out.union(large.join(centre, "key").filter(near).select(
+    met = met.union(large.join(centre, "key").filter(near).select(
         F.least("node", "head").alias("u"), F.greatest("node", "head").alias("v")))
-    return stored(out.distinct().join(done, ["u", "v"], "left_anti"), "pairs")
+    met = met.groupBy("u", "v").agg(F.count(F.lit(1)).alias("n")).join(done, ["u", "v"], "left_anti")
+    out = out.join(done, ["u", "v"], "left_anti").union(_likeliest(met))
+    return stored(out.distinct(), "pairs")
+
+
+def _likeliest(pairs: DataFrame) -> DataFrame:
+    """Of ``pairs`` (u, v, n) up to ``LIKELIEST`` of each node, those of largest ``n``."""
+    slot = F.pmod(F.xxhash64("u", "v"), F.lit(LIKELIEST)).alias("slot")
+    ends = pairs.select(F.col("u").alias("node"), slot, "n", "u", "v").union(
+        pairs.select("v", slot, "n", "u", "v"))
+    best = ends.groupBy("node", "slot").agg(F.max(F.struct("n", "u", "v")).alias("x"))
+    return best.select("x.u", "x.v").distinct()
+
+
+def _across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs whose classes differ."""
+    a, b = (labels.select(F.col("node").alias(x), F.col("label").alias(f"of_{x}")) for x in "uv")
+    joined = pairs.join(a, "u", "left").join(b, "v", "left")
+    return joined.filter(F.coalesce("of_u", "u") != F.coalesce("of_v", "v")).select("u", "v")
 
 
 def _prefixes(rows: DataFrame, threshold: float) -> DataFrame:
@@ -385,12 +412,15 @@ def _prefixes(rows: DataFrame, threshold: float) -> DataFrame:
 def _rest_of_large(hits: DataFrame, labels: DataFrame, done: DataFrame, nodes: DataFrame,
                    docs: DataFrame, id_col: str, text_col: str, threshold: float,
                    small: int) -> DataFrame:
-    """All pairs across classes of large buckets that may reach ``threshold``, not compared before."""
+    """All pairs across classes of large buckets that may reach ``threshold``, not compared before.
+
+    ``n`` is the number of rare shingles that they share.
+    """
     labelled = hits.join(labels, "node", "left").select(
         "key", "node", F.coalesce("label", "node").alias("label"))
     ends = stored(_mixed(labelled).filter(F.col("n") > small).select("node", "label").distinct(), "rest")
     if ends.isEmpty():
-        return done.limit(0)
+        return done.select("u", "v", F.lit(0).cast("long").alias("n")).limit(0)
     wanted = stored(nodes.join(ends, "node", "left_semi").select(
         "node", F.col("doc_id").alias("id"), F.col("text_key").alias("key")), "wanted")
     rows = _shingle_rows(docs, wanted, id_col, text_col).dropDuplicates(["node"])
@@ -405,7 +435,8 @@ def _rest_of_large(hits: DataFrame, labels: DataFrame, done: DataFrame, nodes: D
     pairs = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.node") < F.col("b.node"))
                    & (F.col("a.label") != F.col("b.label"))
                    & (~F.col("a.flat") | ~F.col("b.flat") | sizes))
-    pairs = pairs.select(F.col("a.node").alias("u"), F.col("b.node").alias("v")).distinct()
+    pairs = pairs.groupBy(F.col("a.node").alias("u"), F.col("b.node").alias("v")).agg(
+        F.count(F.lit(1)).alias("n"))
     return stored(pairs.join(done, ["u", "v"], "left_anti"), "pairs")
 
 
@@ -414,7 +445,7 @@ def _all_pairs(rows: DataFrame, reach: float) -> DataFrame:
     a = rows.select("key", F.col("node").alias("u"), F.col("label").alias("a"), F.col("far").alias("x"))
     b = rows.select("key", F.col("node").alias("v"), F.col("label").alias("b"), F.col("far").alias("y"))
     near = (F.col("u") < F.col("v")) & (F.col("a") != F.col("b")) & (F.abs(F.col("x") - F.col("y")) <= reach)
-    return a.join(b, "key").filter(near).select("u", "v").distinct()
+    return a.join(b, "key").filter(near).select("u", "v")
 
 
 def _mixed(rows: DataFrame) -> DataFrame:

@@ -543,3 +543,41 @@ def test_empty_tables(spark):
     assert passages.near_duplicate_passages(empty(spark)).collect() == []
     assert repeats.repeated_bytes(empty(spark)).collect() == []
     assert repeats.without_repeats(empty(spark)).collect() == []
+
+
+def test_likeliest_pairs_stay_few_for_hubs(spark):
+    pairs = spark.range(1, 400).selectExpr("0L as u", "id as v", "id as n").union(
+        spark.sql("select 1L as u, 2L as v, 9L as n"))
+    got = {(r.u, r.v) for r in neardup._likeliest(pairs).collect()}
+    assert (0, 399) in got and len(got) <= 400
+    labels = spark.createDataFrame([(0, 0), (1, 0), (2, 2)], "node long, label long")
+    left = neardup._across(pairs.filter("v < 4").select("u", "v"), labels).collect()
+    assert {(r.u, r.v) for r in left} == {(0, 2), (1, 2), (0, 3)}
+
+
+def test_one_template_in_many_versions_is_compared_in_few_pairs(spark, monkeypatch):
+    # Versions just under the threshold from one another, and some families above it.
+    rng = random.Random(83)
+    body = prose(rng, 160).split(" ")
+    texts, family = [], []
+    for k in range(150):
+        words = list(body)
+        for at in rng.sample(range(160), 7):
+            words[at] = prose(rng, 1)
+        for _ in range(1 + (k % 5 == 0)):
+            texts.append(" ".join([*words, *prose(rng, 2).split(" ")]))
+            family.append(k)
+    compared = []
+    verified = neardup.verified
+
+    def counted(pairs, *args):
+        compared.append(pairs.count())
+        return verified(pairs, *args)
+
+    monkeypatch.setattr(neardup, "verified", counted)
+    got = {r.doc_id: r.class_id for r in neardup.near_duplicates(frame(spark, texts), small=4).collect()}
+    sets = [{tuple(t.split()[i:i + 5]) for i in range(len(t.split()) - 4)} for t in texts]
+    links = [(i, j) for j in range(len(texts)) for i in range(j)
+             if len(sets[i] & sets[j]) >= 0.85 * len(sets[i] | sets[j])]
+    assert len(links) >= 30 and all(got[i] == got[j] for i, j in links)
+    assert sum(compared) < len(texts) ** 2 / 4
