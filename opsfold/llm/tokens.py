@@ -13,6 +13,7 @@ import os
 import re
 import struct
 from itertools import filterfalse
+from operator import add
 
 import numpy as np
 
@@ -100,23 +101,27 @@ class PieceEncoder:
         """Cache the ids of new pieces, or None for those that are no piece by themselves."""
         young, new = self.young, self._unknown(pieces)
         # One search over all: an odd piece puts a blank next to one of the joining spaces.
-        if self.unsafe(" ".join([p[1:] if p[:1] == "\n" else p for p in new])):
+        spaced = [p for p in new if p[:1] != "\n"]
+        led = [p for p in new if p[:1] == "\n"]
+        if self.unsafe(" ".join(spaced + [p[1:] for p in led])):
             odd = [p for p in new if self.unsafe(p)]
             young.update(dict.fromkeys(odd))
             new.difference_update(odd)
-        tails = [(p, p.rstrip(_PUNCTUATION)) for p in new]
-        tails = [(p, s) for p, s in tails if len(s) < len(p) and s and s[-1] in _WORD_END]
-        stems = self._unknown({s for _, s in tails})
-        stems.update(new.difference([p for p, _ in tails]))
-        spaced = [p for p in stems if p[0] != "\n"]
-        led = [p for p in stems if p[0] == "\n"]
+        # Lists of strings only: many small tuples would make the garbage collector run often.
+        tailed = [p for p in new if p[-1] in _PUNCTUATION and p.rstrip(_PUNCTUATION)[-1:] in _WORD_END]
+        bases = [p.rstrip(_PUNCTUATION) for p in tailed]
+        new.difference_update(tailed)
+        new |= self._unknown(set(bases))
+        spaced = [p for p in new if p[0] != "\n"]
+        led = [p for p in new if p[0] == "\n"]
         young.update(zip(spaced, self._lines([" " + p for p in spaced]), strict=True))
         bare = self._lines([p[1:] for p in led])
         young.update(zip(led, (self.newline + b for b in bare), strict=True))
-        ends = list({p[len(s):] for p, s in tails})
+        tails = [p[len(s):] for p, s in zip(tailed, bases, strict=True)]
+        ends = list(set(tails))
         end_ids = dict(zip(ends, self._lines(ends), strict=True))
-        for p, s in tails:
-            young[p] = young[s] + end_ids[p[len(s):]]
+        young.update(zip(tailed, map(add, map(young.__getitem__, bases), map(end_ids.__getitem__, tails)),
+                         strict=True))
 
     def counts(self, parts: list[str]) -> list[int]:
         """Token counts of parts of texts, mostly single pieces with the blank that leads them."""

@@ -207,3 +207,21 @@ def test_empty_tables(spark):
     assert packing.pack(empty(spark)).collect() == []
     assert linefreq.line_frequency_filter(empty(spark)).collect() == []
     assert wavelet.write_and_read(empty(spark)).collect() == []
+
+
+def test_learning_pieces_makes_no_garbage_collections():
+    import gc
+
+    e = tokens.PieceEncoder(tokens.default_tokenizer())
+    pieces = {f"{'wxyz'[i % 4]}ord{i:x}" + ("", ".", "", "é,", "")[i % 5] for i in range(40_000)} | {"\nled.", "a's"}
+    runs = []
+    gc.collect()
+    gc.callbacks.append(lambda phase, info: runs.append(phase))
+    try:
+        e.learn(pieces)
+    finally:
+        gc.callbacks.pop()
+    assert len(runs) <= 12
+    for p in [*sorted(pieces)[::997], "\nled.", "a's"]:
+        want = e.library.encode(p if p[0] == "\n" else " " + p, add_special_tokens=False).ids
+        assert np.frombuffer(e.young[p], "<u4").tolist() == want
