@@ -15,10 +15,9 @@ threshold make classes.
 Work per bucket stays linear.  Equal texts are one node.  In each bucket every
 node is compared with the bucket's least node; what that links is one class.
 Only buckets that still hold several classes compare across classes: pair by
-pair up to ``small`` nodes; in larger ones the likeliest of drawn pairs join classes
-first, and what is left is joined on rare shingles, a filter that loses no pair of the
-threshold.  Of these pairs, too, each node's likeliest are compared first, and then all
-whose classes still differ.
+pair up to ``small`` nodes; larger ones are joined on rare shingles, a filter that
+loses no pair of the threshold.  Of these pairs each node's likeliest are compared
+first, and then all whose classes still differ.
 
 Cases: null and empty texts are copies of each other; a text of fewer than five
 words is one shingle of all its words; repeated rows are copies; null ids are
@@ -42,8 +41,6 @@ THRESHOLD = 0.8
 BANDS = 20
 ROWS = 4
 SMALL_BUCKET = 32
-TURNS = 2  # of drawing pairs across classes, with what the turn before has joined
-SPLITS = 10  # further bands that split a large bucket
 LIKELIEST = 3  # pairs of a node that are compared before the others
 SLICE_BYTES = 500_000
 # Broadcast of at most this many 16-byte text keys; beyond it, shuffle joins.
@@ -214,13 +211,11 @@ def _shingle_rows(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str
         trimmed(run), "node long, shingles array<long>, counts array<int>")
 
 
-def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str,
-             threshold: float) -> DataFrame:
-    """The pairs (u, v) of at least ``threshold``, with their similarity."""
-    ends = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()
-    wanted = stored(nodes.join(ends, "node", "left_semi").select(
-        "node", F.col("doc_id").alias("id"), F.col("text_key").alias("key")), "wanted")
-    rows = stored(_shingle_rows(docs, wanted, id_col, text_col), "shingles")
+def verified(pairs: DataFrame, rows: DataFrame, threshold: float) -> DataFrame:
+    """The pairs (u, v) of at least ``threshold``, with their similarity.
+
+    ``rows`` has the shingles and counts of all their nodes.
+    """
     u = rows.select(F.col("node").alias("u"), F.col("shingles").alias("su"), F.col("counts").alias("cu"))
     v = rows.select(F.col("node").alias("v"), F.col("shingles").alias("sv"), F.col("counts").alias("cv"))
     # A hub node's side holds one row; the many pairs of a hub are split by AQE.
@@ -269,33 +264,34 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     hits = stored(hits.join(heads, "key"), "hits")
     pairs = stored(hits.filter("node != head").select(F.col("head").alias("u"), F.col("node").alias("v"))
                    .distinct(), "pairs")
-    compared = stored(verified(pairs, nodes, docs, id_col, text_col, 0.0), "compared")
-    links = compared.filter(F.col("similarity") >= threshold - 1e-9)
-    labels = components(links.select("u", "v"))
+    # The nodes of these pairs are those of all buckets, so one pass over the texts serves all that follows.
+    wanted = stored(nodes.join(_ends(pairs), "node", "left_semi").select(
+        "node", F.col("doc_id").alias("id"), F.col("text_key").alias("key")), "wanted")
+    shingles = stored(_shingle_rows(docs, wanted, id_col, text_col), "shingles")
+    if shingles.count() > wanted.count():  # repeated rows
+        shingles = stored(shingles.dropDuplicates(["node"]), "shingles")
+    compared = stored(verified(pairs, shingles, 0.0), "compared")
+    links = compared.filter(F.col("similarity") >= threshold - 1e-9).select("u", "v")
+    labels = components(links)
     # How far each node of a bucket is from the bucket's head, which tells others apart below.
     far = compared.select(F.col("u").alias("head"), F.col("v").alias("node"),
                           (1 - F.col("similarity")).alias("far"))
-    hits = stored(hits.join(far, ["head", "node"], "left").withColumn(
-        "far", F.when(F.col("node") == F.col("head"), 0.0).otherwise(F.col("far"))), "hits")
-    for turn in range(TURNS):
-        more = _across_classes(hits, banded, labels, pairs, small, threshold, turn)
-        if more.isEmpty():
-            break
-        found = stored(verified(more, nodes, docs, id_col, text_col, threshold), "links")
-        links, pairs = links.union(found), pairs.union(more)
-        if found.isEmpty():
-            break
-        labels = components(links.select("u", "v"))
-    rest = _rest_of_large(hits, labels, pairs, nodes, docs, id_col, text_col, threshold, small)
-    if not rest.isEmpty():
-        first = stored(_likeliest(rest), "pairs")
-        found = stored(verified(first, nodes, docs, id_col, text_col, threshold), "links")
-        links = links.union(found)
-        labels = components(links.select("u", "v"))
-        rest = stored(_across(rest.join(first, ["u", "v"], "left_anti"), labels), "pairs")
-        found = stored(verified(rest, nodes, docs, id_col, text_col, threshold), "links")
+    mixed = _mixed(hits.join(far, ["head", "node"], "left").join(labels, "node", "left").select(
+        "key", "node", F.coalesce("label", "node").alias("label"),
+        F.when(F.col("node") == F.col("head"), 0.0).otherwise(F.col("far")).alias("far")))
+    if not mixed.isEmpty():
+        rest = _rest_of_large(mixed.filter(F.col("n") > small), pairs, shingles, threshold)
+        first = _across_small(mixed.filter(F.col("n") <= small), pairs, threshold)
+        first = stored(first.union(_likeliest(rest)).distinct(), "pairs")
+        found = stored(verified(first, _of_ends(shingles, first), threshold).select("u", "v"), "links")
         if not found.isEmpty():
-            labels = components(links.union(found).select("u", "v"))
+            links = links.union(found)
+            labels = components(links)
+        rest = stored(_across(rest.join(first, ["u", "v"], "left_anti"), labels), "pairs")
+        if not rest.isEmpty():
+            found = stored(verified(rest, _of_ends(shingles, rest), threshold).select("u", "v"), "links")
+            if not found.isEmpty():
+                labels = components(links.union(found))
     classes = member.join(labels.select(F.col("node").alias("rep"), "label"), "rep", "left").select(
         "node", "doc_id", "text_key", F.coalesce("label", "rep").alias("class_id"))
     classes = stored(classes, "classes")
@@ -310,42 +306,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         "text_key", "node")
 
 
-def _across_classes(hits: DataFrame, banded: DataFrame, labels: DataFrame, done: DataFrame,
-                    small: int, threshold: float, turn: int = 0) -> DataFrame:
-    """Pairs of one bucket whose classes differ, as far as not compared before.
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()
+
+
+def _of_ends(rows: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The rows of the nodes of ``pairs``."""
+    ends = stored(_ends(pairs), "ends")
+    few = ends.count() <= MAX_BROADCAST_TEXTS
+    return rows.join(F.broadcast(ends) if few else ends, "node", "left_semi")
+
+
+def _across_small(mixed: DataFrame, done: DataFrame, threshold: float) -> DataFrame:
+    """Pairs of one small bucket whose classes differ, as far as not compared before.
 
     1 - J_P is a metric: two nodes whose distances from the bucket's head differ by more than
     1 - ``threshold`` are further apart than that, and make no pair.
-
-    Buckets of up to ``small`` nodes give all their pairs.  Larger ones are split
-    by further bands; in a part that is still large each node meets one of it,
-    drawn by a hash that differs from part to part and from ``turn`` to ``turn``.  A
-    node is in up to ``BANDS * SPLITS`` parts, so it meets many others; those it
-    meets in most parts are compared.  ``_rest_of_large`` gives all others.
     """
-    labelled = hits.join(labels, "node", "left").select(
-        "key", "node", F.coalesce("label", "node").alias("label"), "far")
-    mixed = _mixed(labelled)
-    if mixed.isEmpty():
-        return done.limit(0)
-    parts = (mixed.filter(F.col("n") > small).join(banded, "node")
-             .select("key", "node", "label", "far", F.posexplode(F.slice("bands", 1, SPLITS)).alias("i", "band"))
-             .select(F.xxhash64("key", "band", "i").alias("key"), "node", "label", "far"))
-    parts = _mixed(parts)
-    reach = 1 - threshold + 1e-9
-    out = _all_pairs(mixed.filter(F.col("n") <= small), reach).distinct()
-    met = _all_pairs(parts.filter(F.col("n") <= small), reach)
-    large = stored(parts.filter(F.col("n") > small), "large")
-    rank = F.xxhash64("node", "key", F.lit(turn))
-    heads = large.groupBy("key").agg(F.min(rank).alias("rank"))
-    centre = large.join(heads, "key").filter(rank == F.col("rank")).select(
-        "key", F.col("node").alias("head"), F.col("label").alias("of"), F.col("far").alias("from"))
-    near = (F.col("label") != F.col("of")) & (F.abs(F.col("far") - F.col("from")) <= reach)
-    met = met.union(large.join(centre, "key").filter(near).select(
-        F.least("node", "head").alias("u"), F.greatest("node", "head").alias("v")))
-    met = met.groupBy("u", "v").agg(F.count(F.lit(1)).alias("n")).join(done, ["u", "v"], "left_anti")
-    out = out.join(done, ["u", "v"], "left_anti").union(_likeliest(met))
-    return stored(out.distinct(), "pairs")
+    return _all_pairs(mixed, 1 - threshold + 1e-9).distinct().join(done, ["u", "v"], "left_anti")
 
 
 def _likeliest(pairs: DataFrame) -> DataFrame:
@@ -365,78 +343,85 @@ def _across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _prefixes(rows: DataFrame, threshold: float) -> DataFrame:
-    """key, node, label, size, flat, left: the rarest shingles of each node, which other classes have.
+    """key, node, label, size, total, left, before: the rarest shingles of each node, which other classes have.
 
     J_P is at most the sum over common i of min(w_i / sum w, v_i / sum v).  With
     shingles in one order for all nodes, take of each the first ones, up to where
     less than ``threshold`` of its weight is left: two nodes without a common one
-    among these share less than ``threshold``.  ``left`` is the number of shingles from this one on.
+    among these share less than ``threshold``.  ``left`` is the number of shingles from this one on,
+    ``before`` the weight of those that come before it, ``total`` that of all ``size`` ones.
 
     Shingles of a single class come first in that order.  No pair across classes shares
     them, so they only count in the weight and the size of their node and are not joined.
     """
     each = rows.select(
-        "node", "label", F.size("shingles").alias("size"), F.array_max("counts").alias("most"),
+        "node", "label", F.size("shingles").alias("size"),
         F.aggregate("counts", F.lit(0).cast("long"), lambda a, x: a + x).alias("total"),
         F.explode(F.arrays_zip("shingles", "counts")).alias("x"))
-    each = each.select("node", "label", "size", "most", "total",
+    each = each.select("node", "label", "size", "total",
                        F.col("x.shingles").alias("key"), F.col("x.counts").alias("count"))
     of = (each.groupBy("key").agg(F.count(F.lit(1)).alias("of"), F.min("label").alias("lo"),
                                   F.max("label").alias("hi"))
           .filter("lo != hi").select("key", "of"))
-    ranked = each.join(of, "key").groupBy("node", "label", "size", "most", "total").agg(
+    ranked = each.join(of, "key").groupBy("node", "label", "size", "total").agg(
         F.array_sort(F.collect_list(F.struct("of", "key", "count"))).alias("x"))
-    ranked = ranked.select("node", "label", "size", "most", "total", "x.key", "x.count")
+    ranked = ranked.select("node", "label", "size", "total", "x.key", "x.count")
 
     def run(batches):
         for batch in batches:
-            node, label, size, most, total, key, count = batch.columns
+            node, label, size, total, key, count = batch.columns
             ends = key.offsets.to_numpy()
             key, count = (x.values.to_numpy()[ends[0]:ends[-1]] for x in (key, count))
             row = np.repeat(np.arange(batch.num_rows), np.diff(ends))
             ends = ends - ends[0]
-            before = np.concatenate([[0], np.cumsum(count)])
-            share = (before[ends[1:]][row] - before[:-1]) / total.to_numpy()[row]
-            at = np.flatnonzero(share >= threshold - 1e-9)
+            sums = np.concatenate([[0], np.cumsum(count, dtype=np.int64)])
+            left = sums[ends[1:]][row] - sums[:-1]
+            weight = total.to_numpy()[row]
+            at = np.flatnonzero(left / weight >= threshold - 1e-9)
             row = row[at]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(key[at]), node.take(pa.array(row)), label.take(pa.array(row)),
-                 size.take(pa.array(row)), pa.array(most.to_numpy()[row] == 1),
-                 pa.array((ends[1:][row] - at).astype(np.int32))],
-                names=["key", "node", "label", "size", "flat", "left"])
+                [pa.array(key[at]), *(x.take(pa.array(row)) for x in (node, label, size, total)),
+                 pa.array((ends[1:][row] - at).astype(np.int32)), pa.array((weight - left)[at])],
+                names=["key", "node", "label", "size", "total", "left", "before"])
 
     return ranked.mapInArrow(
-        trimmed(run), "key long, node long, label long, size int, flat boolean, left int")
+        trimmed(run), "key long, node long, label long, size int, total long, left int, before long")
+
 
+def _most_apart(threshold: float):
+    """The most weight of shingles that only one of two nodes a and b may have, if they make a pair.
 
-def _rest_of_large(hits: DataFrame, labels: DataFrame, done: DataFrame, nodes: DataFrame,
-                   docs: DataFrame, id_col: str, text_col: str, threshold: float,
-                   small: int) -> DataFrame:
+    With D for that weight and S for the sum of max(w_j, v_j): 1 - J_P is at least D / S, as no
+    common i has less than S / max(w_i, v_i) below it.  S is W + V, the weights of both, without
+    the sum of min(w_i, v_i).  That sum is at least the number of common shingles, so at least
+    (sizes - D) / 2; and at least ``threshold`` * min(W, V), as J_P is at most the sum of
+    min(w_i / W, v_i / V).
+    """
+    t = threshold - 1e-9
+    weights, sizes = F.col("a.total") + F.col("b.total"), F.col("a.size") + F.col("b.size")
+    return (1 - t) * F.least((2 * weights - sizes) / (1 + t),
+                             weights - t * F.least("a.total", "b.total")) + 1e-6
+
+
+def _rest_of_large(mixed: DataFrame, done: DataFrame, shingles: DataFrame, threshold: float) -> DataFrame:
     """All pairs across classes of large buckets that may reach ``threshold``, not compared before.
 
-    ``n`` is the number of rare shingles that they share.
+    ``n`` is the number of rare shingles that they share to that of the smaller one's shingles.
     """
-    labelled = hits.join(labels, "node", "left").select(
-        "key", "node", F.coalesce("label", "node").alias("label"))
-    ends = stored(_mixed(labelled).filter(F.col("n") > small).select("node", "label").distinct(), "rest")
-    if ends.isEmpty():
-        return done.select("u", "v", F.lit(0).cast("long").alias("n")).limit(0)
-    wanted = stored(nodes.join(ends, "node", "left_semi").select(
-        "node", F.col("doc_id").alias("id"), F.col("text_key").alias("key")), "wanted")
-    rows = _shingle_rows(docs, wanted, id_col, text_col).dropDuplicates(["node"])
-    rows = stored(rows.join(ends, "node"), "shingles")
+    ends = stored(mixed.select("node", "label").distinct(), "rest")
+    few = ends.count() <= MAX_BROADCAST_TEXTS
+    rows = stored(shingles.join(F.broadcast(ends) if few else ends, "node"), "shingles")
     prefixes = stored(_prefixes(rows, threshold), "prefixes")
     prefixes = _mixed(prefixes)
     a, b = prefixes.alias("a"), prefixes.alias("b")
-    # Where all counts are one, both share threshold / (1 + threshold) of their shingles together at
-    # least; so the sizes are alike, and from the first shingle that they share on both have as many.
-    least = (threshold / (1 + threshold) - 1e-9) * (F.col("a.size") + F.col("b.size"))
-    sizes = (F.least("a.size", "b.size") >= least) & (F.least("a.left", "b.left") >= least)
+    # From the first shingle that they share on, both have all that they share.
+    apart, size = _most_apart(threshold), F.least("a.size", "b.size")
+    least = (F.col("a.size") + F.col("b.size") - apart) / 2
     pairs = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.node") < F.col("b.node"))
                    & (F.col("a.label") != F.col("b.label"))
-                   & (~F.col("a.flat") | ~F.col("b.flat") | sizes))
+                   & (F.least("a.left", "b.left") >= least) & (F.col("a.before") + F.col("b.before") <= apart))
     pairs = pairs.groupBy(F.col("a.node").alias("u"), F.col("b.node").alias("v")).agg(
-        F.count(F.lit(1)).alias("n"))
+        (F.count(F.lit(1)) / F.first(size)).alias("n"))
     return stored(pairs.join(done, ["u", "v"], "left_anti"), "pairs")
 
 

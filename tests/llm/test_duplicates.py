@@ -11,6 +11,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from opsfold.llm import components, neardup, passages, repeats
 from tests.conftest import SF001
@@ -581,3 +582,47 @@ def test_one_template_in_many_versions_is_compared_in_few_pairs(spark, monkeypat
              if len(sets[i] & sets[j]) >= 0.85 * len(sets[i] | sets[j])]
     assert len(links) >= 30 and all(got[i] == got[j] for i, j in links)
     assert sum(compared) < len(texts) ** 2 / 4
+
+
+def test_texts_that_repeat_a_sentence_are_compared_in_few_pairs(spark, monkeypatch):
+    # Half of each text's weight is one sentence, many times over; some are near copies of others.
+    rng = random.Random(29)
+    sentence, texts = prose(rng, 8) + " ", []
+    for k in range(120):
+        own = prose(rng, 60)
+        texts += [sentence * rng.randint(6, 12) + x for x in [own, edited(rng, own, 1)][:1 + (k % 4 == 0)]]
+    owner, shingle, count = neardup.weighted_shingles([t.lower().encode() for t in texts])
+    sets = [(shingle[owner == i], count[owner == i]) for i in range(len(texts))]
+    keys = neardup.band_keys(neardup.prob_minhash(owner, shingle, count, len(texts), 20), 20, 1)
+    want = [(i, j) for j in range(len(texts)) for i in range(j) if (keys[i] == keys[j]).any()
+            and neardup.prob_jaccard(sets[i], sets[j]) >= 0.8]
+    compared = []
+    verified = neardup.verified
+
+    def counted(pairs, *args):
+        compared.append(pairs.count())
+        return verified(pairs, *args)
+
+    monkeypatch.setattr(neardup, "verified", counted)
+    docs = frame(spark, texts)
+    docs = docs.union(docs.filter("doc_id < 9"))  # repeated rows
+    got = {r.doc_id: r.class_id for r in neardup.near_duplicates(docs, bands=20, rows=1, small=4).collect()}
+    assert len(want) >= 20 and all(got[i] == got[j] for i, j in want)
+    assert sum(compared[1:]) < len(texts)  # the first are the pairs of buckets' heads
+
+
+def test_pairs_of_the_threshold_are_within_the_bound_of_what_is_apart(spark):
+    rng, rows = random.Random(31), []
+    for _ in range(400):
+        w = {k: rng.choice((1, 1, 1, 2, 9)) for k in range(rng.randint(4, 40))}
+        v = {k: max(1, n + rng.choice((0, 0, 0, 1, -1))) for k, n in w.items() if rng.random() < 0.95}
+        v |= {100 + k: rng.choice((1, 1, 3)) for k in range(rng.randint(0, 3))}
+        pair = [(np.array(sorted(x), dtype=np.uint64), np.array([x[k] for k in sorted(x)])) for x in (w, v)]
+        if len(v) and neardup.prob_jaccard(*pair) >= 0.8:
+            apart = sum(n for x, y in ((w, v), (v, w)) for k, n in x.items() if k not in y)
+            rows.append((len(w), sum(w.values()), len(v), sum(v.values()), apart))
+    a, b = (spark.createDataFrame([(i, *r[k:k + 2], r[4]) for i, r in enumerate(rows)], "id int, size int, total long, apart long")
+            .alias(x) for x, k in (("a", 0), ("b", 2)))
+    joined = a.join(b, "id")
+    assert len(rows) > 50 and joined.filter(neardup._most_apart(0.8) < F.col("a.apart")).count() == 0
+    assert joined.filter(neardup._most_apart(0.8) < F.col("a.apart") + 2).count() > 0  # hardly wider than needed
