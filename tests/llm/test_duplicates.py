@@ -412,6 +412,54 @@ def test_place_joins_reach_all_members_of_an_owner(spark):
     assert {(r.u, r.v) for r in got} == {(10, 12), (11, 12)}
 
 
+def test_only_texts_that_may_hold_a_passage_have_windows(spark, monkeypatch):
+    rng = random.Random(41)
+    line, shared = prose(rng, 20), prose(rng, 60)
+    texts = [f"{prose(rng, 70)} {line} {prose(rng, 70)}" for _ in range(40)]
+    texts += [f"{prose(rng, 30)} {shared} {prose(rng, 40)}" for _ in range(2)]
+    seen, stored = {}, passages.stored
+    monkeypatch.setattr(passages, "stored", lambda df, name: seen.setdefault(name, stored(df, name)))
+    got = passages.near_duplicate_passages(frame(spark, texts)).collect()
+    assert {r.doc_id for r in got} | {r.other_doc_id for r in got} == {40, 41}
+    assert seen["hits"].select("node").distinct().count() == 2
+
+
+def test_filter_holds_all_shingles_of_several_texts(spark):
+    rng = random.Random(42)
+    line, shared = prose(rng, 60), prose(rng, 3000)
+    texts = [f"{prose(rng, 500)} {line} {line} {shared}", f"{shared} {prose(rng, 500)}", prose(rng, 4000), ""]
+    docs = frame(spark, texts).selectExpr("doc_id as node", "text")
+    several = passages._shared_shingles(docs, 50)
+    w = passages.Words([t.encode() for t in texts], passages.SPACE)
+    shingles, first = w.shingles(passages.SHINGLE)
+    sets = [set(shingles[x:y].tolist()) for x, y in zip(first[:-1], first[1:])]
+    common = np.isin(shingles, np.array(list(sets[0] & sets[1]), dtype=np.uint64))
+    for most in (passages.FILTER_BYTES, 1):
+        held = passages._Filter(several, most).holds(shingles)
+        assert held[common].all()
+        assert most == 1 or held[~common].mean() < 0.2
+
+
+def test_fewest_distinct_shingles_of_any_stretch():
+    rng = np.random.default_rng(43)
+    for size, kinds, least in ((60, 5, 10), (60, 200, 46), (46, 20, 46), (20, 4, 46), (300, 250, 46)):
+        for _ in range(20):
+            x = rng.integers(0, kinds, size).astype(np.uint64)
+            plain = min((len(set(x[i:i + least].tolist())) for i in range(size - least + 1)), default=None)
+            assert size < least or passages._least_distinct(x, least) == plain
+
+
+def test_pairs_compared_together_give_what_each_gives(monkeypatch):
+    rng = random.Random(44)
+    shared = prose(rng, 80)
+    left = [f"{prose(rng, 20)} {shared} {prose(rng, n)}".encode() for n in range(6)] + [b"", shared.encode()]
+    right = [f"{prose(rng, n)} {shared}".encode() for n in range(6)] + [shared.encode()] * 2
+    monkeypatch.setattr(passages, "SLICE_BYTES", 2000)
+    each = [passages.passages(a, b, 50, 0.8) for a, b in zip(left, right)]
+    assert list(passages._passages(left, right, 50, 0.8)) == each
+    assert [len(x) for x in each] == [1] * 6 + [0, 1] and each[-1][0][4] == 1.0
+
+
 def test_segments_hold_every_stretch_of_words():
     rng = random.Random(71)
     data = " ".join(rng.choice(WORDS) for _ in range(3000)).encode() + b"  \n" + b"x" * 900
